@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ..functions.text import clip_name, timecode_sample
-from .images import list_array
+from .images import DOUBLES, list_array
 
 EMIT_VALUES = 1 << 20
 
@@ -202,7 +202,7 @@ def crop_frequencies(df: DataFrame, max_frequency: int = 5000) -> DataFrame:
     return df.withColumn("psd", F.slice("psd", 1, int(max_frequency / 10)))
 
 
-@arrow_udf("array<double>")
+@arrow_udf(DOUBLES)
 def _frequency_major(frames: pa.Array) -> pa.Array:
     """Lists of frames -> [frequency, time] values, flat."""
     return list_array([np.stack([np.asarray(f.values) for f in piece]).T for piece in frames])

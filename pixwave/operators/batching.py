@@ -71,3 +71,18 @@ def bootstrap_batches(df: DataFrame, batch: int, steps: int, seed: int = 0, iden
 def preview(df: DataFrame, n: int = 10, order: str = "example_id") -> DataFrame:
     """The first `n` rows in order (a top-k, not a sort of the table)."""
     return df.orderBy(order).limit(n)
+
+
+def explode_batches(df: DataFrame, data: str = "data", labels: str = "labels", batch: str = "batch") -> DataFrame:
+    """Batch rows (list of pixel vectors, list of labels) -> one row per example: batch, offset, pixels, label.
+
+    Lists of different length are an error.
+    """
+    error = F.raise_error(F.concat(F.lit("images and labels differ in number in batch "),
+                                   F.col(batch).cast("string")))
+    kind = df.schema[data].dataType.elementType.simpleString()
+    pairs = F.arrays_zip(F.col(data).alias("pixels"), F.col(labels).alias("label"))
+    checked = F.when(F.size(data) == F.size(labels), pairs).otherwise(
+        error.cast(f"array<struct<pixels:{kind},label:{df.schema[labels].dataType.elementType.simpleString()}>>"))
+    return (df.select(batch, F.posexplode(checked).alias("offset", "__pair"))
+            .select(batch, "offset", "__pair.pixels", F.col("__pair.label").cast("int").alias("label")))

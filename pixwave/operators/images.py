@@ -11,11 +11,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from ..functions.hashing import hash_uniform
 from ..functions.vectors import one_hot_vector
 
+DOUBLES = T.ArrayType(T.DoubleType())
 Kernel = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
@@ -46,7 +48,7 @@ def apply_kernel(kernel: Kernel, pixels: pa.Array, shapes: np.ndarray, draws: np
 def image_column(kernel: Kernel, draws: Sequence[Column] = ()) -> Column:
     """Column of new pixels from `pixels, height, width, depth` and uniform draws."""
 
-    @arrow_udf("array<double>")
+    @arrow_udf(DOUBLES)
     def run(pixels: pa.Array, shape: pa.Array, uniform: pa.Array) -> pa.Array:
         shapes = np.stack([np.asarray(shape.field(i)) for i in range(3)], axis=1)
         u = np.asarray(uniform.flatten(), dtype=np.float64).reshape(len(pixels), -1) if len(pixels) else None

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ..functions.vectors import argmax, softmax
-from .images import list_array
+from .images import DOUBLES, list_array
 from .layers import Params, forward
 from .metrics import evaluate
 
@@ -35,7 +35,7 @@ def logits_column(spark: SparkSession, model: dict, params: Params, pixels: str
     """Column of logits; only the pixel column goes to Python, `batch` rows at a time."""
     shared = broadcast_params(spark, params)
 
-    @arrow_udf("array<double>")
+    @arrow_udf(DOUBLES)
     def run(column: pa.Array) -> pa.Array:
         x = matrix(column)
         return list_array([row for i in range(0, len(x), batch)

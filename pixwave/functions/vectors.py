@@ -58,3 +58,11 @@ def from_csv(text, dtype: str = "double") -> Column:
     text = col(text)
     empty = F.array().cast(f"array<{dtype}>")
     return F.when(text == "", empty).otherwise(F.transform(F.split(text, ","), lambda x: x.cast(dtype)))
+
+
+def class_index(target) -> Column:
+    """Class vector -> class index; a vector that is not one-hot is an error."""
+    target = col(target)
+    hot = (F.array_max(target) == 1) & (vector_sum(F.transform(target, lambda x: F.abs(x.cast("double")))) == 1)
+    error = F.raise_error(F.concat(F.lit("not a one-hot label: "), to_csv(target))).cast("int")
+    return F.when(hot, argmax(target)).otherwise(error)

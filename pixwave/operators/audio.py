@@ -16,12 +16,16 @@ from .images import DOUBLES, list_array
 EMIT_VALUES = 1 << 20
 
 
-def pack_samples(df: DataFrame, file: str, position: str, value: str, fs: int, chunk: int = 4096) -> DataFrame:
-    """One row per sample -> chunk rows of at most `chunk` samples; positions are dense from 0."""
-    counts = df.groupBy(file).agg((F.max(position) + 1).alias("n_frames"))
+def pack_samples(df: DataFrame, file: str, position: str, value: str, fs: int, chunk: int = 4096,
+                 n_frames: str = "n_frames") -> DataFrame:
+    """One row per sample -> chunk rows of at most `chunk` samples.
+
+    Positions are dense from 0, and `n_frames` holds the length of the file.
+    """
     packed = df.groupBy(F.col(file), F.floor(F.col(position) / chunk).alias("chunk_no")).agg(
+        F.max(n_frames).cast("long").alias("n_frames"),
         F.transform(F.array_sort(F.collect_list(F.struct(position, value))), lambda s: s[value]).alias("samples"))
-    return packed.join(counts, file).select(
+    return packed.select(
         F.col(file).alias("file"), F.lit(fs).alias("fs"), F.lit(0).alias("channel"), "n_frames",
         F.col("chunk_no").cast("long").alias("chunk_no"),
         (F.col("chunk_no") * chunk).cast("long").alias("start_sample"), "samples")
@@ -188,8 +192,7 @@ def spectrogram(chunks: DataFrame, tres: int = 100, carry: tuple[str, ...] = ("f
     """
     carry = list(carry)
     columns = [*carry, "fs", "n_frames", "start_sample", "samples"]
-    whole = chunks.select(*columns).withColumns({"n_frames": F.col("n_frames").cast("long"),
-                                                 "samples": F.col("samples").cast("array<double>")})
+    whole = chunks.select(*columns).withColumn("n_frames", F.col("n_frames").cast("long"))
     rows = whole.unionByName(border_frames(whole, tres, carry))
     kinds = {f.name: f.dataType.simpleString() for f in whole.schema}
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in [*carry, "fs", "n_frames"]),

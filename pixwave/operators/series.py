@@ -37,11 +37,11 @@ def _walk(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def _entering(cells: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, __cell, __a, __b) -> (keys, __cell, __in), by groups of FAN cells and then over the groups."""
-    groups = cells.withColumn("__group", F.floor(F.col("__cell") / FAN))
+    groups = cells.withColumn("__group", F.floor(F.col("__cell") / FAN)).repartition(*keys, "__group")
     ends = groups.groupBy(*keys, "__group").applyInPandas(_compose, groups.schema)
     tops = ends.withColumn("__in", F.lit(0.0))
     tops = tops.groupBy(*keys).applyInPandas(_walk, tops.schema).select(*keys, "__group", "__in")
-    joined = groups.join(tops, [*keys, "__group"])
+    joined = groups.join(tops, [*keys, "__group"], "left")
     return joined.groupBy(*keys, "__group").applyInPandas(_walk, joined.schema).select(*keys, "__cell", "__in")
 
 
@@ -52,13 +52,18 @@ def affine_scan(df: DataFrame, keys: list[str], step: str, a: Column, b: Column,
     Inside a cell the recurrence is a pair of window sums, y_t = P_t * (y_in +
     sum(b_k / P_k)) with P_t the running product of a; `a` must be positive and
     its product over one cell must stay a normal double.
+
+    The rows are shuffled once, by (keys, cell): the table of cells and the
+    final join read the same exchange (left joins, so that no filter of one
+    reader makes it a different one).
     """
-    rows = df.withColumns({"__a": a, "__b": b, "__cell": F.floor(F.col(step) / cell)})
+    laid = df.withColumn("__cell", F.floor(F.col(step) / cell)).repartition(*keys, "__cell")
+    rows = laid.withColumns({"__a": a, "__b": b})
     w = Window.partitionBy(*keys, "__cell").orderBy(step).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = (rows.withColumn("__p", F.exp(F.sum(F.log("__a")).over(w)))
              .withColumn("__s", F.col("__p") * F.sum(F.col("__b") / F.col("__p")).over(w)))
     cells = local.groupBy(*keys, "__cell").agg(F.max_by("__p", step).alias("__a"), F.max_by("__s", step).alias("__b"))
-    return (local.join(_entering(cells, keys), [*keys, "__cell"])
+    return (local.join(_entering(cells, keys), [*keys, "__cell"], "left")
             .withColumn(name, F.col("__p") * F.col("__in") + F.col("__s"))
             .select(*df.columns, name))
 

@@ -23,7 +23,7 @@ from .layers import Params, apply_gradients, gradients, init_params, softmax_los
 from .scoring import broadcast_params, matrix
 
 CHUNK_VALUES = 4096
-ROUND_SCHEMA = "tensor string, shape array<int>, chunk int, shard int, n_rows long, values array<double>"
+MERGED_SCHEMA = "tensor string, shape array<int>, chunk int, shard int, n_rows long, values array<double>"
 METRICS_SCHEMA = "round int, step long, tag string, value double"
 
 
@@ -125,10 +125,10 @@ class Trained:
         return {k[4:]: v for k, v in self.state.items() if k.startswith("ema/")}
 
 
-def initial_state(model: dict, optimizer: str, seed: int, ema: float | None) -> Params:
+def initial_state(model: dict, optimizer: str, seed: int, ema: float | None, dtype=np.float32) -> Params:
     if optimizer not in ("sgd", "adam"):
         raise ValueError(f"unknown optimizer: {optimizer}")
-    params = init_params(model, seed)
+    params = init_params(model, seed, dtype)
     state = dict(params)
     if optimizer == "adam":
         state |= {f"{m}/{k}": np.zeros_like(v) for k, v in params.items() for m in "mv"}
@@ -165,8 +165,9 @@ def _block(parts):
             parts[0].column("__shard")[0].as_py())
 
 
-def _shard_trainer(model, shared, optimizer, batch, rate, seed, round_no, step0, limit, ema):
+def _shard_trainer(model, shared, optimizer, batch, rate, seed, round_no, step0, limit, ema, dtype):
     """mapInArrow body: mini-batch steps on one shard, then its weights as chunks."""
+    value_type = pa.from_numpy_dtype(dtype)
 
     def run(batches):
         state = {k: v.copy() for k, v in shared.value.items()}
@@ -197,7 +198,7 @@ def _shard_trainer(model, shared, optimizer, batch, rate, seed, round_no, step0,
             yield pa.RecordBatch.from_pydict({
                 "tensor": pa.array(names), "shape": pa.array(shapes, pa.list_(pa.int32())),
                 "chunk": pa.array(chunks, pa.int32()), "shard": pa.array([shard] * n, pa.int32()),
-                "n_rows": pa.array([rows] * n, pa.int64()), "values": pa.array(list(values), pa.list_(pa.float64()))})
+                "n_rows": pa.array([rows] * n, pa.int64()), "values": pa.array([v.astype(dtype) for v in values], pa.list_(value_type))})
 
     return run
 
@@ -205,23 +206,29 @@ def _shard_trainer(model, shared, optimizer, batch, rate, seed, round_no, step0,
 def _average(pdf: pd.DataFrame) -> pd.DataFrame:
     """Mean of one weight chunk over the shards, weighted by rows, added in shard order."""
     pdf = pdf.sort_values("shard")
-    values, n = np.stack(pdf["values"].to_list()), pdf["n_rows"].to_numpy(float)
+    values, n = np.stack(pdf["values"].to_list()).astype(float), pdf["n_rows"].to_numpy(float)
     merged = values.max(axis=0) if pdf["tensor"].iloc[0] == "#steps" else (values * n[:, None]).sum(axis=0) / n.sum()
     return pdf.head(1).assign(values=[merged], n_rows=int(n.sum()))
 
 
 def train_round(laid: DataFrame, model: dict, trained: Trained, *, optimizer: str, batch: int,
                 rate: Callable[[int], float], seed: int, ident: str, limit: int | None = None,
-                ema: float | None = None, prepare: Callable[[DataFrame, int], DataFrame] | None = None) -> Trained:
-    """One round over rows from `lay_out`: one narrow pass per shard and one small shuffle of weights."""
-    shared = broadcast_params(laid.sparkSession, trained.state)
+                ema: float | None = None, prepare: Callable[[DataFrame, int], DataFrame] | None = None,
+                dtype=np.float32) -> Trained:
+    """One round over rows from `lay_out`: one narrow pass per shard and one small shuffle of weights.
+
+    The steps of a shard run in `dtype`, the average over the shards in double.
+    """
+    shared = broadcast_params(laid.sparkSession, {k: v.astype(dtype) for k, v in trained.state.items()})
     rows = prepare(laid, trained.round) if prepare else laid
     ordered = (rows.withColumn("__key", hash_key(seed, trained.round, "round", ident))
                .sortWithinPartitions("__shard", "__key", ident)
                .select(F.col("pixels"), F.col("label").cast("int").alias("label"), "__shard"))
-    body = _shard_trainer(model, shared, optimizer, batch, rate, seed, trained.round, trained.step, limit, ema)
-    merged = (ordered.mapInArrow(body, ROUND_SCHEMA).groupBy("tensor", "chunk")
-              .applyInPandas(_average, ROUND_SCHEMA))
+    body = _shard_trainer(model, shared, optimizer, batch, rate, seed, trained.round, trained.step, limit, ema,
+                          np.dtype(dtype))
+    parts_schema = MERGED_SCHEMA if np.dtype(dtype) == np.float64 else MERGED_SCHEMA.replace("double", "float")
+    merged = (ordered.mapInArrow(body, parts_schema).groupBy("tensor", "chunk")
+              .applyInPandas(_average, MERGED_SCHEMA))
     state = collect_state(merged)
     shared.unpersist()
     if not state:
@@ -240,7 +247,7 @@ def train_parallel(df: DataFrame, model: dict, optimizer: str = "sgd", batch: in
                    shards: int = 8, seed: int = 0, callbacks: Sequence[Callable[[Trained], bool | None]] = (), *,
                    lr: float | Callable[[int], float] = 0.1, steps: int | None = None, ema: float | None = None,
                    ident: str = "example_id", start: Trained | None = None,
-                   prepare: Callable[[DataFrame, int], DataFrame] | None = None) -> Trained:
+                   prepare: Callable[[DataFrame, int], DataFrame] | None = None, dtype=np.float32) -> Trained:
     """Train on rows with `ident`, `pixels`, `label`, one pass over the rows per round.
 
     Stops after `rounds` rounds, after `steps` steps, or when a callback returns
@@ -248,7 +255,7 @@ def train_parallel(df: DataFrame, model: dict, optimizer: str = "sgd", batch: in
     the distortion chain. `start` goes on from an earlier state.
     """
     rate = lr if callable(lr) else (lambda step: lr)
-    trained = start or Trained(initial_state(model, optimizer, seed, ema))
+    trained = start or Trained(initial_state(model, optimizer, seed, ema, dtype))
     columns = [c for c in (ident, "pixels", "label", "height", "width", "depth") if c in df.columns]
     laid = lay_out(df.select(*columns), shards, ident).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -256,7 +263,7 @@ def train_parallel(df: DataFrame, model: dict, optimizer: str = "sgd", batch: in
             limit = None if steps is None else steps - trained.step
             before = trained.step
             trained = train_round(laid, model, trained, optimizer=optimizer, batch=batch, rate=rate, seed=seed,
-                                  ident=ident, limit=limit, ema=ema, prepare=prepare)
+                                  ident=ident, limit=limit, ema=ema, prepare=prepare, dtype=dtype)
             if trained.step == before or any([callback(trained) for callback in callbacks]):
                 break
     finally:

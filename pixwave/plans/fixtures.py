@@ -36,7 +36,7 @@ def img8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sig(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` as samples: file = user, position = rank of the event within the user."""
     events = table(spark, sf_dir, "events").select(F.col("user_id").alias("file"), "event_id", "value")
-    return global_index(events, "event_id", "pos", by=["file"]).select("file", "pos", "value")
+    return global_index(events, "event_id", "pos", by=["file"], total="n_frames").select("file", "pos", "n_frames", "value")
 
 
 def sig_chunks(spark: SparkSession, sf_dir: str, fs: int = FS) -> DataFrame:

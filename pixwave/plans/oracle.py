@@ -185,6 +185,9 @@ ORACLE: dict[str, str] = {
     "zip_by_position": f"""WITH {IMG8}, a AS (SELECT row_number() OVER (ORDER BY example_id) - 1 AS idx, example_id, pixels[1] AS first_pixel FROM img8),
       b AS (SELECT row_number() OVER (ORDER BY label_id) - 1 AS idx, * FROM (SELECT example_id * 3 + 1 AS label_id, label AS paired_label FROM img8))
       SELECT * FROM a JOIN b USING (idx)""",
+    "global_index": """SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS idx,
+      count(*) OVER () AS n_rows, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS idx_in_customer FROM orders""",
+    "hash_uniform": f"SELECT event_id, {r6(uniform('2', 'test', 'event_id'), 9)} AS u FROM events",
     "extract_clips": f"""WITH {SIG}, {SUBS}, iv AS (SELECT episode AS file, line_no AS num, {sample('start_tc', 2)} AS s,
       {sample('end_tc', 2)} AS e FROM subs)
       SELECT iv.file, num, count(value) AS n, {r6('sum(value)')} AS total, min(value) AS lowest, max(value) AS highest

@@ -6,9 +6,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.hashing import hash_uniform as draw
 from ..functions.text import clip_name
 from ..functions.vectors import argmax
-from ..operators import audio, batching, images, layers, metrics, pairing, scoring, series, training
+from ..operators import audio, batching, images, index, layers, metrics, pairing, scoring, series, training
 from ..session import shared_dir
 from ..sources import records, sinks, text, tfrecord, wav
 from ..streaming import learning
@@ -333,6 +334,12 @@ def every_n_steps(spark, sf_dir):
     return metrics.every_n_steps(train_log(spark, sf_dir), 10).select("run", "step", "loss")
 
 
+@query
+def hash_uniform(spark, sf_dir):
+    drawn = table(spark, sf_dir, "events").select("event_id", draw(SEED, 2, "test", "event_id").alias("u"))
+    return drawn.select("event_id", r6("u", 9).alias("u"))
+
+
 # ---- pairing, splits, batches ------------------------------------------------------
 
 @query
@@ -343,6 +350,14 @@ def zip_by_position(spark, sf_dir):
     return pairing.zip_by_position(left, right, "example_id", "label_id", block=128)
 
 
+@query
+def global_index(spark, sf_dir):
+    """Orders numbered in key order, over the whole table and within each customer."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    numbered = index.global_index(orders, "o_orderkey", "idx", total="n_rows")
+    return index.global_index(numbered, "o_orderkey", "idx_in_customer", by=["o_custkey"])
+
+
 @query
 def extract_clips(spark, sf_dir):
     lines = text.parse_subtitle_lines(subtitle_lines(spark, sf_dir))
@@ -593,5 +608,5 @@ def stream_train(spark, sf_dir):
     images.rescale_pixels(img8(spark, sf_dir)).repartition(2).write.parquet(f"{base}/in")
     learning.stream_train(spark, f"{base}/in", layers.softmax_model(64), None, f"{base}/weights",
                           checkpoint=f"{base}/state", files_per_trigger=1, size=50, shards=4, lr=0.5)
-    rows = sinks.restore_weights(spark, f"{base}/weights", "softmax")
+    rows = sinks.restore_weights(spark, f"{base}/weights", "softmax").filter("tensor <> '#step'")
     return rows.select("step", "tensor", "chunk", F.posexplode("values").alias("idx", "value"))

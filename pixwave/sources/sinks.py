@@ -53,9 +53,12 @@ def prediction_lines(df: DataFrame, ts="ts", label: str = "label", prediction: s
 
 
 def write_predictions(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Predictions as text lines below `text` and as a table below `table`."""
-    prediction_lines(df).write.mode(mode).text(f"{path}/text")
+    """Predictions as a table below `table` and as text lines below `text`.
+
+    The lines are made from the written table, so the model runs once.
+    """
     df.write.mode(mode).parquet(f"{path}/table")
+    prediction_lines(df.sparkSession.read.schema(df.schema).parquet(f"{path}/table")).write.mode(mode).text(f"{path}/text")
 
 
 def checkpoint_weights(weights: DataFrame, path: str) -> None:

@@ -7,32 +7,38 @@ from ..functions.text import subtitle_fields
 from ..functions.vectors import from_csv
 
 
-def read_csv_vectors(spark: SparkSession, path: str, dtype: str = "double", with_id: bool = False) -> DataFrame:
-    """Comma-joined lines -> file, block, line, values.
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, block, line, value, and the split if the folders name one.
 
-    (file, block, line) is the order of the lines, also over several files and
-    split files: `block` is the start of the file range a task reads and `line`
-    rises inside it. With `with_id` a line is `id<TAB>vector`. An empty line is
-    an empty vector, an empty element an error.
+    (file, block, line) orders the lines, also over several files and split
+    files: `block` is the start of the file range a task reads and `line` rises
+    inside it.
     """
     lines = spark.read.text(path)
-    split = ["split"] if "split" in lines.columns else []
-    if with_id:
-        cut = F.split("value", "\t", 2)
-        return lines.select(F.get(cut, F.lit(0)).cast("long").alias("example_id"),
-                            from_csv(F.get(cut, F.lit(1)), dtype).alias("values"), *split)
     return lines.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-        from_csv("value", dtype).alias("values"), *split)
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"), "value", *[c for c in lines.columns if c == "split"])
+
+
+def read_csv_vectors(spark: SparkSession, path: str, dtype: str = "double", with_id: bool = False) -> DataFrame:
+    """Comma-joined lines -> file, block, line, values; with `with_id` lines `id<TAB>vector` -> example_id, values.
+
+    An empty line is an empty vector, an empty element an error.
+    """
+    lines = _lines(spark, path)
+    split = [c for c in lines.columns if c == "split"]
+    if not with_id:
+        return lines.select("file", "block", "line", from_csv("value", dtype).alias("values"), *split)
+    cut = F.split("value", "\t", 2)
+    return lines.select(F.get(cut, F.lit(0)).cast("long").alias("example_id"),
+                        from_csv(F.get(cut, F.lit(1)), dtype).alias("values"), *split)
 
 
 def read_labelled_csv(spark: SparkSession, path: str, dtype: str = "int") -> DataFrame:
-    """`label-vector|pixels` lines -> target, pixels."""
+    """`label-vector|pixels` lines -> file, block, line, target, pixels."""
     cut = F.split("value", "\\|", 2)
-    return spark.read.text(path).select(from_csv(F.get(cut, F.lit(0)), "double").alias("target"),
-                                        from_csv(F.get(cut, F.lit(1)), dtype).alias("pixels"))
+    return _lines(spark, path).select("file", "block", "line", from_csv(F.get(cut, F.lit(0)), "double").alias("target"),
+                                      from_csv(F.get(cut, F.lit(1)), dtype).alias("pixels"))
 
 
 def read_subtitles(spark: SparkSession, path: str, marker: str = "---Sub-JP----", style: str = "Sub-Jap") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from collections.abc import Callable
 
+import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,8 +47,8 @@ def train_on_batch(spark: SparkSession, batch: DataFrame, batch_id: int, weights
     try:
         rows = restore_weights(spark, weights_path, model["name"])
         state = collect_state(rows)
-    except Exception as e:  # no table yet
-        if "PATH_NOT_FOUND" not in str(e):
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
         state = {}
     if state:
@@ -59,7 +61,6 @@ def train_on_batch(spark: SparkSession, batch: DataFrame, batch_id: int, weights
     laid = lay_out(batch.select("example_id", "pixels", "label"), shards, "example_id")
     trained = train_round(laid, model, trained, optimizer=optimizer, batch=size, rate=lambda step: lr, seed=seed,
                           ident="example_id", limit=limit, ema=ema)
-    import numpy as np
     saved = {**trained.state, "#step": np.array([float(trained.step)])}
     checkpoint_weights(weights_frame(spark, saved, model["name"], batch_id + 1), weights_path)
 

@@ -31,7 +31,7 @@ def matrix(vectors: pa.Array) -> np.ndarray:
     return values.reshape(len(vectors), -1) if len(vectors) else np.zeros((0, 0))
 
 
-def logits_column(spark: SparkSession, model: dict, params: Params, pixels: str = "pixels", batch: int = 100) -> Column:
+def logits_column(spark: SparkSession, model: dict, params: Params, pixels: str = "pixels", batch: int = 32) -> Column:
     """Column of logits; only the pixel column goes to Python, `batch` rows at a time."""
     shared = broadcast_params(spark, params)
 
@@ -49,7 +49,7 @@ def score_dense(df: DataFrame, model: dict, params: Params, pixels: str = "pixel
     return df.withColumn(name, logits_column(df.sparkSession, model, params, pixels, 4096))
 
 
-def score_cnn(df: DataFrame, model: dict, params: Params, pixels: str = "pixels", batch: int = 100,
+def score_cnn(df: DataFrame, model: dict, params: Params, pixels: str = "pixels", batch: int = 32,
               name: str = "logits") -> DataFrame:
     """Logits of a convolutional model."""
     return df.withColumn(name, logits_column(df.sparkSession, model, params, pixels, batch))

@@ -11,7 +11,6 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +22,8 @@ from .layers import Params, apply_gradients, gradients, init_params, softmax_los
 from .scoring import broadcast_params, matrix
 
 CHUNK_VALUES = 4096
-MERGED_SCHEMA = "tensor string, shape array<int>, chunk int, shard int, n_rows long, values array<double>"
+PARTS_SCHEMA = "tensor string, shape array<int>, chunk int, shard int, n_rows long, values array<double>"
+MERGED_SCHEMA = "tensor string, shape array<int>, chunk int, values array<double>"
 METRICS_SCHEMA = "round int, step long, tag string, value double"
 
 
@@ -203,12 +203,40 @@ def _shard_trainer(model, shared, optimizer, batch, rate, seed, round_no, step0,
     return run
 
 
-def _average(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Mean of one weight chunk over the shards, weighted by rows, added in shard order."""
-    pdf = pdf.sort_values("shard")
-    values, n = np.stack(pdf["values"].to_list()).astype(float), pdf["n_rows"].to_numpy(float)
-    merged = values.max(axis=0) if pdf["tensor"].iloc[0] == "#steps" else (values * n[:, None]).sum(axis=0) / n.sum()
-    return pdf.head(1).assign(values=[merged], n_rows=int(n.sum()))
+def _average_chunks(batches):
+    """mapInArrow body: rows sorted by (tensor, chunk, shard) -> one averaged row per (tensor, chunk).
+
+    The mean is weighted by rows and added in shard order, one shard at a time;
+    of the step counts the largest is kept.
+    """
+    key, shape, total, rows, done = None, None, None, 0, []
+
+    def finished():
+        return (*key, shape, total if key[0] == "#steps" else total / rows)
+
+    for batch in batches:
+        names, shapes, chunks, n_rows = (batch.column(c).to_pylist() for c in ("tensor", "shape", "chunk", "n_rows"))
+        values = batch.column("values")
+        for i, name in enumerate(names):
+            x, n = np.asarray(values[i].values).astype(np.float64), n_rows[i]
+            if (name, chunks[i]) != key:
+                if key:
+                    done.append(finished())
+                key, shape, total, rows = (name, chunks[i]), shapes[i], np.zeros(len(x)), 0
+            total = np.maximum(total, x) if name == "#steps" else total + x * n
+            rows += n
+        if len(done) >= 256:
+            yield _merged_batch(done)
+            done = []
+    if key:
+        yield _merged_batch([*done, finished()])
+
+
+def _merged_batch(done) -> pa.RecordBatch:
+    names, chunks, shapes, values = zip(*done)
+    return pa.RecordBatch.from_pydict({
+        "tensor": pa.array(names), "shape": pa.array(shapes, pa.list_(pa.int32())),
+        "chunk": pa.array(chunks, pa.int32()), "values": pa.array(list(values), pa.list_(pa.float64()))})
 
 
 def train_round(laid: DataFrame, model: dict, trained: Trained, *, optimizer: str, batch: int,
@@ -226,10 +254,10 @@ def train_round(laid: DataFrame, model: dict, trained: Trained, *, optimizer: st
                .select(F.col("pixels"), F.col("label").cast("int").alias("label"), "__shard"))
     body = _shard_trainer(model, shared, optimizer, batch, rate, seed, trained.round, trained.step, limit, ema,
                           np.dtype(dtype))
-    parts_schema = MERGED_SCHEMA if np.dtype(dtype) == np.float64 else MERGED_SCHEMA.replace("double", "float")
-    merged = (ordered.mapInArrow(body, parts_schema).groupBy("tensor", "chunk")
-              .applyInPandas(_average, MERGED_SCHEMA))
-    state = collect_state(merged)
+    parts_schema = PARTS_SCHEMA if np.dtype(dtype) == np.float64 else PARTS_SCHEMA.replace("double", "float")
+    merged = (ordered.mapInArrow(body, parts_schema).repartition("tensor", "chunk")
+              .sortWithinPartitions("tensor", "chunk", "shard").mapInArrow(_average_chunks, MERGED_SCHEMA))
+    state = {k: v.astype(dtype) if k[0] != "#" else v for k, v in collect_state(merged).items()}
     shared.unpersist()
     if not state:
         return trained
@@ -284,10 +312,10 @@ def save_each_round(spark: SparkSession, path: str, model: str) -> Callable[[Tra
     return save
 
 
-def resume(spark: SparkSession, path: str, model: str) -> Trained:
+def resume(spark: SparkSession, path: str, model: str, dtype=np.float32) -> Trained:
     """State of the latest complete checkpoint."""
     rows = restore_weights(spark, path, model)
-    state = collect_state(rows)
+    state = {k: v.astype(dtype) for k, v in collect_state(rows).items()}
     if not state:
         raise FileNotFoundError(f"no complete checkpoint of {model} below {path}")
     round_no = int(state.pop("#round")[0])

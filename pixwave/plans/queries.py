@@ -582,7 +582,7 @@ def train_softmax_step(spark, sf_dir):
 @query
 def train_parallel(spark, sf_dir):
     rows = images.rescale_pixels(img8(spark, sf_dir))
-    trained = training.train_parallel(rows, layers.softmax_model(64), "sgd", 50, 3, 4, SEED, lr=0.5)
+    trained = training.train_parallel(rows, layers.softmax_model(64), "sgd", 50, 3, 4, SEED, lr=0.1)
     return training.metrics_frame(spark, trained)
 
 
@@ -607,6 +607,6 @@ def stream_train(spark, sf_dir):
     base = shared_dir(spark, "stream-train")
     images.rescale_pixels(img8(spark, sf_dir)).repartition(2).write.parquet(f"{base}/in")
     learning.stream_train(spark, f"{base}/in", layers.softmax_model(64), None, f"{base}/weights",
-                          checkpoint=f"{base}/state", files_per_trigger=1, size=50, shards=4, lr=0.5)
+                          checkpoint=f"{base}/state", files_per_trigger=1, size=50, shards=4, lr=0.1)
     rows = sinks.restore_weights(spark, f"{base}/weights", "softmax").filter("tensor <> '#step'")
     return rows.select("step", "tensor", "chunk", F.posexplode("values").alias("idx", "value"))

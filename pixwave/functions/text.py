@@ -40,6 +40,16 @@ def clip_name(num, dialogue) -> Column:
     return F.concat(padded, F.lit(" - "), F.replace(col(dialogue), F.lit("\\"), F.lit("")), F.lit(".wav"))
 
 
+def plain_path(path) -> Column:
+    """File path as Spark's metadata column reports it, without percent escapes."""
+    return F.url_decode(F.replace(col(path), F.lit("+"), F.lit("%2B")))
+
+
+def file_stem(path) -> Column:
+    """File name without folder and last extension."""
+    return F.regexp_extract(F.element_at(F.split(col(path), "/"), -1), r"^(.*?)(\.[^.]*)?$", 1)
+
+
 def parent_directory(path) -> Column:
     return F.element_at(F.split(col(path), "/"), -2)
 

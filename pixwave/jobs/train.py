@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pixwave.functions.vectors import class_index
 from pixwave.jobs.prepare import read_back
 from pixwave.operators import images as prep
-from pixwave.operators import layers, pairing, scoring, training
+from pixwave.operators import batching, layers, pairing, scoring, training
 from pixwave.session import build_session
 from pixwave.sources import sinks, text
 
@@ -29,7 +29,7 @@ def arguments(argv=None) -> argparse.Namespace:
     p.add_argument("-o", "--output", default="predictions")
     p.add_argument("-s", "--steps", type=int, default=1000, help="maximum number of steps")
     p.add_argument("-X", "--mode", choices=["train", "inference", "evaluate"], default="train")
-    p.add_argument("--net", choices=["softmax", "mlp", "cifar", "mnist-cnn"], default="cifar")
+    p.add_argument("--net", choices=["softmax", "mlp", "cifar", "mnist-cnn", "audio", "audio-mlp"], default="cifar")
     p.add_argument("--shape", default="32,32,3", help="height, width, depth of the images")
     p.add_argument("--classes", type=int, default=10)
     p.add_argument("--optimizer", choices=["sgd", "adam"], default="adam")
@@ -38,6 +38,7 @@ def arguments(argv=None) -> argparse.Namespace:
     p.add_argument("--seed", type=int, default=0)
     p.add_argument("--distort", action="store_true", help="crop, flip and change the images each epoch")
     p.add_argument("--crop", type=int, default=24)
+    p.add_argument("--bootstrap", action="store_true", help="draw `steps` batches with replacement")
     p.add_argument("--split", default="train")
     p.add_argument("--metrics", help="folder for the metric rows")
     return p.parse_args(argv)
@@ -62,6 +63,10 @@ def network(args) -> dict:
     if args.net in ("softmax", "mlp"):
         build = layers.softmax_model if args.net == "softmax" else layers.mlp_model
         return build(height * width * depth, classes=args.classes)
+    if args.net == "audio":
+        return layers.audio_model(height, width, args.classes)
+    if args.net == "audio-mlp":
+        return layers.audio_mlp_model(height * width * depth, args.classes)
     if args.net == "mnist-cnn":
         return layers.mnist_cnn_model(height, width, args.classes)
     side = (args.crop, args.crop) if args.distort else (height, width)
@@ -72,11 +77,16 @@ def main(argv=None, spark: SparkSession | None = None):
     args = arguments(argv)
     spark = spark or build_session("train")
     rows, model = examples(spark, args), network(args)
+    sound = args.net.startswith("audio")
     if args.mode == "train":
+        epochs = args.epochs
+        if args.bootstrap:
+            drawn = batching.bootstrap_batches(rows, args.batch_size, args.steps, args.seed)
+            rows, epochs = drawn.withColumn("example_id", F.col("step") * args.batch_size + F.col("slot")), 1
         prepare = (lambda df, epoch: prep.distorted_inputs(df, args.seed, epoch, args.crop, args.crop)) \
-            if args.distort else (lambda df, epoch: prep.rescale_pixels(df))
+            if args.distort else (lambda df, epoch: df if sound else prep.rescale_pixels(df))
         trained = training.train_parallel(
-            rows, model, args.optimizer, args.batch_size, args.epochs,
+            rows, model, args.optimizer, args.batch_size, epochs,
             args.shards or spark.sparkContext.defaultParallelism, args.seed,
             [training.save_each_round(spark, args.model, model["name"])],
             lr=args.lr, steps=args.steps, prepare=prepare)
@@ -86,7 +96,10 @@ def main(argv=None, spark: SparkSession | None = None):
             print(f"{datetime.now().isoformat()} round: {round_no} step: {step} {tag}: {value:.6f}")
         return trained
     trained = training.resume(spark, args.model, model["name"])
-    ready = prep.eval_inputs(rows, args.crop, args.crop) if args.distort else prep.rescale_pixels(rows)
+    if args.distort:
+        ready = prep.eval_inputs(rows, args.crop, args.crop)
+    else:
+        ready = rows if sound else prep.rescale_pixels(rows)
     if args.mode == "evaluate":
         out = scoring.evaluate_model(ready, model, trained.params, trained.step).first()
         print(out)

@@ -28,17 +28,27 @@ def list_array(rows: Sequence[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.float64)))
 
 
+def block_array(block: np.ndarray) -> pa.Array:
+    """Arrow list<double> array of equally long rows."""
+    flat = np.ascontiguousarray(block, dtype=np.float64).reshape(len(block), -1)
+    offsets = (np.arange(len(flat) + 1) * flat.shape[1]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.ravel()))
+
+
 def apply_kernel(kernel: Kernel, pixels: pa.Array, shapes: np.ndarray, draws: np.ndarray) -> pa.Array:
     """Run `kernel(images [n,h,w,c], draws [n,k])` once per distinct shape in the batch."""
     values = np.asarray(pixels.flatten()).astype(np.float64)
-    ends = np.cumsum(np.asarray(pixels.value_lengths()))
+    sizes = np.asarray(pixels.value_lengths())
+    wrong = np.flatnonzero(sizes != shapes.prod(axis=1))
+    if len(wrong):
+        raise ValueError(f"pixel count {sizes[wrong[0]]} does not match shape {tuple(shapes[wrong[0]].tolist())}")
+    if (shapes == shapes[0]).all():
+        return block_array(kernel(values.reshape(len(pixels), *shapes[0]), draws))
+    begins = np.cumsum(sizes) - sizes
     out: list[np.ndarray | None] = [None] * len(pixels)
     for shape in np.unique(shapes, axis=0):
         rows = np.flatnonzero((shapes == shape).all(axis=1))
-        size = int(np.prod(shape))
-        if (np.diff(np.concatenate([[0], ends]))[rows] != size).any():
-            raise ValueError(f"pixel count does not match shape {tuple(shape)}")
-        take = (ends[rows] - size)[:, None] + np.arange(size)
+        take = begins[rows][:, None] + np.arange(int(shape.prod()))
         done = kernel(values[take].reshape(len(rows), *shape), draws[rows])
         for row, image in zip(rows, done):
             out[row] = image

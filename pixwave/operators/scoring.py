@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ..functions.vectors import argmax, softmax
-from .images import DOUBLES, list_array
+from ..functions.vectors import argmax, softmax, vector_sum
+from .images import DOUBLES, block_array
 from .layers import Params, forward
 from .metrics import evaluate
 
@@ -38,8 +38,10 @@ def logits_column(spark: SparkSession, model: dict, params: Params, pixels: str
     @arrow_udf(DOUBLES)
     def run(column: pa.Array) -> pa.Array:
         x = matrix(column)
-        return list_array([row for i in range(0, len(x), batch)
-                           for row in forward(model, shared.value, x[i:i + batch])[0]])
+        if not len(x):
+            return pa.array([], pa.list_(pa.float64()))
+        return block_array(np.concatenate([forward(model, shared.value, x[i:i + batch])[0]
+                                           for i in range(0, len(x), batch)]))
 
     return run(pixels)
 
@@ -65,3 +67,41 @@ def evaluate_model(df: DataFrame, model: dict, params: Params, step: int = 0, pi
                    label: str = "label") -> DataFrame:
     """Accuracy, loss, rows and global step of a model on a table, in one pass."""
     return evaluate(score_cnn(df, model, params, pixels), label, "logits", step)
+
+
+def layer_outputs(df: DataFrame, model: dict, params: Params, ident: str = "example_id", pixels: str = "pixels",
+                  batch: int = 32) -> DataFrame:
+    """Activations of every layer: ident, tag, values. Input of the histogram and sparsity operators."""
+    shared = broadcast_params(df.sparkSession, params)
+
+    def run(batches):
+        for rows in batches:
+            x = matrix(rows.column(1))
+            for i in range(0, len(x), batch):
+                outputs = []
+                forward(model, shared.value, x[i:i + batch], outputs=outputs)
+                for tag, values in outputs:
+                    yield pa.RecordBatch.from_arrays(
+                        [rows.column(0).slice(i, batch), pa.array([tag] * len(values)), block_array(values)],
+                        names=[ident, "tag", "values"])
+
+    kind = df.schema[ident].dataType.simpleString()
+    return df.select(ident, pixels).mapInArrow(run, f"`{ident}` {kind}, tag string, values array<double>")
+
+
+def activation_summary(df: DataFrame, model: dict, params: Params, ident: str = "example_id") -> DataFrame:
+    """mean, stddev, min, max and sparsity of the activations of each layer.
+
+    Each row is summarised where it is computed, so single values are never shuffled.
+    """
+    rows = layer_outputs(df, model, params, ident)
+    n = F.size("values").cast("double")
+    sums = rows.select(
+        "tag", n.alias("n"), vector_sum(F.col("values")).alias("s"),
+        vector_sum(F.transform("values", lambda x: x * x)).alias("q"), F.array_min("values").alias("lo"),
+        F.array_max("values").alias("hi"), F.size(F.filter("values", lambda x: x == 0)).alias("z"))
+    total = F.sum("n")
+    mean = F.sum("s") / total
+    return sums.groupBy("tag").agg(
+        mean.alias("mean"), F.sqrt(F.greatest(F.sum("q") / total - mean * mean, F.lit(0.0))).alias("stddev"),
+        F.min("lo").alias("min"), F.max("hi").alias("max"), (F.sum("z") / total).alias("sparsity"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash_key
 from ..sources.sinks import WEIGHTS_SCHEMA, checkpoint_weights, restore_weights
 from .layers import Params, apply_gradients, gradients, init_params, softmax_loss
-from .scoring import broadcast_params, matrix
+from .scoring import broadcast_params, evaluate_model, matrix
 
 CHUNK_VALUES = 4096
 PARTS_SCHEMA = "tensor string, shape array<int>, chunk int, shard int, n_rows long, values array<double>"
@@ -304,6 +304,19 @@ def metrics_frame(spark: SparkSession, trained: Trained) -> DataFrame:
     return spark.createDataFrame(trained.metrics, METRICS_SCHEMA)
 
 
+def weight_values(weights: DataFrame) -> DataFrame:
+    """One row per weight (model, step, tensor, value): input of the summary and histogram operators."""
+    return weights.select("model", "step", "tensor", F.explode("values").alias("value"))
+
+
+def evaluate_each_round(df: DataFrame, model: dict, results: list) -> Callable[[Trained], None]:
+    """Callback that appends (round, step, accuracy, loss) on a table the training does not see."""
+    def run(trained: Trained) -> None:
+        row = evaluate_model(df, model, trained.params, trained.step).first()
+        results.append((trained.round, trained.step, row.accuracy, row.loss))
+    return run
+
+
 def save_each_round(spark: SparkSession, path: str, model: str) -> Callable[[Trained], None]:
     """Callback that checkpoints the weights after each round."""
     def save(trained: Trained) -> None:

@@ -234,6 +234,11 @@ ORACLE: dict[str, str] = {
       SELECT run, bucket, {r6('lo + bucket * ((hi - lo) / 30)')} AS lower, {r6('lo + (bucket + 1) * ((hi - lo) / 30)')} AS upper,
         count(*) AS n FROM c GROUP BY run, lo, hi, bucket""",
     "sparsity": f"WITH {STD} SELECT label, {r6('avg(CASE WHEN v <= 0 THEN 1.0 ELSE 0 END)')} AS sparsity FROM std GROUP BY 1",
+    "activation_summary": f"""WITH {CONV}, {CLASSES}, a AS (
+        SELECT 'conv0' AS tag, v FROM cv UNION ALL SELECT 'pool1', v FROM pl UNION ALL SELECT 'lrn2', v FROM nrm
+        UNION ALL SELECT 'dense3', sum(v * ({WEIGHT})) FROM nrm, cls GROUP BY example_id, j)
+      SELECT tag, {r6('avg(v)')} AS mean, {r6('stddev_pop(v)')} AS stddev, {r6('min(v)')} AS min, {r6('max(v)')} AS max,
+        {r6('avg(CASE WHEN v = 0 THEN 1.0 ELSE 0 END)')} AS sparsity FROM a GROUP BY tag""",
     "validate_examples": f"""WITH {IMG8} SELECT count(*) AS num_rows, count(pixels) AS num_images, count(label) AS num_labels,
       min(len(pixels)) AS min_size, max(len(pixels)) AS max_size, count(*) FILTER (len(pixels) <> 64) AS bad_shape,
       0 AS not_depth_1 FROM img8""",

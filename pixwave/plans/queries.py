@@ -503,6 +503,13 @@ def sparsity(spark, sf_dir):
     return metrics.sparsity(relu, "label", "value").select("label", r6("sparsity").alias("sparsity"))
 
 
+@query
+def activation_summary(spark, sf_dir):
+    model, params = cnn_model()
+    out = scoring.activation_summary(images.rescale_pixels(img8(spark, sf_dir)), model, params)
+    return out.select("tag", *[r6(c).alias(c) for c in ("mean", "stddev", "min", "max", "sparsity")])
+
+
 @query
 def validate_examples(spark, sf_dir):
     return metrics.validate_examples(img8(spark, sf_dir))

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import subtitle_fields
+from ..functions.text import file_stem, plain_path, subtitle_fields
 from ..functions.vectors import from_csv
 
 
@@ -48,7 +48,7 @@ def read_subtitles(spark: SparkSession, path: str, marker: str = "---Sub-JP----"
     file is one row only while it is cut into lines.
     """
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(
-        F.regexp_extract("_metadata.file_name", r"^(.*?)(\.[^.]*)?$", 1).alias("episode"),
+        file_stem(plain_path("_metadata.file_path")).alias("episode"),
         F.split("value", "\r\n|\n").alias("lines"))
     first = F.array_position(F.transform("lines", lambda x: x.contains(marker)), True)
     spoken = F.filter(F.slice("lines", first + 1, F.size("lines")), lambda x: x.contains(style))

@@ -15,7 +15,7 @@ from .files import TARGET_BYTES, filesystem, list_files, pack_files
 # Fixed values of the file format: reversed CRC-32C polynomial and mask constant.
 CRC32C_POLYNOMIAL = 0x82F63B78
 CRC_MASK_DELTA = 0xA282EAD8
-READ_BYTES = 8 << 20
+READ_BYTES = 2 << 20
 
 
 def _crc_table() -> np.ndarray:
@@ -44,15 +44,27 @@ def masked_crcs(messages: list[bytes]) -> np.ndarray:
     return out
 
 
-def encode_varints(values: np.ndarray) -> bytes:
-    """int64 values -> concatenated varints."""
+def varint(value: int) -> bytes:
+    """One non-negative number as a varint."""
+    out = bytearray()
+    while value > 0x7F:
+        out.append(value & 0x7F | 0x80)
+        value >>= 7
+    out.append(value)
+    return bytes(out)
+
+
+def encode_lists(values: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+    """int64 values of several lists, one after the other -> the varints of each list."""
     bits = values.astype(np.int64).view(np.uint64)
-    groups = (bits[:, None] >> (np.arange(10, dtype=np.uint64) * np.uint64(7))) & np.uint64(0x7F)
-    size = np.maximum(1, 10 - np.argmax(groups[:, ::-1] != 0, axis=1))
-    size[(groups == 0).all(axis=1)] = 1
-    place = np.arange(10)
-    more = place < size[:, None] - 1
-    return (groups.astype(np.uint8) | (more * 0x80).astype(np.uint8))[place < size[:, None]].tobytes()
+    width = max(1, -(-int(bits.max(initial=0)).bit_length() // 7))
+    groups = bits[:, None] >> (np.arange(width, dtype=np.uint64) * np.uint64(7))
+    size = np.maximum(1, (groups != 0).sum(axis=1))
+    place = np.arange(width)
+    more = (place < size[:, None] - 1) * np.uint8(0x80)
+    raw = ((groups & np.uint64(0x7F)).astype(np.uint8) | more)[place < size[:, None]].tobytes()
+    ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum(lengths)].tolist()
+    return [raw[i:j] for i, j in zip([0, *ends], ends)]
 
 
 def decode_varints(raw: bytes) -> np.ndarray:
@@ -67,58 +79,83 @@ def decode_varints(raw: bytes) -> np.ndarray:
 
 
 def _field(number: int, payload: bytes) -> bytes:
-    return encode_varints(np.array([number << 3 | 2, len(payload)])) + payload
+    return varint(number << 3 | 2) + varint(len(payload)) + payload
 
 
-def encode_example(lists: dict[str, np.ndarray]) -> bytes:
-    """Example message with one packed int64 list per name."""
+def encode_example(lists: dict[str, bytes]) -> bytes:
+    """Example message with one packed list of varints per name."""
     entries = b"".join(
-        _field(1, _field(1, name.encode()) + _field(2, _field(3, _field(1, encode_varints(values)))))
-        for name, values in lists.items())
+        _field(1, _field(1, name.encode()) + _field(2, _field(3, _field(1, packed))))
+        for name, packed in lists.items())
     return _field(1, entries)
 
 
+def encode_batch(names: list[str], columns: list[pa.Array], values: int = 1 << 18):
+    """Lists of Example messages for an Arrow batch, about `values` list values at a time."""
+    rows = len(columns[0])
+    step = max(1, int(values * max(rows, 1) / max(1, sum(len(c.values) for c in columns))))
+    for at in range(0, rows, step):
+        packed = []
+        for column in columns:
+            part = column.slice(at, step)
+            lengths = np.asarray(part.value_lengths().fill_null(0))
+            packed.append(encode_lists(np.asarray(part.flatten()), lengths))
+        yield [encode_example(dict(zip(names, row))) for row in zip(*packed)]
+
+
+def _varint_at(raw: bytes, at: int) -> tuple[int, int]:
+    """The varint at a place, and the place after it."""
+    byte = raw[at]
+    if byte < 128:
+        return byte, at + 1
+    value, shift = byte & 0x7F, 7
+    while byte > 127:
+        at += 1
+        byte = raw[at]
+        value |= (byte & 0x7F) << shift
+        shift += 7
+    return value, at + 1
+
+
 def _fields(raw: bytes):
     """(number, wire type, payload) of each field of a message."""
     at = 0
-
-    def varint():
-        nonlocal at
-        value = shift = 0
-        while True:
-            byte = raw[at]
-            at += 1
-            value |= (byte & 0x7F) << shift
-            shift += 7
-            if byte < 128:
-                return value
-
     while at < len(raw):
-        key = varint()
+        key, at = _varint_at(raw, at)
         wire = key & 7
         if wire == 0:
-            begin = at
-            varint()
-            yield key >> 3, wire, raw[begin:at]
-            continue
-        size = {1: 8, 5: 4}[wire] if wire in (1, 5) else varint()
-        yield key >> 3, wire, raw[at:at + size]
-        at += size
-
-
-def decode_example(raw: bytes) -> dict[str, np.ndarray]:
-    """int64 lists of an Example message, packed or not."""
+            _, end = _varint_at(raw, at)
+        elif wire == 2:
+            size, at = _varint_at(raw, at)
+            end = at + size
+        else:
+            end = at + {1: 8, 5: 4}[wire]
+        yield key >> 3, wire, raw[at:end]
+        at = end
+
+
+def packed_lists(raw: bytes) -> dict[str, bytes]:
+    """Varints of the int64 lists of an Example message, packed or not."""
     out = {}
     for _, _, features in (f for f in _fields(raw) if f[0] == 1):
         for _, _, entry in _fields(features):
             pair = {number: payload for number, _, payload in _fields(entry)}
             for number, _, int64_list in _fields(pair.get(2, b"")):
                 if number == 3:
-                    values = b"".join(payload for n, _, payload in _fields(int64_list) if n == 1)
-                    out[pair[1].decode()] = decode_varints(values)
+                    out[pair[1].decode()] = b"".join(p for n, _, p in _fields(int64_list) if n == 1)
     return out
 
 
+def decode_column(packed: list[bytes | None]) -> pa.Array:
+    """Varints of one list per row -> list<int64> column; None is a missing list."""
+    sizes = np.array([len(p or b"") for p in packed], dtype=np.int64)
+    raw = b"".join(p or b"" for p in packed)
+    counts = np.concatenate([[0], np.cumsum(np.frombuffer(raw, np.uint8) < 128)])
+    offsets = np.concatenate([[0], counts[np.cumsum(sizes)]]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(decode_varints(raw)),
+                                    mask=pa.array([p is None for p in packed]))
+
+
 class TFRecords(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -151,14 +188,14 @@ class TFRecordReader(DataSourceReader):
         for s in partition.slices:
             record_no = 0
             for messages in _messages(s.path):
-                decoded = [decode_example(m) for m in messages]
+                lists = [packed_lists(m) for m in messages]
                 columns = {
-                    "file_no": pa.array([s.base] * len(decoded), pa.int32()),
-                    "record_no": pa.array(record_no + np.arange(len(decoded), dtype=np.int64)),
+                    "file_no": pa.array([s.base] * len(lists), pa.int32()),
+                    "record_no": pa.array(record_no + np.arange(len(lists), dtype=np.int64)),
                 }
                 for name in self.names:
-                    columns[name] = pa.array([d.get(name) for d in decoded], pa.list_(pa.int64()))
-                record_no += len(decoded)
+                    columns[name] = decode_column([d.get(name) for d in lists])
+                record_no += len(lists)
                 yield pa.RecordBatch.from_pydict(columns)
 
 
@@ -211,17 +248,12 @@ class TFRecordWriter(DataSourceArrowWriter):
         with system.open_output_stream(f"{folder}/{name}") as f:
             for batch in iterator:
                 columns = [batch.column(batch.schema.get_field_index(n)) for n in self.names]
-                messages = []
-                for i in range(batch.num_rows):
-                    messages.append(encode_example({n: np.asarray(c[i].values if c[i].is_valid else [])
-                                                    for n, c in zip(self.names, columns)}))
-                if not messages:
-                    continue
-                sizes = [len(m).to_bytes(8, "little") for m in messages]
-                framed = zip(sizes, masked_crcs(sizes), messages, masked_crcs(messages))
-                f.write(b"".join(s + int(sc).to_bytes(4, "little") + m + int(mc).to_bytes(4, "little")
-                                 for s, sc, m, mc in framed))
-                rows += len(messages)
+                for messages in encode_batch(self.names, columns):
+                    sizes = [len(m).to_bytes(8, "little") for m in messages]
+                    framed = zip(sizes, masked_crcs(sizes), messages, masked_crcs(messages))
+                    f.write(b"".join(s + int(sc).to_bytes(4, "little") + m + int(mc).to_bytes(4, "little")
+                                     for s, sc, m, mc in framed))
+                    rows += len(messages)
         if rows == 0:
             system.delete_file(f"{folder}/{name}")
         return PartFile(name if rows else None)

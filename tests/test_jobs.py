@@ -1,7 +1,9 @@
+import wave
+
 import numpy as np
 import pytest
 
-from pixwave.jobs import prepare, train
+from pixwave.jobs import audio, prepare, train
 from pixwave.sources import sinks
 
 
@@ -58,3 +60,47 @@ def test_distorted_training(spark, dataset, tmp_path):
     assert train.main([*common, "-b", "10", "--shards", "2", "-s", "2"], spark).step == 2
     assert train.main([*common, "-X", "evaluate", "--split", "test"], spark).n == 15
     assert sinks.restore_weights(spark, model, "cifar").first().step == 2
+
+
+def write_wav(path, seconds, fs=400, channels=2, seed=0):
+    samples = np.random.default_rng(seed).integers(-9000, 9000, (int(seconds * fs), channels)).astype("<i2")
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with wave.open(str(path), "wb") as w:
+        w.setnchannels(channels)
+        w.setsampwidth(2)
+        w.setframerate(fs)
+        w.writeframes(samples.tobytes())
+    return samples
+
+
+def test_clips_by_subtitles(spark, tmp_path):
+    samples = write_wav(tmp_path / "wav" / "ep 1.wav", 10)
+    (tmp_path / "subs").mkdir()
+    (tmp_path / "subs" / "ep 1.ass").write_text(
+        "---Sub-JP----\nDialogue: 0,0:00:01.50,0:00:04.00,Sub-Jap,,0,0,0,,a\\Nb\n"
+        "Dialogue: 0,0:00:09.00,0:00:20.00,Sub-Jap,,0,0,0,,end\n")
+    audio.main(["clip", "-i", str(tmp_path / "wav"), "--subtitles", str(tmp_path / "subs"), "-o", str(tmp_path / "out"),
+                "--chunk", "333"], spark)
+    got = {}
+    for r in spark.read.parquet(str(tmp_path / "out")).orderBy("num", "part_no").collect():
+        got.setdefault(r.name, []).extend(r.samples)
+        assert r.episode == "ep 1"
+    assert got == {"0000 - aNb.wav": samples[600:1600, 0].tolist(), "0001 - end.wav": samples[3600:, 0].tolist()}
+
+
+def test_audio_tree_to_trained_classifier(spark, tmp_path):
+    for k, name in enumerate(["anna", "ben", "other"]):
+        for n in range(3):
+            write_wav(tmp_path / "tree" / name / f"{n}.wav", 1.0 + n * 0.7, seed=k * 10 + n)
+    write_wav(tmp_path / "tree" / "anna" / "short.wav", 0.2)
+    out = str(tmp_path / "pieces")
+    audio.main(["pieces", "-i", str(tmp_path / "tree"), "--classes", "ben,anna", "-o", out, "--mintime", "8",
+                "--max-frequency", "200", "--chunk", "111"], spark)
+    rows = spark.read.parquet(out).collect()
+    # frames of 40 samples, 20 apart: 400, 680, 960 samples give 19, 33, 47 frames
+    assert len(rows) == 2 * (3 + 5 + 6) and sorted(r.example_id for r in rows) == list(range(28))
+    assert {(r.label, "anna" in r.file) for r in rows} == {(0, False), (1, True)}
+    assert all(len(r.pixels) == 20 * 8 and (r.height, r.width) == (20, 8) for r in rows)
+    trained = train.main(["-i", out, "-f", "parquet", "-m", str(tmp_path / "m"), "--net", "audio-mlp", "--shape", "20,8,1",
+                          "--classes", "2", "--bootstrap", "-b", "5", "-s", "6", "--shards", "2"], spark)
+    assert 1 <= trained.step <= 6

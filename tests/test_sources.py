@@ -123,13 +123,17 @@ def test_tfrecord_checksums(spark, tmp_path):
         tfrecord.read_tfrecords(spark, str(tmp_path / "t")).collect()
 
 
-def test_varints_unpacked_lists():
+def test_varints_and_unpacked_lists():
     values = np.array([0, 1, 127, 128, 300, 2**63 - 1, -1, -2**63])
-    assert np.array_equal(tfrecord.decode_varints(tfrecord.encode_varints(values)), values)
-    unpacked = b"".join(bytes([1 << 3]) + tfrecord.encode_varints(np.array([v])) for v in (5, 700))
+    lists = tfrecord.encode_lists(values, np.array([3, 0, 4, 1]))
+    assert [len(x) for x in lists] == [3, 0, 2 + 2 + 9 + 10, 10]
+    assert np.array_equal(tfrecord.decode_varints(b"".join(lists)), values)
+    assert tfrecord.decode_column([*lists, None]).to_pylist() == [[0, 1, 127], [], values[3:7].tolist(), [-2**63], None]
+    assert tfrecord.varint(300) == tfrecord.encode_lists(np.array([300]), np.array([1]))[0]
+    unpacked = b"".join(bytes([1 << 3]) + tfrecord.varint(v) for v in (5, 700))
     field = tfrecord._field
     message = field(1, field(1, field(1, b"label") + field(2, field(3, unpacked))))
-    assert tfrecord.decode_example(message)["label"].tolist() == [5, 700]
+    assert tfrecord.decode_varints(tfrecord.packed_lists(message)["label"]).tolist() == [5, 700]
 
 
 def test_csv_vectors(spark, tmp_path):

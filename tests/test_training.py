@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pixwave.operators import images, layers, scoring, training
+from pixwave.operators import images, layers, metrics, scoring, training
 from pixwave.plans.fixtures import img8
 from pixwave.sources import sinks
 from pixwave.streaming import learning
@@ -89,6 +89,18 @@ def test_cnn_round_with_distortion(spark, rows):
     assert scored.filter(F.size("logits") == 10).count() == rows.count()
 
 
+def test_evaluation_and_weight_telemetry(spark, rows):
+    seen = []
+    trained = training.train_parallel(rows, MLP, "adam", 50, 2, 2, lr=0.01,
+                                      callbacks=[training.evaluate_each_round(rows.limit(100), MLP, seen)])
+    assert [r[0] for r in seen] == [1, 2] and seen[-1][1] == trained.step
+    values = training.weight_values(training.weights_frame(spark, trained.params, "mlp", trained.step))
+    stats = {r.tensor: r for r in metrics.tensor_summary(values, "tensor", "value").collect()}
+    assert abs(stats["w0"].stddev - trained.params["w0"].std()) < 1e-6
+    assert metrics.histogram(values, "tensor", "value", 10).agg(F.sum("n")).first()[0] == sum(
+        v.size for v in trained.params.values())
+
+
 def test_rounds_shuffle_weights_only(spark, rows):
     laid = training.lay_out(rows.select("example_id", "pixels", "label"), 4, "example_id")
     ordered = laid.sortWithinPartitions("__shard", "example_id")

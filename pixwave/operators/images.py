@@ -18,6 +18,8 @@ from ..functions.hashing import hash_uniform
 from ..functions.vectors import one_hot_vector
 
 DOUBLES = T.ArrayType(T.DoubleType())
+# Pixels a kernel works on at a time: an Arrow batch is limited by rows, not by bytes.
+KERNEL_VALUES = 4 << 20
 Kernel = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
@@ -61,10 +63,13 @@ def image_column(kernel: Kernel, draws: Sequence[Column] = ()) -> Column:
     @arrow_udf(DOUBLES)
     def run(pixels: pa.Array, shape: pa.Array, uniform: pa.Array) -> pa.Array:
         shapes = np.stack([np.asarray(shape.field(i)) for i in range(3)], axis=1)
-        u = np.asarray(uniform.flatten(), dtype=np.float64).reshape(len(pixels), -1) if len(pixels) else None
         if not len(pixels):
             return pa.array([], pa.list_(pa.float64()))
-        return apply_kernel(kernel, pixels, shapes, u)
+        u = np.asarray(uniform.flatten(), dtype=np.float64).reshape(len(pixels), -1)
+        rows = max(1, KERNEL_VALUES // max(1, int(shapes.prod(axis=1).max())))
+        return pa.concat_arrays([
+            apply_kernel(kernel, pixels.slice(i, rows), shapes[i:i + rows], u[i:i + rows])
+            for i in range(0, len(pixels), rows)])
 
     packed = F.array(*draws) if draws else F.array().cast("array<double>")
     return run("pixels", F.struct("height", "width", "depth"), packed)

@@ -37,11 +37,10 @@ def logits_column(spark: SparkSession, model: dict, params: Params, pixels: str
 
     @arrow_udf(DOUBLES)
     def run(column: pa.Array) -> pa.Array:
-        x = matrix(column)
-        if not len(x):
+        if not len(column):
             return pa.array([], pa.list_(pa.float64()))
-        return block_array(np.concatenate([forward(model, shared.value, x[i:i + batch])[0]
-                                           for i in range(0, len(x), batch)]))
+        return block_array(np.concatenate([forward(model, shared.value, matrix(column.slice(i, batch)))[0]
+                                           for i in range(0, len(column), batch)]))
 
     return run(pixels)
 
@@ -76,10 +75,9 @@ def layer_outputs(df: DataFrame, model: dict, params: Params, ident: str = "exam
 
     def run(batches):
         for rows in batches:
-            x = matrix(rows.column(1))
-            for i in range(0, len(x), batch):
+            for i in range(0, rows.num_rows, batch):
                 outputs = []
-                forward(model, shared.value, x[i:i + batch], outputs=outputs)
+                forward(model, shared.value, matrix(rows.column(1).slice(i, batch)), outputs=outputs)
                 for tag, values in outputs:
                     yield pa.RecordBatch.from_arrays(
                         [rows.column(0).slice(i, batch), pa.array([tag] * len(values)), block_array(values)],

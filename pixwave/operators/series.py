@@ -114,11 +114,11 @@ def previous_value(df: DataFrame, keys: list[str], step: str, value: str, name:
 def throughput(df: DataFrame, run: str = "run", step: str = "step", ts: str = "ts", batch: int = 128,
                cell: int = 1 << 16) -> DataFrame:
     """Add `sec_per_batch` and `examples_per_sec` from the time since the step before."""
-    def micros(c):
-        return F.unix_micros(F.col(c).cast("timestamp"))
-
     timed = previous_value(df, [run], step, ts, "__before", cell)
-    seconds = (micros(ts) - micros("__before")) / F.lit(1e6)
+    gap = F.col(ts) - F.col("__before")
+    # parts of the interval, so that the session time zone plays no role
+    seconds = sum((F.extract(F.lit(part), gap) * size for part, size in
+                   (("DAY", 86400), ("HOUR", 3600), ("MINUTE", 60), ("SECOND", 1))), F.lit(0)).cast("double")
     return (timed.withColumn("sec_per_batch", seconds)
             .withColumn("examples_per_sec", F.when(seconds > 0, batch / seconds)).drop("__before"))
 

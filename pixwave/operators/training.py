@@ -63,10 +63,8 @@ def softmax_gradient_sums(df: DataFrame, params: Params, pixels: str = "pixels",
     def run(batches):
         w, b = shared.value["w0"], shared.value["b0"]
         total, count = np.zeros((len(w) + 1, len(b))), 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y = matrix(batch.column(0)), np.asarray(batch.column(1))
+        for part in (b.slice(i, 2048) for b in batches for i in range(0, b.num_rows, 2048)):
+            x, y = matrix(part.column(0)), np.asarray(part.column(1))
             _, p = softmax_loss(x @ w + b, y)
             p[np.arange(len(y)), y] -= 1
             total[:-1] += x.T @ p

@@ -81,12 +81,16 @@ def dense_model(inputs: int = 64) -> tuple[dict, dict]:
 
 
 def cnn_model() -> tuple[dict, dict]:
-    """conv 3x3 to 2 channels, pool 2/2, normalisation over neighbouring channels, softmax layer."""
+    """conv 3x3 to 2 channels, pool 2/2, normalisation over neighbouring channels, softmax layer.
+
+    Kernel and bias are eighths, so that on whole-number pixels the sums are
+    exact and a sum of zero is zero in any order of addition.
+    """
     model = dict(name="small-cnn", shape=(8, 8, 1), layers=[
         layers.conv(3, 3, 2), layers.pool(2, 2), layers.lrn(1, 1.0, 0.5, 0.75), layers.dense(10, "identity")])
     i, j, o = np.arange(3)[:, None, None], np.arange(3)[None, :, None], np.arange(2)[None, None, :]
-    kernel = ((7 * i + 5 * j + 3 * o) % 11 - 5) / 5
-    return model, {"w0": kernel[:, :, None, :], "b0": np.array([0.0, 0.1]),
+    kernel = ((7 * i + 5 * j + 3 * o) % 11 - 5) / 8
+    return model, {"w0": kernel[:, :, None, :], "b0": np.array([0.0, 0.125]),
                    "w3": formula_weights(32), "b3": np.zeros(10)}
 
 

@@ -105,10 +105,10 @@ def distorted(epoch: str) -> str:
 
 EPOCHS2 = IMG8 + ", ep AS (SELECT *, range::INT AS epoch FROM img8, range(2))"
 
-CONV = PX + """, k AS (SELECT a.range AS ky, b.range AS kx, o.range AS o, (((7 * a.range + 5 * b.range + 3 * o.range) % 11) - 5) / 5.0::DOUBLE AS w
+CONV = PX + """, k AS (SELECT a.range AS ky, b.range AS kx, o.range AS o, (((7 * a.range + 5 * b.range + 3 * o.range) % 11) - 5) / 8.0::DOUBLE AS w
     FROM range(3) a, range(3) b, range(2) o),
-  grid AS (SELECT example_id, i // 8 AS y, i % 8 AS x, v / 255.0::DOUBLE AS v FROM px),
-  cv AS (SELECT example_id, y - ky + 1 AS y, x - kx + 1 AS x, o, greatest(0, sum(v * w) + 0.1::DOUBLE * o) AS v
+  grid AS (SELECT example_id, i // 8 AS y, i % 8 AS x, v FROM px),
+  cv AS (SELECT example_id, y - ky + 1 AS y, x - kx + 1 AS x, o, greatest(0, sum(v * w) + 0.125::DOUBLE * o) AS v
     FROM grid, k WHERE y - ky + 1 BETWEEN 0 AND 7 AND x - kx + 1 BETWEEN 0 AND 7 GROUP BY 1, 2, 3, 4),
   pl AS (SELECT example_id, y // 2 AS y, x // 2 AS x, o, max(v) AS v FROM cv GROUP BY 1, 2, 3, 4),
   nrm AS (SELECT example_id, (y * 4 + x) * 2 + o AS i,
@@ -233,12 +233,12 @@ ORACLE: dict[str, str] = {
         FROM log JOIN b USING (run))
       SELECT run, bucket, {r6('lo + bucket * ((hi - lo) / 30)')} AS lower, {r6('lo + (bucket + 1) * ((hi - lo) / 30)')} AS upper,
         count(*) AS n FROM c GROUP BY run, lo, hi, bucket""",
-    "sparsity": f"WITH {STD} SELECT label, {r6('avg(CASE WHEN v <= 0 THEN 1.0 ELSE 0 END)')} AS sparsity FROM std GROUP BY 1",
+    "sparsity": f"WITH {STD} SELECT label, {r6('avg(CASE WHEN v <= 0 THEN 1.0::DOUBLE ELSE 0 END)', 12)} AS sparsity FROM std GROUP BY 1",
     "activation_summary": f"""WITH {CONV}, {CLASSES}, a AS (
         SELECT 'conv0' AS tag, v FROM cv UNION ALL SELECT 'pool1', v FROM pl UNION ALL SELECT 'lrn2', v FROM nrm
         UNION ALL SELECT 'dense3', sum(v * ({WEIGHT})) FROM nrm, cls GROUP BY example_id, j)
       SELECT tag, {r6('avg(v)')} AS mean, {r6('stddev_pop(v)')} AS stddev, {r6('min(v)')} AS min, {r6('max(v)')} AS max,
-        {r6('avg(CASE WHEN v = 0 THEN 1.0 ELSE 0 END)')} AS sparsity FROM a GROUP BY tag""",
+        {r6('avg(CASE WHEN v = 0 THEN 1.0::DOUBLE ELSE 0 END)', 12)} AS sparsity FROM a GROUP BY tag""",
     "validate_examples": f"""WITH {IMG8} SELECT count(*) AS num_rows, count(pixels) AS num_images, count(label) AS num_labels,
       min(len(pixels)) AS min_size, max(len(pixels)) AS max_size, count(*) FILTER (len(pixels) <> 64) AS bad_shape,
       0 AS not_depth_1 FROM img8""",

@@ -500,14 +500,15 @@ def histogram(spark, sf_dir):
 @query
 def sparsity(spark, sf_dir):
     relu = pixel_rows(spark, sf_dir).withColumn("value", F.greatest("value", F.lit(0.0)))
-    return metrics.sparsity(relu, "label", "value").select("label", r6("sparsity").alias("sparsity"))
+    return metrics.sparsity(relu, "label", "value").select("label", r6("sparsity", 12).alias("sparsity"))
 
 
 @query
 def activation_summary(spark, sf_dir):
     model, params = cnn_model()
-    out = scoring.activation_summary(images.rescale_pixels(img8(spark, sf_dir)), model, params)
-    return out.select("tag", *[r6(c).alias(c) for c in ("mean", "stddev", "min", "max", "sparsity")])
+    out = scoring.activation_summary(img8(spark, sf_dir), model, params)
+    return out.select("tag", *[r6(c).alias(c) for c in ("mean", "stddev", "min", "max")],
+                      r6("sparsity", 12).alias("sparsity"))
 
 
 @query
@@ -564,7 +565,7 @@ def score_dense(spark, sf_dir):
 @query
 def score_cnn(spark, sf_dir):
     model, params = cnn_model()
-    scored = scoring.score_cnn(images.rescale_pixels(img8(spark, sf_dir)), model, params)
+    scored = scoring.score_cnn(img8(spark, sf_dir), model, params)
     return cells(scored, ["example_id"], "logits")
 
 

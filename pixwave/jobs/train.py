@@ -34,6 +34,9 @@ def arguments(argv=None) -> argparse.Namespace:
     p.add_argument("--classes", type=int, default=10)
     p.add_argument("--optimizer", choices=["sgd", "adam"], default="adam")
     p.add_argument("--lr", type=float, default=1e-4)
+    p.add_argument("--decay-steps", type=int, help="steps after which the rate falls by --decay-factor")
+    p.add_argument("--decay-factor", type=float, default=0.1)
+    p.add_argument("--ema", type=float, help="decay of the moving averages of the weights; they are then used to predict")
     p.add_argument("--shards", type=int, default=None, help="workers per round; the default is the cluster's parallelism")
     p.add_argument("--seed", type=int, default=0)
     p.add_argument("--distort", action="store_true", help="crop, flip and change the images each epoch")
@@ -85,26 +88,28 @@ def main(argv=None, spark: SparkSession | None = None):
             rows, epochs = drawn.withColumn("example_id", F.col("step") * args.batch_size + F.col("slot")), 1
         prepare = (lambda df, epoch: prep.distorted_inputs(df, args.seed, epoch, args.crop, args.crop)) \
             if args.distort else (lambda df, epoch: df if sound else prep.rescale_pixels(df))
+        lr = training.decayed_rate(args.lr, args.decay_factor, args.decay_steps) if args.decay_steps else args.lr
+        callbacks = [training.save_each_round(spark, args.model, model["name"])]
+        if args.metrics:
+            callbacks.append(training.metrics_each_round(spark, args.metrics, model["name"]))
         trained = training.train_parallel(
             rows, model, args.optimizer, args.batch_size, epochs,
             args.shards or spark.sparkContext.defaultParallelism, args.seed,
-            [training.save_each_round(spark, args.model, model["name"])],
-            lr=args.lr, steps=args.steps, prepare=prepare)
-        if args.metrics and trained.metrics:
-            sinks.write_metrics(training.metrics_frame(spark, trained), args.metrics, model["name"])
+            callbacks, lr=lr, steps=args.steps, ema=args.ema, prepare=prepare)
         for round_no, step, tag, value in trained.metrics:
             print(f"{datetime.now().isoformat()} round: {round_no} step: {step} {tag}: {value:.6f}")
         return trained
     trained = training.resume(spark, args.model, model["name"])
+    params = trained.averaged if args.ema else trained.params
     if args.distort:
         ready = prep.eval_inputs(rows, args.crop, args.crop)
     else:
         ready = rows if sound else prep.rescale_pixels(rows)
     if args.mode == "evaluate":
-        out = scoring.evaluate_model(ready, model, trained.params, trained.step).first()
+        out = scoring.evaluate_model(ready, model, params, trained.step).first()
         print(out)
         return out
-    predicted = scoring.predict_batches(ready, model, trained.params)
+    predicted = scoring.predict_batches(ready, model, params)
     stamped = predicted.withColumn("ts", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
     sinks.write_predictions(stamped.select("example_id", "ts", "label", "prediction"), args.output)
     return None

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_key
-from ..sources.sinks import WEIGHTS_SCHEMA, checkpoint_weights, restore_weights
+from ..sources.sinks import WEIGHTS_SCHEMA, checkpoint_weights, restore_weights, write_metrics
 from .layers import Params, apply_gradients, gradients, init_params, softmax_loss
 from .scoring import broadcast_params, evaluate_model, matrix
 
@@ -142,61 +142,75 @@ def lay_out(df: DataFrame, shards: int, ident: str) -> DataFrame:
 
 
 def mini_batches(batches, size: int):
-    """(pixels, labels, shard) blocks of `size` rows from a stream of Arrow batches; the last may be short."""
-    held, count = [], 0
+    """(pixels, labels, shard) blocks of `size` rows of one shard; the last of a shard may be short."""
+    held, count, current = [], 0, None
     for batch in batches:
+        shards = np.asarray(batch.column("__shard"))
         at = 0
         while at < batch.num_rows:
-            part = batch.slice(at, min(size - count, batch.num_rows - at))
+            if held and shards[at] != current:
+                yield (*_block(held), current)
+                held, count = [], 0
+            current = int(shards[at])
+            same = int(np.argmax(shards[at:] != current)) or batch.num_rows - at
+            part = batch.slice(at, min(size - count, same))
             held.append(part)
             at, count = at + part.num_rows, count + part.num_rows
             if count == size:
-                yield _block(held)
+                yield (*_block(held), current)
                 held, count = [], 0
     if held:
-        yield _block(held)
+        yield (*_block(held), current)
 
 
 def _block(parts):
     return (np.concatenate([matrix(p.column("pixels")) for p in parts]),
-            np.concatenate([np.asarray(p.column("label")) for p in parts]),
-            parts[0].column("__shard")[0].as_py())
+            np.concatenate([np.asarray(p.column("label")) for p in parts]))
 
 
 def _shard_trainer(model, shared, optimizer, batch, rate, seed, round_no, step0, limit, ema, dtype):
-    """mapInArrow body: mini-batch steps on one shard, then its weights as chunks."""
+    """mapInArrow body: mini-batch steps on each shard of a task, then the shard's weights as chunks.
+
+    Rows come sorted by shard. A task holds one shard, but nothing relies on it.
+    """
     value_type = pa.from_numpy_dtype(dtype)
 
-    def run(batches):
-        state = {k: v.copy() for k, v in shared.value.items()}
-        rows = steps = 0
-        loss_sum = hit_sum = 0.0
-        shard = None
-        for x, y, shard in mini_batches(batches, batch):
-            if limit is not None and steps >= limit:
-                continue
-            rng = np.random.Generator(np.random.Philox(key=[seed, (round_no << 32) | shard], counter=steps << 64))
-            params = {k: v for k, v in state.items() if "/" not in k}
-            loss, hits, grads = gradients(model, params, x, y, rng)
-            step = step0 + steps
-            apply_gradients(state, grads, optimizer, rate(step), step)
-            if ema:
-                d = min(ema, (1 + step) / (10 + step))
-                for k in params:
-                    state[f"ema/{k}"] += (1 - d) * (state[k] - state[f"ema/{k}"])
-            loss_sum, hit_sum = loss_sum + loss * len(y), hit_sum + hits * len(y)
-            rows, steps = rows + len(y), steps + 1
-        if not rows:
-            return
-        pieces = weight_chunks({**state, "#metrics": np.array([loss_sum / rows, hit_sum / rows]),
-                                "#steps": np.array([float(steps)])})
+    def learn(state, x, y, shard, done):
+        rng = np.random.Generator(np.random.Philox(key=[seed, (round_no << 32) | shard], counter=done << 64))
+        params = {k: v for k, v in state.items() if "/" not in k}
+        loss, hits, grads = gradients(model, params, x, y, rng)
+        step = step0 + done
+        apply_gradients(state, grads, optimizer, rate(step), step)
+        if ema:
+            d = min(ema, (1 + step) / (10 + step))
+            for k in params:
+                state[f"ema/{k}"] += (1 - d) * (state[k] - state[f"ema/{k}"])
+        return loss * len(y), hits * len(y)
+
+    def emit(state, shard, rows, steps, sums):
+        pieces = weight_chunks({**state, "#metrics": sums / rows, "#steps": np.array([float(steps)])})
         for i in range(0, len(pieces), 256):
             names, shapes, chunks, values = zip(*pieces[i:i + 256])
             n = len(names)
             yield pa.RecordBatch.from_pydict({
                 "tensor": pa.array(names), "shape": pa.array(shapes, pa.list_(pa.int32())),
                 "chunk": pa.array(chunks, pa.int32()), "shard": pa.array([shard] * n, pa.int32()),
-                "n_rows": pa.array([rows] * n, pa.int64()), "values": pa.array([v.astype(dtype) for v in values], pa.list_(value_type))})
+                "n_rows": pa.array([rows] * n, pa.int64()),
+                "values": pa.array([v.astype(dtype) for v in values], pa.list_(value_type))})
+
+    def run(batches):
+        current, state, rows, steps, sums = None, None, 0, 0, np.zeros(2)
+        for x, y, shard in mini_batches(batches, batch):
+            if shard != current:
+                if rows:
+                    yield from emit(state, current, rows, steps, sums)
+                current, state = shard, {k: v.copy() for k, v in shared.value.items()}
+                rows, steps, sums = 0, 0, np.zeros(2)
+            if limit is None or steps < limit:
+                sums += learn(state, x, y, shard, steps)
+                rows, steps = rows + len(y), steps + 1
+        if rows:
+            yield from emit(state, current, rows, steps, sums)
 
     return run
 
@@ -315,6 +329,14 @@ def evaluate_each_round(df: DataFrame, model: dict, results: list) -> Callable[[
     return run
 
 
+def metrics_each_round(spark: SparkSession, path: str, run: str) -> Callable[[Trained], None]:
+    """Callback that appends the metric rows of the round just done."""
+    def write(trained: Trained) -> None:
+        latest = [m for m in trained.metrics if m[0] == trained.round - 1]
+        write_metrics(spark.createDataFrame(latest, METRICS_SCHEMA), path, run)
+    return write
+
+
 def save_each_round(spark: SparkSession, path: str, model: str) -> Callable[[Trained], None]:
     """Callback that checkpoints the weights after each round."""
     def save(trained: Trained) -> None:

@@ -18,6 +18,15 @@ def pixel_lists(pixels: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(pixels.astype(np.int16).ravel()))
 
 
+def pick_fields(schema: str, columns) -> str:
+    """DDL of the chosen columns, in the order of `schema`."""
+    fields = schema.split(", ")
+    unknown = set(columns) - {f.split()[0] for f in fields}
+    if unknown:
+        raise ValueError(f"no such columns: {sorted(unknown)}")
+    return ", ".join(f for f in fields if f.split()[0] in columns)
+
+
 def _ints(n: int, value) -> pa.Array:
     return pa.array(np.broadcast_to(np.asarray(value), n).astype(np.int32))
 
@@ -33,11 +42,12 @@ class FixedRecords(DataSource):
         return RECORD_SCHEMA
 
     def reader(self, schema) -> "FixedRecordReader":
-        return FixedRecordReader(self.options)
+        return FixedRecordReader(self.options, schema.names)
 
 
 class FixedRecordReader(DataSourceReader):
-    def __init__(self, options):
+    def __init__(self, options, columns):
+        self.columns = columns
         self.path = options["path"]
         self.shape = tuple(int(x) for x in options.get("shape", "3,32,32").split(","))
         self.label_bytes = int(options.get("label_bytes", "1"))
@@ -65,25 +75,30 @@ class FixedRecordReader(DataSourceReader):
                     first = s.first + done
                     raw = f.read_at(n * self.record, first * self.record)
                     rows = np.frombuffer(raw, np.uint8).reshape(n, self.record)
-                    label = rows[:, self.label_bytes - 1]
-                    image = rows[:, self.label_bytes:].reshape(n, depth, height, width).transpose(0, 2, 3, 1)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(s.base + done + np.arange(n, dtype=np.int64)),
-                        pa.array([f"{s.path}:{first + i}" for i in range(n)]),
-                        _ints(n, height), _ints(n, width), _ints(n, depth), _ints(n, label),
-                        pixel_lists(image.reshape(n, -1)),
-                    ], names=["example_id", "key", "height", "width", "depth", "label", "pixels"])
+                    make = {
+                        "example_id": lambda: pa.array(s.base + done + np.arange(n, dtype=np.int64)),
+                        "key": lambda: pa.array([f"{s.path}:{first + i}" for i in range(n)]),
+                        "height": lambda: _ints(n, height), "width": lambda: _ints(n, width),
+                        "depth": lambda: _ints(n, depth),
+                        "label": lambda: _ints(n, rows[:, self.label_bytes - 1]),
+                        "pixels": lambda: pixel_lists(
+                            rows[:, self.label_bytes:].reshape(n, depth, height, width)
+                            .transpose(0, 2, 3, 1).reshape(n, -1)),
+                    }
+                    yield pa.RecordBatch.from_pydict({c: make[c]() for c in self.columns})
 
 
 def read_fixed_records(spark: SparkSession, path: str, shape=(3, 32, 32), label_bytes: int = 1,
-                       target_bytes: int = TARGET_BYTES) -> DataFrame:
+                       target_bytes: int = TARGET_BYTES, columns=None) -> DataFrame:
     """Fixed-length records over one or many files -> dense `example_id`, key, label, [H,W,D] pixels.
 
     Tasks read record-aligned byte ranges of about `target_bytes`. With several
-    label bytes the last one is the class.
+    label bytes the last one is the class. `columns` leaves out the others: labels
+    alone need no decoding of pixels.
     """
     spark.dataSource.register(FixedRecords)
-    return (spark.read.format("pixwave_records").option("shape", ",".join(map(str, shape)))
+    wanted = pick_fields(RECORD_SCHEMA, columns) if columns else RECORD_SCHEMA
+    return (spark.read.schema(wanted).format("pixwave_records").option("shape", ",".join(map(str, shape)))
             .option("label_bytes", label_bytes).option("target_bytes", target_bytes).load(path))
 
 

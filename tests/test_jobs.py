@@ -57,8 +57,8 @@ def test_distorted_training(spark, dataset, tmp_path):
     out, model = str(tmp_path / "examples"), str(tmp_path / "model")
     prepare.main(["-i", dataset, "-o", out, "-f", "parquet", "--shape", "3,8,8"], spark)
     common = ["-i", out, "-f", "parquet", "-m", model, "--net", "cifar", "--shape", "8,8,3", "--distort", "--crop", "6"]
-    assert train.main([*common, "-b", "10", "--shards", "2", "-s", "2"], spark).step == 2
-    assert train.main([*common, "-X", "evaluate", "--split", "test"], spark).n == 15
+    assert train.main([*common, "-b", "10", "--shards", "2", "-s", "2", "--decay-steps", "1", "--ema", "0.9"], spark).step == 2
+    assert train.main([*common, "-X", "evaluate", "--split", "test", "--ema", "0.9"], spark).n == 15
     assert sinks.restore_weights(spark, model, "cifar").first().step == 2
 
 

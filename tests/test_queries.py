@@ -41,3 +41,11 @@ def test_plan(spark, sf_dir, name):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert empty_window_inputs(plan) == []
+
+
+def test_plan_check_sees_a_window_over_a_table(spark, sf_dir):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    whole = events.select(F.row_number().over(Window.orderBy("event_id")))
+    assert empty_window_inputs(whole._jdf.queryExecution().executedPlan().toString())

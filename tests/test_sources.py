@@ -26,6 +26,16 @@ def test_fixed_records_over_files_and_ranges(spark, tmp_path, rng):
     assert np.array_equal([r.pixels for r in rows], want) and rows[61].key.endswith("b.bin:1")
 
 
+def test_fixed_records_columns(spark, tmp_path, rng):
+    data = rng.integers(0, 256, (20, 13), dtype=np.uint8)
+    data.tofile(tmp_path / "a.bin")
+    df = records.read_fixed_records(spark, str(tmp_path), (3, 2, 2), columns=["label", "example_id"])
+    assert df.columns == ["example_id", "label"]
+    assert [r.label for r in df.orderBy("example_id").collect()] == data[:, 0].tolist()
+    with pytest.raises(ValueError):
+        records.read_fixed_records(spark, str(tmp_path), (3, 2, 2), columns=["other"])
+
+
 def test_fixed_records_errors(spark, tmp_path):
     with pytest.raises(Exception, match="FileNotFound|nothing"):
         records.read_fixed_records(spark, str(tmp_path / "nothing")).count()

@@ -109,6 +109,14 @@ def test_rounds_shuffle_weights_only(spark, rows):
     assert laid.withColumn("p", F.spark_partition_id()).filter("p <> __shard").count() == 0
 
 
+def test_tasks_may_hold_several_shards(spark, rows, monkeypatch):
+    options = dict(optimizer="sgd", batch=20, rounds=2, shards=4, seed=3, lr=0.1)
+    apart = training.train_parallel(rows, MLP, **options)
+    lay_out = training.lay_out
+    monkeypatch.setattr(training, "lay_out", lambda *a: lay_out(*a).coalesce(2))
+    assert same(apart.state, training.train_parallel(rows, MLP, **options).state)
+
+
 def test_model_size_is_checked(spark, monkeypatch):
     monkeypatch.setattr(scoring, "MAX_MODEL_BYTES", 100)
     with pytest.raises(ValueError, match="does not fit"):

@@ -106,9 +106,8 @@ def byte_string(values: Column) -> Column:
     return F.unhex(F.array_join(F.transform(values, lambda v: F.lpad(F.hex(v.cast("long")), 2, "0")), ""))
 
 
-def write_blocks(df: DataFrame, folder: str, payload: str, suffix: str = ".bin", header=None,
-                 name: str | None = None, block: int = 4096) -> str:
-    """Write the binary column `payload` to files of at most `block` rows (of one row each, with `name`).
+def write_blocks(df: DataFrame, folder: str, payload: str, suffix: str = ".bin", header=None, block: int = 4096) -> str:
+    """Write the binary column `payload` to files of at most `block` rows, each after `header(rows)`.
 
     A task writes the same names with the same bytes when it is run again; the
     names sort in partition order.
@@ -116,24 +115,21 @@ def write_blocks(df: DataFrame, folder: str, payload: str, suffix: str = ".bin",
     def run(batches):
         system, inner = filesystem(folder)
         system.create_dir(inner, recursive=True)
-        part = TaskContext.get().partitionId()
-        files = 0
+        part, files, held = TaskContext.get().partitionId(), 0, []
 
-        def save(file, content):
-            with system.open_output_stream(f"{inner}/{file}{suffix}") as f:
-                f.write(content)
+        def save(rows):
+            with system.open_output_stream(f"{inner}/part-{part:06d}-{files:06d}{suffix}") as f:
+                f.write((header(len(rows)) if header else b"") + b"".join(rows))
 
         for batch in batches:
-            raw = batch.column(0).to_pylist()
-            if name:
-                for key, content in zip(batch.column(1).to_pylist(), raw):
-                    save(key, content)
-                continue
-            for at in range(0, len(raw), block):
-                rows = raw[at:at + block]
-                save(f"part-{part:06d}-{files:06d}", (header(len(rows)) if header else b"") + b"".join(rows))
-                files += 1
+            held += batch.column(0).to_pylist()
+            while len(held) >= block:
+                save(held[:block])
+                held, files = held[block:], files + 1
+        if held:
+            save(held)
+            files += 1
         yield pa.RecordBatch.from_pydict({"files": pa.array([files], pa.int64())})
 
-    df.select(payload, *([name] if name else [])).mapInArrow(run, "files long").agg(F.sum("files")).first()
+    df.select(payload).mapInArrow(run, "files long").agg(F.sum("files")).first()
     return folder

@@ -80,6 +80,10 @@ def pieces(has_tail: str) -> str:
   SELECT file, piece_no, 5 AS n_freq, 6 AS n_time, bin * 6 + place AS idx, {r6('v')} AS value FROM piece"""
 
 
+CLIPS = f"""{SIG}, {SUBS}, iv AS (SELECT episode, line_no AS num, dialogue, {sample('start_tc', 2)} AS s,
+  {sample('end_tc', 2)} AS e FROM subs),
+  clip AS (SELECT iv.*, value FROM iv LEFT JOIN sig ON sig.file = iv.episode AND pos >= s AND pos < e)"""
+
 # ---- images ----------------------------------------------------------------------
 
 def pixel_query(cte: str, keys: str, source: str, idx: str = "i", value: str = "v") -> str:
@@ -123,9 +127,7 @@ ORACLE: dict[str, str] = {
     "read_csv_vectors": pixel_query(PX, "example_id, label", "px"),
     "read_labelled_csv": f"WITH {PX} SELECT label, i AS idx, sum(v)::BIGINT AS total, count(*) AS n FROM px GROUP BY 1, 2",
     "read_tfrecords": pixel_query(PX, "example_id, label", "px"),
-    "read_wav_chunks": f"""WITH {SIG}, c AS (SELECT *, pos // 32 AS part FROM sig)
-      SELECT file, part, 160 AS fs, count(*) OVER (PARTITION BY file, part) AS n_frames, pos - part * 32 AS pos,
-        floor(value * 10)::INT AS sample FROM c""",
+    "read_wav_chunks": "SELECT event_id, 160 AS fs, floor(value * 10)::INT AS sample FROM events",
     "read_subtitles": f"WITH {SUBS} SELECT * FROM subs",
     "label_from_path": """SELECT conv_id, turn, '/audio/' || role || '/' || conv_id || '.wav' AS path,
       list_position(['assistant', 'user'], role) - 1 AS label FROM conversations WHERE role IN ('assistant', 'user')""",
@@ -138,9 +140,9 @@ ORACLE: dict[str, str] = {
     "write_tfrecords": f"WITH {PX} SELECT label, i AS idx, sum(v)::BIGINT AS total, count(*) AS n FROM px GROUP BY 1, 2",
     "write_examples": pixel_query(PX + ", sp AS (SELECT *, CASE WHEN dense_rank() OVER (ORDER BY example_id) <= 120 "
                                   "THEN 'validation' ELSE 'train' END AS split FROM px)", "example_id, label, split", "sp"),
-    "write_clips": f"""WITH {SUBS} SELECT episode, line_no, CASE WHEN length(line_no::VARCHAR) < 4
-      THEN lpad(line_no::VARCHAR, 4, '0') ELSE line_no::VARCHAR END || ' - ' || replace(dialogue, '\\', '') || '.wav' AS name
-      FROM subs""",
+    "write_clips": f"""WITH {CLIPS} SELECT episode, num, CASE WHEN length(num::VARCHAR) < 4
+      THEN lpad(num::VARCHAR, 4, '0') ELSE num::VARCHAR END || ' - ' || replace(any_value(dialogue), '\\', '') || '.wav' AS name,
+      count(value) AS n FROM clip GROUP BY 1, 2""",
     "write_predictions": f"""WITH {PRED} SELECT '2024-01-01T00:00:00 Label: ' || label || ', Prediction: ' || prediction AS line,
       count(*) AS n FROM lse GROUP BY 1""",
     "checkpoint_weights": f"""WITH {PX} SELECT 2::BIGINT AS step, 'class' || label AS tensor, i AS idx, {r6('avg(v) * 2')} AS value
@@ -188,10 +190,8 @@ ORACLE: dict[str, str] = {
     "global_index": """SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS idx,
       count(*) OVER () AS n_rows, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS idx_in_customer FROM orders""",
     "hash_uniform": f"SELECT event_id, {r6(uniform('2', 'test', 'event_id'), 9)} AS u FROM events",
-    "extract_clips": f"""WITH {SIG}, {SUBS}, iv AS (SELECT episode AS file, line_no AS num, {sample('start_tc', 2)} AS s,
-      {sample('end_tc', 2)} AS e FROM subs)
-      SELECT iv.file, num, count(value) AS n, {r6('sum(value)')} AS total, min(value) AS lowest, max(value) AS highest
-      FROM iv LEFT JOIN sig ON sig.file = iv.file AND pos >= s AND pos < e GROUP BY 1, 2""",
+    "extract_clips": f"""WITH {CLIPS} SELECT episode, num, count(value) AS n, {r6('sum(value)')} AS total,
+      min(value) AS lowest, max(value) AS highest FROM clip GROUP BY 1, 2""",
     "union_batches": f"""WITH {PX} SELECT 0 AS batch, example_id, label, i AS idx, v AS value FROM px
       UNION ALL SELECT 1, example_id, 0, i, v FROM px""",
     "split_validation": f"""WITH {IMG8} SELECT example_id, CASE WHEN row_number() OVER (ORDER BY example_id) <= 120

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_uniform as draw
-from ..functions.text import clip_name
 from ..functions.vectors import argmax
 from ..operators import audio, batching, images, index, layers, metrics, pairing, scoring, series, training
 from ..session import shared_dir
@@ -99,30 +98,34 @@ def read_tfrecords(spark, sf_dir):
     return cells(flat, ["example_id", "label"], "image")
 
 
+def wav_header(channels: int):
+    """Header of a 16-bit PCM file as a function of its number of frames."""
+    def header(frames: int) -> bytes:
+        size = frames * channels * 2
+        return (b"RIFF" + struct.pack("<I", size + 36) + b"WAVEfmt "
+                + struct.pack("<IHHIIHH", 16, 1, channels, FS, FS * channels * 2, channels * 2, 16)
+                + b"data" + struct.pack("<I", size))
+    return header
+
+
 @query
 def read_wav_chunks(spark, sf_dir):
-    rows = sig_chunks(spark, sf_dir)
-    size = F.size("samples") * 2
-
-    def little(value, width: int) -> Column:
-        """Integer as `width` little-endian bytes in hex."""
-        digits = F.lpad(F.hex(value), 16, "0")
-        return F.concat(*[F.substring(digits, 15 - 2 * k, 2) for k in range(width)])
-
-    data = F.array_join(F.transform("samples", lambda v: little(F.floor(v * 10), 2)), "")
-    head = F.concat(F.hex(F.lit("RIFF")), little(size + 36, 4), F.hex(F.lit("WAVEfmt ")), little(F.lit(16), 4),
-                    little(F.lit(1), 2), little(F.lit(1), 2), little(F.col("fs"), 4), little(F.col("fs") * 2, 4),
-                    little(F.lit(2), 2), little(F.lit(16), 2), F.hex(F.lit("data")), little(size, 4))
-    files = rows.select(F.unhex(F.concat(head, data)).alias("raw"),
-                        F.concat_ws("-", "file", "chunk_no").alias("name"))
-    path = write_blocks(files, shared_dir(spark, "wav"), "raw", ".wav", name="name")
-    back = wav.read_wav_chunks(spark, path, chunk=20, channel=0)
-    part = F.regexp_extract("file", r"(\d+)-(\d+)\.wav$", 1).cast("long")
-    number = F.regexp_extract("file", r"(\d+)-(\d+)\.wav$", 2).cast("long")
-    return (back.select(part.alias("file"), number.alias("part"), "fs", "n_frames", "start_sample",
-                        F.posexplode("samples").alias("i", "s"))
-            .select("file", "part", "fs", "n_frames", (F.col("start_sample") + F.col("i")).alias("pos"),
-                    F.col("s").cast("int").alias("sample")))
+    """Events as four-channel audio: the value, and the event number in three parts of 15 bits."""
+    def little(value: Column) -> Column:
+        digits = F.lpad(F.hex(value.cast("long")), 4, "0")
+        return F.concat(F.substring(digits, 3, 2), F.substring(digits, 1, 2))
+
+    events, number = table(spark, sf_dir, "events"), F.col("event_id")
+    frame = F.concat(little(F.floor(F.col("value") * 10)),
+                     *[little(F.shiftright(number, 15 * k) % 32768) for k in range(3)])
+    path = write_blocks(events.select(F.unhex(frame).alias("frame")), shared_dir(spark, "wav"), "frame", ".wav",
+                        wav_header(4), 1 << 16)
+    chunks = wav.read_wav_chunks(spark, path, chunk=1000)
+    channel = [F.max(F.when(F.col("channel") == k, F.col("samples"))).alias(f"c{k}") for k in range(4)]
+    together = chunks.groupBy("file", "chunk_no", "fs").agg(*channel)
+    frames = together.select("fs", F.explode(F.arrays_zip(*[f"c{k}" for k in range(4)])).alias("f"))
+    number = sum((F.col(f"f.c{k + 1}").cast("long") * (1 << 15 * k) for k in range(3)), F.lit(0))
+    return frames.select(number.alias("event_id"), "fs", F.col("f.c0").cast("int").alias("sample"))
 
 
 @query
@@ -175,10 +178,19 @@ def write_examples(spark, sf_dir):
     return cells(spark.read.parquet(path), ["example_id", "label", "split"])
 
 
+def clip_spans(spark, sf_dir) -> DataFrame:
+    """Subtitle intervals at two samples a second, so that files end inside and before some of them."""
+    lines = text.parse_subtitle_lines(subtitle_lines(spark, sf_dir))
+    return audio.timecode_to_sample(lines, 2).select(
+        "episode", F.col("line_no").alias("num"), "dialogue", "start_sample", "end_sample")
+
+
 @query
 def write_clips(spark, sf_dir):
-    lines = text.parse_subtitle_lines(subtitle_lines(spark, sf_dir))
-    return lines.select("episode", "line_no", clip_name("line_no", "dialogue").alias("name"))
+    path = shared_dir(spark, "clips")
+    sinks.write_clips(audio.extract_clips(clip_spans(spark, sf_dir), sig_chunks(spark, sf_dir), 32, "episode"), path)
+    back = spark.read.parquet(path)
+    return back.groupBy("episode", "num", "name").agg(F.sum(F.size("samples")).cast("long").alias("n"))
 
 
 @query
@@ -360,13 +372,10 @@ def global_index(spark, sf_dir):
 
 @query
 def extract_clips(spark, sf_dir):
-    lines = text.parse_subtitle_lines(subtitle_lines(spark, sf_dir))
-    spans = audio.timecode_to_sample(lines, 2).select(
-        F.col("episode").alias("file"), F.col("line_no").alias("num"), "dialogue", "start_sample", "end_sample")
-    clips = audio.extract_clips(spans, sig_chunks(spark, sf_dir), chunk=32)
-    return (clips.select("file", "num", "part_no", F.posexplode_outer("samples").alias("i", "sample"))
-            .groupBy("file", "num").agg(F.count("sample").alias("n"), r6(F.sum("sample")).alias("total"),
-                                        F.min("sample").alias("lowest"), F.max("sample").alias("highest")))
+    clips = audio.extract_clips(clip_spans(spark, sf_dir), sig_chunks(spark, sf_dir), 32, "episode")
+    return (clips.select("episode", "num", F.posexplode_outer("samples").alias("i", "sample"))
+            .groupBy("episode", "num").agg(F.count("sample").alias("n"), r6(F.sum("sample")).alias("total"),
+                                           F.min("sample").alias("lowest"), F.max("sample").alias("highest")))
 
 
 @query

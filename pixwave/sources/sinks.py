@@ -43,9 +43,17 @@ def write_examples(df: DataFrame, path: str, partitions: int = 10, mode: str = "
     (writer.partitionBy("split") if "split" in df.columns else writer).parquet(path)
 
 
-def write_clips(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Clip rows as Parquet, one folder per episode."""
-    df.write.mode(mode).partitionBy("episode").parquet(path)
+def write_clips(df: DataFrame, path: str, mode: str = "errorifexists", folders: bool = False) -> None:
+    """Clip parts as Parquet, in the order of episode, number and part.
+
+    The order lets a reader of one episode skip the other files, with any number
+    of episodes; a large episode takes several files. `folders` writes one folder
+    per episode instead, for a moderate number of them.
+    """
+    order = ["episode", "num", "part_no"]
+    sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    writer = sorted_rows.write.mode(mode)
+    (writer.partitionBy("episode") if folders else writer).parquet(path)
 
 
 def prediction_lines(df: DataFrame, ts="ts", label: str = "label", prediction: str = "prediction") -> DataFrame:

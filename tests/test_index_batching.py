@@ -111,3 +111,28 @@ def test_explode_batches_checks_lengths(spark):
 def test_uniform_draws(spark):
     u = [r.u for r in spark.range(2000).select(hash_uniform(0, 0, "t", "id").alias("u")).collect()]
     assert 0 <= min(u) and max(u) < 1 and abs(sum(u) / 2000 - 0.5) < 0.03
+
+
+def test_small_tables_are_broadcast_and_large_ones_joined(spark):
+    from pixwave.session import broadcast_if_small
+    keys = spark.range(100).select(F.col("id").alias("k"))
+    data = spark.range(1000).select((F.col("id") % 100).alias("k"))
+    small, large = broadcast_if_small(keys, 100), broadcast_if_small(keys, 99)
+    assert "ResolvedHint (strategy=broadcast)" in data.join(small, "k")._jdf.queryExecution().optimizedPlan().toString() \
+        or "rightHint=(strategy=broadcast)" in data.join(small, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in data.join(large, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert data.join(small, "k").count() == data.join(large, "k").count() == 1000
+
+
+def test_scratch_goes_to_the_folder_the_cluster_names():
+    from types import SimpleNamespace
+
+    from pixwave.session import shared_dir
+
+    def session(folder, master):
+        context = SimpleNamespace(master=master, getConf=lambda: {}, getCheckpointDir=lambda: None)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: folder or default))
+
+    assert shared_dir(session("hdfs:///shared/", "yarn"), "x").startswith("hdfs:///shared/x-")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(session(None, "yarn"), "x")

@@ -14,8 +14,8 @@ from ..sources.files import filesystem
 SEED = 7
 # Sample rate, piece length and highest frequency of the audio made from `events`.
 FS, MINTIME, MAX_FREQUENCY = 160, 6, 50
-# Samples per chunk: below the length of a file, so that frames and clips cross chunk borders.
-CHUNK = 32
+# Samples per chunk row of that audio.
+CHUNK = 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -12,7 +12,7 @@ from ..operators import audio, batching, images, index, layers, metrics, pairing
 from ..session import shared_dir
 from ..sources import records, sinks, text, tfrecord, wav
 from ..streaming import learning
-from .fixtures import (FS, MAX_FREQUENCY, MINTIME, SEED, byte_string, cnn_model, dense_model, img8, pred, sig,
+from .fixtures import (CHUNK, FS, MAX_FREQUENCY, MINTIME, SEED, byte_string, cnn_model, dense_model, img8, pred, sig,
                        sig_chunks, subtitle_lines, table, train_log, write_blocks)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def cells(df: DataFrame, keys: list[str], array: str = "pixels", digits: int = 6
     return df.select(*keys, F.posexplode(array).alias("idx", "value")).select(*keys, "idx", value.alias("value"))
 
 
+def workers(spark: SparkSession) -> int:
+    """Cores of the cluster: the number of shards, part files or files per micro-batch."""
+    return spark.sparkContext.defaultParallelism
+
+
 def ordered(df: DataFrame) -> DataFrame:
     return df.repartitionByRange("example_id").sortWithinPartitions("example_id")
 
@@ -174,7 +179,7 @@ def write_tfrecords(spark, sf_dir):
 @query
 def write_examples(spark, sf_dir):
     path = shared_dir(spark, "examples")
-    sinks.write_examples(pairing.split_validation(img8(spark, sf_dir), 120), path, 4)
+    sinks.write_examples(pairing.split_validation(img8(spark, sf_dir), 120), path, workers(spark))
     return cells(spark.read.parquet(path), ["example_id", "label", "split"])
 
 
@@ -188,7 +193,7 @@ def clip_spans(spark, sf_dir) -> DataFrame:
 @query
 def write_clips(spark, sf_dir):
     path = shared_dir(spark, "clips")
-    sinks.write_clips(audio.extract_clips(clip_spans(spark, sf_dir), sig_chunks(spark, sf_dir), 32, "episode"), path)
+    sinks.write_clips(audio.extract_clips(clip_spans(spark, sf_dir), sig_chunks(spark, sf_dir), CHUNK, "episode"), path)
     back = spark.read.parquet(path)
     return back.groupBy("episode", "num", "name").agg(F.sum(F.size("samples")).cast("long").alias("n"))
 
@@ -372,7 +377,7 @@ def global_index(spark, sf_dir):
 
 @query
 def extract_clips(spark, sf_dir):
-    clips = audio.extract_clips(clip_spans(spark, sf_dir), sig_chunks(spark, sf_dir), 32, "episode")
+    clips = audio.extract_clips(clip_spans(spark, sf_dir), sig_chunks(spark, sf_dir), CHUNK, "episode")
     return (clips.select("episode", "num", F.posexplode_outer("samples").alias("i", "sample"))
             .groupBy("episode", "num").agg(F.count("sample").alias("n"), r6(F.sum("sample")).alias("total"),
                                            F.min("sample").alias("lowest"), F.max("sample").alias("highest")))
@@ -599,7 +604,7 @@ def train_softmax_step(spark, sf_dir):
 @query
 def train_parallel(spark, sf_dir):
     rows = images.rescale_pixels(img8(spark, sf_dir))
-    trained = training.train_parallel(rows, layers.softmax_model(64), "sgd", 50, 3, 4, SEED, lr=0.1)
+    trained = training.train_parallel(rows, layers.softmax_model(64), "sgd", 50, 3, workers(spark), SEED, lr=0.1)
     return training.metrics_frame(spark, trained)
 
 
@@ -613,17 +618,18 @@ def train_mlp_baseline(spark, sf_dir):
 def stream_score(spark, sf_dir):
     model, params = dense_model()
     base = shared_dir(spark, "stream")
-    images.standardize_image(img8(spark, sf_dir)).repartition(4).write.parquet(f"{base}/in")
+    images.standardize_image(img8(spark, sf_dir)).repartition(2 * workers(spark)).write.parquet(f"{base}/in")
     learning.stream_score(spark, f"{base}/in", f"{base}/out", model, params, checkpoint=f"{base}/state",
-                          files_per_trigger=2)
+                          files_per_trigger=workers(spark))
     return _predictions(spark.read.parquet(f"{base}/out"))
 
 
 @query
 def stream_train(spark, sf_dir):
     base = shared_dir(spark, "stream-train")
-    images.rescale_pixels(img8(spark, sf_dir)).repartition(2).write.parquet(f"{base}/in")
+    images.rescale_pixels(img8(spark, sf_dir)).repartition(2 * workers(spark)).write.parquet(f"{base}/in")
     learning.stream_train(spark, f"{base}/in", layers.softmax_model(64), None, f"{base}/weights",
-                          checkpoint=f"{base}/state", files_per_trigger=1, size=50, shards=4, lr=0.1)
+                          checkpoint=f"{base}/state", files_per_trigger=workers(spark), size=50,
+                          shards=workers(spark), lr=0.1)
     rows = sinks.restore_weights(spark, f"{base}/weights", "softmax").filter("tensor <> '#step'")
     return rows.select("step", "tensor", "chunk", F.posexplode("values").alias("idx", "value"))

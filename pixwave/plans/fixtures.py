@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.vectors import argmax
 from ..operators import audio, images, layers, scoring
 from ..operators.index import global_index
-from ..sources.files import filesystem
+from ..sources.files import filesystem, qualified
 
 SEED = 7
 # Sample rate, piece length and highest frequency of the audio made from `events`.
@@ -112,6 +112,8 @@ def write_blocks(df: DataFrame, folder: str, payload: str, suffix: str = ".bin",
     A task writes the same names with the same bytes when it is run again; the
     names sort in partition order.
     """
+    folder = qualified(df.sparkSession, folder)
+
     def run(batches):
         system, inner = filesystem(folder)
         system.create_dir(inner, recursive=True)

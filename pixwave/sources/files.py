@@ -1,17 +1,31 @@
 """File listing and record-aligned read ranges shared by the binary sources."""
 
+import os
 from dataclasses import dataclass
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import InputPartition
 
 TARGET_BYTES = 128 << 20
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """`path` with the file system Spark itself would use for it."""
+    if "://" in path or path.startswith("file:/"):
+        return path
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+    if default.startswith("file:"):
+        return os.path.abspath(path)
+    return f"{default.rstrip('/')}/{path.lstrip('/')}"
+
+
 def filesystem(path: str) -> tuple[fs.FileSystem, str]:
     """File system and inner path of a local path or of any URI Arrow knows (hdfs, s3, gs, file)."""
     if path.startswith("file:/") and not path.startswith("file://"):
         path = "file://" + path[len("file:"):]
+    if path.startswith(("s3a://", "s3n://")):
+        path = "s3" + path[3:]
     if "://" in path:
         return fs.FileSystem.from_uri(path)
     return fs.LocalFileSystem(), path

@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
-from .files import TARGET_BYTES, Slice, Slices, filesystem, list_files, pack
+from .files import TARGET_BYTES, Slice, Slices, filesystem, list_files, pack, qualified
 
 RECORD_SCHEMA = "example_id long, key string, height int, width int, depth int, label int, pixels array<short>"
 BATCH_BYTES = 4 << 20
@@ -99,7 +99,8 @@ def read_fixed_records(spark: SparkSession, path: str, shape=(3, 32, 32), label_
     spark.dataSource.register(FixedRecords)
     wanted = pick_fields(RECORD_SCHEMA, columns) if columns else RECORD_SCHEMA
     return (spark.read.schema(wanted).format("pixwave_records").option("shape", ",".join(map(str, shape)))
-            .option("label_bytes", label_bytes).option("target_bytes", target_bytes).load(path))
+            .option("label_bytes", label_bytes).option("target_bytes", target_bytes)
+            .load(qualified(spark, path)))
 
 
 # ---- IDX -----------------------------------------------------------------
@@ -219,9 +220,10 @@ def read_idx(spark: SparkSession, images_path: str, labels_path: str | None = No
     task per file, spread afterwards.
     """
     spark.dataSource.register(IdxFiles)
+    images_path = qualified(spark, images_path)
     reader = spark.read.format("pixwave_idx").option("target_bytes", target_bytes)
     if labels_path:
-        reader = reader.option("labels", labels_path)
+        reader = reader.option("labels", qualified(spark, labels_path))
     df = reader.load(images_path)
     zipped = any(p.endswith(".gz") for p, _ in list_files(images_path))
     return df.repartition("example_id") if zipped else df

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, WriterCommitMessage
 
-from .files import TARGET_BYTES, filesystem, list_files, pack_files
+from .files import TARGET_BYTES, filesystem, list_files, pack_files, qualified
 
 # Fixed values of the file format: reversed CRC-32C polynomial and mask constant.
 CRC32C_POLYNOMIAL = 0x82F63B78
@@ -284,11 +284,12 @@ def read_tfrecords(spark: SparkSession, path: str, fields=("image", "label"),
     """TFRecord files -> file_no, record_no and one array<long> column per field."""
     spark.dataSource.register(TFRecords)
     return (spark.read.format("pixwave_tfrecord").option("fields", ",".join(fields))
-            .option("target_bytes", target_bytes).load(path))
+            .option("target_bytes", target_bytes).load(qualified(spark, path)))
 
 
 def write_tfrecords(df: DataFrame, path: str, fields=("image", "label"), mode: str = "append") -> None:
     """Write the array columns `fields` as Example messages, one part file per task."""
     df.sparkSession.dataSource.register(TFRecords)
     lists = df.select(*[df[f].cast("array<long>").alias(f) for f in fields])
-    (lists.write.format("pixwave_tfrecord").option("fields", ",".join(fields)).mode(mode).save(path))
+    (lists.write.format("pixwave_tfrecord").option("fields", ",".join(fields)).mode(mode)
+     .save(qualified(df.sparkSession, path)))

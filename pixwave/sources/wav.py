@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
-from .files import TARGET_BYTES, Slice, filesystem, list_files, pack
+from .files import TARGET_BYTES, Slice, filesystem, list_files, pack, qualified
 
 WAV_SCHEMA = ("file string, fs int, channel int, n_frames long, chunk_no long, start_sample long, "
               "samples array<short>")
@@ -88,4 +88,4 @@ def read_wav_chunks(spark: SparkSession, path: str, chunk: int = 65536, channel:
     reader = spark.read.format("pixwave_wav").option("chunk", chunk).option("target_bytes", target_bytes)
     if channel is not None:
         reader = reader.option("channel", channel)
-    return reader.load(path)
+    return reader.load(qualified(spark, path))

@@ -207,3 +207,16 @@ def test_pack_groups_small_and_cuts_large():
     tasks = files.pack([files.Slice("a", 0, 3, 0), files.Slice("b", 0, 10, 3)], 1, 5)
     assert [[(s.path, s.first, s.count, s.base) for s in t.slices] for t in tasks] == [
         [("a", 0, 3, 0), ("b", 0, 2, 3)], [("b", 2, 5, 5)], [("b", 7, 3, 10)]]
+
+
+def test_paths_follow_the_default_file_system(spark):
+    from types import SimpleNamespace
+
+    def session(default):
+        conf = SimpleNamespace(get=lambda key: default)
+        return SimpleNamespace(sparkContext=SimpleNamespace(_jsc=SimpleNamespace(hadoopConfiguration=lambda: conf)))
+
+    assert files.qualified(session("hdfs://nn:8020/"), "/a/b") == "hdfs://nn:8020/a/b"
+    assert files.qualified(session("hdfs://nn:8020"), "s3a://x/y") == "s3a://x/y"
+    assert files.qualified(spark, "/a/b") == "/a/b"
+    assert files.filesystem("file:/tmp/x")[1] == "/tmp/x"

@@ -29,9 +29,13 @@ def r6(value, digits: int = 6) -> Column:
 
 
 def cells(df: DataFrame, keys: list[str], array: str = "pixels", digits: int = 6) -> DataFrame:
-    """One row per array element, rounded."""
+    """One row per array element, rounded.
+
+    The outer form: the plain one adds a filter on the array, and with it a second run of the
+    Arrow function that makes the array. No array here is empty.
+    """
     value = r6(F.col("value").cast("double"), digits)
-    return df.select(*keys, F.posexplode(array).alias("idx", "value")).select(*keys, "idx", value.alias("value"))
+    return df.select(*keys, F.posexplode_outer(array).alias("idx", "value")).select(*keys, "idx", value.alias("value"))
 
 
 def workers(spark: SparkSession) -> int:
@@ -496,7 +500,7 @@ def total_loss(spark, sf_dir):
 
 def pixel_rows(spark, sf_dir) -> DataFrame:
     standard = images.standardize_image(img8(spark, sf_dir))
-    return standard.select("label", F.explode("pixels").alias("value"))
+    return standard.select("label", F.explode_outer("pixels").alias("value"))
 
 
 @query

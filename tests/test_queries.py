@@ -49,3 +49,10 @@ def test_plan_check_sees_a_window_over_a_table(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     whole = events.select(F.row_number().over(Window.orderBy("event_id")))
     assert empty_window_inputs(whole._jdf.queryExecution().executedPlan().toString())
+
+
+@pytest.mark.parametrize("name", ["distorted_inputs", "eval_inputs", "score_cnn", "predict_batches", "evaluate_model",
+                                  "tensor_summary", "softmax_probs"])
+def test_one_python_pass(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "Exchange hashpartitioning" not in plan.split("ArrowEvalPython")[1]

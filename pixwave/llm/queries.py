@@ -1,9 +1,10 @@
 """The registered queries of this subpackage and their SQL."""
 
-from . import substring_dedup
+from . import simhash_dedup, substring_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_query,
+    "op2_simhash_dedup": simhash_dedup.op2_query,
 }
 
 ORACLE: dict[str, str] = {}

@@ -1,10 +1,11 @@
 """The registered queries of this subpackage and their SQL."""
 
-from . import simhash_dedup, substring_dedup
+from . import simhash_dedup, substring_dedup, token_counts
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_query,
     "op2_simhash_dedup": simhash_dedup.op2_query,
+    "op10_token_counts": token_counts.op10_query,
 }
 
 ORACLE: dict[str, str] = {}

@@ -1,11 +1,14 @@
 """The registered queries of this subpackage and their SQL."""
 
-from . import simhash_dedup, substring_dedup, token_counts
+from . import mixture, simhash_dedup, substring_dedup, token_counts
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_query,
     "op2_simhash_dedup": simhash_dedup.op2_query,
+    "op7_mix_sources": mixture.op7_query,
     "op10_token_counts": token_counts.op10_query,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_mix_sources": mixture.mix_sql(),
+}

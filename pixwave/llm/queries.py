@@ -1,14 +1,17 @@
 """The registered queries of this subpackage and their SQL."""
 
-from . import mixture, simhash_dedup, substring_dedup, token_counts
+from . import chat_format, mixture, quality_crf, simhash_dedup, substring_dedup, token_counts
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_query,
     "op2_simhash_dedup": simhash_dedup.op2_query,
+    "op4_quality_crf": quality_crf.op4_query,
+    "op5_chat_format": chat_format.op5_query,
     "op7_mix_sources": mixture.op7_query,
     "op10_token_counts": token_counts.op10_query,
 }
 
 ORACLE: dict[str, str] = {
+    "op5_chat_format": chat_format.OP5_SQL,
     "op7_mix_sources": mixture.mix_sql(),
 }

@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL."""
 
-from . import ann, chat_format, decontaminate, license_scan, mixture, quality_crf, simhash_dedup, substring_dedup, token_counts
+from . import ann, chat_format, decontaminate, license_scan, mixture, quality_crf, simhash_dedup, substring_dedup, token_counts, url_filter
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_decontaminate": decontaminate.op6_query,
     "op7_mix_sources": mixture.op7_query,
     "op8_license_scan": license_scan.op8_query,
+    "op9_url_filter": url_filter.op9_query,
     "op10_token_counts": token_counts.op10_query,
 }
 
@@ -18,4 +19,5 @@ ORACLE: dict[str, str] = {
     "op5_chat_format": chat_format.OP5_SQL,
     "op7_mix_sources": mixture.mix_sql(),
     "op8_license_scan": license_scan.OP8_SQL,
+    "op9_url_filter": url_filter.OP9_SQL,
 }

@@ -218,8 +218,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", ident: str
         return F.coalesce(F.concat(F.lit("i"), F.col(c).cast("string")), F.lit("null"))
 
     bad = contaminated(docs, benchmark, text, ident, **options).select(key(ident).alias("__i"), F.col("text_md5").alias("__m")).distinct()
-    marked = docs.withColumns({"__i": key(ident), "__m": F.coalesce(F.md5(text), F.lit(""))})
-    return marked.join(bad, ["__i", "__m"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    marked = docs.select(key(ident).alias("__i"), F.coalesce(F.md5(text), F.lit("")).alias("__m"), row)
+    return marked.join(bad, ["__i", "__m"], "left_anti").select("__row.*")
 
 
 def op6_query(spark, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import words as W
-from .blocks import (ASKED, bucket_rows, default_buckets, from_ipc, per_block, places_of, repeated, saved, texts_of,
+from .blocks import (ASKED, BLOCK_BYTES, bucket_rows, default_buckets, from_ipc, per_block, places_of, repeated, saved, texts_of,
                      to_ipc, write_blocks)
 
 ANCHOR, COPY, WINDOW = 0, 1, 2
@@ -124,7 +124,9 @@ def _cut(text: bytes, gone: np.ndarray) -> tuple[bytes, int]:
 
 
 def substring_dedup(docs: DataFrame, text: str = "text", *, length: int = 35, period: int = 21,
-                    cover: Sequence[int] = (3, 6, 7, 12, 14), buckets: int | None = None, keep_text: bool = True) -> DataFrame:
+                    cover: Sequence[int] = (3, 6, 7, 12, 14),
+                    buckets: int | None = None, keep_text: bool = True,
+                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Remove each word covered by a window of `length` words that also starts anywhere else.
 
     Windows are judged on the input. Words are runs of bytes other than space and 0x09-0x0D, compared unchanged.
@@ -203,7 +205,7 @@ def substring_dedup(docs: DataFrame, text: str = "text", *, length: int = 35, pe
                 ] + [pa.array([k[0] for k in kept], pa.binary()).cast(pa.string())] * keep_text
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
-    stored = write_blocks(docs, text, store, "block long, payload binary", "substring-dedup")
+    stored = write_blocks(docs, text, store, "block long, payload binary", "substring-dedup", block_bytes)
     first = saved(per_block(repeated(stored.mapInArrow(ask_anchors, ASKED), KEYS.get)), "substring-anchors")
     joined = stored.join(first.withColumnRenamed("found", "copies"), "block", "left")
     second = per_block(repeated(joined.mapInArrow(ask_windows, ASKED), KEYS.get))

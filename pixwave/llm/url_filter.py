@@ -77,11 +77,12 @@ def judged(captures: DataFrame, entries: DataFrame, url: str = "url", at: str =
     until = captures.agg(F.max(at)).first()[0]
     deepest = entries.agg(F.max(F.size(F.split(entry_key(F.col("pattern")), "/")) - 1)).first()[0] or 0
     capture = F.when(F.col(url).isNotNull() & F.col(at).isNotNull(), F.md5(F.concat_ws("|", F.unix_micros(at).cast("string"), F.col(url))))
-    rows = captures.withColumn("__capture", capture)
+    kept = F.struct(*[F.col(f"`{c}`") for c in captures.columns if c.lower() != "lists"])
+    rows = captures.select(kept.alias("__row"), capture.alias("__capture"), F.col(url).alias("u"), F.col(at).cast("timestamp").alias("at"))
     if until is None:
-        return captures.withColumn("lists", F.array().cast("array<string>"))
+        return rows.select("__row.*", F.array().cast("array<string>").alias("lists"))
     points = states(entries, until)
-    seen = rows.where("__capture is not null").select("__capture", F.col(url).alias("u"), F.col(at).cast("timestamp").alias("at")).dropDuplicates(["__capture"])
+    seen = rows.where("__capture is not null").select("__capture", "u", "at").dropDuplicates(["__capture"])
     probes = seen.select("__capture", "at", F.explode(url_keys(F.col("u"), deepest)).alias("key"))
     # only keys that some list has go on, once for each of these lists
     probes = probes.join(points.select("list", "key").distinct(), "key")
@@ -93,8 +94,7 @@ def judged(captures: DataFrame, entries: DataFrame, url: str = "url", at: str =
     order = Window.partitionBy("list", "key", "month", "salt").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hits = merged.withColumn("now", F.last("active", ignorenulls=True).over(order)).where("turn = 2 and now")
     found = hits.groupBy("__capture").agg(F.array_sort(F.collect_set("list")).alias("__lists"))
-    kept = [F.col(f"`{c}`") for c in captures.columns if c.lower() != "lists"]
-    return rows.join(found, "__capture", "left").select(*kept, F.coalesce("__lists", F.array().cast("array<string>")).alias("lists"))
+    return rows.join(found, "__capture", "left").select("__row.*", F.coalesce("__lists", F.array().cast("array<string>")).alias("lists"))
 
 
 def _draw(key: Column, place: int, n: int) -> Column:

@@ -103,7 +103,7 @@ def balanced_parts(near: np.ndarray, parts: int, seed: int = 0) -> np.ndarray:
     rng = np.random.default_rng(seed)
     groups = [np.arange(len(near))]
     while len(groups) < parts:
-        groups = [h for g in groups for h in _bisect(g, near, rng)]
+        groups = [h for g in groups for h in (_bisect(g, near, rng) if len(g) > 1 else (g, g[:0]))]
     out = np.zeros(len(near), np.int64)
     for i, g in enumerate(groups):
         out[g] = i

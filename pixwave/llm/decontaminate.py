@@ -78,7 +78,7 @@ def template(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     starts, ends, kind = _glue(starts, ends, kind, (kind[:-1] == NUMBER) & (kind[1:] == NUMBER) & (starts[1:] - ends[:-1] == 1) & ((gap == 46) | (gap == 44)))
     solid = np.maximum.accumulate(np.where(data != 32, np.arange(len(data)), -1))
     at = np.where(starts > 0, solid[np.maximum(starts - 1, 0)], -1)
-    opens = _BREAKS[np.where(at >= 0, data[np.maximum(at, 0)], 256)]
+    opens = _BREAKS[np.where(at >= 0, data[np.maximum(at, 0)].astype(np.int16), 256)]
     first, second, last = data[starts], data[np.minimum(starts + 1, len(data) - 1)], data[ends - 1]
     capital = ((first >= 65) & (first <= 90)) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
     before = data[np.maximum(ends - 2, starts)]

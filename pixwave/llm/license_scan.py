@@ -53,7 +53,7 @@ NAMES = {
 }
 LEADS = ("Released under", "Licensed under", "Distributed under", "This work is licensed under", "This software is released under")
 # Every known text has one of these, before and after spellings are made equal; others need no canonical form.
-MARK = "(?i)licen[cs]e|permission|redistribut"
+MARK = "(?i)licen[cs]e|permission|redistribut|(releas|distribut)ed under"
 COPYRIGHT = r"(?im)^[^\p{L}\p{N}\n]*(copyright[ \t]*(\(c\)|©|[0-9]{4}|<|\[|by )|\(c\)[ \t]*[0-9]{4}|©)[^\n]*$"
 SMALL = 100_000  # known digests that are sent to every task; more are joined by shuffling
 

@@ -15,8 +15,8 @@ def hash_key(seed: int, epoch, tag: str, ident) -> Column:
 
 
 def key_uniform(key: Column) -> Column:
-    """First 32 bits of a hex digest as a double in [0, 1)."""
-    return F.conv(F.substring(key, 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
+    """First 52 bits of a hex digest as a double in [0, 1): every row of a table of up to 2^52 rows can be drawn."""
+    return F.conv(F.substring(key, 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
 def hash_uniform(seed: int, epoch, tag: str, ident) -> Column:

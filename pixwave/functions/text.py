@@ -6,6 +6,10 @@ from pyspark.sql import functions as F
 from .hashing import col
 
 
+# Fixed value: the part of a metric tag that names a worker.
+TOWER = "tower_[0-9]*/"
+
+
 def subtitle_fields(line) -> dict[str, Column]:
     """Dialogue, start and end of one event line.
 
@@ -55,13 +59,14 @@ def parent_directory(path) -> Column:
 
 
 def prediction_line(ts, label, prediction) -> Column:
+    # The words of the line.
     return F.concat(col(ts).cast("string"), F.lit(" Label: "), col(label).cast("string"),
                     F.lit(", Prediction: "), col(prediction).cast("string"))
 
 
 def strip_tower(tag) -> Column:
     """Metric tag without `tower_N/` parts."""
-    return F.regexp_replace(col(tag), "tower_[0-9]*/", "")
+    return F.regexp_replace(col(tag), TOWER, "")
 
 
 def learning_rate(step, lr0: float = 0.1, factor: float = 0.1, decay_steps: int = 136_718) -> Column:

@@ -24,16 +24,25 @@ def vector_sum(vector: Column) -> Column:
     return F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x)
 
 
+def with_value(vector: Column, value: Column | None, body) -> Column:
+    """`body(vector, value)` with both computed once per row.
+
+    A lambda over the elements would compute a column it refers to for every element; a variable it takes as it is.
+    """
+    bound = F.struct(vector.alias("v"), (F.lit(0) if value is None else value).alias("x"))
+    return F.get(F.transform(F.array(bound), lambda b: body(b["v"], b["x"])), F.lit(0))
+
+
 def softmax(logits) -> Column:
     """Probabilities; the largest logit is subtracted first, so large logits stay finite."""
-    shifted = F.transform(col(logits), lambda x: F.exp(x - F.array_max(col(logits))))
-    return F.transform(shifted, lambda x: x / vector_sum(shifted))
+    shifted = with_value(col(logits), F.array_max(col(logits)), lambda z, top: F.transform(z, lambda x: F.exp(x - top)))
+    return with_value(shifted, None, lambda e, _: with_value(e, vector_sum(e), lambda v, total: F.transform(v, lambda x: x / total)))
 
 
 def log_sum_exp(logits) -> Column:
     logits = col(logits)
-    top = F.array_max(logits)
-    return top + F.log(F.aggregate(logits, F.lit(0.0), lambda acc, x: acc + F.exp(x - top)))
+    return with_value(logits, F.array_max(logits), lambda z, top: top + F.log(
+        F.aggregate(z, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))))
 
 
 def sparse_cross_entropy(logits, label) -> Column:

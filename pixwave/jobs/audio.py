@@ -39,7 +39,7 @@ def arguments(argv=None) -> argparse.Namespace:
 def clips(spark: SparkSession, args) -> DataFrame:
     """Samples of every subtitle line, matched to the audio by file name."""
     chunks = wav.read_wav_chunks(spark, args.input, args.chunk, channel=0).withColumn("file", file_stem("file"))
-    lines = text.read_subtitles(spark, args.subtitles)
+    lines = text.read_subtitles(spark, args.subtitles).drop("file")
     rates = chunks.groupBy("file").agg(F.max("fs").alias("fs"))
     spans = lines.join(rates, lines.episode == rates.file, "left").drop("file")
     timed = audio.timecode_to_sample(spans, "fs", args.timecodes)
@@ -48,7 +48,7 @@ def clips(spark: SparkSession, args) -> DataFrame:
 
 def pieces(spark: SparkSession, args) -> DataFrame:
     """Labelled spectrogram pieces as examples: example_id, height, width, depth, label, pixels, split."""
-    chunks = wav.read_wav_chunks(spark, args.input, args.chunk)
+    chunks = wav.read_wav_chunks(spark, args.input, args.chunk, channel=0)
     labelled = pairing.label_from_path(audio.select_channel(chunks), "file", args.classes.split(","))
     kept = audio.filter_short_audio(labelled, args.mintime)
     frames = audio.crop_frequencies(audio.spectrogram(kept, args.tres, ("file", "label")), args.max_frequency)

@@ -5,6 +5,7 @@
 
 import argparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ def arguments(argv=None) -> argparse.Namespace:
     p.add_argument("--test", default="test", help="files whose name holds this word are the test split")
     p.add_argument("--classes", type=int, default=10)
     p.add_argument("-f", "--format", choices=["csv", "csv2", "parquet", "tfr"], default="csv")
-    p.add_argument("-n", "--num-partitions", type=int, default=10, help="number of output partitions")
+    p.add_argument("-n", "--num-partitions", type=int, help="number of output partitions; by default as many as the input has")
     p.add_argument("-o", "--output", required=True)
     p.add_argument("-r", "--read", action="store_true", help="only read examples written before")
     p.add_argument("-v", "--verify", action="store_true", help="read the examples back after writing")
@@ -42,7 +43,7 @@ def read_input(spark: SparkSession, args) -> DataFrame:
 
 
 def write(df: DataFrame, args) -> None:
-    rows = df.repartition(args.num_partitions)
+    rows = df.repartition(args.num_partitions) if args.num_partitions else df
     if args.format == "csv":
         sinks.write_csv_vectors(rows, args.output)
     elif args.format == "csv2":
@@ -81,11 +82,17 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     if not args.read:
         write(read_input(spark, args), args)
     if args.read or args.verify:
-        first = sinks.verify_examples(read_back(spark, args.output, args.format)).collect()
-        print("num_images:", first[0].num_images if first else 0)
-        print("num_labels:", first[0].num_labels if first else 0)
-        for row in first:
-            print(row.example_id, row.label, list(row.pixels[:8]), "...")
+        for split in ("train", "test"):
+            try:
+                first = sinks.verify_examples(read_back(spark, args.output, args.format, split)).collect()
+            except AnalysisException as e:  # an input without files of this split has no folder for it
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                continue
+            print(split, "num_images:", first[0].num_images if first else 0)
+            print(split, "num_labels:", first[0].num_labels if first else 0)
+            for row in first:
+                print(row.example_id, row.label, list(row.pixels[:8]), "...")
 
 
 if __name__ == "__main__":

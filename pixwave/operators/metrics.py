@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import learning_rate, strip_tower
 from ..functions.vectors import argmax, onehot_cross_entropy, softmax, sparse_cross_entropy
-from ..session import broadcast_if_small
+
+SALTS = 32  # copies of the bounds of a tag
 
 
 def argmax_decode(df: DataFrame, column: str = "logits", name: str = "prediction") -> DataFrame:
@@ -60,19 +61,22 @@ def histogram(df: DataFrame, tag: str | Sequence[str], column: str, bins: int =
     """Counts of `bins` equal buckets between minimum and maximum of each tag.
 
     The largest value belongs to the last bucket; a constant tag has bucket 0
-    only. NaN and null values are left out. The bounds are broadcast if there
-    are few tags; otherwise they are joined by tag.
+    only. NaN and null values are left out; a null tag is a tag. The bounds are
+    joined by tag, a struct that compares nulls as equal. Values are dealt over
+    SALTS copies of the bounds, so a tag with most of the values is many keys.
     """
     tags = [tag] if isinstance(tag, str) else list(tag)
-    values = df.select(*tags, F.col(column).cast("double").alias("__v")).filter(~F.isnan("__v"))
-    bounds = broadcast_if_small(values.groupBy(*tags).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi")))
-    keys = [t for t in tags]
+    key = F.struct(*[F.col(f"`{t}`").alias(t) for t in tags]).alias("__key")
+    values = df.select(key, F.col(column).cast("double").alias("__v")).filter(~F.isnan("__v"))
+    bounds = (values.groupBy("__key").agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+              .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    salted = values.withColumn("__salt", F.pmod(F.xxhash64("__v"), F.lit(SALTS)).cast("int"))
     place = F.floor((F.col("__v") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * bins)
     bucket = F.when(F.col("__hi") > F.col("__lo"), F.least(place, F.lit(bins - 1))).otherwise(F.lit(0))
     width = (F.col("__hi") - F.col("__lo")) / bins
-    counted = (values.join(bounds, keys).groupBy(*tags, "__lo", "__hi", bucket.cast("int").alias("bucket"))
+    counted = (salted.join(bounds, ["__key", "__salt"]).groupBy("__key", "__lo", "__hi", bucket.cast("int").alias("bucket"))
                .agg(F.count(F.lit(1)).alias("n")))
-    return counted.select(*tags, "bucket", (F.col("__lo") + F.col("bucket") * width).alias("lower"),
+    return counted.select("__key.*", "bucket", (F.col("__lo") + F.col("bucket") * width).alias("lower"),
                           (F.col("__lo") + (F.col("bucket") + 1) * width).alias("upper"), "n")
 
 

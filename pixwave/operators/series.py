@@ -3,6 +3,8 @@
 A series is cut into cells of consecutive steps. What a cell needs from the
 cells before it is computed on a table with one row per cell and joined back,
 so a series that holds a third of all rows is still spread over many tasks.
+Series are keyed by a struct of their key columns, which compares nulls as equal:
+a null key is a series.
 """
 
 import math
@@ -12,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Fixed value: the format of a progress line.
+LINE = "%s: step %d, loss = %.2f (%.1f examples/sec; %.3f sec/batch)"
 CELL = 1024
 FAN = 4096
 
@@ -35,14 +39,18 @@ def _walk(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf.assign(__in=entering)
 
 
-def _entering(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, __cell, __a, __b) -> (keys, __cell, __in), by groups of FAN cells and then over the groups."""
-    groups = cells.withColumn("__group", F.floor(F.col("__cell") / FAN)).repartition(*keys, "__group")
-    ends = groups.groupBy(*keys, "__group").applyInPandas(_compose, groups.schema)
+def _entering(cells: DataFrame) -> DataFrame:
+    """(__key, __cell, __a, __b) -> (__key, __cell, __in), by groups of FAN cells and then over the groups."""
+    groups = cells.withColumn("__group", F.floor(F.col("__cell") / FAN)).repartition("__key", "__group")
+    ends = groups.groupBy("__key", "__group").applyInPandas(_compose, groups.schema)
     tops = ends.withColumn("__in", F.lit(0.0))
-    tops = tops.groupBy(*keys).applyInPandas(_walk, tops.schema).select(*keys, "__group", "__in")
-    joined = groups.join(tops, [*keys, "__group"], "left")
-    return joined.groupBy(*keys, "__group").applyInPandas(_walk, joined.schema).select(*keys, "__cell", "__in")
+    tops = tops.groupBy("__key").applyInPandas(_walk, tops.schema).select("__key", "__group", "__in")
+    joined = groups.join(tops, ["__key", "__group"], "left")
+    return joined.groupBy("__key", "__group").applyInPandas(_walk, joined.schema).select("__key", "__cell", "__in")
+
+
+def _key(keys: list[str]) -> Column:
+    return F.struct(*[F.col(f"`{k}`").alias(k) for k in keys])
 
 
 def affine_scan(df: DataFrame, keys: list[str], step: str, a: Column, b: Column, name: str,
@@ -57,13 +65,13 @@ def affine_scan(df: DataFrame, keys: list[str], step: str, a: Column, b: Column,
     final join read the same exchange (left joins, so that no filter of one
     reader makes it a different one).
     """
-    laid = df.withColumn("__cell", F.floor(F.col(step) / cell)).repartition(*keys, "__cell")
+    laid = df.withColumns({"__key": _key(keys), "__cell": F.floor(F.col(step) / cell)}).repartition("__key", "__cell")
     rows = laid.withColumns({"__a": a, "__b": b})
-    w = Window.partitionBy(*keys, "__cell").orderBy(step).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy("__key", "__cell").orderBy(step).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = (rows.withColumn("__p", F.exp(F.sum(F.log("__a")).over(w)))
              .withColumn("__s", F.col("__p") * F.sum(F.col("__b") / F.col("__p")).over(w)))
-    cells = local.groupBy(*keys, "__cell").agg(F.max_by("__p", step).alias("__a"), F.max_by("__s", step).alias("__b"))
-    return (local.join(_entering(cells, keys), [*keys, "__cell"], "left")
+    cells = local.groupBy("__key", "__cell").agg(F.max_by("__p", step).alias("__a"), F.max_by("__s", step).alias("__b"))
+    return (local.join(_entering(cells), ["__key", "__cell"], "left")
             .withColumn(name, F.col("__p") * F.col("__in") + F.col("__s"))
             .select(*df.columns, name))
 
@@ -100,13 +108,14 @@ def ema_variables(df: DataFrame, series: str, step: str, value: str, decay: floa
 
 
 def previous_value(df: DataFrame, keys: list[str], step: str, value: str, name: str, cell: int = 1 << 16) -> DataFrame:
-    """Add the value of the preceding row of the series; null on the first row."""
-    rows = df.withColumn("__cell", F.floor(F.col(step) / cell))
-    last = rows.groupBy(*keys, "__cell").agg(F.max_by(value, step).alias("__last"))
-    across = Window.partitionBy(*keys).orderBy("__cell")
-    carried = last.select(*keys, "__cell", F.lag("__last").over(across).alias("__carried"))
-    inside = Window.partitionBy(*keys, "__cell").orderBy(step)
-    return (rows.join(carried, [*keys, "__cell"])
+    """Add the value of the preceding row of the series; null on the first row. Null steps come first, as in a window."""
+    rows = df.withColumn("__cell", F.struct(_key(keys).alias("key"), F.floor(F.col(step) / cell).alias("no")))
+    ends = F.struct(F.col(step).isNotNull(), F.col(step))
+    last = rows.groupBy("__cell").agg(F.max_by(value, ends).alias("__last"))
+    across = Window.partitionBy("__cell.key").orderBy("__cell.no")
+    carried = last.select("__cell", F.lag("__last").over(across).alias("__carried"))
+    inside = Window.partitionBy("__cell").orderBy(step)
+    return (rows.join(carried, "__cell")
             .withColumn(name, F.coalesce(F.lag(value).over(inside), "__carried"))
             .select(*df.columns, name))
 
@@ -124,8 +133,10 @@ def throughput(df: DataFrame, run: str = "run", step: str = "step", ts: str = "t
 
 
 def log_lines(df: DataFrame, every: int = 10, ts: str = "ts", step: str = "step", loss: str = "loss") -> DataFrame:
-    """Add `line`, the progress line of every `every`-th step, to the rows of `throughput`."""
-    shown = df.filter((F.col(step) % every == 0) & F.col("examples_per_sec").isNotNull())
-    return shown.withColumn("line", F.format_string(
-        "%s: step %d, loss = %.2f (%.1f examples/sec; %.3f sec/batch)", F.col(ts).cast("string"), F.col(step),
-        F.col(loss), F.col("examples_per_sec"), F.col("sec_per_batch")))
+    """Add `line`, the progress line of every `every`-th step, to the rows of `throughput`.
+
+    A step without a measured time, like the first of a run, has a line too; its rate and time are `nan`.
+    """
+    shown = df.filter(F.col(step) % every == 0)
+    rate, time = (F.coalesce(F.col(c), F.lit(float("nan"))) for c in ("examples_per_sec", "sec_per_batch"))
+    return shown.withColumn("line", F.format_string(LINE, F.col(ts).cast("string"), F.col(step), F.col(loss), rate, time))

@@ -136,8 +136,9 @@ def initial_state(model: dict, optimizer: str, seed: int, ema: float | None, dty
 
 
 def lay_out(df: DataFrame, shards: int, ident: str) -> DataFrame:
-    """Rows in `shards` partitions, partition = shard of the id. Ids identify rows, so shards are even."""
-    shard = F.pmod(F.xxhash64(F.col(ident).cast("string")), F.lit(shards)).cast("int")
+    """Rows in `shards` partitions, partition = shard of the id's md5. Ids identify rows, so shards are even."""
+    digest = F.md5(F.coalesce(F.col(ident).cast("string"), F.lit("")))
+    shard = (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % shards).cast("int")
     return df.withColumn("__shard", shard).repartitionById(shards, F.col("__shard"))
 
 
@@ -316,6 +317,13 @@ def metrics_frame(spark: SparkSession, trained: Trained) -> DataFrame:
     return spark.createDataFrame(trained.metrics, METRICS_SCHEMA)
 
 
+def weight_rows(spark: SparkSession, params: Params) -> DataFrame:
+    """One row per weight of a softmax model: tensor, row, col, value."""
+    return spark.createDataFrame(
+        [(name, i, j, float(v)) for name, value in sorted(params.items()) for i, line in enumerate(np.atleast_2d(value))
+         for j, v in enumerate(line)], "tensor string, row int, col int, value double")
+
+
 def weight_values(weights: DataFrame) -> DataFrame:
     """One row per weight (model, step, tensor, value): input of the summary and histogram operators."""
     return weights.select("model", "step", "tensor", F.explode("values").alias("value"))
@@ -354,15 +362,3 @@ def resume(spark: SparkSession, path: str, model: str, dtype=np.float32) -> Trai
     round_no = int(state.pop("#round")[0])
     return Trained(state, int(rows.agg(F.max("step")).first()[0]), round_no)
 
-
-def train_mlp_baseline(df: DataFrame, layers: Sequence[int], max_iter: int = 50, seed: int = 0,
-                       pixels: str = "pixels", label: str = "label") -> DataFrame:
-    """The stock multilayer perceptron, fitted and applied to `df`: adds `prediction`."""
-    from pyspark.ml.classification import MultilayerPerceptronClassifier
-    from pyspark.ml.functions import array_to_vector
-
-    rows = df.withColumn("__features", array_to_vector(F.col(pixels).cast("array<double>")))
-    fitted = MultilayerPerceptronClassifier(featuresCol="__features", labelCol=label, layers=list(layers),
-                                            maxIter=max_iter, seed=seed).fit(rows)
-    scored = fitted.transform(rows)
-    return scored.select(*df.columns, F.col("prediction").cast("int").alias("prediction"))

@@ -49,7 +49,7 @@ def sample(tc: str, fs: int) -> str:
 
 def uniform(epoch: str, tag: str, ident: str = "example_id") -> str:
     key = f"md5('7|' || {epoch}::VARCHAR || '|{tag}|' || {ident}::VARCHAR)"
-    return f"(('0x' || substr({key}, 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
+    return f"(('0x' || substr({key}, 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)"
 
 
 def r6(expr: str, digits: int = 6) -> str:
@@ -128,13 +128,16 @@ ORACLE: dict[str, str] = {
     "read_labelled_csv": f"WITH {PX} SELECT label, i AS idx, sum(v)::BIGINT AS total, count(*) AS n FROM px GROUP BY 1, 2",
     "read_tfrecords": pixel_query(PX, "example_id, label", "px"),
     "read_wav_chunks": "SELECT event_id, 160 AS fs, floor(value * 10)::INT AS sample FROM events",
-    "read_subtitles": f"WITH {SUBS} SELECT * FROM subs",
+    "read_subtitles": f"""WITH {SUBS} SELECT episode, row_number() OVER (PARTITION BY episode ORDER BY line_no) - 1 AS num,
+      dialogue, start_tc, end_tc FROM subs""",
     "label_from_path": """SELECT conv_id, turn, '/audio/' || role || '/' || conv_id || '.wav' AS path,
       list_position(['assistant', 'user'], role) - 1 AS label FROM conversations WHERE role IN ('assistant', 'user')""",
     "label_lookup": """SELECT event_id, event_type, c.label FROM events JOIN
       (VALUES ('view', 0), ('click', 1), ('purchase', 2)) c(event_type, label) USING (event_type)""",
     # sinks
-    "write_csv_vectors": f"""WITH {IMG8} SELECT example_id || chr(9) || array_to_string(pixels, ',') AS value FROM img8""",
+    "write_csv_vectors": f"""WITH {IMG8} SELECT 'images' AS part, example_id || chr(9) || array_to_string(pixels, ',') AS value FROM img8
+      UNION ALL SELECT 'labels', example_id || chr(9) || array_to_string(list_transform(range(10), lambda j: CASE WHEN j = label THEN 1 ELSE 0 END), ',')
+      FROM img8""",
     "write_labelled_csv": f"""WITH {IMG8} SELECT array_to_string(list_transform(range(10), lambda j: CASE WHEN j = label THEN 1 ELSE 0 END), ',')
       || '|' || array_to_string(pixels, ',') AS value FROM img8""",
     "write_tfrecords": f"WITH {PX} SELECT label, i AS idx, sum(v)::BIGINT AS total, count(*) AS n FROM px GROUP BY 1, 2",
@@ -257,8 +260,9 @@ ORACLE: dict[str, str] = {
       SELECT run, step, {r6('s')} AS sec_per_batch, CASE WHEN s > 0 THEN {r6('128 / s')} END AS examples_per_sec FROM t""",
     "log_lines": f"""WITH {LOG}, t AS (SELECT *, (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY run ORDER BY step)) / 1e6::DOUBLE AS s FROM log)
       SELECT run, step, printf('%s: step %d, loss = %s (%s examples/sec; %s sec/batch)', ts::VARCHAR, step,
-        round(loss::DECIMAL(20, 6), 2)::DECIMAL(20, 2)::VARCHAR, round((128 / s)::DECIMAL(30, 12), 1)::DECIMAL(20, 1)::VARCHAR,
-        round(s::DECIMAL(30, 12), 3)::DECIMAL(20, 3)::VARCHAR) AS line FROM t WHERE step % 10 = 0 AND s > 0""",
+        round(loss::DECIMAL(20, 6), 2)::DECIMAL(20, 2)::VARCHAR,
+        CASE WHEN s > 0 THEN round((128 / s)::DECIMAL(30, 12), 1)::DECIMAL(20, 1)::VARCHAR ELSE 'NaN' END,
+        coalesce(round(s::DECIMAL(30, 12), 3)::DECIMAL(20, 3)::VARCHAR, 'NaN')) AS line FROM t WHERE step % 10 = 0""",
     # learning
     "score_dense": f"WITH {PRED} SELECT example_id, j AS idx, {r6('z')} AS value FROM logit",
     "score_cnn": f"""WITH {CONV}, {CLASSES} SELECT example_id, j AS idx, {r6(f'sum(v * ({WEIGHT}))')} AS value
@@ -276,3 +280,23 @@ ORACLE: dict[str, str] = {
         {r6('g')} AS gradient, {r6('w - 0.5 * g')} AS value FROM g JOIN w USING (i, j)""",
 }
 ORACLE["stream_score"] = ORACLE["predict_batches"]
+
+
+def descent(steps: int, chosen: str, lr: float = 0.5) -> str:
+    """Weights of the softmax classifier after gradient steps from zero, step k over the rows that `chosen` allows for it."""
+    ctes = [PX, """x AS (SELECT example_id, label, i, v / 255.0::DOUBLE AS v FROM px
+        UNION ALL SELECT example_id, label, 64, 1.0::DOUBLE FROM img8)""", CLASSES,
+            "w0 AS (SELECT i, j, 0.0::DOUBLE AS w FROM (SELECT range AS i FROM range(65)), cls)"]
+    for k in range(steps):
+        ctes.append(f"""x{k} AS (SELECT * FROM x WHERE {chosen.format(k=k)}),
+      z{k} AS (SELECT example_id, any_value(label) AS label, j, sum(v * w) AS z FROM x{k} JOIN w{k} USING (i) GROUP BY example_id, j),
+      e{k} AS (SELECT example_id, j, exp(z - m) / sum(exp(z - m)) OVER (PARTITION BY example_id) - CASE WHEN j = label THEN 1 ELSE 0 END AS d
+        FROM (SELECT *, max(z) OVER (PARTITION BY example_id) AS m FROM z{k})),
+      g{k} AS (SELECT i, j, sum(v * d) / count(DISTINCT example_id) AS g FROM x{k} JOIN e{k} USING (example_id) GROUP BY i, j),
+      w{k + 1} AS (SELECT i, j, w - {lr} * coalesce(g, 0) AS w FROM w{k} LEFT JOIN g{k} USING (i, j))""")
+    return f"""WITH {', '.join(ctes)} SELECT CASE WHEN i = 64 THEN 'b0' ELSE 'w0' END AS tensor, CASE WHEN i = 64 THEN 0 ELSE i END::INT AS row,
+      j AS col, {r6('w')} AS value FROM w{steps}"""
+
+
+ORACLE["train_parallel"] = descent(3, "true")
+ORACLE["stream_train"] = descent(4, "example_id % 4 = {k}")

@@ -37,9 +37,9 @@ def write_labelled_csv(df: DataFrame, path: str, mode: str = "errorifexists") ->
     _write_text(labelled_lines(df), path, mode)
 
 
-def write_examples(df: DataFrame, path: str, partitions: int = 10, mode: str = "errorifexists") -> None:
-    """Examples as Parquet in `partitions` parts, one folder per split."""
-    writer = df.repartition(partitions).write.mode(mode)
+def write_examples(df: DataFrame, path: str, partitions: int | None = None, mode: str = "errorifexists") -> None:
+    """Examples as Parquet, one folder per split; in `partitions` parts, or in as many as `df` has."""
+    writer = (df.repartition(partitions) if partitions else df).write.mode(mode)
     (writer.partitionBy("split") if "split" in df.columns else writer).parquet(path)
 
 
@@ -70,17 +70,27 @@ def write_predictions(df: DataFrame, path: str, mode: str = "errorifexists") ->
 
 
 def checkpoint_weights(weights: DataFrame, path: str) -> None:
-    """Save weight rows (WEIGHTS_SCHEMA) by model and step; saving a step again replaces it."""
+    """Save weight rows (WEIGHTS_SCHEMA) by model and step; saving a step again replaces it.
+
+    When the rows are there, the step is noted in the small table `_steps`, which readers of the weights skip.
+    """
     (weights.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("model", "step").parquet(path))
+    weights.select("model", "step").distinct().write.mode("append").parquet(f"{path}/_steps")
 
 
 def restore_weights(spark: SparkSession, path: str, model: str) -> DataFrame:
-    """Weight rows of the latest complete step: the one whose `parts` rows are all there."""
+    """Weight rows of the latest complete step: the one whose `parts` rows are all there.
+
+    Noted steps are tried from the last one on, so that as a rule only the rows of one step are read.
+    """
     table = spark.read.schema(WEIGHTS_SCHEMA).parquet(path).filter(F.col("model") == model)
-    steps = table.groupBy("step").agg(F.count(F.lit(1)).alias("n"), F.max("parts").alias("parts"))
-    latest = steps.filter(F.col("n") == F.col("parts")).agg(F.max("step").alias("step")).scalar()
-    return table.filter(F.col("step") == latest)
+    noted = spark.read.schema("model string, step long").parquet(f"{path}/_steps").filter(F.col("model") == model)
+    for noted_step in noted.select("step").distinct().orderBy(F.desc("step")).toLocalIterator():
+        rows = table.filter(F.col("step") == noted_step.step)
+        if rows.agg(F.count(F.lit(1)) == F.max("parts")).first()[0]:
+            return rows
+    return table.limit(0)
 
 
 def write_metrics(df: DataFrame, path: str, run: str, mode: str = "append") -> None:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import file_stem, plain_path, subtitle_fields
 from ..functions.vectors import from_csv
+from ..operators.index import global_index
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -42,18 +43,22 @@ def read_labelled_csv(spark: SparkSession, path: str, dtype: str = "int") -> Dat
 
 
 def read_subtitles(spark: SparkSession, path: str, marker: str = "---Sub-JP----", style: str = "Sub-Jap") -> DataFrame:
-    """Subtitle files -> episode, num, dialogue, start_tc, end_tc.
+    """Subtitle files -> file, episode, num, dialogue, start_tc, end_tc.
 
-    Lines after the first marker line that hold the style name are dialogue. A
-    file is one row only while it is cut into lines.
+    Lines after the first marker line of a file that hold the style name are
+    dialogue, numbered from 0. Files are read by lines and in ranges, the marker
+    is a minimum with partial aggregation and numbers are counted by range, so
+    neither a file nor an episode has to fit one row or task.
     """
-    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(
-        file_stem(plain_path("_metadata.file_path")).alias("episode"),
-        F.split("value", "\r\n|\n").alias("lines"))
-    first = F.array_position(F.transform("lines", lambda x: x.contains(marker)), True)
-    spoken = F.filter(F.slice("lines", first + 1, F.size("lines")), lambda x: x.contains(style))
-    rows = files.filter(first > 0).select("episode", F.posexplode(spoken).alias("num", "line"))
-    return rows.select("episode", "num", *[c.alias(n) for n, c in subtitle_fields("line").items()])
+    lines = spark.read.text(path, recursiveFileLookup=True).select(
+        plain_path("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"), "value")
+    place = F.struct("block", "line")
+    marked = (lines.filter(F.col("value").contains(marker)).groupBy("file").agg(F.min(place).alias("__marker")))
+    spoken = lines.filter(F.col("value").contains(style)).join(marked, "file").filter(place > F.col("__marker"))
+    numbered = global_index(spoken, ["block", "line"], "num", by=["file"], bucket=F.col("block"))
+    return numbered.select("file", file_stem("file").alias("episode"), "num",
+                           *[c.alias(n) for n, c in subtitle_fields("value").items()])
 
 
 def parse_subtitle_lines(lines: DataFrame, episode: str = "episode", line_no: str = "line_no", line: str = "line",

@@ -34,15 +34,16 @@ def stream_score(spark: SparkSession, in_path: str, out_path: str, model: dict,
 
 
 def train_on_batch(spark: SparkSession, batch: DataFrame, batch_id: int, weights_path: str, model: dict, *,
-                   optimizer: str = "sgd", lr: float = 0.1, size: int = 100, shards: int = 8, seed: int = 0,
-                   steps: int | None = None, ema: float | None = None) -> None:
+                   stream: str, optimizer: str = "sgd", lr: float = 0.1, size: int = 100, shards: int = 8, seed: int = 0,
+                   steps: int | None = None, ema: float | None = None, dtype=np.float32) -> None:
     """Update the weights table with one micro-batch.
 
-    Version `n + 1` of the weights is the result of batch `n`, so a batch that is
-    replayed starts from the same weights and replaces the same version; a batch
-    whose result has been followed by later ones changes nothing.
+    Each batch makes the next version of the weights, whatever stream it comes
+    from, and notes in it the last batch of every stream. A batch that its own
+    stream replays is already in the weights and changes nothing; the numbers
+    of other streams play no role.
     """
-    trained = Trained(initial_state(model, optimizer, seed, ema))
+    trained = Trained(initial_state(model, optimizer, seed, ema, dtype))
     version = 0
     try:
         rows = restore_weights(spark, weights_path, model["name"])
@@ -53,24 +54,32 @@ def train_on_batch(spark: SparkSession, batch: DataFrame, batch_id: int, weights
         state = {}
     if state:
         version = int(rows.agg(F.max("step")).first()[0])
-        trained = Trained({k: v for k, v in state.items() if k != "#step"}, int(state["#step"][0]), version)
-    if version > batch_id or (steps is not None and trained.step >= steps):
+        weights = {k: v.astype(dtype) for k, v in state.items() if k[0] != "#"}
+        trained = Trained(weights, int(state["#step"][0]), version)
+    seen = {k: v for k, v in state.items() if k.startswith("#stream ")}
+    last = seen.get(f"#stream {stream}")
+    if (last is not None and batch_id <= int(last[0])) or (steps is not None and trained.step >= steps):
         return
-    trained.round = batch_id
     limit = None if steps is None else steps - trained.step
     laid = lay_out(batch.select("example_id", "pixels", "label"), shards, "example_id")
     trained = train_round(laid, model, trained, optimizer=optimizer, batch=size, rate=lambda step: lr, seed=seed,
-                          ident="example_id", limit=limit, ema=ema)
-    saved = {**trained.state, "#step": np.array([float(trained.step)])}
-    checkpoint_weights(weights_frame(spark, saved, model["name"], batch_id + 1), weights_path)
+                          ident="example_id", limit=limit, ema=ema, dtype=dtype)
+    saved = {**trained.state, **seen, f"#stream {stream}": np.array([float(batch_id)]), "#step": np.array([float(trained.step)])}
+    checkpoint_weights(weights_frame(spark, saved, model["name"], version + 1), weights_path)
 
 
 def stream_train(spark: SparkSession, in_path: str, model: dict, steps: int | None, weights_path: str, *,
-                 checkpoint: str, files_per_trigger: int = 8, schema: str = EXAMPLE_SCHEMA,
+                 checkpoint: str, stream: str | None = None, files_per_trigger: int = 8, schema: str = EXAMPLE_SCHEMA,
                  on_batch: Callable[[int], None] | None = None, **options):
-    """Train on example files as they arrive, one round per micro-batch, until `steps` or the end of the feed."""
+    """Train on example files as they arrive, one round per micro-batch, until `steps` or the end of the feed.
+
+    `stream` names the feed; by default it is known by its checkpoint folder. A
+    new feed, or a new checkpoint folder, goes on from the weights that are there.
+    """
+    name = stream or checkpoint
+
     def step(batch: DataFrame, batch_id: int) -> None:
-        train_on_batch(batch.sparkSession, batch, batch_id, weights_path, model, steps=steps, **options)
+        train_on_batch(batch.sparkSession, batch, batch_id, weights_path, model, stream=name, steps=steps, **options)
         if on_batch:
             on_batch(batch_id)
 

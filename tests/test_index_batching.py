@@ -113,15 +113,28 @@ def test_uniform_draws(spark):
     assert 0 <= min(u) and max(u) < 1 and abs(sum(u) / 2000 - 0.5) < 0.03
 
 
-def test_small_tables_are_broadcast_and_large_ones_joined(spark):
-    from pixwave.session import broadcast_if_small
-    keys = spark.range(100).select(F.col("id").alias("k"))
-    data = spark.range(1000).select((F.col("id") % 100).alias("k"))
-    small, large = broadcast_if_small(keys, 100), broadcast_if_small(keys, 99)
-    assert "ResolvedHint (strategy=broadcast)" in data.join(small, "k")._jdf.queryExecution().optimizedPlan().toString() \
-        or "rightHint=(strategy=broadcast)" in data.join(small, "k")._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" not in data.join(large, "k")._jdf.queryExecution().optimizedPlan().toString()
-    assert data.join(small, "k").count() == data.join(large, "k").count() == 1000
+def test_index_counts_null_groups_and_keys_like_a_window(spark):
+    rows = [(g, k) for g in (None, 1, 2) for k in (None, 5, 3, 400, -7)]
+    df = spark.createDataFrame(rows, "g int, k long").repartition(3)
+    df.createOrReplaceTempView("grouped")
+    want = spark.sql("""SELECT g, k, row_number() OVER (PARTITION BY g ORDER BY k) - 1 AS idx, count(*) OVER (PARTITION BY g) AS n
+                        FROM grouped""").collect()
+    got = index.global_index(df, "k", by=["g"], block=2, total="n").collect()
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("gap", [1, 1 << 20, 1 << 47])
+def test_sparse_keys_are_no_window_over_all_buckets(spark, gap):
+    df = spark.range(5000).select(((F.col("id") - 2500) * gap).alias("k")).repartition(4)
+    out = index.global_index(df, "k", total="n")
+    assert out.filter((F.col("idx") != F.col("k") / gap + 2500) | (F.col("n") != 5000)).count() == 0
+    # the top level has one bucket per 2^49 values, so at most 2^15 rows
+    assert out.select(F.shiftright(F.floor(F.col("k") / (1 << 17)), 32)).distinct().count() <= 1 << 15
+
+
+def test_draws_reach_every_row_of_a_large_table(spark):
+    u = spark.range(5000).select((hash_uniform(0, 0, "t", "id") * (1 << 40)).alias("u")).collect()
+    assert len({int(r.u) % 1024 for r in u}) > 1000 and any(r.u != int(r.u) for r in u)
 
 
 def test_scratch_goes_to_the_folder_the_cluster_names():

@@ -107,4 +107,32 @@ def test_throughput_over_cells(spark):
     got = {r.step: r.sec_per_batch for r in out.collect()}
     assert got[0] is None and all(abs(got[i] - 0.01 * (2 * i - 1)) < 1e-9 for i in range(1, 50))
     lines = [r.line for r in series.log_lines(out).orderBy("step").collect()]
-    assert len(lines) == 4 and lines[0].endswith("step 10, loss = 1.00 (526.3 examples/sec; 0.190 sec/batch)")
+    assert len(lines) == 5 and lines[1].endswith("step 10, loss = 1.00 (526.3 examples/sec; 0.190 sec/batch)")
+    assert lines[0].endswith("step 0, loss = 1.00 (NaN examples/sec; NaN sec/batch)")
+
+
+def test_null_runs_and_tags_are_series(spark):
+    start = datetime(2024, 1, 1)
+    rows = [(r, i, start + timedelta(seconds=i * k), float(i)) for k, r in ((1, None), (2, "a")) for i in range(20)]
+    df = spark.createDataFrame(rows, "run string, step long, ts timestamp_ntz, loss double").repartition(3)
+    out = series.throughput(df, cell=4).collect()
+    assert len(out) == 40 and {r.sec_per_batch for r in out if r.run is None and r.step} == {1.0}
+    assert len(series.throughput(df.union(df.limit(1).withColumn("step", F.lit(None).cast("long")))).collect()) == 41
+    emas = series.ema_losses(df, "run", "step", "loss").collect()
+    by = {(r.run, r.step): r.ema for r in emas}
+    assert len(by) == 40 and all(by[None, i] == by["a", i] and by["a", i] is not None for i in range(20))
+    assert all(r.ema is not None for r in series.ema_variables(df, "run", "step", "loss").collect())
+    counts = metrics.histogram(df, "run", "loss", 4).collect()
+    assert sorted((str(r.run), r.n) for r in counts) == sorted((s, 5) for s in ("None", "a") for _ in range(4))
+
+
+def test_softmax_of_many_classes_is_linear(spark):
+    import time
+    def seconds(n):
+        df = spark.range(2000).select(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.sin(i + F.col("id"))).alias("logits")).cache()
+        df.count()
+        t = time.time()
+        metrics.softmax_probs(df).select(F.sum(F.get("probabilities", F.lit(0)))).first()
+        return time.time() - t
+    seconds(10)
+    assert seconds(1000) < 20 * max(seconds(50), 0.3)

@@ -129,11 +129,6 @@ def test_weights_round_trip(spark):
     assert same(training.collect_state(frame), state) and frame.first().parts == 5
 
 
-def test_baseline(spark, rows):
-    out = training.train_mlp_baseline(rows.select("example_id", "label", "pixels"), [64, 12, 10], 40)
-    assert out.filter("prediction = label").count() / out.count() > 0.15
-
-
 def test_stream_score_equals_batch(spark, rows, tmp_path):
     model, params = MLP, layers.init_params(MLP)
     rows.repartition(5).write.parquet(str(tmp_path / "in"))
@@ -150,13 +145,37 @@ def test_stream_train_equals_rounds_and_replay_changes_nothing(spark, rows, tmp_
     options = dict(size=30, shards=3, lr=0.1, seed=2)
     learning.stream_train(spark, str(tmp_path / "in"), MLP, None, path, checkpoint=str(tmp_path / "state"),
                           files_per_trigger=10, **options)
-    state = training.collect_state(sinks.restore_weights(spark, path, "mlp"))
-    steps = state.pop("#step")
+    def weights():
+        state = training.collect_state(sinks.restore_weights(spark, path, "mlp"))
+        return {k: v for k, v in state.items() if k[0] != "#"}, int(state["#step"][0])
+
+    state, steps = weights()
     one = training.train_parallel(rows, MLP, "sgd", 30, 1, 3, 2, lr=0.1)
-    assert same(state, one.state) and steps[0] == one.step
-    learning.train_on_batch(spark, rows, 0, path, MLP, **options)
-    again = training.collect_state(sinks.restore_weights(spark, path, "mlp"))
-    again.pop("#step")
-    assert same(again, state)
-    learning.train_on_batch(spark, rows, 1, path, MLP, steps=1, **options)
+    assert same(state, one.state) and steps == one.step
+    learning.train_on_batch(spark, rows, 0, path, MLP, stream=str(tmp_path / "state"), **options)
+    assert same(weights()[0], state)
+    learning.train_on_batch(spark, rows, 1, path, MLP, stream="other", steps=1, **options)
     assert sinks.restore_weights(spark, path, "mlp").first().step == 1
+
+
+def test_a_second_feed_with_its_own_checkpoint_goes_on(spark, rows, tmp_path):
+    """Two feeds with two checkpoints equal one run over both, and a replay of either changes nothing."""
+    options = dict(size=1 << 16, shards=3, lr=0.1, seed=2)
+    halves = [rows.filter(F.col("example_id") % 2 == k) for k in (0, 1)]
+
+    def weights(path):
+        state = training.collect_state(sinks.restore_weights(spark, path, "mlp"))
+        return {k: v for k, v in state.items() if k[0] != "#"}
+
+    for name, streams in (("two", ("a", "b")), ("one", ("a", "a"))):
+        for k, (half, stream) in enumerate(zip(halves, streams)):
+            learning.train_on_batch(spark, half, k if name == "one" else 0, str(tmp_path / name), MLP, stream=stream, **options)
+    assert same(weights(str(tmp_path / "two")), weights(str(tmp_path / "one")))
+    before = weights(str(tmp_path / "two"))
+    for stream, half in (("a", halves[0]), ("b", halves[1])):
+        learning.train_on_batch(spark, half, 0, str(tmp_path / "two"), MLP, stream=stream, **options)
+    assert same(weights(str(tmp_path / "two")), before)
+    for k, half in enumerate(halves):
+        half.repartition(2).write.parquet(str(tmp_path / f"in{k}"))
+        learning.stream_train(spark, str(tmp_path / f"in{k}"), MLP, None, str(tmp_path / "fed"), checkpoint=str(tmp_path / f"state{k}"), **options)
+    assert same(weights(str(tmp_path / "fed")), before)

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +38,28 @@ def from_ipc(payload: bytes) -> pa.Table:
     return pa.ipc.open_stream(payload).read_all()
 
 
+def squeeze(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor().compress(data)
+
+
+def unsqueeze(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def pack_strings(strings: list[str]) -> bytes:
+    """Strings as one compressed value: their number, their lengths in bytes, and their bytes."""
+    raw = [s.encode() for s in strings]
+    sizes = np.fromiter(map(len, raw), np.uint32, len(raw))
+    return squeeze(np.uint32(len(raw)).tobytes() + sizes.tobytes() + b"".join(raw))
+
+
+def unpack_strings(data: bytes) -> pa.LargeStringArray:
+    raw = unsqueeze(data)
+    n = int(np.frombuffer(raw, np.uint32, 1)[0])
+    ends = np.concatenate([[0], np.cumsum(np.frombuffer(raw, np.uint32, n, 4).astype(np.int64))])
+    return pa.LargeStringArray.from_buffers(n, pa.py_buffer(ends.tobytes()), pa.py_buffer(raw[4 + 4 * n:]))
+
+
 def texts_of(rows: pa.Table | pa.RecordBatch, text: str) -> list[bytes]:
     """UTF-8 texts of a column; null is empty."""
     column = rows.column(text)

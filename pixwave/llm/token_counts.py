@@ -3,9 +3,9 @@
 A byte-level BPE never merges across pre-tokens, so a text has as many tokens as
 its pre-tokens have pieces. A block of documents keeps, per document, the numbers
 and frequencies of its pre-tokens (a sparse row), and sends each distinct
-pre-token once to the bucket of its hash. The bucket counts every distinct
-pre-token's pieces with the library and answers with the counts; the block adds
-them up. No token ids are kept, and a pre-token that every document has is sent
+pre-token once, compressed, to the bucket of its hash. The bucket counts every
+distinct pre-token's pieces with the library and answers with the counts, in
+order; the block joins them to its frequencies and adds up. No token ids are kept, and a pre-token that every document has is sent
 once per block.
 
 Texts are split fast: a space between two non-space characters always begins a
@@ -26,12 +26,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .blocks import default_buckets, from_ipc, to_ipc, write_blocks
+from .blocks import default_buckets, from_ipc, pack_strings, squeeze, to_ipc, unpack_strings, unsqueeze, write_blocks
 
 _ODD = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]")
 _EDGE = re.compile("^[ \t-\r]| [ \t-\r]|[\t-\r] |[ \t-\r]$")
 _BETWEEN = re.compile("(?<=[^ \t-\r]) (?=[^ \t-\r])")
 
+BLOCK_BYTES = 16 << 20  # of text: a larger block repeats fewer pre-tokens
+TEXT = "__text"
+
 
 @lru_cache(maxsize=4)
 def _library(spec: str):
@@ -126,7 +129,7 @@ class _Vocabulary:
 
 
 def token_counts(docs: DataFrame, spec: str, text: str = "text", keep: Sequence[str] = ("doc_id",), *, limit: int = 512,
-                 buckets: int | None = None) -> DataFrame:
+                 buckets: int | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """`keep` columns of every row with n_bytes, n_tokens and over_limit (more than `limit` tokens).
 
     `spec` is the content of a tokenizers .json file of a byte-level BPE. Counts are those of
@@ -142,45 +145,41 @@ def token_counts(docs: DataFrame, spec: str, text: str = "text", keep: Sequence[
         raise ValueError("a kept column has the name of a result")
 
     def store(block: int, rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        texts = [t or "" for t in rows.column(text).to_pylist()]
+        texts = [t or "" for t in rows.column(TEXT).to_pylist()]
         v = _Vocabulary(texts, _library(spec))
         steps, freqs = v.rows()
+        bucket = np.fromiter((zlib.crc32(t.encode()) % buckets for t in v.names), np.int64, len(v.names))
+        order = np.array(sorted(range(len(v.names)), key=lambda k: (bucket[k], v.names[k])), np.int64)
+        place = np.empty(len(order), np.uint32)
+        place[order] = np.arange(len(order), dtype=np.uint32)
         sizes = pa.array([len(t.encode()) for t in texts], pa.int64())
         own = pa.RecordBatch.from_arrays([*(rows.column(c) for c in keep), sizes, steps, freqs], names=[*map(str, range(len(keep))), "bytes", "steps", "freqs"])
-        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([-1], pa.int32()), pa.array([to_ipc(own)], pa.binary()),
-                                          pa.nulls(1, pa.list_(pa.string())), pa.nulls(1, pa.binary())], schema=stored_schema)
-        bucket = np.fromiter((zlib.crc32(t.encode()) % buckets for t in v.names), np.int64, len(v.names))
-        order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1)).tolist() + [len(order)]
-        groups = [order[a:b] for a, b in zip(cuts, cuts[1:])]
-        if groups:
-            n = len(groups)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([block] * n, pa.int64()), pa.array([int(bucket[g[0]]) for g in groups], pa.int32()), pa.nulls(n, pa.binary()),
-                pa.array([[v.names[i] for i in g.tolist()] for g in groups], pa.list_(pa.string())),
-                pa.array([g.astype(np.uint32).tobytes() for g in groups], pa.binary())], schema=stored_schema)
+        groups = [order[a:b].tolist() for a, b in zip(cuts, cuts[1:])]
+        yield pa.RecordBatch.from_arrays([
+            pa.array([block] * (len(groups) + 1), pa.int64()), pa.array([-1, *(int(bucket[g[0]]) for g in groups)], pa.int32()),
+            pa.array([to_ipc(own), *(pack_strings([v.names[k] for k in g]) for g in groups)], pa.binary()),
+            pa.array([squeeze(place.tobytes()), *[None] * len(groups)], pa.binary())], names=["block", "bucket", "payload", "places"])
 
     def count(rows: pa.Table) -> pa.Table:
-        tokens = rows.column("tokens").combine_chunks()
-        flat = tokens.flatten().dictionary_encode()
+        tokens = [unpack_strings(p) for p in rows.column("payload").to_pylist()]
+        flat = pa.concat_arrays(tokens).dictionary_encode()
         pieces = np.fromiter((len(e.ids) for e in _library(spec).encode_batch_fast(flat.dictionary.to_pylist(), add_special_tokens=False)), np.uint32)
         each = pieces[flat.indices.to_numpy(zero_copy_only=False)]
         ends = np.cumsum([len(t) for t in tokens])
-        return pa.Table.from_arrays([rows.column("block"), rows.column("places"),
-                                     pa.array([p.tobytes() for p in np.split(each, ends[:-1])], pa.binary())], names=["block", "places", "pieces"])
+        return pa.Table.from_arrays([rows.column("block"), rows.column("bucket"),
+                                     pa.array([squeeze(p.tobytes()) for p in np.split(each, ends[:-1])], pa.binary())], names=["block", "bucket", "pieces"])
 
-    stored_schema = to_arrow_schema(T.StructType().add("block", T.LongType()).add("bucket", T.IntegerType()).add("payload", T.BinaryType())
-                                    .add("tokens", T.ArrayType(T.StringType())).add("places", T.BinaryType()))
     out_schema = T.StructType([docs.schema[c] for c in keep]).add("n_bytes", "long").add("n_tokens", "long").add("over_limit", "boolean")
     arrow = to_arrow_schema(out_schema)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for payload, found in zip(batch.column("payload").to_pylist(), batch.column("found").to_pylist()):
+            for payload, places, found in zip(*(batch.column(c).to_pylist() for c in ("payload", "places", "found"))):
                 own = from_ipc(payload).combine_chunks()
-                pieces = np.zeros(1 + max((int(np.frombuffer(f["places"], np.uint32).max()) for f in found or []), default=0), np.int64)
-                for f in found or []:
-                    pieces[np.frombuffer(f["places"], np.uint32)] = np.frombuffer(f["pieces"], np.uint32)
+                # answers in the order of the buckets are in the order of the places
+                pieces = np.frombuffer(b"".join(unsqueeze(f["pieces"]) for f in sorted(found or [], key=lambda f: f["bucket"])), np.uint32).astype(np.int64)
+                pieces = pieces[np.frombuffer(unsqueeze(places), np.uint32)]
                 steps, freqs = own.column("steps").combine_chunks(), own.column("freqs").combine_chunks()
                 begin = steps.offsets.to_numpy().astype(np.int64)
                 token = np.cumsum(steps.values.to_numpy().astype(np.int64))
@@ -192,12 +191,12 @@ def token_counts(docs: DataFrame, spec: str, text: str = "text", keep: Sequence[
                 columns = [*(own.column(str(i)).combine_chunks() for i in range(len(keep))), own.column("bytes").combine_chunks(), pa.array(n, pa.int64()), pa.array(n > limit)]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
-    stored = write_blocks(docs.select(*keep, text), text, store,
-                          "block long, bucket int, payload binary, tokens array<string>, places binary", "token-counts")
-    answers = (stored.where("bucket >= 0").select("block", "bucket", "tokens", "places").groupBy("bucket")
-               .applyInArrow(count, "block long, places binary, pieces binary")
-               .groupBy("block").agg(F.collect_list(F.struct("places", "pieces")).alias("found")))
-    rows = stored.where("bucket = -1").select("block", "payload")
+    stored = write_blocks(docs.select(*keep, F.col(text).alias(TEXT)), TEXT, store, "block long, bucket int, payload binary, places binary",
+                          "token-counts", block_bytes)
+    answers = (stored.where("bucket >= 0").select("block", "bucket", "payload").groupBy("bucket")
+               .applyInArrow(count, "block long, bucket int, pieces binary")
+               .groupBy("block").agg(F.collect_list(F.struct("bucket", "pieces")).alias("found")))
+    rows = stored.where("bucket = -1").select("block", "payload", "places")
     return rows.join(answers, "block", "left").mapInArrow(finish, out_schema)
 
 

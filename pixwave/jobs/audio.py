@@ -15,7 +15,7 @@ from pixwave.functions.hashing import hash_key, key_uniform
 from pixwave.functions.text import file_stem
 from pixwave.operators import audio, pairing
 from pixwave.operators.index import default_buckets, global_index, hash_bucket
-from pixwave.session import build_session
+from pixwave.session import build_session, shared_dir
 from pixwave.sources import sinks, text, wav
 
 
@@ -40,10 +40,11 @@ def clips(spark: SparkSession, args) -> DataFrame:
     """Samples of every subtitle line, matched to the audio by file name."""
     chunks = wav.read_wav_chunks(spark, args.input, args.chunk, channel=0).withColumn("file", file_stem("file"))
     lines = text.read_subtitles(spark, args.subtitles).drop("file")
-    rates = chunks.groupBy("file").agg(F.max("fs").alias("fs"))
+    files = wav.read_wav_files(spark, args.input).withColumn("file", file_stem("file"))
+    rates = files.select("file", "fs")
     spans = lines.join(rates, lines.episode == rates.file, "left").drop("file")
     timed = audio.timecode_to_sample(spans, "fs", args.timecodes)
-    return audio.extract_clips(timed, chunks, args.chunk, "episode")
+    return audio.extract_clips(timed, chunks, args.chunk, "episode", files)
 
 
 def pieces(spark: SparkSession, args) -> DataFrame:
@@ -51,8 +52,11 @@ def pieces(spark: SparkSession, args) -> DataFrame:
     chunks = wav.read_wav_chunks(spark, args.input, args.chunk, channel=0)
     labelled = pairing.label_from_path(audio.select_channel(chunks), "file", args.classes.split(","))
     kept = audio.filter_short_audio(labelled, args.mintime)
-    frames = audio.crop_frequencies(audio.spectrogram(kept, args.tres, ("file", "label")), args.max_frequency)
-    made = audio.spectrogram_pieces(frames, args.mintime, args.tail, ("file", "label"))
+    frames = audio.spectrogram(kept, args.tres, ("file", "label"), args.max_frequency)
+    # numbering counts its input before it numbers it: the transform is done once, and its result written
+    path = shared_dir(spark, "pieces")
+    audio.spectrogram_pieces(frames, args.mintime, args.tail, ("file", "label")).write.parquet(path)
+    made = spark.read.parquet(path)
     key = hash_key(0, 0, "piece", F.concat_ws("#", "file", "piece_no"))
     numbered = global_index(made.withColumn("__key", key), ["__key", "file", "piece_no"], "example_id",
                             bucket=hash_bucket(key_uniform(key), default_buckets(made)))

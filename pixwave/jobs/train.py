@@ -44,20 +44,25 @@ def arguments(argv=None) -> argparse.Namespace:
     p.add_argument("--bootstrap", action="store_true", help="draw `steps` batches with replacement")
     p.add_argument("--split", default="train")
     p.add_argument("--metrics", help="folder for the metric rows")
+    p.add_argument("--evaluate-every", type=int, default=0, metavar="ROUNDS", help="evaluate the test split every so many rounds")
+    p.add_argument("--test-split", default="test")
     return p.parse_args(argv)
 
 
-def examples(spark: SparkSession, args) -> DataFrame:
+def examples(spark: SparkSession, args, split: str | None = None) -> DataFrame:
     """example_id, height, width, depth, label, pixels of the chosen split."""
+    split = split or args.split
     height, width, depth = (int(x) for x in args.shape.split(","))
     if args.labels:
-        x = text.read_csv_vectors(spark, args.images, "double").toDF("file", "block", "line", "pixels")
-        y = text.read_csv_vectors(spark, args.labels, "double").toDF("lfile", "lblock", "lline", "target")
+        x, y = (text.read_csv_vectors(spark, folder, "double") for folder in (args.images, args.labels))
+        if "split" in x.columns:
+            x, y = (side.where(F.col("split") == split).drop("split") for side in (x, y))
+        x, y = x.toDF("file", "block", "line", "pixels"), y.toDF("lfile", "lblock", "lline", "target")
         rows = pairing.zip_by_position(x, y, ["file", "block", "line"], ["lfile", "lblock", "lline"],
                                        bucket_a=F.struct("file", "block"), bucket_b=F.struct("lfile", "lblock"))
         rows = rows.select(F.col("idx").alias("example_id"), "pixels", class_index("target").alias("label"))
     else:
-        rows = read_back(spark, args.images, args.format, args.split)
+        rows = read_back(spark, args.images, args.format, split)
     return rows.withColumns({"height": F.lit(height), "width": F.lit(width), "depth": F.lit(depth)})
 
 
@@ -92,12 +97,27 @@ def main(argv=None, spark: SparkSession | None = None):
         callbacks = [training.save_each_round(spark, args.model, model["name"])]
         if args.metrics:
             callbacks.append(training.metrics_each_round(spark, args.metrics, model["name"]))
+        if args.evaluate_every:
+            tested = examples(spark, args, args.test_split)
+            ready = prep.eval_inputs(tested, args.crop, args.crop) if args.distort else tested if sound else prep.rescale_pixels(tested)
+            results: list = []
+            evaluate = training.evaluate_each_round(ready, model, results)
+
+            def evaluated(trained):
+                if trained.round % args.evaluate_every == 0:
+                    evaluate(trained)
+                    print("round: %d step: %d test accuracy: %.6f test loss: %.6f" % results[-1])
+
+            callbacks.append(evaluated)
         trained = training.train_parallel(
             rows, model, args.optimizer, args.batch_size, epochs,
             args.shards or spark.sparkContext.defaultParallelism, args.seed,
             callbacks, lr=lr, steps=args.steps, ema=args.ema, prepare=prepare)
         for round_no, step, tag, value in trained.metrics:
-            print(f"{datetime.now().isoformat()} round: {round_no} step: {step} {tag}: {value:.6f}")
+            if "/" not in tag:  # the metric rows have every step of every shard
+                print(f"{datetime.now().isoformat()} round: {round_no} step: {step} {tag}: {value:.6f}")
+        if trained.round < epochs:
+            print(f"stopped in epoch {trained.round} of {epochs} after {trained.step} steps (--steps {args.steps})")
         return trained
     trained = training.resume(spark, args.model, model["name"])
     params = trained.averaged if args.ema else trained.params

@@ -41,7 +41,8 @@ def timecode_to_sample(df: DataFrame, fs, mode: str = "correct") -> DataFrame:
                            "end_sample": timecode_sample("end_tc", fs, mode)})
 
 
-def extract_clips(intervals: DataFrame, chunks: DataFrame, chunk: int = 65536, file: str = "file") -> DataFrame:
+def extract_clips(intervals: DataFrame, chunks: DataFrame, chunk: int = 65536, file: str = "file",
+                  files: DataFrame | None = None) -> DataFrame:
     """Samples [start, end) of each interval, as ordered parts.
 
     intervals: `file`, num, dialogue, start_sample, end_sample; chunks: rows of
@@ -50,8 +51,11 @@ def extract_clips(intervals: DataFrame, chunks: DataFrame, chunk: int = 65536, f
     the chunk numbers it touches, and meets the chunks in an equi-join on
     (file, chunk_no), so neither a long file nor a long clip is ever one row.
     An empty interval, or one past the end, keeps one row with no samples.
+    `files` (file, n_frames) gives the lengths; without it they are taken from
+    the chunks, which are then read twice.
     """
-    facts = chunks.groupBy(F.col("file").alias("__file")).agg(F.max("n_frames").alias("__frames"))
+    facts = (chunks.groupBy("file").agg(F.max("n_frames").alias("n_frames")) if files is None else files).select(
+        F.col("file").alias("__file"), F.col("n_frames").alias("__frames"))
     known = intervals.join(facts, intervals[file] == F.col("__file"), "left").drop("__file")
     frames = F.coalesce("__frames", F.lit(0).cast("long"))
 
@@ -106,8 +110,8 @@ def power_density(frames: np.ndarray, fs: float) -> np.ndarray:
     return power
 
 
-def _frame_spectra(tres: int, carry: list[str]):
-    """mapInArrow body: all frames that lie wholly inside their chunk row."""
+def _frame_spectra(tres: int, carry: list[str], bins: int | None):
+    """mapInArrow body: all frames that lie wholly inside their chunk row; their first `bins` frequencies."""
 
     def emit(rows):
         names, spectra = [*carry, "fs", "n_frames"], []
@@ -136,7 +140,7 @@ def _frame_spectra(tres: int, carry: list[str]):
                 if len(x) - lead < length or first >= count:
                     continue
                 frames = np.lib.stride_tricks.sliding_window_view(x[lead:], length)[::hop][:count - first]
-                psd = power_density(frames, row["fs"])
+                psd = power_density(frames, row["fs"])[:, :bins]
                 held.append((row, first, count, psd))
                 values += psd.size
                 if values >= EMIT_VALUES:
@@ -183,12 +187,14 @@ def border_frames(chunks: DataFrame, tres: int, carry: list[str]) -> DataFrame:
                          F.flatten(F.transform("__parts", lambda p: p["__part"])).alias("samples"))
 
 
-def spectrogram(chunks: DataFrame, tres: int = 100, carry: tuple[str, ...] = ("file",)) -> DataFrame:
+def spectrogram(chunks: DataFrame, tres: int = 100, carry: tuple[str, ...] = ("file",),
+                max_frequency: int | None = None) -> DataFrame:
     """Frames of floor(tres/1000 * fs) samples, half overlapping -> power density per frequency.
 
     Returns `carry`, fs, n_frames, frame_count, frame, psd (one value per
     frequency bin). Chunks are transformed where they are; only frames over a
-    chunk border are put together by a shuffle.
+    chunk border are put together by a shuffle. `max_frequency` keeps the bins
+    of `crop_frequencies`; the others do not leave the transform.
     """
     carry = list(carry)
     columns = [*carry, "fs", "n_frames", "start_sample", "samples"]
@@ -197,12 +203,16 @@ def spectrogram(chunks: DataFrame, tres: int = 100, carry: tuple[str, ...] = ("f
     kinds = {f.name: f.dataType.simpleString() for f in whole.schema}
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in [*carry, "fs", "n_frames"]),
                         "frame_count bigint", "frame bigint", "psd array<double>"])
-    return rows.mapInArrow(_frame_spectra(tres, carry), schema)
+    return rows.mapInArrow(_frame_spectra(tres, carry, _bins(max_frequency) if max_frequency else None), schema)
+
+
+def _bins(max_frequency: int) -> int:
+    return int(max_frequency / 10)
 
 
 def crop_frequencies(df: DataFrame, max_frequency: int = 5000) -> DataFrame:
     """The first max_frequency/10 bins (bins are 10 Hz wide at 100 ms frames)."""
-    return df.withColumn("psd", F.slice("psd", 1, int(max_frequency / 10)))
+    return df.withColumn("psd", F.slice("psd", 1, _bins(max_frequency)))
 
 
 @arrow_udf(DOUBLES)

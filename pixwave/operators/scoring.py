@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ..functions.vectors import argmax, softmax, vector_sum
+from ..functions.vectors import argmax, softmax
 from .images import DOUBLES, block_array
 from .layers import Params, forward
 from .metrics import evaluate
@@ -87,19 +87,39 @@ def layer_outputs(df: DataFrame, model: dict, params: Params, ident: str = "exam
     return df.select(ident, pixels).mapInArrow(run, f"`{ident}` {kind}, tag string, values array<double>")
 
 
-def activation_summary(df: DataFrame, model: dict, params: Params, ident: str = "example_id") -> DataFrame:
+def activation_summary(df: DataFrame, model: dict, params: Params, pixels: str = "pixels", batch: int = 32) -> DataFrame:
     """mean, stddev, min, max and sparsity of the activations of each layer.
 
-    Each row is summarised where it is computed, so single values are never shuffled.
+    A task sends one row per layer: count, mean, sum of squares about that mean, bounds and zeros. Squares are always
+    about a mean, so a large mean does not cancel a small variance.
     """
-    rows = layer_outputs(df, model, params, ident)
-    n = F.size("values").cast("double")
-    sums = rows.select(
-        "tag", n.alias("n"), vector_sum(F.col("values")).alias("s"),
-        vector_sum(F.transform("values", lambda x: x * x)).alias("q"), F.array_min("values").alias("lo"),
-        F.array_max("values").alias("hi"), F.size(F.filter("values", lambda x: x == 0)).alias("z"))
-    total = F.sum("n")
-    mean = F.sum("s") / total
-    return sums.groupBy("tag").agg(
-        mean.alias("mean"), F.sqrt(F.greatest(F.sum("q") / total - mean * mean, F.lit(0.0))).alias("stddev"),
-        F.min("lo").alias("min"), F.max("hi").alias("max"), (F.sum("z") / total).alias("sparsity"))
+    shared = broadcast_params(df.sparkSession, params)
+
+    def run(batches):
+        sums: dict[str, list] = {}
+        for rows in batches:
+            for i in range(0, rows.num_rows, batch):
+                outputs = []
+                forward(model, shared.value, matrix(rows.column(0).slice(i, batch)), outputs=outputs)
+                for tag, values in outputs:
+                    n, mean = values.size, values.mean()
+                    new = [n, mean, ((values - mean) ** 2).sum(), values.min(), values.max(), (values == 0).sum()]
+                    sums[tag] = _merge(sums[tag], new) if tag in sums else new
+        if sums:
+            columns = list(zip(*sums.values()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums)), *(pa.array([float(x) for x in c]) for c in columns)],
+                                             names=["tag", "n", "mean", "m2", "lo", "hi", "z"])
+
+    parts = df.select(pixels).mapInArrow(run, "tag string, n double, mean double, m2 double, lo double, hi double, z double")
+    pivot = parts.groupBy("tag").agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("__mean"))
+    about = F.col("m2") + F.col("n") * F.pow(F.col("mean") - F.col("__mean"), 2)
+    return (parts.join(pivot, "tag").groupBy("tag", "__mean")
+            .agg(F.sum(about).alias("__m2"), F.sum("n").alias("__n"), F.min("lo").alias("min"), F.max("hi").alias("max"), F.sum("z").alias("__z"))
+            .select("tag", F.col("__mean").alias("mean"), F.sqrt(F.col("__m2") / F.col("__n")).alias("stddev"), "min", "max",
+                    (F.col("__z") / F.col("__n")).alias("sparsity")))
+
+
+def _merge(a: list, b: list) -> list:
+    """Count, mean, squares about the mean, bounds and zeros of two sets of values together."""
+    n, shift = a[0] + b[0], b[1] - a[1]
+    return [n, a[1] + shift * b[0] / n, a[2] + b[2] + shift * shift * a[0] * b[0] / n, min(a[3], b[3]), max(a[4], b[4]), a[5] + b[5]]

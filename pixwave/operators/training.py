@@ -9,6 +9,7 @@ task gives the same result.
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -37,17 +38,20 @@ def weight_chunks(state: Params) -> list[tuple[str, list[int], int, np.ndarray]]
 
 def weights_frame(spark: SparkSession, state: Params, model: str, step: int) -> DataFrame:
     """Weight rows (model, step, tensor, shape, chunk, parts, values) of one model."""
-    pieces = weight_chunks(state)
-    rows = [(model, step, name, shape, chunk, len(pieces), [float(v) for v in values])
-            for name, shape, chunk, values in pieces]
-    return spark.createDataFrame(rows, WEIGHTS_SCHEMA)
+    names, shapes, chunks, values = zip(*weight_chunks(state))
+    n = len(names)
+    table = pa.table({
+        "model": pa.array([model] * n), "step": pa.array([step] * n, pa.int64()), "tensor": pa.array(names),
+        "shape": pa.array(shapes, pa.list_(pa.int32())), "chunk": pa.array(chunks, pa.int32()), "parts": pa.array([n] * n, pa.int32()),
+        "values": pa.array([np.asarray(v, np.float64) for v in values], pa.list_(pa.float64()))})
+    return spark.createDataFrame(table, WEIGHTS_SCHEMA)
 
 
-def collect_state(rows: DataFrame) -> Params:
-    """Weight rows of one model -> numpy tensors. Only the model itself reaches the driver."""
+def collect_state(rows: DataFrame, dtype=np.float64) -> Params:
+    """Weight rows of one model -> numpy tensors. Only the model itself reaches the driver, in the precision of the rows."""
     table = rows.select("tensor", "shape", "chunk", "values").toArrow().to_pandas()
     table = table.sort_values(["tensor", "chunk"])
-    return {name: np.concatenate(list(part["values"])).astype(np.float64).reshape(tuple(part["shape"].iloc[0]))
+    return {name: np.concatenate(list(part["values"])).astype(dtype, copy=False).reshape(tuple(part["shape"].iloc[0]))
             for name, part in table.groupby("tensor")}
 
 
@@ -188,8 +192,8 @@ def _shard_trainer(model, shared, optimizer, batch, rate, seed, round_no, step0,
                 state[f"ema/{k}"] += (1 - d) * (state[k] - state[f"ema/{k}"])
         return loss * len(y), hits * len(y)
 
-    def emit(state, shard, rows, steps, sums):
-        pieces = weight_chunks({**state, "#metrics": sums / rows, "#steps": np.array([float(steps)])})
+    def emit(state, shard, rows, steps, sums, each):
+        pieces = weight_chunks({**state, "#metrics": sums / rows, "#steps": np.array([float(steps)]), f"#shard {shard}": np.array(each).ravel()})
         for i in range(0, len(pieces), 256):
             names, shapes, chunks, values = zip(*pieces[i:i + 256])
             n = len(names)
@@ -200,23 +204,25 @@ def _shard_trainer(model, shared, optimizer, batch, rate, seed, round_no, step0,
                 "values": pa.array([v.astype(dtype) for v in values], pa.list_(value_type))})
 
     def run(batches):
-        current, state, rows, steps, sums = None, None, 0, 0, np.zeros(2)
+        current, state, rows, steps, sums, each = None, None, 0, 0, np.zeros(2), []
         for x, y, shard in mini_batches(batches, batch):
             if shard != current:
                 if rows:
-                    yield from emit(state, current, rows, steps, sums)
+                    yield from emit(state, current, rows, steps, sums, each)
                 current, state = shard, {k: v.copy() for k, v in shared.value.items()}
-                rows, steps, sums = 0, 0, np.zeros(2)
+                rows, steps, sums, each = 0, 0, np.zeros(2), []
             if limit is None or steps < limit:
-                sums += learn(state, x, y, shard, steps)
+                new = np.array(learn(state, x, y, shard, steps))
+                sums += new
+                each.append(new / len(y))
                 rows, steps = rows + len(y), steps + 1
         if rows:
-            yield from emit(state, current, rows, steps, sums)
+            yield from emit(state, current, rows, steps, sums, each)
 
     return run
 
 
-def _average_chunks(batches):
+def _average_chunks(dtype, batches):
     """mapInArrow body: rows sorted by (tensor, chunk, shard) -> one averaged row per (tensor, chunk).
 
     The mean is weighted by rows and added in shard order, one shard at a time;
@@ -239,17 +245,17 @@ def _average_chunks(batches):
             total = np.maximum(total, x) if name == "#steps" else total + x * n
             rows += n
         if len(done) >= 256:
-            yield _merged_batch(done)
+            yield _merged_batch(done, dtype)
             done = []
     if key:
-        yield _merged_batch([*done, finished()])
+        yield _merged_batch([*done, finished()], dtype)
 
 
-def _merged_batch(done) -> pa.RecordBatch:
+def _merged_batch(done, dtype) -> pa.RecordBatch:
     names, chunks, shapes, values = zip(*done)
     return pa.RecordBatch.from_pydict({
         "tensor": pa.array(names), "shape": pa.array(shapes, pa.list_(pa.int32())),
-        "chunk": pa.array(chunks, pa.int32()), "values": pa.array(list(values), pa.list_(pa.float64()))})
+        "chunk": pa.array(chunks, pa.int32()), "values": pa.array([v.astype(dtype) for v in values], pa.list_(pa.from_numpy_dtype(dtype)))})
 
 
 def train_round(laid: DataFrame, model: dict, trained: Trained, *, optimizer: str, batch: int,
@@ -258,7 +264,8 @@ def train_round(laid: DataFrame, model: dict, trained: Trained, *, optimizer: st
                 dtype=np.float32) -> Trained:
     """One round over rows from `lay_out`: one narrow pass per shard and one small shuffle of weights.
 
-    The steps of a shard run in `dtype`, the average over the shards in double.
+    The steps of a shard run in `dtype`, the average over the shards in double; what comes back is `dtype` again, and
+    the loss and accuracy of each step of each shard.
     """
     shared = broadcast_params(laid.sparkSession, {k: v.astype(dtype) for k, v in trained.state.items()})
     rows = prepare(laid, trained.round) if prepare else laid
@@ -267,20 +274,23 @@ def train_round(laid: DataFrame, model: dict, trained: Trained, *, optimizer: st
                .select(F.col("pixels"), F.col("label").cast("int").alias("label"), "__shard"))
     body = _shard_trainer(model, shared, optimizer, batch, rate, seed, trained.round, trained.step, limit, ema,
                           np.dtype(dtype))
-    parts_schema = PARTS_SCHEMA if np.dtype(dtype) == np.float64 else PARTS_SCHEMA.replace("double", "float")
-    merged = (ordered.mapInArrow(body, parts_schema).repartition("tensor", "chunk")
-              .sortWithinPartitions("tensor", "chunk", "shard").mapInArrow(_average_chunks, MERGED_SCHEMA))
-    state = {k: v.astype(dtype) if k[0] != "#" else v for k, v in collect_state(merged).items()}
+    parts_schema, merged_schema = (s if np.dtype(dtype) == np.float64 else s.replace("double", "float") for s in (PARTS_SCHEMA, MERGED_SCHEMA))
+    merged = (ordered.mapInArrow(body, parts_schema).repartition("tensor", "chunk").sortWithinPartitions("tensor", "chunk", "shard")
+              .mapInArrow(partial(_average_chunks, np.dtype(dtype)), merged_schema))
+    state = collect_state(merged, dtype)
     shared.unpersist()
     if not state:
         return trained
-    loss, hits = state.pop("#metrics")
+    each = {int(k.split()[1]): state.pop(k) for k in sorted(state) if k.startswith("#shard ")}
+    loss, hits = (float(x) for x in state.pop("#metrics"))
     steps = int(state.pop("#steps")[0])
     if not np.isfinite(loss):
         raise ArithmeticError(f"loss is {loss} in round {trained.round}")
     step = trained.step + steps
     new = [(trained.round, step, tag, float(value)) for tag, value in
            [("loss", loss), ("accuracy", hits), ("learning_rate", rate(step - 1))]]
+    new += [(trained.round, trained.step + i + 1, f"shard {shard}/{tag}", float(v)) for shard, values in each.items()
+            for i, pair in enumerate(values.reshape(-1, 2)) for tag, v in zip(("loss", "accuracy"), pair)]
     return Trained(state, step, trained.round + 1, trained.metrics + new)
 
 
@@ -312,8 +322,14 @@ def train_parallel(df: DataFrame, model: dict, optimizer: str = "sgd", batch: in
     return trained
 
 
+def step_log(metrics: DataFrame, tag: str = "loss") -> DataFrame:
+    """Rows (run, step, loss) of the steps of every shard: input of the series operators. A run is a shard."""
+    shard = F.regexp_extract("tag", f"^shard ([0-9]+)/{tag}$", 1)
+    return metrics.where(shard != "").select(shard.cast("int").alias("run"), (F.col("step") - 1).alias("step"), F.col("value").alias("loss"))
+
+
 def metrics_frame(spark: SparkSession, trained: Trained) -> DataFrame:
-    """Metrics of each round as rows."""
+    """Metrics of each round, and of each step of each shard, as rows."""
     return spark.createDataFrame(trained.metrics, METRICS_SCHEMA)
 
 

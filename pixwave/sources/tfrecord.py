@@ -26,7 +26,21 @@ def _crc_table() -> np.ndarray:
 
 
 def masked_crcs(messages: list[bytes]) -> np.ndarray:
-    """Masked CRC-32C of each message: one numpy step per byte position over all messages."""
+    """Masked CRC-32C of each message.
+
+    Messages are taken together by the power of two of their length, so that one
+    long message does not widen the buffer of many short ones.
+    """
+    out = np.empty(len(messages), np.uint32)
+    classes = np.array([len(m).bit_length() for m in messages])
+    for size in np.unique(classes):
+        places = np.flatnonzero(classes == size)
+        out[places] = _crcs_together([messages[i] for i in places])
+    return out
+
+
+def _crcs_together(messages: list[bytes]) -> np.ndarray:
+    """One numpy step per byte position over all messages."""
     lengths = np.array([len(m) for m in messages])
     order = np.argsort(-lengths, kind="stable")
     buffer = np.zeros((int(lengths.max(initial=0)), len(messages)), np.uint8)

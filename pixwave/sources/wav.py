@@ -7,10 +7,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
-from .files import TARGET_BYTES, Slice, filesystem, list_files, pack, qualified
+from .files import TARGET_BYTES, Slice, filesystem, list_files, pack, pack_files, qualified
 
 WAV_SCHEMA = ("file string, fs int, channel int, n_frames long, chunk_no long, start_sample long, "
               "samples array<short>")
+FILES_SCHEMA = "file string, fs int, channels int, n_frames long"
+# Files whose headers one task reads.
+HEADERS = 4096
 # Bytes to round a file size down by before cutting it: the smallest PCM header.
 HEADER = 44
 
@@ -77,6 +80,41 @@ class WavReader(DataSourceReader):
                     })
 
 
+class WavFiles(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "pixwave_wav_files"
+
+    def schema(self) -> str:
+        return FILES_SCHEMA
+
+    def reader(self, schema) -> "WavFilesReader":
+        return WavFilesReader(self.options["path"])
+
+
+class WavFilesReader(DataSourceReader):
+    """Headers alone, a few thousand files per task."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def partitions(self):
+        return pack_files([(p, 1) for p, _ in list_files(self.path)], HEADERS)
+
+    def read(self, partition):
+        for s in partition.slices:
+            system, inner = filesystem(s.path)
+            with system.open_input_file(inner) as f:
+                header = wave.open(f, "rb")
+                yield (s.path, header.getframerate(), header.getnchannels(), header.getnframes())
+
+
+def read_wav_files(spark: SparkSession, path: str) -> DataFrame:
+    """One row per WAV file: file, fs, channels, n_frames. No sample is read."""
+    spark.dataSource.register(WavFiles)
+    return spark.read.format("pixwave_wav_files").load(qualified(spark, path))
+
+
 def read_wav_chunks(spark: SparkSession, path: str, chunk: int = 65536, channel: int | None = None,
                     target_bytes: int = TARGET_BYTES) -> DataFrame:
     """WAV files -> one row per (file, channel, chunk) with the header facts on each row.

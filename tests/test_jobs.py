@@ -27,7 +27,7 @@ def test_prepare_train_and_infer(spark, dataset, tmp_path, capsys, fmt):
     trained = train.main([*common, "-b", "10", "-e", "2", "--shards", "2", "--lr", "0.01", "--metrics",
                           str(tmp_path / "metrics")], spark)
     assert trained.round == 2
-    assert spark.read.parquet(str(tmp_path / "metrics")).count() == 6
+    assert spark.read.parquet(str(tmp_path / "metrics")).filter("tag not like '%/%'").count() == 6
     train.main([*common, "-X", "inference", "--split", "test", "-o", str(tmp_path / "pred")], spark)
     lines = spark.read.text(str(tmp_path / "pred/text")).collect()
     assert len(lines) == 15 and all(" Label: " in r.value and ", Prediction: " in r.value for r in lines)
@@ -53,12 +53,15 @@ def test_train_on_vectors_paired_by_position(spark, tmp_path):
     assert sorted((r.pixels[0], r.label) for r in rows) == [(float(i), 0 if i % 2 else 1) for i in range(12)]
 
 
-def test_distorted_training(spark, dataset, tmp_path):
+def test_distorted_training(spark, dataset, tmp_path, capsys):
     out, model = str(tmp_path / "examples"), str(tmp_path / "model")
     prepare.main(["-i", dataset, "-o", out, "-f", "parquet", "--shape", "3,8,8"], spark)
     common = ["-i", out, "-f", "parquet", "-m", model, "--net", "cifar", "--shape", "8,8,3", "--distort", "--crop", "6"]
     assert train.main([*common, "-b", "10", "--shards", "2", "-s", "2", "--decay-steps", "1", "--ema", "0.9"], spark).step == 2
     assert train.main([*common, "-X", "evaluate", "--split", "test", "--ema", "0.9"], spark).n == 15
+    capsys.readouterr()
+    train.main([*common[:4], "-m", model + "2", *common[6:], "-b", "50", "--shards", "2", "-e", "2", "--evaluate-every", "1"], spark)
+    assert capsys.readouterr().out.count("test accuracy") == 2
     assert sinks.restore_weights(spark, model, "cifar").first().step == 2
 
 
@@ -73,6 +76,14 @@ def write_wav(path, seconds, fs=400, channels=2, seed=0):
     return samples
 
 
+def test_audio_jobs_read_the_samples_once(spark, tmp_path):
+    write_wav(tmp_path / "wav" / "a" / "x.wav", 5)
+    (tmp_path / "s.ass").write_text("---Sub-JP----\nDialogue: 0,0:00:01.50,0:00:04.00,Sub-Jap,,0,0,0,,a\n")
+    args = audio.arguments(["clip", "-i", str(tmp_path / "wav"), "--subtitles", str(tmp_path / "s.ass"), "-o", "x"])
+    plan = audio.clips(spark, args)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchScan pixwave_wav[") == 1 and plan.count("BatchScan pixwave_wav_files[") >= 1
+
+
 def test_clips_by_subtitles(spark, tmp_path):
     samples = write_wav(tmp_path / "wav" / "ep 1.wav", 10)
     (tmp_path / "subs").mkdir()

@@ -178,6 +178,15 @@ def test_subtitles(spark, tmp_path):
         ("ep1.Jap", 0, "hello", "0:01:02.50"), ("ep1.Jap", 1, "he", "1:01:02.50")]
 
 
+def test_checksums_of_short_and_long_records():
+    from pixwave.sources.tfrecord import _crcs_together, masked_crcs
+    messages = [bytes([i % 251]) * (100 + i % 7) for i in range(20_000)] + [b"x" * (2 << 20), b""]
+    out = masked_crcs(messages)
+    for i in (0, 5, 19_999, 20_000, 20_001):
+        assert out[i] == _crcs_together([messages[i]])[0]
+    assert masked_crcs([]).shape == (0,)
+
+
 def weights(spark, step, chunks, parts):
     rows = [("m", step, "w", [2], c, parts, [float(step), float(c)]) for c in range(chunks)]
     return spark.createDataFrame(rows, sinks.WEIGHTS_SCHEMA)

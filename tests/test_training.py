@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pixwave.operators import images, layers, metrics, scoring, training
+from pixwave.operators import images, layers, metrics, scoring, series, training
 from pixwave.plans.fixtures import img8
 from pixwave.sources import sinks
 from pixwave.streaming import learning
@@ -74,7 +74,12 @@ def test_steps_callbacks_and_errors(spark, rows):
     with pytest.raises(ValueError):
         training.train_parallel(rows, MLP, "other")
     frame = training.metrics_frame(spark, trained)
-    assert {r.tag for r in frame.collect()} == {"loss", "accuracy", "learning_rate"}
+    assert {r.tag for r in frame.collect() if "/" not in r.tag} == {"loss", "accuracy", "learning_rate"}
+    log = training.step_log(frame)
+    assert {(r.run, r.step) for r in log.collect()} == {(s, k) for s in range(2) for k in range(7)}
+    emas = series.ema_losses(log, "run", "step", "loss")
+    assert emas.count() == 14 and emas.where("ema is null or loss is null").count() == 0
+    assert metrics.every_n_steps(log, 5).count() == 4
     assert training.decayed_rate(0.1)(136718) == pytest.approx(0.01)
 
 
@@ -117,6 +122,13 @@ def test_tasks_may_hold_several_shards(spark, rows, monkeypatch):
     assert same(apart.state, training.train_parallel(rows, MLP, **options).state)
 
 
+def test_activation_summary_does_not_cancel(spark, rows):
+    model = dict(name="m", shape=(64,), layers=[layers.dense(3, "identity")])
+    params = {"w0": np.zeros((64, 3)), "b0": np.array([1e9, 1e9 + 1, 1e9 + 2])}
+    out = scoring.activation_summary(rows.repartition(5), model, params).collect()
+    assert len(out) == 1 and abs(out[0].stddev - np.sqrt(2 / 3)) < 1e-6 and out[0].mean == 1e9 + 1 and out[0].sparsity == 0
+
+
 def test_model_size_is_checked(spark, monkeypatch):
     monkeypatch.setattr(scoring, "MAX_MODEL_BYTES", 100)
     with pytest.raises(ValueError, match="does not fit"):

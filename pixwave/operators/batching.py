@@ -35,11 +35,12 @@ def assign_batches(df: DataFrame, batch: int, epochs: int = 1, seed: int = 0, po
 
     `wrap`: batches run over the epoch border, the rest of one epoch and the
     start of the next form one batch. `partial`: each epoch ends with a short
-    batch. Without `shuffle` every epoch is in `ident` order.
+    batch. Without `shuffle` every epoch is in `ident` order. `ident` must identify a row.
     """
     if policy not in ("wrap", "partial"):
         raise ValueError(f"unknown policy: {policy}")
-    rows = repeat_epochs(df, epochs)
+    # only ids are ranked; the other columns join them once, keyed by a struct, which compares nulls as equal
+    rows = repeat_epochs(df.select(ident), epochs)
     if shuffle:
         ranked = shuffle_epoch(rows, ident, seed, "epoch", "__rank", buckets=buckets, total="__total")
     else:
@@ -51,8 +52,10 @@ def assign_batches(df: DataFrame, batch: int, epochs: int = 1, seed: int = 0, po
     else:
         position = rank
         step = epoch * F.ceil(total / batch) + F.floor(rank / batch)
-    return (ranked.withColumn("step", step.cast("long")).withColumn("slot", (position % batch).cast("int"))
-            .drop("__rank", "__total"))
+    placed = ranked.select(F.struct(F.col(ident).alias("id")).alias("__id"), "epoch", step.cast("long").alias("step"),
+                           (position % batch).cast("int").alias("slot"))
+    payload = df.drop("epoch", "step", "slot").withColumn("__id", F.struct(F.col(ident).alias("id")))
+    return payload.join(placed, "__id").drop("__id")
 
 
 def bootstrap_batches(df: DataFrame, batch: int, steps: int, seed: int = 0, ident: str = "example_id", *,

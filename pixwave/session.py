@@ -1,5 +1,7 @@
 """Session settings and the shared scratch folder."""
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -22,8 +24,24 @@ def build_session(app: str = "pixwave", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_SCRATCH: list[str] = []
+
+
+def clear_scratch() -> None:
+    """Delete the scratch folders that this process has named; results that still read them must be written by then."""
+    from .sources.files import filesystem
+    while _SCRATCH:
+        path = _SCRATCH.pop()
+        with contextlib.suppress(Exception):  # not there, or a store that Arrow cannot reach
+            system, inner = filesystem(path)
+            system.delete_dir(inner)
+
+
+atexit.register(clear_scratch)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path below the folder the cluster names in `spark.checkpoint.dir`.
+    """A fresh path below the folder the cluster names in `spark.checkpoint.dir`, deleted when the application ends.
 
     Only a local master may fall back to a temporary folder of this machine.
     """
@@ -35,5 +53,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="pixwave-")
         sc.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
 

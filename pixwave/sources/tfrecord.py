@@ -1,6 +1,7 @@
 """TFRecord files of Example messages with int64 lists, as a Spark source and sink."""
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -280,10 +281,10 @@ class TFRecordWriter(DataSourceArrowWriter):
             for info in system.get_file_info(fs.FileSelector(target)):
                 if info.is_file:
                     system.delete_file(info.path)
-        for message in messages:
-            if message is not None and message.name:
-                # one name per partition number, so the order of the files is that of the partitions
-                system.move(f"{staging}/{message.name}", f"{target}/{message.name}")
+        # one name per partition number, so the order of the files is that of the partitions
+        names = [m.name for m in messages if m is not None and m.name]
+        with ThreadPoolExecutor(32) as threads:  # an object store copies for each move
+            list(threads.map(lambda name: system.move(f"{staging}/{name}", f"{target}/{name}"), names))
         if system.get_file_info(staging).type != fs.FileType.NotFound:
             system.delete_dir(staging)
 

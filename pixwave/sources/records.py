@@ -1,5 +1,8 @@
 """Fixed-length labelled image records and IDX files as Spark data sources."""
 
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -123,6 +126,13 @@ def _header(f, path: str, magic: int, words: int) -> list[int]:
     return head[1:]
 
 
+@dataclass
+class IdxSlice(Slice):
+    """Images of one file, their shape and the file of their labels."""
+    shape: tuple[int, int] = (0, 0)
+    labels: str | None = None
+
+
 class IdxFiles(DataSource):
     """IDX image files, with the label file of the same rank read alongside."""
 
@@ -149,34 +159,46 @@ class IdxReader(DataSourceReader):
         labels = list_files(self.labels) if self.labels else [(None, 0)] * len(images)
         if len(images) != len(labels):
             raise ValueError(f"{len(images)} image files but {len(labels)} label files")
-        tasks, base = [], 0
-        for (path, _), (label_path, _) in zip(images, labels):
-            with _open(path) as f:
-                count, rows, cols = _header(f, path, IMAGE_MAGIC, 4)
-            if label_path:
-                with _open(label_path) as f:
-                    (n_labels,) = _header(f, label_path, LABEL_MAGIC, 2)
-                if n_labels != count:
-                    raise ValueError(f"{path}: {count} images but {n_labels} labels in {label_path}")
-            whole = Slice(path, 0, count, base)
+        # ids count on over the files, so their counts are needed first: 16 bytes per file, many files at a time
+        with ThreadPoolExecutor(32) as threads:
+            shapes = list(threads.map(self._shape, [p for p, _ in images], [p for p, _ in labels]))
+        tasks, base, room = [Slices([])], 0, self.target
+        for (path, _), (label_path, _), (count, rows, cols) in zip(images, labels, shapes):
+            whole = IdxSlice(path, 0, count, base, (rows, cols), label_path)
             zipped = path.endswith(".gz") or (label_path or "").endswith(".gz")
-            parts = [Slices([whole])] if zipped else pack([whole], rows * cols, self.target)
+            parts = [Slices([whole])] if zipped else pack([whole], max(1, rows * cols), self.target)
             for part in parts:
-                part.shape, part.labels = (rows, cols), label_path
-            tasks += parts
+                cut = [replace(whole, first=s.first, count=s.count, base=s.base) for s in part.slices]
+                size = sum(s.count for s in cut) * rows * cols
+                if size > room and tasks[-1].slices:
+                    tasks.append(Slices([]))
+                    room = self.target
+                tasks[-1].slices += cut
+                room -= size
             base += count
-        return tasks or [Slices([])]
+        return tasks
+
+    @staticmethod
+    def _shape(path: str, label_path: str | None) -> tuple[int, int, int]:
+        with _open(path) as f:
+            count, rows, cols = _header(f, path, IMAGE_MAGIC, 4)
+        if label_path:
+            with _open(label_path) as f:
+                (n_labels,) = _header(f, label_path, LABEL_MAGIC, 2)
+            if n_labels != count:
+                raise ValueError(f"{path}: {count} images but {n_labels} labels in {label_path}")
+        return count, rows, cols
 
     def read(self, partition):
         for s in partition.slices:
-            rows, cols = partition.shape
+            rows, cols = s.shape
             size = rows * cols
             per_batch = max(1, BATCH_BYTES // size)
             with _open(s.path) as images:
-                labels = _open(partition.labels) if partition.labels else None
+                labels = _open(s.labels) if s.labels else None
                 _skip(images, 16 + s.first * size, s.path)
                 if labels:
-                    _skip(labels, 8 + s.first, partition.labels)
+                    _skip(labels, 8 + s.first, s.labels)
                 for done in range(0, s.count, per_batch):
                     n = min(per_batch, s.count - done)
                     pixels = np.frombuffer(_exactly(images, n * size, s.path), np.uint8).reshape(n, size)
@@ -187,7 +209,7 @@ class IdxReader(DataSourceReader):
                         "depth": _ints(n, 1),
                     }
                     if labels:
-                        raw = _exactly(labels, n, partition.labels)
+                        raw = _exactly(labels, n, s.labels)
                         columns["label"] = _ints(n, np.frombuffer(raw, np.uint8))
                     columns["pixels"] = pixel_lists(pixels)
                     yield pa.RecordBatch.from_pydict(columns)

@@ -67,6 +67,18 @@ def test_idx(spark, tmp_path, rng, zipped):
     assert records.read_idx(spark, paths[0]).count() == 50
 
 
+def test_small_idx_files_share_a_task(spark, tmp_path, rng):
+    for k in range(30):
+        folder = tmp_path / f"f{k:02d}"
+        folder.mkdir()
+        write_idx(folder, rng.integers(0, 256, (3, 2, 4), dtype=np.uint8), rng.integers(0, 10, 3, dtype=np.uint8))
+        (folder / "images").rename(tmp_path / f"images-{k:02d}")
+        (folder / "labels").rename(folder / "unused")
+        folder.rename(tmp_path / f"_{k}")
+    out = records.read_idx(spark, str(tmp_path))
+    assert out.rdd.getNumPartitions() == 1 and [r.example_id for r in out.orderBy("example_id").collect()] == list(range(90))
+
+
 def test_idx_errors(spark, tmp_path, rng):
     images, labels = rng.integers(0, 256, (5, 2, 2), dtype=np.uint8), np.zeros(5, np.uint8)
     write_idx(tmp_path, images, labels, image_magic=2050)

@@ -11,7 +11,7 @@ permutation x -> (p x + c) mod n, p a prime that does not divide n, both drawn p
 source and pass; slots then meet the blocks by (source, index).
 
 A source with a third of all rows is many digest buckets and many index keys; no
-window spans more than the 65,536 buckets of a source or the table of sources.
+window spans more than the 4,096 buckets of a source or the table of sources.
 """
 
 from collections.abc import Sequence
@@ -61,7 +61,7 @@ def placed(docs: DataFrame, text: str, ident: str, source: str, seed: int) -> Da
     """(source, ident, size, start): the words of each row and where they begin in the stream of its source."""
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col(ident).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit(""))))
     rows = saved(docs.select(F.col(source).alias("source"), F.col(ident).alias("ident"), word_count(F.col(text)).alias("size"), key.alias("key")), "mixture-rows")
-    rows = rows.withColumn("bucket", F.substring("key", 1, 4))
+    rows = rows.withColumn("bucket", F.substring("key", 1, 3))
     counts = rows.groupBy("source", "bucket").agg(F.sum("size").alias("held"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("held").over(before), F.lit(0)).alias("before"))
@@ -117,11 +117,12 @@ def mix(docs: DataFrame, text: str = "text", ident: str = "doc_id", source: str
               .withColumn("first", F.greatest(F.lit(0), F.col("index") * block - F.col("start")))
               .withColumn("words", F.least(F.col("size"), (F.col("index") + 1) * block - F.col("start")) - F.col("first")))
     drawn = slots(passes(goals, block, seed), shards, seed).select(F.col("source").alias("s"), "pass", F.col("index").alias("i"), "shard")
-    spans = (pieces.join(drawn, F.col("source").eqNullSafe(F.col("s")) & (F.col("index") == F.col("i")))
+    # both sides grow with the documents: never broadcast one, whatever the size of what they are made from
+    spans = (pieces.join(drawn.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("index") == F.col("i")))
              .select("shard", "source", "pass", "index", "ident", "first", "words", "start"))
     taken = spans.groupBy("source", "start").agg(F.sum("words").alias("taken")).select(F.col("source").alias("s"), F.col("start").alias("t"), "taken")
     # a row with words is the only one that begins where it does in its source
-    named = rows.join(taken, F.col("source").eqNullSafe(F.col("s")) & (F.col("start") == F.col("t")) & (F.col("size") > 0), "left")
+    named = rows.join(taken.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("start") == F.col("t")) & (F.col("size") > 0), "left")
     goals = goals.withColumnRenamed("source", "g")
     result = (named.join(goals, F.col("source").eqNullSafe(F.col("g")))
               .select(F.col("ident").alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))

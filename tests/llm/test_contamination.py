@@ -27,21 +27,21 @@ def test_planted_passages_of_the_given_tables(spark, sf_dir):
 
 def bench(spark):
     return spark.createDataFrame([
-        (7, "John has 5 apples and 5 pears in the big box while Mary has 12 kg of them.", None),
-        (3, "Tim has 3 apples and 3 pears in the big box while Ann has 1.5 g of them.", "x"),
+        (7, "When John has 5 apples and 5 pears in the big box while Mary has 12 kg of them.", None),
+        (3, "When Tim has 3 apples and 3 pears in the big box while Ann has 1.5 g of them.", "x"),
         (9, "He has 3 apples and 4 pears in the big box while Ann has 1.5 g of them.", "x"),
         (4, "too short", "x"), (5, None, None), (6, "", None), (8, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15", None),
         (10, "only six words stand in here", None), (None, "an item that has no name of its own but words enough to be found", None)], BENCH)
 
 
 TEXTS = [
-    "So Bob has 7 apples and 7 pears in the big box while Sue Ann has 3,5 mg of them. More.",  # other values
-    "Bob has 7 apples and 8 pears in the big box while Sue has 3 mg of them",  # fits item 9 alone as a whole
+    "So when Bob has 7 apples and 7 pears in the big box while Sue Ann has 3,5 mg of them. More.",  # other values
+    "Then he has 7 apples and 8 pears in the big box while Sue has 3 mg of them",  # fits item 9 alone as a whole
     "ÉTÉ. TOM HAS 5 APPLES AND 5 PEARS IN THE BIG BOX WHILE",  # words in capitals
     "nothing of the kind is said here, not even 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15",
     "well, only six words stand in here, or more",
     "an item that has no name of its own but words enough to be found",
-    ("filler words. " * 90_000) + "\nBob has 7 apples and 7 pears in the big box while Sue has 3 mg of them",
+    ("filler words. " * 90_000) + "\nWhen Bob has 7 apples and 7 pears in the big box while Sue has 3 mg of them",
 ]
 
 

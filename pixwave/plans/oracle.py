@@ -82,7 +82,7 @@ def pieces(has_tail: str) -> str:
 
 CLIPS = f"""{SIG}, {SUBS}, iv AS (SELECT episode, line_no AS num, dialogue, {sample('start_tc', 2)} AS s,
   {sample('end_tc', 2)} AS e FROM subs),
-  clip AS (SELECT iv.*, value FROM iv LEFT JOIN sig ON sig.file = iv.episode AND pos >= s AND pos < e)"""
+  clip AS (SELECT iv.*, pos, value FROM iv LEFT JOIN sig ON sig.file = iv.episode AND pos >= s AND pos < e)"""
 
 # ---- images ----------------------------------------------------------------------
 
@@ -125,7 +125,7 @@ ORACLE: dict[str, str] = {
     "explode_batches": f"""WITH {PX} SELECT example_id // 100 AS batch, (row_number() OVER (PARTITION BY example_id // 100, i
       ORDER BY example_id) - 1)::INT AS "offset", label, i AS idx, v AS value FROM px""",
     "read_csv_vectors": pixel_query(PX, "example_id, label", "px"),
-    "read_labelled_csv": f"WITH {PX} SELECT label, i AS idx, sum(v)::BIGINT AS total, count(*) AS n FROM px GROUP BY 1, 2",
+    "read_labelled_csv": f"WITH {IMG8} SELECT label, array_to_string(pixels, ',') AS pixels FROM img8",
     "read_tfrecords": pixel_query(PX, "example_id, label", "px"),
     "read_wav_chunks": "SELECT event_id, 160 AS fs, floor(value * 10)::INT AS sample FROM events",
     "read_subtitles": f"""WITH {SUBS} SELECT episode, row_number() OVER (PARTITION BY episode ORDER BY line_no) - 1 AS num,
@@ -140,12 +140,13 @@ ORACLE: dict[str, str] = {
       FROM img8""",
     "write_labelled_csv": f"""WITH {IMG8} SELECT array_to_string(list_transform(range(10), lambda j: CASE WHEN j = label THEN 1 ELSE 0 END), ',')
       || '|' || array_to_string(pixels, ',') AS value FROM img8""",
-    "write_tfrecords": f"WITH {PX} SELECT label, i AS idx, sum(v)::BIGINT AS total, count(*) AS n FROM px GROUP BY 1, 2",
+    "write_tfrecords": f"WITH {IMG8} SELECT label::BIGINT AS label, array_to_string(pixels, ',') AS pixels FROM img8",
     "write_examples": pixel_query(PX + ", sp AS (SELECT *, CASE WHEN dense_rank() OVER (ORDER BY example_id) <= 120 "
                                   "THEN 'validation' ELSE 'train' END AS split FROM px)", "example_id, label, split", "sp"),
+    # parts are cut where the audio is, every 4,096 samples
     "write_clips": f"""WITH {CLIPS} SELECT episode, num, CASE WHEN length(num::VARCHAR) < 4
-      THEN lpad(num::VARCHAR, 4, '0') ELSE num::VARCHAR END || ' - ' || replace(any_value(dialogue), '\\', '') || '.wav' AS name,
-      count(value) AS n FROM clip GROUP BY 1, 2""",
+      THEN lpad(num::VARCHAR, 4, '0') ELSE num::VARCHAR END || ' - ' || replace(dialogue, '\\', '') || '.wav' AS name,
+      coalesce(pos // 4096 - s // 4096, 0)::BIGINT AS part_no, (pos - greatest(s, pos // 4096 * 4096))::INT AS pos, {r6('value')} AS sample FROM clip""",
     "write_predictions": f"""WITH {PRED} SELECT '2024-01-01T00:00:00 Label: ' || label || ', Prediction: ' || prediction AS line,
       count(*) AS n FROM lse GROUP BY 1""",
     "checkpoint_weights": f"""WITH {PX} SELECT 2::BIGINT AS step, 'class' || label AS tensor, i AS idx, {r6('avg(v) * 2')} AS value

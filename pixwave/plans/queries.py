@@ -93,8 +93,7 @@ def read_labelled_csv(spark, sf_dir):
     path = shared_dir(spark, "csv2")
     sinks.write_labelled_csv(images.one_hot(img8(spark, sf_dir)), path)
     back = text.read_labelled_csv(spark, path).withColumn("label", argmax("target"))
-    return (back.select("label", F.posexplode("pixels").alias("idx", "value")).groupBy("label", "idx")
-            .agg(F.sum("value").alias("total"), F.count(F.lit(1)).alias("n")))
+    return back.select("label", F.array_join("pixels", ",").alias("pixels"))
 
 
 @query
@@ -188,8 +187,7 @@ def write_tfrecords(spark, sf_dir):
     rows = img8(spark, sf_dir).select(F.col("pixels").alias("image"), F.array("label").alias("label"))
     tfrecord.write_tfrecords(rows, path)
     back = tfrecord.read_tfrecords(spark, path)
-    return (back.select(F.col("label")[0].alias("label"), F.posexplode("image").alias("idx", "value"))
-            .groupBy("label", "idx").agg(F.sum("value").alias("total"), F.count(F.lit(1)).alias("n")))
+    return back.select(F.col("label")[0].alias("label"), F.array_join("image", ",").alias("pixels"))
 
 
 @query
@@ -211,7 +209,8 @@ def write_clips(spark, sf_dir):
     path = shared_dir(spark, "clips")
     sinks.write_clips(audio.extract_clips(clip_spans(spark, sf_dir), sig_chunks(spark, sf_dir), CHUNK, "episode"), path)
     back = spark.read.parquet(path)
-    return back.groupBy("episode", "num", "name").agg(F.sum(F.size("samples")).cast("long").alias("n"))
+    return (back.select("episode", "num", "name", "part_no", F.posexplode_outer("samples").alias("pos", "sample"))
+            .withColumn("sample", r6("sample")))
 
 
 @query

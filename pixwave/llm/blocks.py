@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 
 def default_buckets(df: DataFrame) -> int:

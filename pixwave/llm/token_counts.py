@@ -32,7 +32,7 @@ _ODD = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u20
 _EDGE = re.compile("^[ \t-\r]| [ \t-\r]|[\t-\r] |[ \t-\r]$")
 _BETWEEN = re.compile("(?<=[^ \t-\r]) (?=[^ \t-\r])")
 
-BLOCK_BYTES = 16 << 20  # of text: a larger block repeats fewer pre-tokens
+BLOCK_BYTES = 8 << 20  # of text: a larger block repeats fewer pre-tokens
 TEXT = "__text"
 
 

@@ -260,7 +260,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, *, ident: str =
                     q, c, score = best(wanted[at:at + QUERIES], own[at:at + QUERIES], held, ids, k)
                     yield pa.RecordBatch.from_arrays([pa.array(own[at:at + QUERIES][q]), pa.array(ids[c]), pa.array(score)], names=["query_id", "vec_id", "score"])
 
-    met = bundles.select("part", "block", "asked", "wanted").join(shelves, ["part", "block"])
+    # bundles are as many as their blocks, which Spark's estimate does not know: never broadcast them
+    met = bundles.select("part", "block", "asked", "wanted").join(shelves.hint("merge"), ["part", "block"])
     found = met.select("asked", "wanted", "ids", "vectors").mapInArrow(compare, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -95,7 +95,7 @@ def write_blocks(df: DataFrame, text: str, make: Callable[[int, pa.RecordBatch],
 def saved(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared scratch folder and read back: computed once, and without its lineage."""
     path = shared_dir(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-SEGMENT = 1 << 20  # bytes hashed at once; sizes the scratch arrays, not the texts
+SEGMENT = 1 << 18  # bytes hashed at once; sizes the scratch arrays, not the texts
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True

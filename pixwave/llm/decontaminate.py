@@ -6,6 +6,8 @@ become typed placeholders, and what stood there becomes the value of a slot.
 Windows of consecutive template tokens of the benchmark are hash-joined with those
 of the documents. A match counts only if its slots are consistent: along one
 alignment, each slot value of the benchmark always meets the same value.
+Windows of plain tokens, lower-cased as they stand, are joined beside them: an item
+that is mostly slots, or short, is found where its own values stand.
 
 Benchmark items with equal templates and equal patterns of repeated slot values form
 a class, named by its smallest id: a family of re-parameterised items is one class.
@@ -23,9 +25,10 @@ from . import words as W
 from .blocks import saved, texts_of
 
 WINDOW = 13
-SHORTEST = 5  # items with fewer tokens have no window
+SHORTEST = 5  # items with fewer tokens have no template window
 FILTER_ROWS = 2_000_000  # window hashes of the benchmark that go to every task as a filter, 8 bytes each
 LITERAL, NUMBER, NAME, UNIT = range(4)
+PLAIN = 1  # plain windows have hashes of their own
 # Units of measure and money, lower case.
 UNITS = ("kg g mg km m cm mm mi ft in lb lbs oz l ml h hr hrs hour hours min mins minute minutes s sec secs second seconds ms day days "
          "week weeks month months year years mph kph km² m² usd eur gbp dollar dollars euro euros cent cents percent kw kwh w v a hz khz mhz "
@@ -62,8 +65,9 @@ def _glue(starts: np.ndarray, ends: np.ndarray, kind: np.ndarray, joined: np.nda
     return starts[head], ends[tail], kind[head]
 
 
-def template(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens of a byte array: template hash, kind, hash of the value, and first byte. Texts in it must end with a newline."""
+def template(data: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Tokens of a byte array: template hash, kind, hash of the value, and first byte; then its plain tokens, which are
+    never merged: hash, whether it is a word, and first byte. Texts in it must end with a newline."""
     cls = np.concatenate([[0], _KIND[data], [0]])
     edge = np.flatnonzero(np.diff(cls))
     starts = edge[cls[edge + 1] > 0]
@@ -71,8 +75,9 @@ def template(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     ends = edge[ends] if len(starts) else starts
     if not len(starts):
         empty = np.zeros(0, np.uint64)
-        return empty, np.zeros(0, np.uint8), empty, starts
+        return empty, np.zeros(0, np.uint8), empty, starts, empty, np.zeros(0, bool), starts
     low = _lower(data)
+    plain = W.span_hashes(low, starts, ends), _KIND[data[starts]] == 1, starts
     kind = np.where(_KIND[data[starts]] == 2, NUMBER, LITERAL).astype(np.uint8)
     gap = np.append(data, 0)[ends[:-1]]
     starts, ends, kind = _glue(starts, ends, kind, (kind[:-1] == NUMBER) & (kind[1:] == NUMBER) & (starts[1:] - ends[:-1] == 1) & ((gap == 46) | (gap == 44)))
@@ -90,15 +95,17 @@ def template(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     value = W.span_hashes(low, starts, ends)
     unit = (kind[1:] == LITERAL) & (kind[:-1] == NUMBER) & np.isin(value[1:], _UNIT_HASHES)
     kind[1:][unit] = UNIT
-    return np.where(kind == LITERAL, value, _PLACE[kind]), kind, value, starts
+    return np.where(kind == LITERAL, value, _PLACE[kind]), kind, value, starts, *plain
 
 
-def templates(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(template hashes, kinds, values, where each text begins) of a few texts at a time, in order."""
+def templates(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(template hashes, kinds, values, where each text begins; plain tokens, which are words, where each text begins in
+    them) of a few texts at a time, in order."""
     for few in W.batches(texts):
         if max(map(len, few)) <= W.SEGMENT:
-            hashes, kind, value, starts = template(np.frombuffer(b"\n".join(few) + b"\n", np.uint8))
-            yield hashes, kind, value, np.searchsorted(starts, np.cumsum([0] + [len(t) + 1 for t in few]))
+            hashes, kind, value, starts, plain, word, single = template(np.frombuffer(b"\n".join(few) + b"\n", np.uint8))
+            edges = np.cumsum([0] + [len(t) + 1 for t in few])
+            yield hashes, kind, value, np.searchsorted(starts, edges), plain, word, np.searchsorted(single, edges)
             continue
         for t in few:  # a long text in parts that end with a line, which is also the end of a sentence
             parts, at = [], 0
@@ -107,8 +114,8 @@ def templates(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
                 end = len(t) if end < 0 else end + 1
                 parts.append(template(np.frombuffer(t[at:end] + b"\n", np.uint8)))
                 at = max(end, 1)
-            whole = [np.concatenate([p[i] for p in parts]) for i in range(3)]
-            yield *whole, np.array([0, len(whole[0])])
+            whole = [np.concatenate([p[i] for p in parts]) for i in (0, 1, 2, 4, 5)]
+            yield *whole[:3], np.array([0, len(whole[0])]), *whole[3:], np.array([0, len(whole[3])])
 
 
 def _pattern(values: np.ndarray) -> np.ndarray:
@@ -119,14 +126,17 @@ def _pattern(values: np.ndarray) -> np.ndarray:
     return rank[inverse.reshape(-1)]
 
 
-def _index(benchmark: DataFrame, text: str, item: str, window: int) -> DataFrame:
-    """(item, n_items, n_windows, hash, size, place, slots) for the windows of every class of items."""
+def _index(benchmark: DataFrame, text: str, item: str, window: int, bare: bool) -> DataFrame:
+    """(key, item, n_items, copy, n_windows, hash, size, place, slots) for the windows of every class of items.
+
+    Template windows belong to the class, and their `copy` is empty; plain windows belong to one text of it, by its digest.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, rows = [], []
+            keys, copies, rows, plains = [], [], [], []
             texts = texts_of(batch, "t")
-            for hashes, kind, value, begin in templates(texts):
-                for b, e in zip(begin, begin[1:]):
+            for hashes, kind, value, begin, plain, word, first in templates(texts):
+                for b, e, f, g in zip(begin, begin[1:], first, first[1:]):
                     h, k, v = hashes[b:e], kind[b:e], value[b:e]
                     slot = k != LITERAL
                     number = np.full(len(h), -1)
@@ -146,30 +156,45 @@ def _index(benchmark: DataFrame, text: str, item: str, window: int) -> DataFrame
                             found.append((as_name, 0, np.concatenate([[len(h)], number[1:size]])))
                     rows.append([{"hash": int(W.window_hashes(x, size).view(np.int64)[0]), "size": size, "place": p, "slots": n[n >= 0].tolist()}
                                  for x, p, n in found])
-            yield pa.RecordBatch.from_arrays([batch.column("i"), pa.array(keys, pa.string()), pa.array(rows, windows)], names=["i", "key", "windows"])
+                    size = min(window, g - f)
+                    words = np.concatenate([[0], np.cumsum(word[f:g])])
+                    copies.append(hashlib.md5(plain[f:g].tobytes()).hexdigest())
+                    plains.append([{"hash": x, "size": size, "place": p, "slots": []}
+                                   for p, x in enumerate(W.window_hashes(plain[f:g], size, PLAIN).view(np.int64).tolist() if size else [])
+                                   if bare or words[p + size] > words[p]])
+            yield pa.RecordBatch.from_arrays([batch.column("i"), pa.array(keys, pa.string()), pa.array(copies, pa.string()),
+                                              pa.array(rows, windows), pa.array(plains, windows)], names=["i", "key", "copy", "windows", "plain"])
 
     windows = pa.list_(pa.struct([("hash", pa.int64()), ("size", pa.int32()), ("place", pa.int64()), ("slots", pa.list_(pa.int64()))]))
     kind = benchmark.schema[item].dataType.simpleString()
-    items = benchmark.where(F.col(text).isNotNull()).select(F.col(item).alias("i"), F.col(text).alias("t")).mapInArrow(
-        run, f"i {kind}, key string, windows array<struct<hash:bigint,size:int,place:bigint,slots:array<bigint>>>")
+    struct = "array<struct<hash:bigint,size:int,place:bigint,slots:array<bigint>>>"
+    items = saved(benchmark.where(F.col(text).isNotNull()).select(F.col(item).alias("i"), F.col(text).alias("t")).mapInArrow(
+        run, f"i {kind}, key string, copy string, windows {struct}, plain {struct}"), "benchmark-items")
     classes = items.groupBy("key").agg(F.min("i").alias("item"), F.count(F.lit(1)).alias("n_items"), F.min("windows").alias("windows"))
-    return saved(classes.select("item", "n_items", F.array_distinct(F.col("windows.place")).alias("p"), F.explode("windows").alias("w"))
-                 .select("item", "n_items", F.size("p").alias("n_windows"), "w.*"), "template-windows")
+    template = classes.select("key", "item", "n_items", F.lit("").alias("copy"), F.col("windows").alias("w"))
+    plain = (items.select("key", "copy", F.col("plain").alias("w")).dropDuplicates(["key", "copy"])
+             .join(classes.select("key", "item", "n_items"), "key").select("key", "item", "n_items", "copy", "w"))
+    return saved(template.unionByName(plain)
+                 .select("key", "item", "n_items", "copy", F.array_distinct(F.col("w.place")).alias("p"), F.explode("w").alias("w"))
+                 .select("key", "item", "n_items", "copy", F.size("p").alias("n_windows"), "w.*"), "benchmark-windows")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", ident: str = "doc_id", item_text: str = "text",
-                 item: str = "item_id", *, window: int = WINDOW, filter_rows: int = FILTER_ROWS) -> DataFrame:
-    """Pairs of a document and a class of benchmark items that share a window of template tokens with consistent slots.
+                 item: str = "item_id", *, window: int = WINDOW, filter_rows: int = FILTER_ROWS, bare: bool = False) -> DataFrame:
+    """Pairs of a document and a class of benchmark items that share a window of template tokens with consistent slots, or
+    a window of plain tokens.
 
     Returns ident, text_md5, item_id (the smallest of the class), n_items (of the class), windows (of the item that the
-    document has, along its best alignment) and share (of the item's windows). Items of fewer than `window` but at least
-    5 tokens are one window; windows of which over half are slots are not compared, as tables of numbers would be alike.
+    document has, along its best alignment) and share (of the item's windows of that sort, template or plain). Items of
+    fewer than `window` tokens are one window. Windows of which over half are slots, and items of fewer than 5 tokens, are
+    not compared as templates, as tables of numbers would be alike; they are found by their plain tokens. `bare` compares
+    plain windows of numbers alone too; without it those of at least one word.
 
     Null and empty texts match nothing, on either side. Repeated rows count once; rows with one id and different texts
     are told apart by text_md5; a null id is an id. Empty tables: no rows. Long texts are read in parts. Letters beyond
     Latin-1 are compared with their case. Other columns are not looked at.
     """
-    index = _index(benchmark, item_text, item, window)
+    index = _index(benchmark, item_text, item, window, bare)
     sizes, n = index.agg(F.collect_set("size"), F.count(F.lit(1))).first()  # at most `window` sizes
     known = None
     if n <= filter_rows:
@@ -179,23 +204,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", iden
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, row = texts_of(batch, "t"), 0
-            for hashes, kind, value, begin in templates(texts):
-                doc = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
-                for size in sizes:
-                    keys = W.window_hashes(hashes, size)
+            for hashes, kind, value, start, plain, _, first in templates(texts):
+                for size, which in ((s, w) for w in (0, PLAIN) for s in sizes):
+                    tokens, begin = (plain, first) if which else (hashes, start)
+                    keys = W.window_hashes(tokens, size, which)
                     at = np.arange(len(keys))
                     if known is not None and len(keys):
                         place = np.searchsorted(known.value, keys)
                         at = at[known.value[np.minimum(place, len(known.value) - 1)] == keys] if len(known.value) else at[:0]
-                    at = at[at + size <= begin[1:][doc[at]]]
+                    doc = np.searchsorted(begin, at, side="right") - 1
+                    inside = at + size <= begin[1:][doc]
+                    at, doc = at[inside], doc[inside]
                     if len(at):
-                        slots = [value[p:p + size][kind[p:p + size] != LITERAL].view(np.int64).tolist() for p in at.tolist()]
-                        rows = pa.array(row + doc[at])
+                        slots = [[] if which else value[p:p + size][kind[p:p + size] != LITERAL].view(np.int64).tolist() for p in at.tolist()]
+                        rows = pa.array(row + doc)
                         yield pa.RecordBatch.from_arrays([
                             batch.column("i").take(rows), batch.column("m").take(rows), pa.array(keys[at].view(np.int64)),
-                            pa.array(np.full(len(at), size, np.int32)), pa.array(at - begin[doc[at]]), pa.array(slots, pa.list_(pa.int64()))],
+                            pa.array(np.full(len(at), size, np.int32)), pa.array(at - begin[doc]), pa.array(slots, pa.list_(pa.int64()))],
                             names=["i", "m", "hash", "size", "at", "met"])
-                row += len(begin) - 1
+                row += len(start) - 1
 
     kind = docs.schema[ident].dataType.simpleString()
     rows = docs.where(F.col(text).isNotNull()).select(F.col(ident).alias("i"), F.md5(text).alias("m"), F.col(text).alias("t"))
@@ -204,12 +231,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", iden
              .withColumn("pairs", F.array_distinct(F.arrays_zip("slots", "met")))
              .where(F.size("slots") == F.size("met")))
     one_each = lambda c: F.size(c) == F.size(F.array_distinct(F.transform(c, lambda p: p["slots"])))
-    aligned = (pairs.where(one_each(F.col("pairs"))).groupBy("i", "m", "item", "n_items", "n_windows", (F.col("at") - F.col("place")).alias("shift"))
+    found = ["i", "m", "key", "item", "n_items"]
+    aligned = (pairs.where(one_each(F.col("pairs"))).groupBy(*found, "copy", "n_windows", (F.col("at") - F.col("place")).alias("shift"))
                .agg(F.countDistinct("place").alias("windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
                .where(one_each(F.col("pairs"))))
-    return (aligned.groupBy("i", "m", "item", "n_items", "n_windows").agg(F.max("windows").alias("windows"))
+    best = F.max(F.struct((F.col("windows") / F.col("n_windows")).alias("share"), F.col("windows").cast("long").alias("windows")))
+    return (aligned.groupBy(*found).agg(best.alias("best"))
             .select(F.col("i").alias(ident), F.col("m").alias("text_md5"), F.col("item").alias("item_id"), F.col("n_items"),
-                    F.col("windows").cast("long"), (F.col("windows") / F.col("n_windows")).alias("share")))
+                    "best.windows", "best.share"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", ident: str = "doc_id", **options) -> DataFrame:
@@ -226,9 +255,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", ident: str
 def op6_query(spark, sf_dir: str) -> DataFrame:
     """Every document of the table that has a passage of the benchmark, with the item."""
     docs, benchmark = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
-    return contaminated(docs, benchmark).select("doc_id", "item_id", "windows", "share")
+    return contaminated(docs, benchmark, bare=True).select("doc_id", "item_id", "windows", "share")
 
 
 def pipeline_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
-    return clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), bare=True)

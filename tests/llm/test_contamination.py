@@ -88,3 +88,18 @@ def test_empty_tables(spark):
     assert D.contaminated(brute.empty(spark), items).count() == 0
     assert D.contaminated(df, items.limit(0)).count() == 0
     assert D.clean(df, items.limit(0)).count() == df.count()
+
+
+def test_items_of_slots_and_short_items(spark):
+    items = spark.createDataFrame([
+        (1, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15", None), (2, "meet Anna Bob Carla Dave Emil Frida Gustav", None), (3, "vexillology", None),
+        (4, "Convert 12 kg, 13 lb and 14 g, 15 kg, 16 lb, 17 g", None)], BENCH)
+    df = brute.messy(spark, ["as in 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15, it is", "Then meet Anna, Bob, Carla, Dave, Emil, Frida, Gustav.",
+                             "it is Vexillology, or", "so convert 12 kg, 13 lb and 14 g, 15 kg, 16 lb, 17 g", "convert 12 kg, 13 lb and 14 g, 15 kg, 16 lb, 18 g",
+                             "2 3 4 5 6 7 8 9 10 11 12 13 14 16"])
+    for rows in (0, 10**6):
+        got = {(r.doc_id, r.item_id): r.share for r in D.contaminated(df, items, bare=True, filter_rows=rows).collect()}
+        assert got[0, 1] == got[1, 2] == got[2, 3] == got[3, 4] == 1.0
+        assert {k for k in got if k[0] in (4, 5)} <= {(4, 4), (5, 1)} and got.get((5, 1), 0) < 1
+    assert {r.item_id for r in D.contaminated(df, items).collect()} == {2, 3, 4}  # numbers alone only if asked for
+    assert D.clean(df.where("doc_id = 0"), items, bare=True).where("text like 'as in%'").count() == 0

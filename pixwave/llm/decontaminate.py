@@ -4,8 +4,8 @@ A text becomes a sequence of tokens: runs of letters, lower-cased, and of digits
 Numbers, names (capitalised words inside a sentence) and units (after a number)
 become typed placeholders, and what stood there becomes the value of a slot.
 Windows of consecutive template tokens of the benchmark are hash-joined with those
-of the documents. A match counts only if its slots are consistent: along one
-alignment, each slot value of the benchmark always meets the same value.
+of the documents. A window counts only if its slots are consistent: each slot
+value of the benchmark always meets the same value in it.
 Windows of plain tokens, lower-cased as they stand, are joined beside them: an item
 that is mostly slots, or short, is found where its own values stand.
 
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
@@ -185,7 +185,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", iden
     a window of plain tokens.
 
     Returns ident, text_md5, item_id (the smallest of the class), n_items (of the class), windows (of the item that the
-    document has, along its best alignment) and share (of the item's windows of that sort, template or plain). Items of
+    document has, along its best alignment; of windows that disagree about a slot, those with its most frequent value, but
+    one at least) and share (of the item's windows of that sort, template or plain). Items of
     fewer than `window` tokens are one window. Windows of which over half are slots, and items of fewer than 5 tokens, are
     not compared as templates, as tables of numbers would be alike; they are found by their plain tokens. `bare` compares
     plain windows of numbers alone too; without it those of at least one word.
@@ -230,11 +231,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", iden
     pairs = (hits.join(index, ["hash", "size"])
              .withColumn("pairs", F.array_distinct(F.arrays_zip("slots", "met")))
              .where(F.size("slots") == F.size("met")))
-    one_each = lambda c: F.size(c) == F.size(F.array_distinct(F.transform(c, lambda p: p["slots"])))
+    # a window counts if each of its slots meets one value; along an alignment those count that agree with the value a slot meets most often
     found = ["i", "m", "key", "item", "n_items"]
-    aligned = (pairs.where(one_each(F.col("pairs"))).groupBy(*found, "copy", "n_windows", (F.col("at") - F.col("place")).alias("shift"))
-               .agg(F.countDistinct("place").alias("windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-               .where(one_each(F.col("pairs"))))
+    line = [*found, "copy", "n_windows", "shift"]
+    slots = (pairs.where(F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["slots"]))))
+             .select(*found, "copy", "n_windows", (F.col("at") - F.col("place")).alias("shift"), "place", F.explode_outer("pairs").alias("p")))
+    met = (slots.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*line, "p")))
+           .withColumn("most", F.max(F.struct("n", "p.met")).over(Window.partitionBy(*line, "p.slots"))["met"]))
+    aligned = (met.groupBy(*line, "place").agg(F.min(F.coalesce(F.col("p.met") == F.col("most"), F.lit(True))).alias("agrees"))
+               .groupBy(*line).agg(F.greatest(F.count_if("agrees"), F.lit(1)).alias("windows")))
     best = F.max(F.struct((F.col("windows") / F.col("n_windows")).alias("share"), F.col("windows").cast("long").alias("windows")))
     return (aligned.groupBy(*found).agg(best.alias("best"))
             .select(F.col("i").alias(ident), F.col("m").alias("text_md5"), F.col("item").alias("item_id"), F.col("n_items"),

@@ -103,3 +103,14 @@ def test_items_of_slots_and_short_items(spark):
         assert {k for k in got if k[0] in (4, 5)} <= {(4, 4), (5, 1)} and got.get((5, 1), 0) < 1
     assert {r.item_id for r in D.contaminated(df, items).collect()} == {2, 3, 4}  # numbers alone only if asked for
     assert D.clean(df.where("doc_id = 0"), items, bare=True).where("text like 'as in%'").count() == 0
+
+
+def test_one_changed_value_keeps_the_other_windows(spark):
+    def sentence(values):
+        values = iter(values)
+        return " ".join(str(next(values)) if k % 6 == 1 else "w" + "abcdefghij"[k // 10] + "abcdefghij"[k % 10] for k in range(40))
+
+    items = spark.createDataFrame([(1, sentence([4, 10, 11, 12, 13, 14, 4]), None)], BENCH)
+    df = brute.messy(spark, ["none", sentence([5, 20, 21, 22, 23, 24, 6]), sentence([5, 20, 21, 22, 23, 24, 5])])
+    got = {r.doc_id: (r.windows, r.share) for r in D.contaminated(df, items).collect()}
+    assert got == {1: (26, 26 / 28), 2: (28, 1.0)}  # two of 28 windows disagree with three about what stands for 4

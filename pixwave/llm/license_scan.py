@@ -6,6 +6,9 @@ single. Two texts with equal forms are the same licence. A document is looked up
 a whole and line by line, and only equal digests of entire texts or lines match.
 """
 
+import re
+from importlib.resources import files
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,11 +40,52 @@ _ISC_AS_IS = ("THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL W
               "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR "
               "CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
               "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.")
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+        "following disclaimer in the documentation and/or other materials provided with the distribution.\n\n")
+_BSD_NAMES = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+              "from this software without specific prior written permission.\n\n")
+_BSD_AS_IS = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT "
+              "NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL "
+              "THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+              "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+              "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+              "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_ZLIB = ("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any "
+         "damages arising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose, including "
+         "commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:\n\n1. The origin of this "
+         "software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, "
+         "an acknowledgment in the product documentation would be appreciated but is not required.\n\n2. Altered source versions must be plainly "
+         "marked as such, and must not be misrepresented as being the original software.\n\n3. This notice may not be removed or altered from "
+         "any source distribution.")
+_UNLICENSE = ("This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, "
+              "sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or "
+              "non-commercial, and by any means.\n\nIn jurisdictions that recognize copyright laws, the author or authors of this software dedicate "
+              "any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at "
+              "large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in "
+              "perpetuity of all present and future rights to this software under copyright law.\n\n"
+              + _AS_IS.replace("AUTHORS OR COPYRIGHT HOLDERS", "AUTHORS") + "\n\nFor more information, please refer to <https://unlicense.org>")
+FILES = ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0", "CC0-1.0")  # long texts, in licenses/
 LICENSES = {
     "MIT": _GRANT + _AS_IS,
     "ISC": _ISC + _ISC_NOTICE + _ISC_AS_IS,
     "0BSD": _ISC + ".\n\n" + _ISC_AS_IS,
+    "BSD-2-Clause": _BSD + _BSD_AS_IS,
+    "BSD-3-Clause": _BSD + _BSD_NAMES + _BSD_AS_IS,
+    "Zlib": _ZLIB,
+    "Unlicense": _UNLICENSE,
+    **{i: (files(__package__) / "licenses" / f"{i}.txt").read_text("utf-8") for i in FILES},
+}
+# Titles that may stand over a text, and the line after which an appendix may be left out.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"), "ISC": ("ISC License", "The ISC License"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD"), "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License"), "Zlib": ("zlib License", "The zlib License"), "Unlicense": ("The Unlicense",),
 }
+RIGHTS = "All rights reserved."
+RIGHTS_ID = "LicenseRef-All-Rights-Reserved"
+END = "END OF TERMS AND CONDITIONS"
 # Names of licences as they stand in one-line notices.
 NAMES = {
     "MIT": ("MIT License",), "ISC": ("ISC License",), "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0"),
@@ -53,15 +97,24 @@ NAMES = {
 }
 LEADS = ("Released under", "Licensed under", "Distributed under", "This work is licensed under", "This software is released under")
 # Every known text has one of these, before and after spellings are made equal; others need no canonical form.
-MARK = "(?i)licen[cs]e|permission|redistribut|(releas|distribut)ed under"
+MARK = "(?i)licen[cs]e|permission|redistribut|(releas|distribut)ed under|rights[^\\p{L}\\p{N}]+reserved"
 COPYRIGHT = r"(?im)^[^\p{L}\p{N}\n]*(copyright[ \t]*(\(c\)|©|[0-9]{4}|<|\[|by )|\(c\)[ \t]*[0-9]{4}|©)[^\n]*$"
 SMALL = 100_000  # known digests that are sent to every task; more are joined by shuffling
 
 
+def _variants(ident: str, text: str) -> list[str]:
+    """The text as it is passed on: without its appendix, or under a title, with the rights notice, with clauses not numbered."""
+    if ident in FILES:
+        return [text, text.split(END)[0] + END] if END in text else [text]
+    bare = re.sub(r"(?m)^[0-9]\. ", "", text)
+    return [head + rights + body for head in ("", *(f"{t}\n\n" for t in TITLES[ident])) for rights in ("", f"{RIGHTS}\n\n")
+            for body in dict.fromkeys((text, bare))]
+
+
 def known_texts() -> list[tuple[str, str]]:
     """(license_id, text) of the licences and notices above."""
     notices = [(i, f"{lead} {the}{name}") for i, names in NAMES.items() for name in names for lead in LEADS for the in ("", "the ")]
-    return [*LICENSES.items(), *notices]
+    return [*((i, v) for i, t in LICENSES.items() for v in _variants(i, t)), *notices, (RIGHTS_ID, RIGHTS)]
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:

@@ -100,3 +100,15 @@ def test_licences_of_empty_tables(spark):
 def test_every_known_text_has_the_mark():
     import re
     assert all(re.search(L.MARK, t) for _, t in L.known_texts())
+
+
+def test_full_licences_and_the_rights_notice(spark):
+    texts = {i: "Copyright (c) 2020 A\n\n" + t.replace("\n", " \n ") for i, t in L.LICENSES.items()}
+    more = [("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, A\nAll rights reserved.\n\n" + L.LICENSES["BSD-3-Clause"].replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")),
+            ("Apache-2.0", L.LICENSES["Apache-2.0"].split("APPENDIX")[0]), ("MIT", "The MIT License (MIT)\n\n" + L.LICENSES["MIT"]),
+            (L.RIGHTS_ID, "ALL RIGHTS RESERVED")]
+    rows = [*texts.items(), *more]
+    got = {(r.doc_id, r.license_id) for r in L.scan(brute.messy(spark, ["none", *(t for _, t in rows)]), L.known_licenses(spark)).where("whole").collect()}
+    assert got == {(k, i) for k, (i, _) in enumerate(rows, 1)}
+    line = L.scan(brute.messy(spark, ["none", "words\nAll rights  reserved.\nmore words"]), L.known_licenses(spark)).collect()
+    assert [(r.doc_id, r.license_id, r.whole, r.lines) for r in line] == [(1, L.RIGHTS_ID, False, 1)]

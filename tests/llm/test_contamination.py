@@ -114,3 +114,13 @@ def test_one_changed_value_keeps_the_other_windows(spark):
     df = brute.messy(spark, ["none", sentence([5, 20, 21, 22, 23, 24, 6]), sentence([5, 20, 21, 22, 23, 24, 5])])
     got = {r.doc_id: (r.windows, r.share) for r in D.contaminated(df, items).collect()}
     assert got == {1: (26, 26 / 28), 2: (28, 1.0)}  # two of 28 windows disagree with three about what stands for 4
+
+
+def test_passages_that_differ_in_case_or_line_breaks(spark):
+    items = spark.createDataFrame([
+        (1, "we saw that Anna and Carla met Dave near the old bridge while Emil and Frida stayed", None),
+        (2, "a first short line\nAnother line of it\nThird one of some more\nlast words here", None)], BENCH)
+    texts = ["none", *(r.text for r in items.collect())]
+    df = brute.messy(spark, [texts[0], texts[1].lower(), texts[1].upper(), texts[2].replace("\n", " "), texts[1].replace(" ", "\n")])
+    got = {(r.doc_id, r.item_id): r.share for r in D.contaminated(df, items).collect()}
+    assert got == {(1, 1): 1.0, (2, 1): 1.0, (3, 2): 1.0, (4, 1): 1.0}

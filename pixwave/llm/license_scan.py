@@ -96,8 +96,9 @@ NAMES = {
     "CC-BY-ND-4.0": ("CC BY-ND 4.0",),
 }
 LEADS = ("Released under", "Licensed under", "Distributed under", "This work is licensed under", "This software is released under")
-# Every known text has one of these, before and after spellings are made equal; others need no canonical form.
-MARK = "(?i)licen[cs]e|permission|redistribut|(releas|distribut)ed under|rights[^\\p{L}\\p{N}]+reserved"
+# Every known text has one of these words, before and after spellings are made equal. No more than one, as a line that is dropped
+# or any blanks may stand between two words; texts without them need no canonical form.
+MARK = "(?i)licen[cs]|permission|redistribut|released|distributed|reserved"
 COPYRIGHT = r"(?im)^[^\p{L}\p{N}\n]*(copyright[ \t]*(\(c\)|©|[0-9]{4}|<|\[|by )|\(c\)[ \t]*[0-9]{4}|©)[^\n]*$"
 SMALL = 100_000  # known digests that are sent to every task; more are joined by shuffling
 
@@ -129,12 +130,13 @@ def canonical(text: Column) -> Column:
     return F.array_join(F.transform(words, lambda w: F.coalesce(same[w], w)), " ")
 
 
-def scan(docs: DataFrame, known: DataFrame, text: str = "text", ident: str = "doc_id", *, mark: str = MARK, small: int = SMALL) -> DataFrame:
+def scan(docs: DataFrame, known: DataFrame, text: str = "text", ident: str = "doc_id", *, mark: str | None = None, small: int = SMALL) -> DataFrame:
     """(ident, license_id, whole, lines) for documents that are a known text, or have lines that are one.
 
     `known` has license_id and text; texts that come to nothing in canonical form are ignored, and of several ids with one
     form the least counts. whole: the entire document is that text. lines: how many of its lines are. `mark` is a pattern
-    that every known text and its variants contain; it only saves work.
+    that every known text and its variants contain, and saves work: MARK is one for the texts of this module. Without
+    it every line is looked up.
 
     Null and empty texts match nothing. Repeated rows with one id add up to one row: whole if any is, lines summed. A null
     id is an id. Empty tables: no rows. Texts of any length are taken whole. Other columns are not looked at.
@@ -143,8 +145,9 @@ def scan(docs: DataFrame, known: DataFrame, text: str = "text", ident: str = "do
                .groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("license_id").alias("license_id")))
     if digests.count() <= small:
         digests = F.broadcast(digests)
-    marked = docs.select(F.col(ident).alias("i"), F.col(text).alias("t")).where(F.col("t").rlike(mark))
-    lines = F.filter(F.split("t", "\n"), lambda s: s.rlike(mark))
+    has = lambda c: c.rlike(mark) if mark else c.isNotNull()
+    marked = docs.select(F.col(ident).alias("i"), F.col(text).alias("t")).where(has(F.col("t")))
+    lines = F.filter(F.split("t", "\n"), has)
     units = F.concat(F.array(F.struct(F.lit(True).alias("whole"), F.col("t").alias("u"))),
                      F.transform(lines, lambda s: F.struct(F.lit(False).alias("whole"), s.alias("u"))))
     each = marked.select("i", F.explode(units).alias("x")).select("i", "x.whole", F.sha2(canonical(F.col("x.u")), 256).alias("digest"))
@@ -155,7 +158,7 @@ def scan(docs: DataFrame, known: DataFrame, text: str = "text", ident: str = "do
 
 def op8_query(spark, sf_dir: str) -> DataFrame:
     """Licences of every document of the table."""
-    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"), known_licenses(spark))
+    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"), known_licenses(spark), mark=MARK)
 
 
 def _sql_text(s: str) -> str:

@@ -112,3 +112,14 @@ def test_full_licences_and_the_rights_notice(spark):
     assert got == {(k, i) for k, (i, _) in enumerate(rows, 1)}
     line = L.scan(brute.messy(spark, ["none", "words\nAll rights  reserved.\nmore words"]), L.known_licenses(spark)).collect()
     assert [(r.doc_id, r.license_id, r.whole, r.lines) for r in line] == [(1, L.RIGHTS_ID, False, 1)]
+
+
+def test_the_mark_loses_nothing(spark):
+    texts = ["none", "Released  under CC BY 4.0", "x\nReleased\tunder\u00a0CC BY 4.0", "Distributed, under CC0 1.0", "Released\n(c) 2020 A\nunder CC BY 4.0"]
+    df = brute.messy(spark, texts)
+    for mark in (None, L.MARK):
+        assert {r.doc_id for r in L.scan(df, L.known_licenses(spark), mark=mark).collect()} == {1, 2, 3, 4}
+    known = spark.createDataFrame(L.known_texts(), "license_id string, text string")
+    assert known.where(~L.canonical(known.text).rlike(L.MARK)).count() == 0
+    own = spark.createDataFrame([("X", "for internal use")], "license_id string, text string")
+    assert [r.license_id for r in L.scan(brute.messy(spark, ["For internal use."]), own).collect()] == ["X"]

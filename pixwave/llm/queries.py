@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL."""
 
-from . import ann, chat_format, decontaminate, license_scan, mixture, quality_crf, simhash_dedup, substring_dedup, token_counts, url_filter
+from . import ann, bpe, chat_format, decontaminate, license_scan, mixture, quality_crf, simhash_dedup, substring_dedup, token_counts, url_filter
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_license_scan": license_scan.op8_query,
     "op9_url_filter": url_filter.op9_query,
     "op10_token_counts": token_counts.op10_query,
+    "op13_bpe_codec": bpe.op13_query,
 }
 
 ORACLE: dict[str, str] = {

@@ -138,6 +138,7 @@ class Codec:
                 pieces.append(text)
                 owner.append(i)
         names, number, begin = numbered(pieces)
+        names = names.to_pylist()
         # the first part of a piece has no space before it: it is a value of its own
         first = [p for p in range(len(pieces)) if begin[p] < begin[p + 1]]
         number = number.astype(np.int64)

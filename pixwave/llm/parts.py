@@ -26,6 +26,11 @@ def is_plain(text: str) -> bool:
     return not (text[:1] in _WHITE or text[-1:] in _WHITE or any(m in text for m in _MIXED) or _ODD.search(text))
 
 
+def is_odd(text: str) -> bool:
+    """Whether a text has white space beyond ASCII, or what some engines count as such."""
+    return _ODD.search(text) is not None
+
+
 def split_parts(text: str) -> list[str]:
     """The parts of a text; joined by single spaces they are the text. An empty text has none."""
     if not text or _ODD.search(text):
@@ -33,7 +38,7 @@ def split_parts(text: str) -> list[str]:
     return _BETWEEN.split(text)
 
 
-def numbered(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+def numbered(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct parts of some texts, the number of each part in order, and where each text's parts begin (n + 1 entries)."""
     plain = np.fromiter(map(is_plain, texts), bool, len(texts))
     order = np.argsort(np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)]), kind="stable")
@@ -42,7 +47,7 @@ def numbered(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         pa.array([split_parts(t) for t, p in zip(texts, plain) if not p], pa.large_list(pa.large_string()))]).take(pa.array(order))
     coded = lists.flatten().dictionary_encode()
     begin = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False), begin
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), begin
 
 
 class Store(dict):
@@ -52,7 +57,7 @@ class Store(dict):
     the time of an answer depends on what is kept.
     """
 
-    def __init__(self, make: Callable, kept: int = KEPT, longest: int = LONGEST):
+    def __init__(self, make: Callable | None, kept: int = KEPT, longest: int = LONGEST):
         super().__init__()
         self.make, self.kept, self.longest, self.old = make, kept, longest, {}
 
@@ -60,9 +65,25 @@ class Store(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+        self.keep(key, value)
+        return value
+
+    def fetch(self, keys: list, make_many: Callable) -> list:
+        """Values of distinct keys; those that are not kept are made together."""
+        out = [self.get(k) for k in keys]
+        late = [i for i, v in enumerate(out) if v is None]
+        for i in late:
+            out[i] = self.old.get(keys[i])
+        new = [i for i in late if out[i] is None]
+        for i, value in zip(new, make_many([keys[i] for i in new])):
+            out[i] = value
+        for i in late:
+            self.keep(keys[i], out[i])
+        return out
+
+    def keep(self, key: Hashable, value) -> None:
         if len(key) <= self.longest:
             if len(self) >= self.kept:
                 self.old = dict(self)
                 self.clear()
             self[key] = value
-        return value

@@ -116,6 +116,7 @@ def test_query(spark, sf_dir, library):
 def test_parts_join_to_their_text():
     texts = [t for t in odd_texts(100)] + ["", " ", "a b", " a", "a ", "a  b c"]
     names, number, begin = parts.numbered(texts)
+    names = names.to_pylist()
     for i, t in enumerate(texts):
         assert " ".join(names[k] for k in number[begin[i]:begin[i + 1]]) == t
         assert split_or_whole(t) == [names[k] for k in number[begin[i]:begin[i + 1]]]

@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL."""
 
-from . import align, ann, bpe, chat_format, decontaminate, license_scan, mixture, quality_crf, simhash_dedup, substring_dedup, token_counts, url_filter
+from . import align, ann, bpe, chat_format, decontaminate, hard_negatives, license_scan, mixture, quality_crf, simhash_dedup, substring_dedup, token_counts, url_filter
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_license_scan": license_scan.op8_query,
     "op9_url_filter": url_filter.op9_query,
     "op10_token_counts": token_counts.op10_query,
+    "op11_hard_negatives": hard_negatives.op11_query,
     "op12_align_tokens": align.op12_query,
     "op13_bpe_codec": bpe.op13_query,
 }
@@ -22,4 +23,5 @@ ORACLE: dict[str, str] = {
     "op7_mix_sources": mixture.mix_sql(),
     "op8_license_scan": license_scan.OP8_SQL,
     "op9_url_filter": url_filter.OP9_SQL,
+    "op11_hard_negatives": hard_negatives.OP11_SQL,
 }

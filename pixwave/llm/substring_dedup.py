@@ -4,7 +4,8 @@ Any two positions i, j have an offset d below the period with i + d and j + d bo
 on the difference cover. So two equal passages of `length` words share an anchor
 of `length - period + 1` words that starts on the cover in both, and only windows
 at cover positions are hashed in search of candidates. Passages around shared
-anchors are then extended: windows of the full length are compared by 128 bits.
+anchors are then extended: windows of the full length are compared by 128 bits,
+made from two independent keyed hashes of each word under a key that every run draws.
 
 Rounds, on blocks of whole rows (see `blocks`):
   1. every block sends each distinct anchor and each distinct text digest once;
@@ -17,6 +18,7 @@ them takes part in round 2.
 """
 
 import hashlib
+import secrets
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -42,14 +44,14 @@ def is_cover(period: int, cover: Sequence[int]) -> bool:
 class _Block:
     """Words of the rows of one block."""
 
-    def __init__(self, rows: pa.Table, text: str, length: int, period: int, cover: Sequence[int]):
+    def __init__(self, rows: pa.Table, text: str, length: int, period: int, cover: Sequence[int], key: bytes):
         self.texts = texts_of(rows, text)
         parts, starts = [], [0]
         for few in W.batches(self.texts):
-            hashes, begin = W.hash_words(few)
+            hashes, begin = W.hash_words(few, key)
             parts.append(hashes)
             starts.extend((begin[1:] + starts[-1]).tolist())
-        self.words = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        self.words = np.concatenate(parts) if parts else np.zeros((0, 2), np.uint64)  # both hashes of each word
         self.starts = np.array(starts)
         self.counts = np.diff(self.starts)
         self.doc = np.repeat(np.arange(len(self.counts), dtype=np.int32), self.counts)
@@ -70,11 +72,11 @@ class _Block:
         on = np.zeros(self.period, bool)
         on[list(self.cover)] = True
         at = at[on[(at - self.starts[self.doc[at]]) % self.period]]
-        return W.window_hashes(self.words, size)[at], at
+        return W.window_hashes(self.words[:, 0], size)[at], at
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         at = self.places(self.length)
-        both = [W.window_hashes(self.words, self.length, which)[at] for which in (0, 1)]
+        both = [W.window_hashes(self.words[:, which], self.length, which)[at] for which in (0, 1)]
         return np.stack(both, axis=1), at
 
     def digests(self) -> np.ndarray:
@@ -141,11 +143,11 @@ def substring_dedup(docs: DataFrame, text: str = "text", *, length: int = 35, pe
         raise ValueError(f"{cover} is no difference cover modulo {period}, or the period is over {length}")
     added = ["n_words", "n_removed", "kept_sha256"] + ["kept_text"] * keep_text
     kept_columns = [f.name for f in docs.schema if f.name.lower() not in added]
-    buckets = buckets or default_buckets(docs)
+    buckets, drawn = buckets or default_buckets(docs), secrets.token_bytes(16)
 
     def load(payload: bytes) -> tuple[pa.Table, _Block]:
         rows = from_ipc(payload)
-        return rows, _Block(rows, text, length, period, cover)
+        return rows, _Block(rows, text, length, period, cover, drawn)
 
     def store(block: int, rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([to_ipc(rows)], pa.binary())], names=["block", "payload"])

@@ -1,9 +1,12 @@
-"""Words of many texts at once: byte arrays in, 64-bit word and window hashes out.
+"""Words of many texts at once: byte arrays in, keyed 64-bit word and window hashes out.
 
 A word is a maximal run of bytes other than space and 0x09-0x0D, which in UTF-8
-is the same as the pattern `[^\\x20\\x09-\\x0D]+`. All arithmetic is modulo 2^64.
+is the same as the pattern `[^\\x20\\x09-\\x0D]+`. Words of up to 32 bytes are hashed eight bytes at a
+time, each lane multiplied by numbers of the key and mixed; longer ones by keyed BLAKE2b. A key has
+two independent sides of 64 bits. A run that draws its own key can not be given words with equal hashes on purpose.
 """
 
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,7 +25,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15))
+SHORT = 32  # bytes of a word that is hashed by lanes
+FIXED_KEY = bytes(range(16))  # for hashes that are only features
+
+
+def lane_numbers(key: bytes, side: int) -> np.ndarray:
+    """A start and, for each lane of a short word, an odd factor and an addend."""
+    raw = b"".join(hashlib.blake2b(bytes([side, i]), key=key).digest() for i in range(2))
+    numbers = np.frombuffer(raw, _U)[:1 + 2 * (SHORT // 8)].copy()
+    numbers[1:1 + SHORT // 8] |= _U(1)
+    return numbers
+
+
 _BASES = {0: 0xD6E8FEB86659FD93, 1: 0xA0761D6478BD642F}
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -51,12 +65,32 @@ def spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span; equal for equal bytes wherever they stand."""
-    up, down = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, _U)
-    np.cumsum(_BYTE[data] * up[:-1], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: bytes = FIXED_KEY, sides: int = 1) -> np.ndarray:
+    """64-bit hashes of each byte span ([n], or [n, 2] for both sides); equal for equal bytes wherever they stand."""
+    lengths = ends - starts
+    lanes = np.ndarray((len(data) + 1,), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    out = np.empty((len(starts), sides), _U)
+    numbers = [lane_numbers(key, side) for side in range(sides)]
+    for side in range(sides):
+        out[:, side] = numbers[side][0] + lengths.astype(_U)
+    at, left, rows = starts, lengths, np.arange(len(starts))
+    for i in range(SHORT // 8):
+        if i:
+            more = left > 0
+            at, left, rows = at[more], left[more], rows[more]
+        if not len(rows):
+            break
+        word = lanes[at] & (_U(0xFFFFFFFFFFFFFFFF) >> (_U(8) * (8 - np.minimum(left, 8)).astype(_U)))
+        for side in range(sides):
+            factor, addend = numbers[side][1 + i], numbers[side][1 + SHORT // 8 + i]
+            with np.errstate(over="ignore"):
+                out[rows, side] = mix((out[rows, side] ^ (word + addend)) * factor)
+        at, left = at + 8, left - 8
+    long = np.flatnonzero(lengths > SHORT)
+    if len(long):
+        digests = [hashlib.blake2b(data[a:b].tobytes(), key=key, digest_size=16).digest() for a, b in zip(starts[long].tolist(), ends[long].tolist())]
+        out[long] = np.frombuffer(b"".join(digests), _U).reshape(-1, 2)[:, :sides]
+    return out[:, 0] if sides == 1 else out
 
 
 def pieces(text: bytes, size: int = SEGMENT) -> Iterator[bytes]:
@@ -86,22 +120,22 @@ def batches(texts: Iterable[bytes], size: int = SEGMENT) -> Iterator[list[bytes]
         yield held
 
 
-def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of a few texts, one after the other, and where each text begins (n + 1 entries)."""
+def hash_words(texts: list[bytes], key: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Both hashes of all words of a few texts ([n, 2]), one after the other, and where each text begins (n + 1 entries)."""
     if len(texts) == 1:
         parts = []
         for part in pieces(texts[0]):
             data = np.frombuffer(part, np.uint8)
-            parts.append(span_hashes(data, *spans(data)))
+            parts.append(span_hashes(data, *spans(data), key, 2))
         hashes = np.concatenate(parts)
         return hashes, np.array([0, len(hashes)])
     if max(map(len, texts), default=0) > SEGMENT:
-        each = [hash_words([t])[0] for t in texts]
+        each = [hash_words([t], key)[0] for t in texts]
         return np.concatenate(each), np.concatenate([[0], np.cumsum([len(h) for h in each])])
     data = np.frombuffer(b"\n".join(texts), np.uint8)
     starts, ends = spans(data)
     begin = np.cumsum([0] + [len(t) + 1 for t in texts])
-    return span_hashes(data, starts, ends), np.searchsorted(starts, begin)
+    return span_hashes(data, starts, ends, key, 2), np.searchsorted(starts, begin)
 
 
 def window_hashes(words: np.ndarray, length: int, which: int = 0) -> np.ndarray:

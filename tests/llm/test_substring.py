@@ -87,10 +87,33 @@ def test_cover_is_checked(spark):
 @given(st.lists(st.text(alphabet="ab \t\n\x0b\x0c\r\x1c\xa0é", max_size=30), min_size=1, max_size=5))
 def test_words_are_those_of_the_pattern(texts):
     data = [t.encode() for t in texts]
-    hashes, begin = W.hash_words(data)
+    hashes, begin = W.hash_words(data, b"some key")
     expect = [w for t in data for w in brute.WORD.findall(t)]
     assert np.diff(begin).tolist() == [len(brute.WORD.findall(t)) for t in data]
     same = {}
-    for w, h in zip(expect, hashes.tolist()):
+    for w, h in zip(expect, map(tuple, hashes.tolist())):
         assert same.setdefault(w, h) == h
     assert len(set(same.values())) == len(same)
+
+
+@pytest.mark.parametrize("size", [32, 64, 1024, 2048, 4096])
+def test_words_that_powers_of_a_base_can_not_tell_apart(spark, size):
+    # letters in the order of the parity of the ones of their place, and the other way round
+    order = [bin(i).count("1") % 2 for i in range(size)]
+    odd, other = ("".join(pair[x] for x in order) for pair in ("ab", "ba"))
+    same = " ".join(f"w{i}" for i in range(34))
+    df = spark.createDataFrame([(1, f"{odd} {same}"), (2, f"{other} {same}")], "doc_id long, text string")
+    assert [r.n_removed for r in S.substring_dedup(df).collect()] == [0, 0]
+    again = df.union(spark.createDataFrame([(3, f"x {odd} {same}")], "doc_id long, text string"))
+    assert {r.doc_id: r.n_removed for r in S.substring_dedup(again).collect()} == {1: 35, 2: 0, 3: 35}
+
+
+def test_hashes_follow_bytes_alone():
+    r = np.random.default_rng(7)
+    words = [bytes(r.choice(list(b"abAB\xc3"), n).astype(np.uint8)) for n in [*range(1, 80), *range(1, 80), 500, 500] for _ in range(4)]
+    data = np.frombuffer(b" ".join([*words, *words[::-1]]), np.uint8)
+    h = W.span_hashes(data, *W.spans(data), b"k", 2)
+    assert (h[:len(words)] == h[len(words):][::-1]).all()
+    for side in (0, 1):
+        assert len(set(h[:, side].tolist())) == len(set(words))
+    assert not set(h[:, 0].tolist()) & set(W.span_hashes(data, *W.spans(data), b"l").tolist())

@@ -23,7 +23,6 @@ from . import words as W
 from .blocks import texts_of
 
 SAMPLE_DOCS = 4000  # labelled documents of the fit
-SAMPLE_LINES = 60  # lines of each of them that the fit uses
 OWN = 12  # features of a line
 FEATURES = 3 * OWN + 1
 _CLASS = np.zeros((4, 256), np.uint8)
@@ -229,11 +228,10 @@ def held_out(ident: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", ident: str = "doc_id", label: str = "quality", *,
-          sample_docs: int = SAMPLE_DOCS, sample_lines: int = SAMPLE_LINES) -> QualityModel:
-    """Fit on at most `sample_docs` labelled documents that are not held out, chosen by hash of the id.
+          sample_docs: int = SAMPLE_DOCS) -> QualityModel:
+    """Fit on at most `sample_docs` labelled documents that are not held out, chosen by hash of the id, their whole texts.
 
-    Only features of their first `sample_lines` lines come to the driver: `sample_docs` x `sample_lines` x 12 numbers at
-    most. Ids labelled more than once take their mean label, 0.5 counting as good. Rows without id, label or text are left
+    Only features come to the driver, 56 bytes for each of their lines. Ids labelled more than once take their mean label, 0.5 counting as good. Rows without id, label or text are left
     out. Without any labelled row, every score is 0.5.
     """
     chosen = (labels.where(F.col(ident).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(ident)))
@@ -244,7 +242,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", ident: str = "
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own, sizes, begin = line_features(texts_of(batch, "t"))
-            cut = [(b, min(e, b + sample_lines)) for b, e in zip(begin, begin[1:])]
+            cut = list(zip(begin, begin[1:]))
             yield pa.RecordBatch.from_arrays([
                 batch.column("i"), batch.column("y"), pa.array([own[b:e].astype(np.float32).tobytes() for b, e in cut], pa.binary()),
                 pa.array([sizes[b:e].tobytes() for b, e in cut], pa.binary())], names=["i", "y", "own", "sizes"])

@@ -88,3 +88,12 @@ def test_no_or_one_kind_of_label(spark, quality):
     assert len(rows) == df.count() and all(0 <= r.score <= 1 for r in rows)
     assert Q.scored(brute.empty(spark), given).count() == 0
     assert Q.scored(df, given.limit(0)).where("abs(score - 0.5) > 1e-9").count() == 0
+
+
+def test_the_fit_reads_whole_texts(spark):
+    alike = "One plain line of words that all documents begin with.\n" * 60
+    tail = {1: "Another plain line of words that goes on for a while.\n" * 200, 0: "#### %%%% && !! 0000 ////\n" * 200}
+    rows = [(i, alike + tail[i % 2]) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    given = labels(spark, [(i, i % 2, None, None) for i in range(200)])
+    assert all(r.predicted == r.doc_id % 2 for r in Q.scored(df, given).collect())

@@ -1,7 +1,7 @@
 """Conversations as one formatted string each, with column functions only.
 
-A turn's content is a list of typed parts. A visitor flattens them in order: text
-is escaped and kept, an image, an audio clip or a document becomes a numbered
+A turn's content is a list of typed parts. A visitor flattens them in order: neighbouring
+texts become one text, which is escaped as a whole and kept, an image, an audio clip or a document becomes a numbered
 placeholder, whose reference and expanded token count go to a side list.
 
     <|turn|>role<|body|>content<|end|>\\n        once per turn
@@ -60,6 +60,24 @@ def placeholder(part: Column, place: Column) -> Column:
     return F.concat(F.lit("<|"), kind, F.lit(":"), place.cast("string"), F.lit("|>"))
 
 
+def flattened(parts: Column) -> Column:
+    """Content of a turn: texts escaped, what is between them as placeholders.
+
+    The texts are joined, with a mark where another part stands, and cut at the marks again; a zero byte is the only character
+    of marks, and those of the texts are told apart.
+    """
+    raw = F.array_join(F.transform(parts, lambda p: F.when(is_text(p), F.replace(F.coalesce(p["text"], F.lit("")), F.lit("\0"), F.lit("\0t")))
+                                   .otherwise(F.lit("\0m"))), "")
+    runs = F.transform(F.split(raw, "\0m", -1), lambda r: escape(F.replace(r, F.lit("\0t"), F.lit("\0"))))
+    others = F.filter(F.transform(parts, lambda p, i: F.when(~is_text(p), placeholder(p, i))), lambda o: o.isNotNull())
+    return F.array_join(F.transform(runs, lambda r, i: F.concat(r, F.coalesce(F.get(others, i), F.lit("")))), "")
+
+
+def is_text(part: Column) -> Column:
+    """Whether a part is text; one without a kind is."""
+    return F.coalesce(part["kind"], F.lit("text")) == "text"
+
+
 def format_chats(turns: DataFrame, parts: str, conv: str = "conv_id", turn: str = "turn", role: str = "role", *,
                  patch: int = 14, rate: float = 25.0, per_page: int = 256, learn: str = "assistant") -> DataFrame:
     """One row per conversation: conv, n_turns, formatted, loss, attachments, expanded_tokens.
@@ -75,12 +93,10 @@ def format_chats(turns: DataFrame, parts: str, conv: str = "conv_id", turn: str
     given = {f.name for f in turns.schema[parts].dataType.elementType.fields}
     rows = turns.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"),
                         _full(F.coalesce(F.col(parts), F.array().cast(turns.schema[parts].dataType)), given).alias("parts"))
-    is_text = lambda p: F.coalesce(p["kind"], F.lit("text")) == "text"
-    seen = F.array_join(F.transform("parts", lambda p, i: F.when(is_text(p), escape(F.coalesce(p["text"], F.lit("")))).otherwise(placeholder(p, i))), "")
     media = F.filter(F.transform("parts", lambda p, i: F.struct(i.alias("part"), p["kind"].alias("kind"), p["ref"].alias("ref"),
                                                                  expanded(p, patch, rate, per_page).alias("tokens"))),
                      lambda a: F.coalesce(a["kind"], F.lit("text")) != "text")
-    one = F.struct("turn", "role", seen.alias("content"), media.alias("media"))
+    one = F.struct("turn", "role", flattened(F.col("parts")).alias("content"), media.alias("media"))
     chats = rows.select("conv_id", one.alias("one")).groupBy("conv_id").agg(F.sort_array(F.collect_list("one")).alias("all"))
     head = lambda t: F.concat(F.lit(TURN), escape(t["role"]), F.lit(BODY))
     formatted = F.array_join(F.transform("all", lambda t: F.concat(head(t), t["content"], F.lit(END))), "")

@@ -5,10 +5,11 @@ domain (it covers its subdomains) or a host with a path (it covers what lies bel
 Between an addition and the next removal it is active, and a capture is judged by the
 entries active when it was fetched, an addition at that very moment included.
 
-Histories are cut into months: the state that a month begins with is carried in from
-the last entry before it. Captures and entries of one list, key and month are merged
+Histories are cut into months, of which only those that have captures of the list and key are
+looked at: the state that such a month begins with is carried in from the last entry
+before it. Captures and entries of one list, key and month are merged
 in the order of time, and the last state before a capture holds. Captures of a key
-are dealt over `salts`, and its entries repeated for each, so that a host with a
+are dealt over salts, as many as their number asks for, and its entries repeated for each salt that has captures, so that a host with a
 third of all captures is many groups, and no capture is paired with more than one
 state per list and key.
 """
@@ -16,8 +17,11 @@ state per list and key.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .blocks import saved
+
 URL = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?([^?#]*)"
-SALTS = 16
+SALTS = 16  # at least
+PER_SALT = 1_000_000  # captures of the table for each salt
 
 
 def host_of(url: Column) -> Column:
@@ -47,24 +51,28 @@ def entry_key(pattern: Column) -> Column:
     return F.when(rest != "", F.concat_ws("/", host, rest)).otherwise(host)
 
 
-def states(entries: DataFrame, until) -> DataFrame:
-    """(list, key, at, carried, active): every change, and the state that a month begins with where that is active."""
-    known = (entries.where("list is not null and pattern is not null and at is not null and action in ('add', 'remove')")
-             .select("list", entry_key(F.col("pattern")).alias("key"), "at", (F.col("action") == "add").alias("active")).where("key <> ''")
-             .groupBy("list", "key", "at").agg(F.max("active").alias("active")))
-    changes = known.withColumn("month", F.date_trunc("month", "at"))
-    last = changes.groupBy("list", "key", "month").agg(F.max_by("active", "at").alias("active"))
-    following = F.lead("month").over(Window.partitionBy("list", "key").orderBy("month"))
-    end = F.least(F.coalesce(F.col("following"), F.lit(until)), F.lit(until))
-    begin = F.add_months("month", 1).cast("timestamp")
-    carried = (last.withColumn("following", following).withColumn("begin", begin).withColumn("end", F.date_trunc("month", end))
-               .where(F.col("active") & (F.col("begin") <= F.col("end")))
-               .select("list", "key", F.explode(F.sequence(F.col("begin"), F.col("end"), F.expr("interval 1 month"))).alias("at"),
-                       F.lit(True).alias("carried"), "active"))
-    return carried.union(known.select("list", "key", "at", F.lit(False), "active"))
-
-
-def judged(captures: DataFrame, entries: DataFrame, url: str = "url", at: str = "fetched_at", *, salts: int = SALTS) -> DataFrame:
+def changes(entries: DataFrame) -> DataFrame:
+    """(list, key, at, active): every moment at which a pattern is added or removed."""
+    return (entries.where("list is not null and pattern is not null and at is not null and action in ('add', 'remove')")
+            .select("list", entry_key(F.col("pattern")).alias("key"), "at", (F.col("action") == "add").alias("active")).where("key <> ''")
+            .groupBy("list", "key", "at").agg(F.max("active").alias("active")))
+
+
+def states(known: DataFrame, months: DataFrame) -> DataFrame:
+    """(list, key, month, at, carried, active) for the given (list, key, month): their changes, and what the month begins with where that is active."""
+    dated = known.withColumn("month", F.date_trunc("month", "at"))
+    last = dated.groupBy("list", "key", "month").agg(F.max_by("active", "at").alias("active"))
+    # a month that is asked for stands before its own changes
+    both = (months.select("list", "key", "month", F.lit(0).alias("turn"), F.lit(None).cast("boolean").alias("active"))
+            .union(last.select("list", "key", "month", F.lit(1), "active")))
+    order = Window.partitionBy("list", "key").orderBy("month", "turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = (both.withColumn("now", F.last("active", ignorenulls=True).over(order)).where("turn = 0 and now")
+               .select("list", "key", "month", F.col("month").alias("at"), F.lit(True).alias("carried"), F.lit(True).alias("active")))
+    own = dated.join(months, ["list", "key", "month"], "left_semi").select("list", "key", "month", "at", F.lit(False), "active")
+    return carried.union(own)
+
+
+def judged(captures: DataFrame, entries: DataFrame, url: str = "url", at: str = "fetched_at", *, salts: int | None = None) -> DataFrame:
     """All rows and columns of `captures` with `lists`: names of the lists that cover the URL at its time, sorted.
 
     `entries` has list, pattern, action ('add' or 'remove') and at (a timestamp). Of an addition and a removal at one
@@ -74,23 +82,22 @@ def judged(captures: DataFrame, entries: DataFrame, url: str = "url", at: str =
     Repeated captures are judged once and each come back; repeated entries change nothing. Empty tables: no rows, or no
     lists. URLs of any length are taken whole; path prefixes go as deep as the deepest pattern.
     """
-    until = captures.agg(F.max(at)).first()[0]
     deepest = entries.agg(F.max(F.size(F.split(entry_key(F.col("pattern")), "/")) - 1)).first()[0] or 0
     capture = F.when(F.col(url).isNotNull() & F.col(at).isNotNull(), F.md5(F.concat_ws("|", F.unix_micros(at).cast("string"), F.col(url))))
     kept = F.struct(*[F.col(f"`{c}`") for c in captures.columns if c.lower() != "lists"])
     rows = captures.select(kept.alias("__row"), capture.alias("__capture"), F.col(url).alias("u"), F.col(at).cast("timestamp").alias("at"))
-    if until is None:
-        return rows.select("__row.*", F.array().cast("array<string>").alias("lists"))
-    points = states(entries, until)
+    known = changes(entries)
     seen = rows.where("__capture is not null").select("__capture", "u", "at").dropDuplicates(["__capture"])
+    salts = salts or max(SALTS, rows.count() // PER_SALT)
     probes = seen.select("__capture", "at", F.explode(url_keys(F.col("u"), deepest)).alias("key"))
     # only keys that some list has go on, once for each of these lists
-    probes = probes.join(points.select("list", "key").distinct(), "key")
-    salt = F.pmod(F.xxhash64("__capture"), F.lit(salts)).cast("int")
-    asked = probes.select("list", "key", "at", F.lit(2).alias("turn"), F.lit(None).cast("boolean").alias("active"), salt.alias("salt"), "__capture")
-    told = points.select("list", "key", "at", F.when(F.col("carried"), 0).otherwise(1).alias("turn"), "active",
-                         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(None).cast("string").alias("__capture"))
-    merged = asked.union(told).withColumn("month", F.date_trunc("month", "at"))
+    probes = (probes.join(known.select("list", "key").distinct(), "key")
+              .select("list", "key", F.date_trunc("month", "at").alias("month"), F.pmod(F.xxhash64("__capture"), F.lit(salts)).cast("int").alias("salt"), "at", "__capture"))
+    groups = saved(probes.select("list", "key", "month", "salt").distinct(), "url-months")
+    asked = probes.select("list", "key", "month", "salt", "at", F.lit(2).alias("turn"), F.lit(None).cast("boolean").alias("active"), "__capture")
+    told = (states(known, groups.select("list", "key", "month").distinct()).join(groups, ["list", "key", "month"])
+            .select("list", "key", "month", "salt", "at", F.when(F.col("carried"), 0).otherwise(1).alias("turn"), "active", F.lit(None).cast("string").alias("__capture")))
+    merged = asked.union(told)
     order = Window.partitionBy("list", "key", "month", "salt").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hits = merged.withColumn("now", F.last("active", ignorenulls=True).over(order)).where("turn = 2 and now")
     found = hits.groupBy("__capture").agg(F.array_sort(F.collect_set("list")).alias("__lists"))

@@ -63,6 +63,28 @@ def test_lists_of_empty_tables(spark):
     assert [r.lists for r in U.judged(c, e).collect()] == [["p"]]
 
 
+def test_a_far_date_adds_no_months(spark):
+    e = spark.createDataFrame([("p", f"h{i}.b", "add", day(i)) for i in range(10)] + [("p", "h3.b", "remove", day(400))], "list string, pattern string, action string, at timestamp")
+    near = [("http://h1.b/x", day(40)), ("http://h3.b/", day(399)), ("http://h3.b/", day(400)), ("http://h3.b/", day(5000)), ("http://h9.b/", day(3)), ("http://h9.b/", day(9))]
+    far = dt.datetime(9999, 12, 30)
+    c = spark.createDataFrame([*near, ("http://h1.b/x", far), ("http://h3.b/x", far)], "url string, fetched_at timestamp")
+    got = [r.lists for r in U.judged(c, e).collect()]
+    rows = {(r.url, r.fetched_at): r.lists for r in U.judged(c, e).collect()}
+    assert [rows[k] for k in [*near, ("http://h1.b/x", far), ("http://h3.b/x", far)]] == [["p"], ["p"], [], [], [], ["p"], ["p"], []] and len(got) == 8
+    known = U.changes(e)
+    months = lambda *days: spark.createDataFrame([("p", "h1.b", d) for d in days], "list string, key string, month timestamp")
+    one = U.states(known, months(dt.datetime(2026, 1, 1))).collect()
+    two = U.states(known, months(dt.datetime(9999, 1, 1))).collect()
+    assert len(one) == len(two) == 1 and two[0].active and two[0].carried
+
+
+def test_salts_do_not_change_the_result(spark):
+    e = spark.createDataFrame([("p", "a.b", "add", day(0)), ("q", "a.b", "add", day(3)), ("q", "a.b", "remove", day(9))], "list string, pattern string, action string, at timestamp")
+    c = spark.createDataFrame([(f"http://a.b/{i}", day(i % 13)) for i in range(60)], "url string, fetched_at timestamp")
+    a, b = ({(r.url, tuple(r.lists)) for r in U.judged(c, e, salts=n).collect()} for n in (1, 500))
+    assert a == b == {(f"http://a.b/{i}", ("p", "q") if 3 <= i % 13 < 9 else ("p",)) for i in range(60)}
+
+
 def licence_texts():
     mit = L.LICENSES["MIT"]
     return [

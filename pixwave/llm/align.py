@@ -28,20 +28,14 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from .blocks import from_ipc, to_ipc, write_blocks
 from .bpe import byte_characters
-from .parts import Store, is_odd, numbered
+from .parts import LETTER, Store, numbered, units
 
 TEXT = "__text"
 BLOCK_BYTES = 8 << 20  # of text: a larger block repeats fewer pairs
+_BARE = re.compile(f"[{LETTER}]")
 AT_ONCE = 1 << 16  # characters of new parts that go through the libraries together
 MARK = "▁"  # stands for a space in sentence pieces
 # codes: an id and, above it, the side and whether it is the last token of its group
-# No byte-level pre-token goes on after a run of letters, nor over a line break between two characters that are no white
-# space; pieces are checked for it. Letters here are a subset of the libraries' ones.
-_LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-_SIMPLE = rf"^[!-~{_LETTER}]+(\n[!-~{_LETTER}]+)*$"
-_CUTS = (rf"([{_LETTER}])([^{_LETTER}])", rf"(\n)([{_LETTER}])")
-_SOLID = re.compile(r"\S+")
-_BARE = re.compile(f"[{_LETTER}]")
 A_INNER, A_LAST, B_INNER, B_LAST = 0, 1, 2, 3
 SHIFT, ID = 30, (1 << 30) - 1
 
@@ -90,7 +84,7 @@ class Aligner:
             raise ValueError("the first file is no plain byte-level BPE")
         if (norm.precompiled_charsmap or norm.remove_extra_whitespaces or not norm.add_dummy_prefix or not norm.escape_whitespaces
                 or proto.trainer_spec.model_type != 2 or proto.trainer_spec.treat_whitespace_as_suffix
-                or any(p.type == 4 or p.type == 1 and (MARK in p.piece.lstrip(MARK) or "\n" in p.piece or re.search(f"[{_LETTER}][^{_LETTER}]", p.piece))
+                or any(p.type == 4 or p.type == 1 and (MARK in p.piece.lstrip(MARK) or "\n" in p.piece or re.search(f"[{LETTER}][^{LETTER}]", p.piece))
                        for p in proto.pieces)):
             raise ValueError("the second file is no BPE of pieces with spaces only in front and letters only at the end, or it normalizes its text")
         self.a = Tokenizer.from_str(spec)
@@ -105,7 +99,7 @@ class Aligner:
         sizes = [len(self.lengths[k >> 1]) for k in range(4)]
         self.place = np.concatenate([[0], np.cumsum(sizes)])
         self.written = pa.array([f"{i}{end}" for n, end in zip(sizes, (",", "|", ",", ";")) for i in range(n)], pa.large_string())
-        self.units = Store(None)
+        self.units = Store()
 
     def joined(self, side: int, ids: np.ndarray) -> bytes:
         """Decoded bytes of ids."""
@@ -147,28 +141,16 @@ class Aligner:
         order = np.argsort(np.concatenate(order), kind="stable")
         return np.concatenate(out)[order].astype(np.uint32), np.concatenate(at)[order]
 
-    def split(self, names: pa.Array) -> pa.LargeListArray:
-        """Units of each part, the first with the space in front; a unit after a zero byte can only be encoded by itself."""
-        simple = pc.match_substring_regex(names, _SIMPLE)
-        cut = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), names.filter(simple), pa.scalar("", pa.large_string()))
-        for pattern in _CUTS:
-            cut = pc.replace_substring_regex(cut, pattern, "\\1\0\\2")
-        kind = pa.large_list(pa.large_string())
-        others = [[" " + n] if _SOLID.fullmatch(n) and "\0" not in n and not is_odd(n) else ["\0 " + n] for n in names.filter(pc.invert(simple)).to_pylist()]
-        simple = simple.to_numpy(zero_copy_only=False)
-        order = np.argsort(np.concatenate([np.flatnonzero(simple), np.flatnonzero(~simple)]), kind="stable")
-        return pa.concat_arrays([pc.split_pattern(cut, "\0").cast(kind), pa.array(others, kind)]).take(pa.array(order))
-
-    def align(self, units: list[str]) -> list[bytes]:
+    def align(self, new: list[str]) -> list[bytes]:
         """Codes of new units, many in one text: before each stands what may stand before it."""
         out, held, size = [], [], 0
-        for unit in units:
+        for unit in new:
             if unit[0] == "\0":
                 out.extend(self._together(held))
                 found, held, size = self.codes(unit[2:]), [], 0
                 out.append(b"" if found is None else found[0].tobytes())
                 continue
-            front = "" if unit[0] == " " else " a" if not _BARE.match(unit) else " a\n"
+            front = "" if unit[0] == " " else " a\n" if _BARE.match(unit) else " a"
             held.append((front, unit))
             size += len(unit) + len(front)
             if size > AT_ONCE:
@@ -193,7 +175,7 @@ class Aligner:
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Codes of all texts and where each text's begin (n + 1 entries); none for a text that a side does not give back."""
         names, number, begin = numbered(texts)
-        split = self.split(names)
+        split = units(names)
         coded = split.flatten().dictionary_encode()
         found = self.units.fetch(coded.dictionary.to_pylist(), self.align)
         # from texts over parts to units

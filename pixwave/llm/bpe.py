@@ -25,14 +25,13 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .blocks import cut_blocks
-from .parts import Store, numbered
+from .parts import LETTER, Store, numbered, units
 
 BATCH_BYTES = 4 << 20  # of text that a batch of results comes from
 # Texts of these characters are cut by the expression below, which is that of byte-level files with their classes of letters
-# and digits written out; all others are cut by the library, which knows its own version of Unicode.
-_LETTER, _DIGIT = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9"
-_PLAIN = re.compile(f"[\t-\r -~{_LETTER}]*")
-_CUT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[^\s{_LETTER}{_DIGIT}]+|\s+(?!\S)|\s+")
+# and digits written out; all others are cut by the library.
+_PLAIN = re.compile(f"[\t-\r -~{LETTER}]*")
+_CUT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[0-9]+| ?[^\s{LETTER}0-9]+|\s+(?!\S)|\s+")
 
 
 def byte_characters() -> list[str]:
@@ -43,9 +42,9 @@ def byte_characters() -> list[str]:
 
 
 class Codec:
-    """Merges and vocabulary of one file."""
+    """Vocabulary of one file and, to encode, its merges."""
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, encodes: bool = True):
         s = json.loads(spec)
         pre, model, decoder = (s.get(k) or {} for k in ("pre_tokenizer", "model", "decoder"))
         added = s.get("added_tokens") or []
@@ -57,23 +56,22 @@ class Codec:
         vocab, symbols = model["vocab"], byte_characters()
         if not all(c in vocab for c in symbols):
             raise ValueError("the vocabulary lacks a symbol for some byte")
-        self.first = [vocab[c] for c in symbols]
-        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.made = [vocab[a + b] for a, b in pairs]  # by rank
-        self.rank = {vocab[a] << 32 | vocab[b]: r for r, (a, b) in enumerate(pairs)}
         self.added = {a["content"]: a["id"] for a in added}
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
         names = {i: t for t, i in [*vocab.items(), *self.added.items()]}
         code = {c: b for b, c in enumerate(symbols)}
-        self.bytes = [bytes(map(code.__getitem__, t)) if all(c in code for c in t) else t.encode()
-                      for t in (names.get(i, "") for i in range(max(names) + 1))]
-        self.table = pa.array([*self.bytes, b""], pa.large_binary())
+        self.table = pa.array([*(bytes(map(code.__getitem__, t)) if all(c in code for c in t) else t.encode()
+                                 for t in (names.get(i, "") for i in range(max(names) + 1))), b""], pa.large_binary())
+        if not encodes:
+            return
+        self.first = [vocab[c] for c in symbols]
+        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        self.made = [vocab[a + b] for a, b in pairs]  # by rank
+        self.rank = {vocab[a] << 32 | vocab[b]: r for r, (a, b) in enumerate(pairs)}
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks share the machine
         from tokenizers import Tokenizer
         self.cut = Tokenizer.from_str(spec).pre_tokenizer.pre_tokenize_str
-        self.words = Store(self.word_ids)
-        self.spaced = Store(lambda part: self.part_ids(" " + part))
-        self.leading = Store(self.part_ids)
+        self.units = Store()
 
     def merge(self, word: bytes) -> list[int]:
         """Symbols of a pre-token after all merges."""
@@ -117,12 +115,14 @@ class Codec:
                     heappush(heap, entry)
         return [s for s in symbols if s >= 0]
 
-    def word_ids(self, word: str) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids) if len(ids := self.merge(word.encode())) < 64 else np.array(ids, "<u4").tobytes()
+    def ids(self, text: str) -> bytes:
+        """Ids of a text without added tokens, merged now."""
+        words = _CUT.findall(text) if _PLAIN.fullmatch(text) else [text[a:b] for _, (a, b) in self.cut(text)]
+        merged = self.merge(words[0].encode()) if len(words) == 1 else [i for w in words for i in self.merge(w.encode())]
+        return struct.pack(f"<{len(merged)}I", *merged)
 
-    def part_ids(self, part: str) -> bytes:
-        words = _CUT.findall(part) if _PLAIN.fullmatch(part) else [part[a:b] for _, (a, b) in self.cut(part)]
-        return self.words[words[0]] if len(words) == 1 else b"".join(map(self.words.__getitem__, words))
+    def many(self, new: list[str]) -> list[bytes]:
+        return [self.ids(u[1:] if u[0] == "\0" else u) for u in new]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; strings of added tokens are those tokens."""
@@ -138,14 +138,22 @@ class Codec:
                 pieces.append(text)
                 owner.append(i)
         names, number, begin = numbered(pieces)
-        names = names.to_pylist()
         # the first part of a piece has no space before it: it is a value of its own
         first = [p for p in range(len(pieces)) if begin[p] < begin[p + 1]]
+        leading = names.take(pa.array(number[begin[first]])).to_pylist() if first else []
+        split = units(names)
+        coded = split.flatten().dictionary_encode()
+        values = pa.array([*self.units.fetch(coded.dictionary.to_pylist(), self.many), *map(self.ids, leading)], pa.large_binary())
+        # a list of numbers of values for each distinct part, and for each of the first parts
+        n = len(coded.dictionary)
+        lists = pa.concat_arrays([pa.LargeListArray.from_arrays(split.offsets, coded.indices.cast(pa.int64())),
+                                  pa.LargeListArray.from_arrays(np.arange(len(first) + 1), pa.array(n + np.arange(len(first))))])
         number = number.astype(np.int64)
-        leading = [self.leading[names[k]] for k in number[begin[first]].tolist()] if first else []
         number[begin[first]] = len(names) + np.arange(len(first))
-        joined = pa.array([*map(self.spaced.__getitem__, names), *leading], pa.large_binary()).take(pa.array(number))
-        ends = np.frombuffer(joined.buffers()[1], np.int64, len(number) + 1, 8 * joined.offset) if len(number) else np.zeros(1, np.int64)
+        each = lists.take(pa.array(number))
+        begin = np.concatenate([[0], np.cumsum(pc.list_value_length(each).to_numpy(zero_copy_only=False))]).astype(np.int64)[begin]
+        joined = values.take(each.flatten())
+        ends = np.frombuffer(joined.buffers()[1], np.int64, len(joined) + 1, 8 * joined.offset) if len(joined) else np.zeros(1, np.int64)
         data, at = memoryview(joined.buffers()[2] or b""), ends[begin].tolist()
         out = [[] for _ in texts]
         for p, i in enumerate(owner):
@@ -156,7 +164,7 @@ class Codec:
         """Texts of ids; ids that the vocabulary has not are left out, and bytes that are no UTF-8 become U+FFFD."""
         sizes = [len(i) for i in ids]
         flat = np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64)
-        flat[(flat < 0) | (flat >= len(self.bytes))] = len(self.bytes)  # the entry of no bytes
+        flat[(flat < 0) | (flat >= len(self.table))] = len(self.table) - 1  # the entry of no bytes
         joined = self.table.take(pa.array(flat))
         ends = np.frombuffer(joined.buffers()[1], np.int64, len(flat) + 1, 8 * joined.offset) if len(flat) else np.zeros(1, np.int64)
         at = ends[np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)]
@@ -168,8 +176,8 @@ class Codec:
 
 
 @lru_cache(maxsize=2)
-def codec(spec: str) -> Codec:
-    return Codec(spec)
+def codec(spec: str, encodes: bool = True) -> Codec:
+    return Codec(spec, encodes)
 
 
 def _refuse(keep: Sequence[str], names: Sequence[str]) -> None:
@@ -224,7 +232,7 @@ def decode(rows: DataFrame, spec: str, ids: str = "ids", out: str = "decoded", *
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(spec)
+        own = codec(spec, False)
         for batch in batches:
             for part in cut_blocks(batch, "__ids", 4 * batch_bytes) if packed else [batch]:
                 values = part.column("__ids")

@@ -5,7 +5,7 @@ vocabularies whose pieces have a space only in front. So a text may be cut there
 """
 
 import re
-from collections.abc import Callable, Hashable
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +17,13 @@ _WHITE = "\t\n\x0b\x0c\r "
 _MIXED = ["  ", *(a for w in "\t\n\x0b\x0c\r" for a in (" " + w, w + " "))]
 _BETWEEN = re.compile("(?<=[^ \t-\r]) (?=[^ \t-\r])")
 
+# No byte-level pre-token goes on after a run of letters, nor over a line break between two characters that are no white
+# space. The letters here are a subset of those of the libraries, which have their own versions of Unicode.
+LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_SIMPLE = rf"^[!-~{LETTER}]+(\n[!-~{LETTER}]+)*$"
+_CUTS = (rf"([{LETTER}])([^{LETTER}])", rf"(\n)([{LETTER}])")
+_SOLID = re.compile(r"\S+")
+
 LONGEST = 64  # characters of a part that is worth keeping
 KEPT = 200_000  # parts of a generation
 
@@ -26,11 +33,6 @@ def is_plain(text: str) -> bool:
     return not (text[:1] in _WHITE or text[-1:] in _WHITE or any(m in text for m in _MIXED) or _ODD.search(text))
 
 
-def is_odd(text: str) -> bool:
-    """Whether a text has white space beyond ASCII, or what some engines count as such."""
-    return _ODD.search(text) is not None
-
-
 def split_parts(text: str) -> list[str]:
     """The parts of a text; joined by single spaces they are the text. An empty text has none."""
     if not text or _ODD.search(text):
@@ -50,25 +52,31 @@ def numbered(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), begin
 
 
+def units(names: pa.Array) -> pa.LargeListArray:
+    """Units of each part, the first with the space in front; what comes after a zero byte can only be taken by itself."""
+    simple = pc.match_substring_regex(names, _SIMPLE)
+    cut = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), names.filter(simple), pa.scalar("", pa.large_string()))
+    for pattern in _CUTS:
+        cut = pc.replace_substring_regex(cut, pattern, "\\1\0\\2")
+    kind = pa.large_list(pa.large_string())
+    others = [[" " + n] if _SOLID.fullmatch(n) and "\0" not in n and not _ODD.search(n) else ["\0 " + n] for n in names.filter(pc.invert(simple)).to_pylist()]
+    simple = simple.to_numpy(zero_copy_only=False)
+    order = np.argsort(np.concatenate([np.flatnonzero(simple), np.flatnonzero(~simple)]), kind="stable")
+    return pa.concat_arrays([pc.split_pattern(cut, "\0").cast(kind), pa.array(others, kind)]).take(pa.array(order))
+
+
 class Store(dict):
-    """What `make` gives for a key, kept for the keys of late.
+    """What was made of strings, kept for those met of late.
 
     Two generations of `kept` keys each bound the memory; a key that is asked for again moves to the young one. Only
     the time of an answer depends on what is kept.
     """
 
-    def __init__(self, make: Callable | None, kept: int = KEPT, longest: int = LONGEST):
+    def __init__(self, kept: int = KEPT, longest: int = LONGEST):
         super().__init__()
-        self.make, self.kept, self.longest, self.old = make, kept, longest, {}
-
-    def __missing__(self, key: Hashable):
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-        self.keep(key, value)
-        return value
+        self.kept, self.longest, self.old = kept, longest, {}
 
-    def fetch(self, keys: list, make_many: Callable) -> list:
+    def fetch(self, keys: list[str], make_many: Callable[[list[str]], list]) -> list:
         """Values of distinct keys; those that are not kept are made together."""
         out = [self.get(k) for k in keys]
         late = [i for i, v in enumerate(out) if v is None]
@@ -81,7 +89,7 @@ class Store(dict):
             self.keep(keys[i], out[i])
         return out
 
-    def keep(self, key: Hashable, value) -> None:
+    def keep(self, key: str, value) -> None:
         if len(key) <= self.longest:
             if len(self) >= self.kept:
                 self.old = dict(self)

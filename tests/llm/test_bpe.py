@@ -47,10 +47,10 @@ def test_merges_are_those_of_a_plain_search(spec):
 @pytest.mark.parametrize("kept", [3, 200_000])
 def test_ids_are_those_of_the_library(spec, library, kept):
     codec = bpe.Codec(spec)
-    for store in (codec.words, codec.spaced, codec.leading):
-        store.kept = kept
+    codec.units.kept = kept
     texts = odd_texts() + ["<|endoftext|>", " <|endoftext|>  x", "a<|endoftext|><|endoftext|> b", "", "it's we'LL don't 'tis", "x" * 20_000, "é" * 5000]
     ids = codec.encode(texts)
+    assert codec.encode(texts) == ids  # from what is kept
     want = library.encode_batch(texts, add_special_tokens=False)
     assert [np.frombuffer(i, "<u4").tolist() for i in ids] == [w.ids for w in want]
     assert codec.decode([np.frombuffer(i, "<u4") for i in ids]).to_pylist() == [library.decode(w.ids, skip_special_tokens=False) for w in want] == texts

@@ -37,7 +37,7 @@ def arguments(argv=None) -> argparse.Namespace:
     p.add_argument("--decay-steps", type=int, help="steps after which the rate falls by --decay-factor")
     p.add_argument("--decay-factor", type=float, default=0.1)
     p.add_argument("--ema", type=float, help="decay of the moving averages of the weights; they are then used to predict")
-    p.add_argument("--shards", type=int, default=None, help="workers per round; the default is the cluster's parallelism")
+    p.add_argument("--shards", type=int, default=None, help="parts of the rows that learn by themselves in a round; the default grows with the rows")
     p.add_argument("--seed", type=int, default=0)
     p.add_argument("--distort", action="store_true", help="crop, flip and change the images each epoch")
     p.add_argument("--crop", type=int, default=24)
@@ -111,16 +111,15 @@ def main(argv=None, spark: SparkSession | None = None):
             callbacks.append(evaluated)
         trained = training.train_parallel(
             rows, model, args.optimizer, args.batch_size, epochs,
-            args.shards or spark.sparkContext.defaultParallelism, args.seed,
+            args.shards, args.seed,
             callbacks, lr=lr, steps=args.steps, ema=args.ema, prepare=prepare)
         for round_no, step, tag, value in trained.metrics:
-            if "/" not in tag:  # the metric rows have every step of every shard
-                print(f"{datetime.now().isoformat()} round: {round_no} step: {step} {tag}: {value:.6f}")
+            print(f"{datetime.now().isoformat()} round: {round_no} step: {step} {tag}: {value:.6f}")
         if trained.round < epochs:
             print(f"stopped in epoch {trained.round} of {epochs} after {trained.step} steps (--steps {args.steps})")
         return trained
     trained = training.resume(spark, args.model, model["name"])
-    params = trained.averaged if args.ema else trained.params
+    params = trained.weights(averaged=bool(args.ema))
     if args.distort:
         ready = prep.eval_inputs(rows, args.crop, args.crop)
     else:

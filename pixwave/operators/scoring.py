@@ -1,4 +1,4 @@
-"""Scoring of example tables with a model whose weights are broadcast."""
+"""Scoring of example tables with a model whose weights are broadcast, or read by the tasks from a written state."""
 
 import numpy as np
 import pyarrow as pa
@@ -10,12 +10,16 @@ from ..functions.vectors import argmax, softmax
 from .images import DOUBLES, block_array
 from .layers import Params, forward
 from .metrics import evaluate
+from .state import Weights
 
 # A model is copied to every executor, so its size is checked before it is broadcast.
 MAX_MODEL_BYTES = 1 << 30
 
 
-def broadcast_params(spark: SparkSession, params: Params):
+def broadcast_params(spark: SparkSession, params: Params | Weights):
+    """Something whose `value` is the weights in a task. Weights of a written state are read there."""
+    if isinstance(params, Weights):
+        return params
     size = sum(v.nbytes for v in params.values())
     if size > MAX_MODEL_BYTES:
         raise ValueError(f"model of {size} bytes does not fit an executor; the limit is {MAX_MODEL_BYTES}")
@@ -31,7 +35,7 @@ def matrix(vectors: pa.Array) -> np.ndarray:
     return values.reshape(len(vectors), -1) if len(vectors) else np.zeros((0, 0))
 
 
-def logits_column(spark: SparkSession, model: dict, params: Params, pixels: str = "pixels", batch: int = 32) -> Column:
+def logits_column(spark: SparkSession, model: dict, params: Params | Weights, pixels: str = "pixels", batch: int = 32) -> Column:
     """Column of logits; only the pixel column goes to Python, `batch` rows at a time."""
     shared = broadcast_params(spark, params)
 
@@ -45,30 +49,30 @@ def logits_column(spark: SparkSession, model: dict, params: Params, pixels: str
     return run(pixels)
 
 
-def score_dense(df: DataFrame, model: dict, params: Params, pixels: str = "pixels", name: str = "logits") -> DataFrame:
+def score_dense(df: DataFrame, model: dict, params: Params | Weights, pixels: str = "pixels", name: str = "logits") -> DataFrame:
     """Logits of a stack of dense layers."""
     return df.withColumn(name, logits_column(df.sparkSession, model, params, pixels, 4096))
 
 
-def score_cnn(df: DataFrame, model: dict, params: Params, pixels: str = "pixels", batch: int = 32,
+def score_cnn(df: DataFrame, model: dict, params: Params | Weights, pixels: str = "pixels", batch: int = 32,
               name: str = "logits") -> DataFrame:
     """Logits of a convolutional model."""
     return df.withColumn(name, logits_column(df.sparkSession, model, params, pixels, batch))
 
 
-def predict_batches(df: DataFrame, model: dict, params: Params, pixels: str = "pixels") -> DataFrame:
+def predict_batches(df: DataFrame, model: dict, params: Params | Weights, pixels: str = "pixels") -> DataFrame:
     """Logits, probabilities and predicted class of each row."""
     scored = score_cnn(df, model, params, pixels)
     return scored.withColumns({"prediction": argmax("logits"), "probabilities": softmax("logits")})
 
 
-def evaluate_model(df: DataFrame, model: dict, params: Params, step: int = 0, pixels: str = "pixels",
+def evaluate_model(df: DataFrame, model: dict, params: Params | Weights, step: int = 0, pixels: str = "pixels",
                    label: str = "label") -> DataFrame:
     """Accuracy, loss, rows and global step of a model on a table, in one pass."""
     return evaluate(score_cnn(df, model, params, pixels), label, "logits", step)
 
 
-def layer_outputs(df: DataFrame, model: dict, params: Params, ident: str = "example_id", pixels: str = "pixels",
+def layer_outputs(df: DataFrame, model: dict, params: Params | Weights, ident: str = "example_id", pixels: str = "pixels",
                   batch: int = 32) -> DataFrame:
     """Activations of every layer: ident, tag, values. Input of the histogram and sparsity operators."""
     shared = broadcast_params(df.sparkSession, params)
@@ -87,7 +91,7 @@ def layer_outputs(df: DataFrame, model: dict, params: Params, ident: str = "exam
     return df.select(ident, pixels).mapInArrow(run, f"`{ident}` {kind}, tag string, values array<double>")
 
 
-def activation_summary(df: DataFrame, model: dict, params: Params, pixels: str = "pixels", batch: int = 32) -> DataFrame:
+def activation_summary(df: DataFrame, model: dict, params: Params | Weights, pixels: str = "pixels", batch: int = 32) -> DataFrame:
     """mean, stddev, min, max and sparsity of the activations of each layer.
 
     A task sends one row per layer: count, mean, sum of squares about that mean, bounds and zeros. Squares are always

@@ -1,12 +1,16 @@
 """Training: one distributed gradient step, and parameter averaging in rounds.
 
-A round broadcasts the weights, lets every shard take mini-batch steps on its
-own rows, and averages the resulting weights by (tensor, chunk). Shards are a
-function of the example id and of the option `shards`, not of the cluster, and
+A round is a narrow pass: every shard reads the weights from the written table of the last
+round, takes mini-batch steps on its own rows, and the resulting weights are averaged by (tensor,
+chunk) into the next table. A task adds up its shards before anything is shuffled, in
+the order of a fixed tree over the shards, so that the result does not depend on how many shards a
+task holds. Shards are a function of the example id and of the number of shards, not of the cluster, and
 all draws are functions of (seed, round, shard, step), so a retried or moved
-task gives the same result.
+task gives the same result. Weights never pass through the driver.
 """
 
+import contextlib
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import partial
@@ -18,24 +22,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_key
+from ..session import shared_dir
+from ..sources.files import filesystem, qualified
 from ..sources.sinks import WEIGHTS_SCHEMA, checkpoint_weights, restore_weights, write_metrics
-from .layers import Params, apply_gradients, gradients, init_params, softmax_loss
+from . import scoring
+from .layers import Params, apply_gradients, gradients, softmax_loss
 from .scoring import broadcast_params, evaluate_model, matrix
+from .state import (Fold, StateTable, Weights, averages, initial_state, model_tensors, notes_frame, read_notes, value_type, weight_chunks,
+                    write_table)
 
-CHUNK_VALUES = 4096
-PARTS_SCHEMA = "tensor string, shape array<int>, chunk int, shard int, n_rows long, values array<double>"
-MERGED_SCHEMA = "tensor string, shape array<int>, chunk int, values array<double>"
+LOCAL_STEPS = 64  # mini-batches of a shard and round, where the number of shards is not given
+LOG = ("ts", "seconds", "n", "loss", "accuracy", "learning_rate")  # of each step
 METRICS_SCHEMA = "round int, step long, tag string, value double"
+EVENTS_SCHEMA = "round int, shard int, step long, ts timestamp, seconds double, n long, loss double, accuracy double, learning_rate double"
 
 
 # ---- weights as rows -----------------------------------------------------
 
-def weight_chunks(state: Params) -> list[tuple[str, list[int], int, np.ndarray]]:
-    """(tensor, shape, chunk, values) pieces of at most CHUNK_VALUES values."""
-    return [(name, list(value.shape), i // CHUNK_VALUES, value.ravel()[i:i + CHUNK_VALUES])
-            for name, value in sorted(state.items()) for i in range(0, max(1, value.size), CHUNK_VALUES)]
-
-
 def weights_frame(spark: SparkSession, state: Params, model: str, step: int) -> DataFrame:
     """Weight rows (model, step, tensor, shape, chunk, parts, values) of one model."""
     names, shapes, chunks, values = zip(*weight_chunks(state))
@@ -48,7 +51,7 @@ def weights_frame(spark: SparkSession, state: Params, model: str, step: int) ->
 
 
 def collect_state(rows: DataFrame, dtype=np.float64) -> Params:
-    """Weight rows of one model -> numpy tensors. Only the model itself reaches the driver, in the precision of the rows."""
+    """Weight rows of one small model -> numpy tensors on the driver."""
     table = rows.select("tensor", "shape", "chunk", "values").toArrow().to_pandas()
     table = table.sort_values(["tensor", "chunk"])
     return {name: np.concatenate(list(part["values"])).astype(dtype, copy=False).reshape(tuple(part["shape"].iloc[0]))
@@ -110,40 +113,61 @@ def decayed_rate(lr0: float, factor: float = 0.1, decay_steps: int = 136_718) ->
 
 @dataclass
 class Trained:
-    """Weights (with optimizer state), step, and metrics of each round."""
-    state: Params
+    """The written table of weights (with optimizer state), step, metrics of each round, and the folder of the step events."""
+    table: StateTable
     step: int = 0
     round: int = 0
     metrics: list[tuple] = field(default_factory=list)
+    log: str | None = None
+
+    def weights(self, averaged: bool = False) -> Weights:
+        """What scoring takes: tasks read the tensors themselves."""
+        return Weights(self.table, averaged)
+
+    @property
+    def state(self) -> Params:
+        """All tensors as arrays, read on the driver: for models that fit it."""
+        return self.table.read()
 
     @property
     def params(self) -> Params:
         """The model tensors alone, without optimizer state or averages."""
-        return {k: v for k, v in self.state.items() if "/" not in k and not k.startswith("#")}
+        return model_tensors(self.state)
 
     @property
     def averaged(self) -> Params:
         """Moving averages of the model tensors, if they were kept."""
-        return {k[4:]: v for k, v in self.state.items() if k.startswith("ema/")}
+        return averages(self.state)
 
 
-def initial_state(model: dict, optimizer: str, seed: int, ema: float | None, dtype=np.float32) -> Params:
+def start_training(spark: SparkSession, model: dict, optimizer: str = "sgd", seed: int = 0, ema: float | None = None, dtype=np.float32) -> Trained:
+    """Initial weights, drawn and written by one task."""
     if optimizer not in ("sgd", "adam"):
         raise ValueError(f"unknown optimizer: {optimizer}")
-    params = init_params(model, seed, dtype)
-    state = dict(params)
-    if optimizer == "adam":
-        state |= {f"{m}/{k}": np.zeros_like(v) for k, v in params.items() for m in "mv"}
-    if ema:
-        state |= {f"ema/{k}": v.copy() for k, v in params.items()}
-    return state
+    table = write_table(spark, shared_dir(spark, "state"), dtype, lambda: initial_state(model, optimizer, seed, ema, dtype))
+    size = table.size(spark)
+    if size > scoring.MAX_MODEL_BYTES:
+        raise ValueError(f"state of {size} bytes does not fit a task; the limit is {scoring.MAX_MODEL_BYTES}")
+    return Trained(table)
+
 
+def shards_for(rows: int, batch: int, local_steps: int = LOCAL_STEPS) -> int:
+    """Shards that take about `local_steps` mini-batches a round each: they grow with the rows."""
+    return max(1, -(-rows // (batch * local_steps)))
 
-def lay_out(df: DataFrame, shards: int, ident: str) -> DataFrame:
-    """Rows in `shards` partitions, partition = shard of the id's md5. Ids identify rows, so shards are even."""
+
+def shards_per_task(spark: SparkSession, shards: int) -> int:
+    """A power of two that gives about two tasks for every core; the result of a round does not depend on it."""
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    return 1 << max(0, -(-shards // tasks) - 1).bit_length()
+
+
+def lay_out(df: DataFrame, shards: int, ident: str, per_task: int = 1) -> DataFrame:
+    """Rows by the shard of their id's md5, `per_task` (a power of two) shards to a partition. Ids identify rows, so shards are even."""
     digest = F.md5(F.coalesce(F.col(ident).cast("string"), F.lit("")))
     shard = (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % shards).cast("int")
-    return df.withColumn("__shard", shard).repartitionById(shards, F.col("__shard"))
+    block = F.floor(F.col("__shard") / per_task).cast("int")
+    return df.withColumn("__shard", shard).repartitionById(-(-shards // per_task), block)
 
 
 def mini_batches(batches, size: int):
@@ -173,163 +197,251 @@ def _block(parts):
             np.concatenate([np.asarray(p.column("label")) for p in parts]))
 
 
-def _shard_trainer(model, shared, optimizer, batch, rate, seed, round_no, step0, limit, ema, dtype):
-    """mapInArrow body: mini-batch steps on each shard of a task, then the shard's weights as chunks.
+def _add(left: tuple, right: tuple) -> tuple:
+    """Rows and row-weighted sums of two nodes of the tree."""
+    a, b = _sums(left), _sums(right)
+    for name, value in b.items():
+        a[name] += value
+    return left[0] + right[0], None, a
 
-    Rows come sorted by shard. A task holds one shard, but nothing relies on it.
-    """
-    value_type = pa.from_numpy_dtype(dtype)
 
+def _sums(node: tuple) -> Params:
+    rows, state, sums = node
+    return {k: v.astype(np.float64) * rows for k, v in state.items()} if sums is None else sums
+
+
+def _node_batches(first: int, node: tuple, dtype, each: int = 16):
+    """A node of the tree as rows: the weights of one shard as they are, sums of several in double."""
+    rows, state, sums = node
+    single, pieces = sums is None, list(weight_chunks(state if sums is None else sums))
+    small, wide = pa.list_(pa.from_numpy_dtype(dtype)), pa.list_(pa.float64())
+    for at in range(0, len(pieces), each):
+        names, shapes, chunks, values = zip(*pieces[at:at + each])
+        n = len(names)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(names), pa.array(shapes, pa.list_(pa.int32())), pa.array(chunks, pa.int32()), pa.array([first] * n, pa.int32()),
+            pa.array([rows] * n, pa.int64()), pa.array(values if single else [None] * n, small),
+            pa.array([None] * n if single else values, wide), pa.array([None] * n, wide)], names=PART_NAMES)
+
+
+def _log_batch(shard: int, steps: list, dtype) -> pa.RecordBatch:
+    one = lambda value, kind: pa.array([value], kind)
+    return pa.RecordBatch.from_arrays([
+        pa.array(["#shard"]), one([], pa.list_(pa.int32())), one(shard, pa.int32()), one(shard, pa.int32()), one(0, pa.int64()),
+        one([], pa.list_(pa.from_numpy_dtype(dtype))), one(None, pa.list_(pa.float64())), one([float(x) for s in steps for x in s], pa.list_(pa.float64()))],
+        names=PART_NAMES)
+
+
+PART_NAMES = ["tensor", "shape", "chunk", "first", "n_rows", "values", "sums", "log"]
+
+
+def _parts_schema(dtype) -> str:
+    return f"tensor string, shape array<int>, chunk int, first int, n_rows long, values array<{value_type(dtype)}>, sums array<double>, log array<double>"
+
+
+def _merged_schema(dtype) -> str:
+    return f"tensor string, shape array<int>, chunk int, values array<{value_type(dtype)}>, log array<double>"
+
+
+def _shard_trainer(model, table, optimizer, batch, rate, seed, round_no, step0, skip, limit, ema, per_task, dtype):
+    """mapInArrow body: mini-batch steps on each shard of a task, then the sum of its shards' weights as chunks.
+
+    Rows come sorted by shard. A task holds one block of shards, but nothing relies on it.
+    """
     def learn(state, x, y, shard, done):
+        began = time.time()
         rng = np.random.Generator(np.random.Philox(key=[seed, (round_no << 32) | shard], counter=done << 64))
-        params = {k: v for k, v in state.items() if "/" not in k}
+        params = model_tensors(state)
         loss, hits, grads = gradients(model, params, x, y, rng)
-        step = step0 + done
+        step = step0 + done - skip
         apply_gradients(state, grads, optimizer, rate(step), step)
         if ema:
             d = min(ema, (1 + step) / (10 + step))
             for k in params:
                 state[f"ema/{k}"] += (1 - d) * (state[k] - state[f"ema/{k}"])
-        return loss * len(y), hits * len(y)
-
-    def emit(state, shard, rows, steps, sums, each):
-        pieces = weight_chunks({**state, "#metrics": sums / rows, "#steps": np.array([float(steps)]), f"#shard {shard}": np.array(each).ravel()})
-        for i in range(0, len(pieces), 256):
-            names, shapes, chunks, values = zip(*pieces[i:i + 256])
-            n = len(names)
-            yield pa.RecordBatch.from_pydict({
-                "tensor": pa.array(names), "shape": pa.array(shapes, pa.list_(pa.int32())),
-                "chunk": pa.array(chunks, pa.int32()), "shard": pa.array([shard] * n, pa.int32()),
-                "n_rows": pa.array([rows] * n, pa.int64()),
-                "values": pa.array([v.astype(dtype) for v in values], pa.list_(value_type))})
+        now = time.time()
+        return now, now - began, len(y), loss, hits, rate(step)
 
     def run(batches):
-        current, state, rows, steps, sums, each = None, None, 0, 0, np.zeros(2), []
+        fold, block, current, state, seen, steps = None, None, None, None, 0, []
+
+        def close_shard():
+            nonlocal fold, block
+            if steps:
+                yield _log_batch(current, steps, dtype)
+                if fold is not None and block != current // per_task:
+                    yield from close_block()
+                if fold is None:
+                    fold, block = Fold(_add), current // per_task
+                fold.push(current, (sum(s[2] for s in steps), state, None))
+
+        def close_block():
+            nonlocal fold
+            if fold is not None:
+                first = fold.items[0][0]
+                yield from _node_batches(first, fold.total(), dtype)
+                fold = None
+
         for x, y, shard in mini_batches(batches, batch):
             if shard != current:
-                if rows:
-                    yield from emit(state, current, rows, steps, sums, each)
-                current, state = shard, {k: v.copy() for k, v in shared.value.items()}
-                rows, steps, sums, each = 0, 0, np.zeros(2), []
-            if limit is None or steps < limit:
-                new = np.array(learn(state, x, y, shard, steps))
-                sums += new
-                each.append(new / len(y))
-                rows, steps = rows + len(y), steps + 1
-        if rows:
-            yield from emit(state, current, rows, steps, sums, each)
+                yield from close_shard()
+                current, state, seen, steps = shard, {k: v.copy() for k, v in table.read().items()}, 0, []
+            if seen >= skip and (limit is None or len(steps) < limit):
+                steps.append(learn(state, x, y, shard, seen))
+            seen += 1
+        if current is not None:
+            yield from close_shard()
+        yield from close_block()
 
     return run
 
 
 def _average_chunks(dtype, batches):
-    """mapInArrow body: rows sorted by (tensor, chunk, shard) -> one averaged row per (tensor, chunk).
+    """mapInArrow body: rows sorted by (tensor, chunk, first) -> one averaged row per (tensor, chunk).
 
-    The mean is weighted by rows and added in shard order, one shard at a time;
-    of the step counts the largest is kept.
+    The mean is weighted by rows and added up in the order of the tree. Logs of shards pass as they are.
     """
-    key, shape, total, rows, done = None, None, None, 0, []
+    key, shape, fold, done = None, None, None, []
+    add = lambda a, b: (a[0] + b[0], a[1] + b[1])
 
     def finished():
-        return (*key, shape, total if key[0] == "#steps" else total / rows)
+        rows, total = fold.total()
+        return (*key, shape, total / rows, None)
 
     for batch in batches:
-        names, shapes, chunks, n_rows = (batch.column(c).to_pylist() for c in ("tensor", "shape", "chunk", "n_rows"))
-        values = batch.column("values")
+        names, shapes, chunks, firsts, n_rows, logs = (batch.column(c).to_pylist() for c in ("tensor", "shape", "chunk", "first", "n_rows", "log"))
+        values, sums = batch.column("values"), batch.column("sums")
         for i, name in enumerate(names):
-            x, n = np.asarray(values[i].values).astype(np.float64), n_rows[i]
+            if logs[i] is not None:
+                done.append((name, chunks[i], shapes[i], np.zeros(0), logs[i]))
+                continue
             if (name, chunks[i]) != key:
                 if key:
                     done.append(finished())
-                key, shape, total, rows = (name, chunks[i]), shapes[i], np.zeros(len(x)), 0
-            total = np.maximum(total, x) if name == "#steps" else total + x * n
-            rows += n
-        if len(done) >= 256:
+                key, shape, fold = (name, chunks[i]), shapes[i], Fold(add)
+            weighted = np.asarray(sums[i].values) if sums[i].is_valid else np.asarray(values[i].values).astype(np.float64) * n_rows[i]
+            fold.push(firsts[i], (n_rows[i], weighted))
+        if len(done) >= 16:
             yield _merged_batch(done, dtype)
             done = []
     if key:
-        yield _merged_batch([*done, finished()], dtype)
+        done.append(finished())
+    if done:
+        yield _merged_batch(done, dtype)
 
 
 def _merged_batch(done, dtype) -> pa.RecordBatch:
-    names, chunks, shapes, values = zip(*done)
+    names, chunks, shapes, values, logs = zip(*done)
     return pa.RecordBatch.from_pydict({
         "tensor": pa.array(names), "shape": pa.array(shapes, pa.list_(pa.int32())),
-        "chunk": pa.array(chunks, pa.int32()), "values": pa.array([v.astype(dtype) for v in values], pa.list_(pa.from_numpy_dtype(dtype)))})
+        "chunk": pa.array(chunks, pa.int32()), "values": pa.array([v.astype(dtype) for v in values], pa.list_(pa.from_numpy_dtype(dtype))),
+        "log": pa.array(logs, pa.list_(pa.float64()))})
+
+
+def _events(rows: DataFrame, round_no: int, step0: int) -> DataFrame:
+    """Step events (EVENTS_SCHEMA) from the logs of a round's shards."""
+    each = F.posexplode(F.transform(F.sequence(F.lit(0), F.size("log") - 1, F.lit(len(LOG))), lambda i: F.slice("log", i + 1, len(LOG))))
+    logs = rows.where("tensor = '#shard'").select(F.col("chunk").alias("shard"), each.alias("place", "e"))
+    of = {name: F.col("e")[i] for i, name in enumerate(LOG)}
+    return logs.select(F.lit(round_no).alias("round"), "shard", (F.lit(step0) + F.col("place") + 1).cast("long").alias("step"),
+                       F.timestamp_micros((of["ts"] * 1e6).cast("long")).alias("ts"), of["seconds"].alias("seconds"), of["n"].cast("long").alias("n"),
+                       of["loss"].alias("loss"), of["accuracy"].alias("accuracy"), of["learning_rate"].alias("learning_rate"))
 
 
 def train_round(laid: DataFrame, model: dict, trained: Trained, *, optimizer: str, batch: int,
-                rate: Callable[[int], float], seed: int, ident: str, limit: int | None = None,
+                rate: Callable[[int], float], seed: int, ident: str, limit: int | None = None, skip: int = 0,
                 ema: float | None = None, prepare: Callable[[DataFrame, int], DataFrame] | None = None,
-                dtype=np.float32) -> Trained:
-    """One round over rows from `lay_out`: one narrow pass per shard and one small shuffle of weights.
+                per_task: int = 1, dtype=np.float32) -> Trained:
+    """One round over rows from `lay_out`: one narrow pass over the shards and a shuffle of one set of weights per task.
 
-    The steps of a shard run in `dtype`, the average over the shards in double; what comes back is `dtype` again, and
-    the loss and accuracy of each step of each shard.
+    The steps of a shard run in `dtype`, sums over shards in double. `skip` leaves out the first mini-batches of every shard,
+    `limit` those after so many. The driver sees the mean loss and accuracy and the number of steps; every step is an
+    event in the folder `log`.
     """
-    shared = broadcast_params(laid.sparkSession, {k: v.astype(dtype) for k, v in trained.state.items()})
+    spark, dtype = laid.sparkSession, np.dtype(dtype)
     rows = prepare(laid, trained.round) if prepare else laid
     ordered = (rows.withColumn("__key", hash_key(seed, trained.round, "round", ident))
                .sortWithinPartitions("__shard", "__key", ident)
                .select(F.col("pixels"), F.col("label").cast("int").alias("label"), "__shard"))
-    body = _shard_trainer(model, shared, optimizer, batch, rate, seed, trained.round, trained.step, limit, ema,
-                          np.dtype(dtype))
-    parts_schema, merged_schema = (s if np.dtype(dtype) == np.float64 else s.replace("double", "float") for s in (PARTS_SCHEMA, MERGED_SCHEMA))
-    merged = (ordered.mapInArrow(body, parts_schema).repartition("tensor", "chunk").sortWithinPartitions("tensor", "chunk", "shard")
-              .mapInArrow(partial(_average_chunks, np.dtype(dtype)), merged_schema))
-    state = collect_state(merged, dtype)
-    shared.unpersist()
-    if not state:
+    body = _shard_trainer(model, StateTable(trained.table.path, dtype.name), optimizer, batch, rate, seed, trained.round, trained.step,
+                          skip, limit, ema, per_task, dtype)
+    merged = (ordered.mapInArrow(body, _parts_schema(dtype)).repartition("tensor", "chunk").sortWithinPartitions("tensor", "chunk", "first")
+              .mapInArrow(partial(_average_chunks, dtype), _merged_schema(dtype)))
+    path = qualified(spark, shared_dir(spark, "state"))
+    merged.write.parquet(path)
+    events = _events(spark.read.schema(_merged_schema(dtype)).parquet(path), trained.round, trained.step)
+    log = trained.log or shared_dir(spark, "training-log")
+    events.write.mode("append").parquet(log)
+    # exact sums, so that the order in which tasks end plays no role
+    mean = lambda c: F.sum(F.when(F.abs(c) < 1e15, (c * F.col("n")).cast("decimal(38,12)"))) / F.sum("n")
+    steps, loss, hits, finite = events.agg(F.max("step"), mean(F.col("loss")).cast("double"), mean(F.col("accuracy")).cast("double"),
+                                           F.min(F.coalesce(F.abs("loss") < 1e15, F.lit(False)))).first()
+    if steps is None:
         return trained
-    each = {int(k.split()[1]): state.pop(k) for k in sorted(state) if k.startswith("#shard ")}
-    loss, hits = (float(x) for x in state.pop("#metrics"))
-    steps = int(state.pop("#steps")[0])
-    if not np.isfinite(loss):
-        raise ArithmeticError(f"loss is {loss} in round {trained.round}")
-    step = trained.step + steps
-    new = [(trained.round, step, tag, float(value)) for tag, value in
-           [("loss", loss), ("accuracy", hits), ("learning_rate", rate(step - 1))]]
-    new += [(trained.round, trained.step + i + 1, f"shard {shard}/{tag}", float(v)) for shard, values in each.items()
-            for i, pair in enumerate(values.reshape(-1, 2)) for tag, v in zip(("loss", "accuracy"), pair)]
-    return Trained(state, step, trained.round + 1, trained.metrics + new)
+    if not finite:
+        raise ArithmeticError(f"loss is not finite in round {trained.round}")
+    new = [(trained.round, steps, tag, float(value)) for tag, value in
+           [("loss", loss), ("accuracy", hits), ("learning_rate", rate(steps - 1))]]
+    return Trained(StateTable(path, dtype.name), steps, trained.round + 1, trained.metrics + new, log)
 
 
 def train_parallel(df: DataFrame, model: dict, optimizer: str = "sgd", batch: int = 100, rounds: int = 1,
-                   shards: int = 8, seed: int = 0, callbacks: Sequence[Callable[[Trained], bool | None]] = (), *,
+                   shards: int | None = None, seed: int = 0, callbacks: Sequence[Callable[[Trained], bool | None]] = (), *,
                    lr: float | Callable[[int], float] = 0.1, steps: int | None = None, ema: float | None = None,
                    ident: str = "example_id", start: Trained | None = None,
-                   prepare: Callable[[DataFrame, int], DataFrame] | None = None, dtype=np.float32) -> Trained:
+                   prepare: Callable[[DataFrame, int], DataFrame] | None = None, dtype=np.float32, per_task: int | None = None) -> Trained:
     """Train on rows with `ident`, `pixels`, `label`, one pass over the rows per round.
 
     Stops after `rounds` rounds, after `steps` steps, or when a callback returns
     True. `prepare(rows, round)` is applied to the rows each round, for instance
-    the distortion chain. `start` goes on from an earlier state.
+    the distortion chain. `start` goes on from an earlier state. Without `shards` there are as many as
+    give each LOCAL_STEPS mini-batches a round. `per_task` shards (a power of two) share a task; it does not change the result.
     """
+    spark = df.sparkSession
     rate = lr if callable(lr) else (lambda step: lr)
-    trained = start or Trained(initial_state(model, optimizer, seed, ema, dtype))
+    shards = shards or shards_for(df.count(), batch)
+    per_task = per_task or shards_per_task(spark, shards)
+    trained = start or start_training(spark, model, optimizer, seed, ema, dtype)
     columns = [c for c in (ident, "pixels", "label", "height", "width", "depth") if c in df.columns]
-    laid = lay_out(df.select(*columns), shards, ident).persist(StorageLevel.MEMORY_AND_DISK)
+    laid = lay_out(df.select(*columns), shards, ident, per_task).persist(StorageLevel.MEMORY_AND_DISK)
+    own = None if start else trained.table
     try:
         while trained.round < rounds and (steps is None or trained.step < steps):
             limit = None if steps is None else steps - trained.step
             before = trained.step
             trained = train_round(laid, model, trained, optimizer=optimizer, batch=batch, rate=rate, seed=seed,
-                                  ident=ident, limit=limit, ema=ema, prepare=prepare, dtype=dtype)
-            if trained.step == before or any([callback(trained) for callback in callbacks]):
+                                  ident=ident, limit=limit, ema=ema, prepare=prepare, dtype=dtype, per_task=per_task)
+            if trained.step == before:
+                break
+            drop_table(own)  # of the round before
+            own = trained.table
+            if any([callback(trained) for callback in callbacks]):
                 break
     finally:
         laid.unpersist()
     return trained
 
 
-def step_log(metrics: DataFrame, tag: str = "loss") -> DataFrame:
-    """Rows (run, step, loss) of the steps of every shard: input of the series operators. A run is a shard."""
-    shard = F.regexp_extract("tag", f"^shard ([0-9]+)/{tag}$", 1)
-    return metrics.where(shard != "").select(shard.cast("int").alias("run"), (F.col("step") - 1).alias("step"), F.col("value").alias("loss"))
+def drop_table(table: StateTable | None) -> None:
+    """Delete a version that is not needed any more."""
+    if table:
+        system, inner = filesystem(table.path)
+        with contextlib.suppress(OSError):
+            system.delete_dir(inner)
+
+
+def step_events(spark: SparkSession, trained: Trained) -> DataFrame:
+    """EVENTS_SCHEMA: every step of every shard since the training began, as its tasks wrote it."""
+    return spark.read.schema(EVENTS_SCHEMA).parquet(trained.log) if trained.log else spark.createDataFrame([], EVENTS_SCHEMA)
+
+
+def step_log(events: DataFrame) -> DataFrame:
+    """Rows (run, step, ts, loss) of step events: input of the series operators. A run is a shard, and steps count from 0."""
+    return events.select(F.col("shard").alias("run"), (F.col("step") - 1).alias("step"), "ts", "loss")
 
 
 def metrics_frame(spark: SparkSession, trained: Trained) -> DataFrame:
-    """Metrics of each round, and of each step of each shard, as rows."""
+    """Metrics of each round, as rows."""
     return spark.createDataFrame(trained.metrics, METRICS_SCHEMA)
 
 
@@ -348,7 +460,7 @@ def weight_values(weights: DataFrame) -> DataFrame:
 def evaluate_each_round(df: DataFrame, model: dict, results: list) -> Callable[[Trained], None]:
     """Callback that appends (round, step, accuracy, loss) on a table the training does not see."""
     def run(trained: Trained) -> None:
-        row = evaluate_model(df, model, trained.params, trained.step).first()
+        row = evaluate_model(df, model, trained.weights(), trained.step).first()
         results.append((trained.round, trained.step, row.accuracy, row.loss))
     return run
 
@@ -361,20 +473,35 @@ def metrics_each_round(spark: SparkSession, path: str, run: str) -> Callable[[Tr
     return write
 
 
+def save_state(spark: SparkSession, trained: Trained, path: str, model: str, step: int, notes: dict[str, list[int]]) -> None:
+    """Checkpoint a written state and its notes: rows are copied from table to table."""
+    rows = trained.table.rows(spark).where(~F.col("tensor").startswith("#")).unionByName(notes_frame(spark, notes, trained.table.dtype))
+    checkpoint_weights(rows.select(F.lit(model).alias("model"), F.lit(step).cast("long").alias("step"), "tensor", "shape", "chunk",
+                                   F.lit(rows.count()).cast("int").alias("parts"), "values"), path)
+
+
+def saved_state(spark: SparkSession, path: str, model: str, dtype=np.float32) -> tuple[Trained, dict[str, list[int]]] | None:
+    """The latest complete checkpoint and its notes; its rows stay where they are."""
+    rows = restore_weights(spark, path, model)
+    step = rows.agg(F.max("step")).first()[0]
+    if step is None:
+        return None
+    table = StateTable(f"{qualified(spark, path).rstrip('/')}/model={model}/step={step}", np.dtype(dtype).name)
+    return Trained(table, int(step)), read_notes(rows)
+
+
 def save_each_round(spark: SparkSession, path: str, model: str) -> Callable[[Trained], None]:
     """Callback that checkpoints the weights after each round."""
     def save(trained: Trained) -> None:
-        state = {**trained.state, "#round": np.array([float(trained.round)])}
-        checkpoint_weights(weights_frame(spark, state, model, trained.step), path)
+        save_state(spark, trained, path, model, trained.step, {"round": [trained.round]})
     return save
 
 
 def resume(spark: SparkSession, path: str, model: str, dtype=np.float32) -> Trained:
     """State of the latest complete checkpoint."""
-    rows = restore_weights(spark, path, model)
-    state = {k: v.astype(dtype) for k, v in collect_state(rows).items()}
-    if not state:
+    found = saved_state(spark, path, model, dtype)
+    if found is None:
         raise FileNotFoundError(f"no complete checkpoint of {model} below {path}")
-    round_no = int(state.pop("#round")[0])
-    return Trained(state, int(rows.agg(F.max("step")).first()[0]), round_no)
-
+    trained, notes = found
+    trained.round = notes["round"][0]
+    return trained

@@ -619,12 +619,16 @@ def train_softmax_step(spark, sf_dir):
 
 @query
 def train_parallel(spark, sf_dir):
-    """Three rounds on eight shards; a shard of up to 65,536 rows takes one step a round, so a round is a gradient step."""
+    """Three rounds on shards of about 32,768 rows, eight at least; each takes one step a round, so a round is a gradient step."""
     rows = images.rescale_pixels(img8(spark, sf_dir))
-    trained = training.train_parallel(rows, layers.softmax_model(64), "sgd", 1 << 16, 3, 8, SEED, lr=0.5, dtype=np.float64)
+    trained = training.train_parallel(rows, layers.softmax_model(64), "sgd", 1 << 16, 3, _one_step_shards(rows), SEED, lr=0.5, dtype=np.float64)
     return _weights(training.weight_rows(spark, trained.params))
 
 
+def _one_step_shards(rows: DataFrame) -> int:
+    return max(8, rows.count() >> 15)
+
+
 def _weights(rows: DataFrame) -> DataFrame:
     return rows.select("tensor", "row", "col", r6("value").alias("value"))
 
@@ -645,9 +649,10 @@ def stream_train(spark, sf_dir):
     base = shared_dir(spark, "stream-train")
     rows = images.rescale_pixels(img8(spark, sf_dir)).withColumn("feed", F.col("example_id") % 4)
     rows.write.partitionBy("feed").parquet(f"{base}/in")
+    shards = _one_step_shards(rows)
     for feed in range(4):
         learning.stream_train(spark, f"{base}/in/feed={feed}", layers.softmax_model(64), None, f"{base}/weights",
-                              checkpoint=f"{base}/state-{feed}", files_per_trigger=1 << 20, size=1 << 16, shards=8, lr=0.5,
+                              checkpoint=f"{base}/state-{feed}", files_per_trigger=1 << 20, size=1 << 16, shards=shards, lr=0.5,
                               dtype=np.float64)
     state = training.collect_state(sinks.restore_weights(spark, f"{base}/weights", "softmax"))
     return _weights(training.weight_rows(spark, {k: v for k, v in state.items() if k in ("w0", "b0")}))

@@ -6,12 +6,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, WriterCommitMessage
 
-from .files import TARGET_BYTES, filesystem, list_files, pack_files, qualified
+from ..session import shared_dir
+from .files import TARGET_BYTES, PushedFilters, Slice, Slices, filesystem, list_files, qualified, register
+from .tfsplit import split_files
 
 # Fixed values of the file format: reversed CRC-32C polynomial and mask constant.
 CRC32C_POLYNOMIAL = 0x82F63B78
@@ -184,28 +187,61 @@ class TFRecords(DataSource):
 
     def reader(self, schema) -> "TFRecordReader":
         return TFRecordReader(self.options["path"], self._names(),
-                              int(self.options.get("target_bytes", str(TARGET_BYTES))))
+                              int(self.options.get("target_bytes", str(TARGET_BYTES))), self.options.get("plan"))
 
     def writer(self, schema, overwrite) -> "TFRecordWriter":
         return TFRecordWriter(self.options["path"], schema.names, overwrite)
 
 
-class TFRecordReader(DataSourceReader):
-    """One task per group of files; a file is streamed and cannot be cut."""
+@dataclass
+class RecordSlice(Slice):
+    """`count` records of a file from the byte `first` on (all of them, if negative); `base` is the number of the first one."""
+    file_no: int = 0
+
+
+class TFRecordReader(PushedFilters, DataSourceReader):
+    """One task per group of small files or range of a large one, as planned by `read_tfrecords`."""
+
+    whole, ascending = ("file_no",), ("record_no",)
 
-    def __init__(self, path: str, names: list[str], target: int):
-        self.path, self.names, self.target = path, names, target
+    def __init__(self, path: str, names: list[str], target: int, plan: str | None):
+        self.path, self.names, self.target, self.plan = path, names, target, plan
+
+    def _ranges(self) -> dict[int, list[RecordSlice]]:
+        out: dict[int, list[RecordSlice]] = {}
+        if self.plan:
+            system, inner = filesystem(self.plan)
+            for info in system.get_file_info(fs.FileSelector(inner)):
+                if info.is_file and info.base_name[0] not in "._":
+                    with system.open_input_file(info.path) as f:
+                        for r in pq.read_table(f).to_pylist():
+                            out.setdefault(r["file_no"], []).append(RecordSlice(r["path"], r["first"], r["records"], r["record_no"], r["file_no"]))
+        return out
 
     def partitions(self):
-        return pack_files(list_files(self.path), self.target)
+        ranges, tasks, room = self._ranges(), [], 0
+        for no, (path, size) in enumerate(list_files(self.path)):
+            if not self.wanted(file_no=no):
+                continue
+            for s in sorted(ranges.get(no, []), key=lambda s: s.base):
+                if s.count and self.wanted(record_no=(s.base, s.base + s.count - 1)):
+                    tasks.append(Slices([s]))
+                    room = 0
+            if no not in ranges:
+                if room <= 0:
+                    tasks.append(Slices([]))
+                    room = self.target
+                tasks[-1].slices.append(RecordSlice(path, 0, -1, 0, no))
+                room -= size
+        return tasks or [Slices([])]
 
     def read(self, partition):
         for s in partition.slices:
-            record_no = 0
-            for messages in _messages(s.path):
+            record_no = s.base
+            for messages in _messages(s.path, s.first, s.count):
                 lists = [packed_lists(m) for m in messages]
                 columns = {
-                    "file_no": pa.array([s.base] * len(lists), pa.int32()),
+                    "file_no": pa.array([s.file_no] * len(lists), pa.int32()),
                     "record_no": pa.array(record_no + np.arange(len(lists), dtype=np.int64)),
                 }
                 for name in self.names:
@@ -214,13 +250,18 @@ class TFRecordReader(DataSourceReader):
                 yield pa.RecordBatch.from_pydict(columns)
 
 
-def _messages(path: str):
-    """Checked record payloads of one file, about READ_BYTES at a time."""
+def _messages(path: str, first: int = 0, count: int = -1):
+    """Checked payloads of `count` records (or all) of a file from a byte on, about READ_BYTES at a time."""
     system, inner = filesystem(path)
-    with system.open_input_stream(inner, buffer_size=1 << 20) as f:
+    with system.open_input_file(inner) as plain:
+        plain.seek(first)
+        f = pa.BufferedInputStream(plain, 1 << 20)
         batch, sizes, crcs, held = [], [], [], 0
         while True:
-            head = f.read(12)
+            head = f.read(12) if count else b""
+            count -= 1
+            if not head and count >= 0:
+                raise ValueError(f"{path} ends early")
             if head:
                 size = int.from_bytes(head[:8], "little")
                 body = f.read(size + 4) if len(head) == 12 else b""
@@ -296,15 +337,25 @@ class TFRecordWriter(DataSourceArrowWriter):
 
 def read_tfrecords(spark: SparkSession, path: str, fields=("image", "label"),
                    target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """TFRecord files -> file_no, record_no and one array<long> column per field."""
-    spark.dataSource.register(TFRecords)
-    return (spark.read.format("pixwave_tfrecord").option("fields", ",".join(fields))
-            .option("target_bytes", target_bytes).load(qualified(spark, path)))
+    """TFRecord files -> file_no, record_no and one array<long> column per field.
+
+    A file over `target_bytes` is read by several tasks; a job finds the ranges beforehand from the headers of its
+    records (see `tfsplit`). Filters on file_no leave out files, those on record_no ranges.
+    """
+    register(spark, TFRecords)
+    path = qualified(spark, path)
+    reader = spark.read.format("pixwave_tfrecord").option("fields", ",".join(fields)).option("target_bytes", target_bytes)
+    large = [(no, name, size) for no, (name, size) in enumerate(list_files(path)) if size > target_bytes]
+    if large:
+        plan = qualified(spark, shared_dir(spark, "tfrecord-plan"))
+        spark.createDataFrame(split_files(spark, large, target_bytes), "file_no int, path string, first long, records long, record_no long").write.parquet(plan)
+        reader = reader.option("plan", plan)
+    return reader.load(path)
 
 
 def write_tfrecords(df: DataFrame, path: str, fields=("image", "label"), mode: str = "append") -> None:
     """Write the array columns `fields` as Example messages, one part file per task."""
-    df.sparkSession.dataSource.register(TFRecords)
+    register(df.sparkSession, TFRecords)
     lists = df.select(*[df[f].cast("array<long>").alias(f) for f in fields])
     (lists.write.format("pixwave_tfrecord").option("fields", ",".join(fields)).mode(mode)
      .save(qualified(df.sparkSession, path)))

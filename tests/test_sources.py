@@ -241,3 +241,57 @@ def test_paths_follow_the_default_file_system(spark):
     assert files.qualified(session("hdfs://nn:8020"), "s3a://x/y") == "s3a://x/y"
     assert files.qualified(spark, "/a/b") == "/a/b"
     assert files.filesystem("file:/tmp/x")[1] == "/tmp/x"
+
+
+def _framed(messages):
+    sizes = [len(m).to_bytes(8, "little") for m in messages]
+    return [a + int(b).to_bytes(4, "little") + m + int(c).to_bytes(4, "little")
+            for a, b, m, c in zip(sizes, tfrecord.masked_crcs(sizes), messages, tfrecord.masked_crcs(messages))]
+
+
+def _examples(values):
+    return [tfrecord.encode_example({"image": p, "label": p}) for p in
+            tfrecord.encode_lists(np.concatenate([np.asarray(v) for v in values]), np.array([len(v) for v in values]))]
+
+
+@pytest.mark.parametrize("target", [64, 1000, 5000, 70_000, 1 << 27])
+def test_a_large_tfrecord_file_is_read_in_ranges(spark, tmp_path, target):
+    r = np.random.default_rng(4)
+    values = [r.integers(0, 1 << int(r.integers(1, 40)), int(r.integers(1, 60))) for _ in range(700)]
+    (tmp_path / "a.tfrecord").write_bytes(b"".join(_framed(_examples(values[:600]))))
+    (tmp_path / "b.tfrecord").write_bytes(b"".join(_framed(_examples(values[600:]))))
+    (tmp_path / "c.tfrecord").write_bytes(b"")
+    back = tfrecord.read_tfrecords(spark, str(tmp_path), target_bytes=target)
+    got = [(x.file_no, x.record_no, x.image) for x in back.orderBy("file_no", "record_no").collect()]
+    assert got == [(i >= 600, i - 600 * (i >= 600), v.tolist()) for i, v in enumerate(values)]
+    size = (tmp_path / "a.tfrecord").stat().st_size
+    assert back.rdd.getNumPartitions() >= min(500, size // target)
+    if target == 5000:
+        one = back.where("file_no = 1")
+        assert one.rdd.getNumPartitions() <= (tmp_path / "b.tfrecord").stat().st_size // target + 1 and one.count() == 100
+        few = back.where("file_no = 0 and record_no between 30 and 40")
+        assert few.rdd.getNumPartitions() <= 2 and [x.record_no for x in few.orderBy("record_no").collect()] == list(range(30, 41))
+
+
+def test_records_that_hold_records_are_told_apart(spark, tmp_path):
+    """Payloads that are whole record files themselves: looking for a boundary meets theirs first."""
+    inner = b"".join(_framed(_examples([[i, i + 1] for i in range(200)])))
+    inside = np.frombuffer(inner, np.uint8).astype(np.int64) % 128  # small varints are single bytes
+    plain = _examples([[1, 2, 3]] * 5)
+    hidden = [tfrecord.encode_example({"label": tfrecord.varint(7), "image": tfrecord.varint(9)}) + tfrecord._field(15, inner) for _ in range(6)]
+    (tmp_path / "a.tfrecord").write_bytes(b"".join(_framed([*plain, *hidden, *plain])))
+    rows = tfrecord.read_tfrecords(spark, str(tmp_path), target_bytes=1500).orderBy("record_no").collect()
+    assert [x.record_no for x in rows] == list(range(16)) and len(inside)
+    assert [x.label for x in rows] == [[1, 2, 3]] * 5 + [[7]] * 6 + [[1, 2, 3]] * 5
+
+
+@pytest.mark.parametrize("place", ["length", "payload", "end", "cut"])
+def test_damaged_ranges_fail(spark, tmp_path, place):
+    parts = _framed(_examples([[i] * 20 for i in range(400)]))
+    raw = bytearray(b"".join(parts))
+    at = sum(map(len, parts[:250]))
+    if place in ("length", "payload"):
+        raw[at + (1 if place == "length" else 20)] ^= 1
+    (tmp_path / "a.tfrecord").write_bytes(bytes(raw[:-3] if place == "end" else raw[:at + 5] if place == "cut" else raw))
+    with pytest.raises(Exception, match="ends early|wrong|mismatch"):
+        tfrecord.read_tfrecords(spark, str(tmp_path), target_bytes=2000).collect()

@@ -89,10 +89,11 @@ def judged(captures: DataFrame, entries: DataFrame, url: str = "url", at: str =
     known = changes(entries)
     seen = rows.where("__capture is not null").select("__capture", "u", "at").dropDuplicates(["__capture"])
     salts = salts or max(SALTS, rows.count() // PER_SALT)
-    probes = seen.select("__capture", "at", F.explode(url_keys(F.col("u"), deepest)).alias("key"))
-    # only keys that some list has go on, once for each of these lists
-    probes = (probes.join(known.select("list", "key").distinct(), "key")
-              .select("list", "key", F.date_trunc("month", "at").alias("month"), F.pmod(F.xxhash64("__capture"), F.lit(salts)).cast("int").alias("salt"), "at", "__capture"))
+    salt = F.pmod(F.xxhash64("__capture"), F.lit(salts)).cast("int").alias("salt")
+    probes = seen.select("__capture", "at", salt, F.explode(url_keys(F.col("u"), deepest)).alias("key"))
+    # only keys that some list has go on, once for each of these lists; a hot key is as many pairs as it has salts
+    listed = known.select("list", "key").distinct().join(probes.select("key", "salt").distinct(), "key")
+    probes = probes.join(listed, ["key", "salt"]).select("list", "key", F.date_trunc("month", "at").alias("month"), "salt", "at", "__capture")
     groups = saved(probes.select("list", "key", "month", "salt").distinct(), "url-months")
     asked = probes.select("list", "key", "month", "salt", "at", F.lit(2).alias("turn"), F.lit(None).cast("boolean").alias("active"), "__capture")
     told = (states(known, groups.select("list", "key", "month").distinct()).join(groups, ["list", "key", "month"])

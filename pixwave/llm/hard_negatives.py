@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 from .blocks import from_ipc, saved, to_ipc
 
-BLOCK = 8192  # rows of a block
+BLOCK = 4096  # rows of a block
 BUNDLE = 512  # anchors that meet a block together
-SHELF = 16  # blocks that a copy of a bundle is sent to
+SHELF = 32  # blocks that a copy of a bundle is sent to, in a large table
 FIXED = 4  # columns of a block before its dimensions
 STEP = 8  # columns read between two looks at the bounds
 
@@ -200,7 +200,9 @@ def hard_negatives(rows: DataFrame, anchor, *, ident: str = "vec_id", vector: st
                                                   pa.array([v.tobytes() for v in c.x.T[at]], pa.binary())], names=["a_block", "a_place", "a_id", "a_label", "a_v"])
 
     anchors = saved(blocks.mapInArrow(pick, "a_block long, a_place int, a_id long, a_label long, a_v binary"), "hard-negative-anchors")
-    shelves, lots = max(1, -(-blocks.count() // SHELF)), max(1, -(-anchors.count() // BUNDLE))
+    held, cores = max(1, blocks.count()), spark.sparkContext.defaultParallelism
+    # a few shelves for every core, as long as there are blocks for them
+    shelves, lots = min(held, max(-(-held // SHELF), 4 * cores)), max(1, -(-anchors.count() // BUNDLE))
 
     def near(number: int, c: Columns, own: pa.Table) -> Iterator[pa.RecordBatch]:
         who, found, scores = [], [], []

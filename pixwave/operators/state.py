@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..sources.files import filesystem, qualified
 from .layers import Params, init_params
 
-CHUNK_VALUES = 1 << 16  # values of a row
+CHUNK_VALUES = 1 << 12  # values of a row; Spark's Parquet reader holds 4,096 rows at a time
 DIGIT = 1 << 16  # numbers in notes are stored as digits, which single precision holds exactly
 
 
@@ -37,7 +37,7 @@ def weight_chunks(state: Params) -> Iterator[tuple[str, list[int], int, np.ndarr
             yield name, list(value.shape), i // CHUNK_VALUES, flat[i:i + CHUNK_VALUES]
 
 
-def state_batches(state: Params, dtype, each: int = 32) -> Iterator[pa.RecordBatch]:
+def state_batches(state: Params, dtype, each: int = 256) -> Iterator[pa.RecordBatch]:
     """A state as rows of `state_schema`, a few blocks at a time."""
     held = []
     for piece in weight_chunks(state):
@@ -76,7 +76,7 @@ def read_folder(path: str, dtype) -> Params:
         if not info.is_file or info.base_name[0] in "._":
             continue
         with system.open_input_file(info.path) as f:
-            for batch in pq.ParquetFile(f).iter_batches(16, columns=["tensor", "shape", "chunk", "values"]):
+            for batch in pq.ParquetFile(f).iter_batches(256, columns=["tensor", "shape", "chunk", "values"]):
                 names, shapes, chunks, values = (batch.column(i) for i in range(4))
                 for i, name in enumerate(names.to_pylist()):
                     if name[0] != "#":

@@ -210,7 +210,7 @@ def _sums(node: tuple) -> Params:
     return {k: v.astype(np.float64) * rows for k, v in state.items()} if sums is None else sums
 
 
-def _node_batches(first: int, node: tuple, dtype, each: int = 16):
+def _node_batches(first: int, node: tuple, dtype, each: int = 256):
     """A node of the tree as rows: the weights of one shard as they are, sums of several in double."""
     rows, state, sums = node
     single, pieces = sums is None, list(weight_chunks(state if sums is None else sums))
@@ -321,7 +321,7 @@ def _average_chunks(dtype, batches):
                 key, shape, fold = (name, chunks[i]), shapes[i], Fold(add)
             weighted = np.asarray(sums[i].values) if sums[i].is_valid else np.asarray(values[i].values).astype(np.float64) * n_rows[i]
             fold.push(firsts[i], (n_rows[i], weighted))
-        if len(done) >= 16:
+        if len(done) >= 256:
             yield _merged_batch(done, dtype)
             done = []
     if key:

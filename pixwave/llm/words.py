@@ -138,12 +138,17 @@ def hash_words(texts: list[bytes], key: bytes) -> tuple[np.ndarray, np.ndarray]:
     return span_hashes(data, starts, ends, key, 2), np.searchsorted(starts, begin)
 
 
-def window_hashes(words: np.ndarray, length: int, which: int = 0) -> np.ndarray:
-    """Hash of `length` consecutive words from every position of the array (texts are not told apart)."""
+def window_sums(words: np.ndarray, length: int, which: int = 0) -> np.ndarray:
+    """Sum of `length` consecutive words times powers of a base, from every position of the array; the first word counts once."""
     n = len(words) - length + 1
     if n <= 0:
         return np.zeros(0, _U)
     up, down = powers(len(words), which)
     sums = np.zeros(len(words) + 1, _U)
     np.cumsum((mix(words ^ _U(0x5851F42D4C957F2D)) if which else words) * up, out=sums[1:])
-    return mix((sums[length:] - sums[:n]) * down[:n])
+    return (sums[length:] - sums[:n]) * down[:n]
+
+
+def window_hashes(words: np.ndarray, length: int, which: int = 0) -> np.ndarray:
+    """Hash of `length` consecutive words from every position of the array (texts are not told apart)."""
+    return mix(window_sums(words, length, which))

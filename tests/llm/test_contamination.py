@@ -1,5 +1,8 @@
+import random
 import re
 
+import numpy as np
+
 from llm_helpers import brute
 from pixwave.llm import decontaminate as D
 
@@ -51,7 +54,7 @@ def test_other_values(spark):
         got = {(r.doc_id, r.item_id): r for r in D.contaminated(df, bench(spark), filter_rows=rows).collect()}
         assert got[0, 3].n_items == 2 and got[0, 3].share > 0.8  # items 3 and 7 are one class
         assert got[1, 9].share == 1.0
-        assert not [k for k in got if k[0] == 3]
+        assert [k for k in got if k[0] == 3] == [(3, 8)]  # numbers alone, as they stand
         assert (4, 10) in got and (5, None) in got and got[6, 3].share > 0.8
 
 
@@ -64,7 +67,7 @@ def test_slots_must_be_consistent(spark):
 
 def test_units_numbers_and_names():
     import numpy as np
-    kinds = lambda t: D.template(np.frombuffer(t.encode() + b"\n", np.uint8))[1].tolist()
+    kinds = lambda t: D.template(np.frombuffer(t.encode() + b"\n", np.uint8)).kind.tolist()
     L, N, A, U = D.LITERAL, D.NUMBER, D.NAME, D.UNIT
     assert kinds("The man Ann Lee ate 3.5kg or 1,000 g") == [L, L, A, L, N, U, L, N, U]
     assert kinds("g of it. Then Émile ran") == [L, L, L, L, A, L]
@@ -77,9 +80,9 @@ def test_clean_keeps_columns_and_rows(spark):
     assert out.columns == df.columns
     kept = sorted(str(r.doc_id) for r in out.collect())
     rows = [str(r.doc_id) for r in df.collect()]
-    for gone in ("0", "1"):
+    for gone in ("0", "1", "3"):
         rows = [r for r in rows if r != gone]
-    assert "3" in kept and "4" in kept and "None" in kept  # clean, null text, null id
+    assert "3" not in kept and "4" in kept and "None" in kept  # clean, null text, null id
     assert kept.count("0") == 1  # another text under the id of a contaminated one
 
 
@@ -98,11 +101,11 @@ def test_items_of_slots_and_short_items(spark):
                              "it is Vexillology, or", "so convert 12 kg, 13 lb and 14 g, 15 kg, 16 lb, 17 g", "convert 12 kg, 13 lb and 14 g, 15 kg, 16 lb, 18 g",
                              "2 3 4 5 6 7 8 9 10 11 12 13 14 16"])
     for rows in (0, 10**6):
-        got = {(r.doc_id, r.item_id): r.share for r in D.contaminated(df, items, bare=True, filter_rows=rows).collect()}
+        got = {(r.doc_id, r.item_id): r.share for r in D.contaminated(df, items, filter_rows=rows).collect()}
         assert got[0, 1] == got[1, 2] == got[2, 3] == got[3, 4] == 1.0
         assert {k for k in got if k[0] in (4, 5)} <= {(4, 4), (5, 1)} and got.get((5, 1), 0) < 1
-    assert {r.item_id for r in D.contaminated(df, items).collect()} == {2, 3, 4}  # numbers alone only if asked for
-    assert D.clean(df.where("doc_id = 0"), items, bare=True).where("text like 'as in%'").count() == 0
+        assert got[4, 4] == 1.0  # another number in the same place
+    assert D.clean(df.where("doc_id = 0"), items).where("text like 'as in%'").count() == 0
 
 
 def test_one_changed_value_keeps_the_other_windows(spark):
@@ -124,3 +127,84 @@ def test_passages_that_differ_in_case_or_line_breaks(spark):
     df = brute.messy(spark, [texts[0], texts[1].lower(), texts[1].upper(), texts[2].replace("\n", " "), texts[1].replace(" ", "\n")])
     got = {(r.doc_id, r.item_id): r.share for r in D.contaminated(df, items).collect()}
     assert got == {(1, 1): 1.0, (2, 1): 1.0, (3, 2): 1.0, (4, 1): 1.0}
+
+
+def test_items_of_mostly_slots_with_other_values(spark):
+    items = spark.createDataFrame([
+        (1, "Anna buys 4 kg for 3 USD", None), (2, "What is 12 + 7 * 5?", None), (3, "Convert 12 kg, 13 lb and 14 g, 15 kg, 16 lb and 17 g to the other unit of 18 oz", None),
+        (4, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15", None), (5, "Total: 5", None), (6, "What is 3 + 3 * 3?", None)], BENCH)
+    texts = ["none", "then Bob buys 9 kg for 8 USD today", "Bob buys 9 kg for 8 USD.", "What is 35 + 9 * 2?", "so tell me: what is 35 + 9 * 2, please",
+             "Convert 1 kg, 2 lb and 3 g, 4 kg, 5 lb and 6 g to the other unit of 7 oz",
+             # what must not be found: another unit, sign or pattern, a part of the item, tables of numbers
+             "then Bob buys 9 lb for 8 USD today", "What is 35 + 9 + 2?", "What is 35 - 9 * 2?", "what is 1 + 1 * 2", "Convert 1 kg, 2 lb and 3 g, 4 kg, 5 lb",
+             "\n".join(" ".join(str(100 + 7 * i + j) for j in range(20)) for i in range(30)), "Total: 7", "What is 35, 9 and 2?", "what is 8 + 8 * 8"]
+    df = brute.messy(spark, texts)
+    for rows in (0, 10**6):
+        got = {(r.doc_id, r.item_id): r.share for r in D.contaminated(df, items, filter_rows=rows).collect()}
+        assert got == {(1, 1): 1.0, (2, 1): 1.0, (3, 2): 1.0, (4, 2): 1.0, (5, 3): 1.0, (14, 6): 1.0}
+
+
+def brute_template_pairs(items, docs, window=13):
+    """Template path over token lists: windows of at most half slots whose slots each meet one value."""
+    def tokens(text):
+        t = D.template(np.frombuffer(text.encode() + b"\n", np.uint8))
+        return [(int(h), int(k), int(v)) for h, k, v in zip(t.hash, t.kind, t.value)]
+
+    found = set()
+    for i, item in enumerate(items):
+        a = tokens(item)
+        size = min(window, len(a))
+        for p in range(len(a) - size + 1) if size >= D.SHORTEST else ():
+            for as_name in ((False, True) if p == 0 and a[0][1] == D.LITERAL else (False,)):
+                w = a[p:p + size]
+                if 2 * sum(k == D.LITERAL for _, k, _ in w) < size:
+                    continue
+                for d, doc in enumerate(docs):
+                    b = tokens(doc)
+                    for q in range(len(b) - size + 1):
+                        x = b[q:q + size]
+                        want = [h for h, _, _ in w]
+                        if as_name:
+                            want[0] = int(D._PLACE[D.NAME])
+                        if want != [h for h, _, _ in x]:
+                            continue
+                        meets = {}
+                        for (_, k, v), (_, _, y) in zip(w, x):
+                            if k != D.LITERAL:
+                                meets.setdefault((k, v), set()).add(y)
+                        if all(len(m) == 1 for m in meets.values()):
+                            found.add((d, i))
+    return found
+
+
+def test_templates_against_brute_force(spark):
+    r = random.Random(9)
+    names, units, words = ["Anna", "Bob", "Carla"], ["kg", "lb", "USD"], ["takes", "box", "the", "then", "from", "every"]
+
+    def phrase(n):
+        out = []
+        for _ in range(n):
+            x = r.random()
+            out.append(r.choice(words) if x < 0.7 else r.choice(names) if x < 0.8 else f"{r.randint(1, 9)} {r.choice(units)}" if x < 0.9 else str(r.randint(1, 9)))
+        return out
+
+    items = [phrase(r.randint(6, 18)) for _ in range(12)]
+    docs = []
+    for k in range(40):  # items with other values, now and then with one word more or less
+        copy = [str(r.randint(1, 9)) if w.isdigit() and r.random() < 0.6 else r.choice(names) if w in names and r.random() < 0.6 else w for w in items[k % 12]]
+        if r.random() < 0.4:
+            copy.insert(r.randrange(len(copy)), r.choice(words))
+        docs.append("we saw " + " ".join([*phrase(r.randint(0, 4)), *copy, *phrase(r.randint(0, 4))]))
+    items = [" ".join(i) for i in items]
+    want = brute_template_pairs(items, docs)
+    given = spark.createDataFrame([(i, t, None) for i, t in enumerate(items)], BENCH)
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in D.contaminated(df, given).where("n_items = 1").collect()}
+    assert len(want) > 20 and want <= got
+    # what is found besides stands there word by word, or is an item without a template window
+    plain = lambda t: re.findall(r"[^\W_]+", t.lower())
+    for d, i in got - want:
+        a, b = plain(items[i]), plain(docs[d])
+        n = min(13, len(a))
+        windows = {tuple(a[k:k + n]) for k in range(len(a) - n + 1)}
+        assert any(tuple(b[k:k + n]) in windows for k in range(len(b) - n + 1)) or D._item_windows(D.template(np.frombuffer(items[i].encode() + b"\n", np.uint8)), 13)[1]

@@ -57,9 +57,14 @@ def _digits(key: Column, at: int) -> Column:
     return F.conv(F.substring(key, at, 8), 16, 10).cast("long")
 
 
+def row_key(text: str, ident: str, seed: int) -> Column:
+    """Digest of id and text: the order of a source, and alike for rows alike."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col(ident).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit(""))))
+
+
 def placed(docs: DataFrame, text: str, ident: str, source: str, seed: int) -> DataFrame:
-    """(source, ident, size, start): the words of each row and where they begin in the stream of its source."""
-    key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col(ident).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit(""))))
+    """(source, ident, size, key, start): the words of each row, its digest, and where they begin in the stream of its source."""
+    key = row_key(text, ident, seed)
     rows = saved(docs.select(F.col(source).alias("source"), F.col(ident).alias("ident"), word_count(F.col(text)).alias("size"), key.alias("key")), "mixture-rows")
     rows = rows.withColumn("bucket", F.substring("key", 1, 3))
     counts = rows.groupBy("source", "bucket").agg(F.sum("size").alias("held"))
@@ -68,7 +73,7 @@ def placed(docs: DataFrame, text: str, ident: str, source: str, seed: int) -> Da
     inside = Window.partitionBy("source", "bucket").orderBy("key", "ident").rowsBetween(Window.unboundedPreceding, -1)
     return (rows.withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0)))
             .join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-            .select("source", "ident", "size", (F.col("before") + F.col("inner")).alias("start")))
+            .select("source", "ident", "size", "key", (F.col("before") + F.col("inner")).alias("start")))
 
 
 def passes(goals: DataFrame, block: int, seed: int) -> DataFrame:
@@ -102,7 +107,8 @@ def mix(docs: DataFrame, text: str = "text", ident: str = "doc_id", source: str
         weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Which words of which documents go to which shard, and what that makes of each document.
 
-    Returns (spans, rows). spans: shard, source, pass, index (of the block), ident, first (word of the document), words.
+    Returns (spans, rows). spans: shard, source, pass, index (of the block), ident, key (of the row, see `row_key`), start (of its words in
+    their source), first (word of the document), words.
     rows: one per row of `docs`: doc_id (the id), size, source_size, target, taken (words in the mix, repeats counted).
     Each source's taken words differ from its target by about one block at most; a document is taken `most` times at most.
 
@@ -119,20 +125,27 @@ def mix(docs: DataFrame, text: str = "text", ident: str = "doc_id", source: str
     drawn = slots(passes(goals, block, seed), shards, seed).select(F.col("source").alias("s"), "pass", F.col("index").alias("i"), "shard")
     # both sides grow with the documents: never broadcast one, whatever the size of what they are made from
     spans = (pieces.join(drawn.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("index") == F.col("i")))
-             .select("shard", "source", "pass", "index", "ident", "first", "words", "start"))
+             .select("shard", "source", "pass", "index", "ident", "key", "start", "first", "words"))
     taken = spans.groupBy("source", "start").agg(F.sum("words").alias("taken")).select(F.col("source").alias("s"), F.col("start").alias("t"), "taken")
     # a row with words is the only one that begins where it does in its source
     named = rows.join(taken.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("start") == F.col("t")) & (F.col("size") > 0), "left")
     goals = goals.withColumnRenamed("source", "g")
     result = (named.join(goals, F.col("source").eqNullSafe(F.col("g")))
               .select(F.col("ident").alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
-    return spans.drop("start"), result
+    return spans, result
 
 
-def mixed_texts(spans: DataFrame, docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
-    """The words of every span, joined by one space; needs unique ids. Ordered by (shard, source, pass, index, first) they are the shards."""
-    words = docs.select(F.col(ident).alias("ident"), F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)).alias("all"))
-    return spans.join(words, "ident").withColumn("text", F.array_join(F.slice("all", F.col("first").cast("int") + 1, F.col("words").cast("int")), " ")).drop("all")
+def mixed_texts(spans: DataFrame, docs: DataFrame, text: str = "text", ident: str = "doc_id", source: str = "source", *, seed: int = 42) -> DataFrame:
+    """The spans with `text`, their words joined by one space. Ordered by (shard, source, pass, index, start, first) they are the shards.
+
+    A span meets its text by source and digest of id and text, so null and repeated ids lose and multiply nothing: of rows alike in
+    all three one stands for all, as each has its own spans. `seed` is that of the mix.
+    """
+    words = (docs.select(F.col(source).alias("s"), row_key(text, ident, seed).alias("k"), F.col(text).alias("__text"))
+             .where(word_count(F.col("__text")) > 0).dropDuplicates(["s", "k"])
+             .select("s", "k", F.regexp_extract_all("__text", F.lit(WORD), F.lit(0)).alias("all")))
+    met = spans.join(words.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("key") == F.col("k")))
+    return met.withColumn("text", F.array_join(F.slice("all", F.col("first").cast("int") + 1, F.col("words").cast("int")), " ")).drop("all", "s", "k")
 
 
 def op7_query(spark, sf_dir: str) -> DataFrame:

@@ -1,10 +1,11 @@
 import math
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
 from check_oracle import compare
 from llm_helpers import brute
+from pyspark.sql import functions as F
 from pixwave.llm import mixture as M
 
 
@@ -67,6 +68,20 @@ def test_spans_are_the_takes(spark):
     spans.unpersist()
 
 
+def test_texts_of_null_and_repeated_ids(spark):
+    """The words of the texts are those taken, no more and no fewer, whatever the ids."""
+    rows = [(None, "one two three four five", "a"), (7, "six seven", "a"), (7, "six seven", "a"), (7, "other words here", "b"), (None, None, "b"), (8, "", None),
+            (9, " nine  ten ", None), (None, "one two three four five", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    spans, taken = M.mix(df, block=2, shards=3)
+    texts = M.mixed_texts(spans, df).collect()
+    assert all(len(r.text.split()) == r.words for r in texts)
+    own = sum((Counter((r.source, w) for w in r.text.split()) for r in texts), Counter())
+    assert sum(own.values()) == taken.agg(F.sum("taken")).first()[0] == sum(r.words for r in spans.collect())
+    assert own["a", "six"] == own["a", "seven"] or abs(own["a", "six"] - own["a", "seven"]) <= 2
+    assert set(own) <= {(s, w) for _, t, s in rows for w in (t or "").split()}
+
+
 def test_one_source_and_no_words(spark):
     df = spark.createDataFrame([(1, "a b c", "s"), (2, None, "t"), (3, "", None)], "doc_id long, text string, source string")
     got = {r.doc_id: tuple(r)[1:] for r in M.mix(df)[1].collect()}

@@ -222,10 +222,16 @@ def op1_query(spark, sf_dir: str) -> DataFrame:
 
 
 def pipeline_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their repeated passages; texts that lose nothing stay byte for byte."""
-    done = substring_dedup(docs)
+    """All rows and columns of `docs`, their repeated passages cut out of text, and n_chars of what is left.
+
+    Texts that lose nothing stay byte for byte; the others keep their words joined by single spaces. Null and empty texts, and texts of
+    under 35 words, lose nothing. Repeated rows, whatever their ids, lose all their windows and stay as rows with what is left. An empty table stays
+    empty. Columns with the names of the operator's results come back as they were.
+    """
+    clash = {c: f"__own {c}" for c in docs.columns if c.lower() in ("n_words", "n_removed", "kept_sha256", "kept_text")}
+    done = substring_dedup(docs.withColumnsRenamed(clash))
     cut = F.col("n_removed") > 0
-    return done.withColumns({
-        "n_chars": F.when(cut, F.length("kept_text").cast("long")).otherwise(F.col("n_chars")),
-        "text": F.when(cut, F.col("kept_text")).otherwise(F.col("text")),
-    }).select(*docs.columns)
+    done = done.withColumn("text", F.when(cut, F.col("kept_text")).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        done = done.withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return done.drop("n_words", "n_removed", "kept_sha256", "kept_text").withColumnsRenamed({v: k for k, v in clash.items()}).select(*(F.col(f"`{c}`") for c in docs.columns))

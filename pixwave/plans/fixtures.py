@@ -135,3 +135,22 @@ def write_blocks(df: DataFrame, folder: str, payload: str, suffix: str = ".bin",
 
     df.select(payload).mapInArrow(run, "files long").agg(F.sum("files")).first()
     return folder
+
+
+def write_texts(df: DataFrame, folder: str, name: str, text: str, suffix: str) -> str:
+    """Write the column `text` to one file per row, named by the column `name`; a task that is run again writes the same."""
+    folder = qualified(df.sparkSession, folder)
+
+    def run(batches):
+        system, inner = filesystem(folder)
+        system.create_dir(inner, recursive=True)
+        files = 0
+        for batch in batches:
+            for stem, body in zip(*(c.to_pylist() for c in batch.columns)):
+                with system.open_output_stream(f"{inner}/{stem}{suffix}") as f:
+                    f.write(body.encode())
+                files += 1
+        yield pa.RecordBatch.from_pydict({"files": pa.array([files], pa.int64())})
+
+    df.select(F.col(name).cast("string"), text).mapInArrow(run, "files long").agg(F.sum("files")).first()
+    return folder

@@ -281,6 +281,10 @@ ORACLE: dict[str, str] = {
         {r6('g')} AS gradient, {r6('w - 0.5 * g')} AS value FROM g JOIN w USING (i, j)""",
 }
 ORACLE["stream_score"] = ORACLE["predict_batches"]
+ORACLE["stream_score_tfrecords"] = ORACLE["predict_batches"]
+ORACLE["read_tfrecord_ranges"] = ORACLE["read_tfrecords"]
+ORACLE["training_events"] = """SELECT (('0x' || substr(md5(vec_id::VARCHAR), 1, 8))::BIGINT % 4)::INTEGER AS shard, count(*)::BIGINT AS n_rows,
+    ceil(count(*) / 50.0)::BIGINT AS steps, 0::BIGINT AS untimed FROM embeddings GROUP BY 1"""
 
 
 def descent(steps: int, chosen: str, lr: float = 0.5) -> str:

@@ -12,9 +12,9 @@ from ..functions.vectors import argmax
 from ..operators import audio, batching, images, index, layers, metrics, pairing, scoring, series, training
 from ..session import shared_dir
 from ..sources import records, sinks, text, tfrecord, wav
-from ..streaming import learning
+from ..streaming import feeds, learning
 from .fixtures import (CHUNK, FS, MAX_FREQUENCY, MINTIME, SEED, byte_string, cnn_model, dense_model, img8, pred, sig,
-                       sig_chunks, subtitle_lines, table, train_log, write_blocks)
+                       sig_chunks, subtitle_lines, table, train_log, write_blocks, write_texts)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -107,6 +107,18 @@ def read_tfrecords(spark, sf_dir):
     return cells(flat, ["example_id", "label"], "image")
 
 
+@query
+def read_tfrecord_ranges(spark, sf_dir):
+    """The same files, larger ones read in ranges of 32 KB; every record has its number in its file."""
+    path = shared_dir(spark, "tfr-ranges")
+    rows = img8(spark, sf_dir).select(F.col("pixels").alias("image"), F.array("label").alias("label"),
+                                      F.array("example_id").alias("id"))
+    tfrecord.write_tfrecords(rows, path, ["image", "label", "id"])
+    back = tfrecord.read_tfrecords(spark, path, ["image", "label", "id"], target_bytes=1 << 15)
+    flat = back.select(F.col("id")[0].alias("example_id"), F.col("label")[0].alias("label"), "image")
+    return cells(flat, ["example_id", "label"], "image")
+
+
 def wav_header(channels: int):
     """Header of a 16-bit PCM file as a function of its number of frames."""
     def header(frames: int) -> bytes:
@@ -140,12 +152,11 @@ def read_wav_chunks(spark, sf_dir):
 @query
 def read_subtitles(spark, sf_dir):
     """Subtitle files, one per conversation, written and read back by lines."""
-    path = shared_dir(spark, "subtitles")
     lines = subtitle_lines(spark, sf_dir)
-    (lines.repartition("episode").sortWithinPartitions("episode", "line_no").select("episode", F.col("line").alias("value"))
-     .write.partitionBy("episode").text(path))
+    text_of = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: F.concat(x["line"], F.lit("\n"))), "")
+    path = write_texts(lines.groupBy("episode").agg(text_of.alias("text")), shared_dir(spark, "subtitles"), "episode", "text", ".ass")
     back = text.read_subtitles(spark, path)
-    episode = F.regexp_extract("file", "episode=([0-9]+)/", 1).cast("long")
+    episode = F.col("episode").cast("long")
     return back.select(episode.alias("episode"), "num", "dialogue", "start_tc", "end_tc")
 
 
@@ -643,6 +654,27 @@ def stream_score(spark, sf_dir):
     return _predictions(spark.read.parquet(f"{base}/out"))
 
 
+@query
+def stream_score_tfrecords(spark, sf_dir):
+    """Images written as TFRecord files, streamed from them, standardised and scored."""
+    model, params = dense_model()
+    base = shared_dir(spark, "stream-tfr")
+    rows = img8(spark, sf_dir).select(F.col("pixels").alias("image"), F.array("label").alias("label"), F.array("example_id").alias("id"))
+    tfrecord.write_tfrecords(rows.repartition(2 * workers(spark)), f"{base}/in", ["image", "label", "id"])
+    feed = images.standardize_image(feeds.tfrecord_feed(spark, f"{base}/in", (8, 8, 1), ident="id", files_per_trigger=workers(spark)))
+    learning.stream_score(spark, "", f"{base}/out", model, params, checkpoint=f"{base}/state", feed=feed)
+    return _predictions(spark.read.parquet(f"{base}/out"))
+
+
+@query
+def training_events(spark, sf_dir):
+    """Rows and steps of every shard of a round, from the events that its tasks wrote: every row is learned once."""
+    rows = images.rescale_pixels(img8(spark, sf_dir))
+    trained = training.train_parallel(rows, layers.softmax_model(64), "sgd", 50, 1, 4, SEED, lr=0.1)
+    events = training.step_events(spark, trained)
+    return events.groupBy("shard").agg(F.sum("n").alias("n_rows"), F.max("step").alias("steps"), F.count_if(F.expr("ts is null or seconds < 0")).alias("untimed"))
+
+
 @query
 def stream_train(spark, sf_dir):
     """Four feeds, each with its own folder and checkpoint, train one model; each feed is one micro-batch and one step."""

@@ -77,28 +77,36 @@ COMPARISONS = {
 class PushedFilters:
     """Filters of a reader on columns that have one value for a slice (`whole`), or ascend in it (`ascending`).
 
-    Those on whole columns are done here; those on ascending ones leave slices out and stay with Spark.
+    Those on whole columns are done here; those on ascending ones, or on columns whose values begin with something known of the slice
+    (`prefixed`), leave slices out and stay with Spark.
     """
 
     whole: tuple[str, ...] = ()
     ascending: tuple[str, ...] = ()
+    prefixed: tuple[str, ...] = ()
 
     def pushFilters(self, filters):
         self.pushed = []
         for f in filters:
             name = ".".join(getattr(f, "attribute", ()))
             known = type(f) in COMPARISONS or isinstance(f, ds.IsNotNull)
-            if known and name in (*self.whole, *self.ascending):
+            if known and name in (*self.whole, *self.ascending, *self.prefixed):
                 self.pushed.append(f)
             if not known or name not in self.whole:
                 yield f
 
     def wanted(self, **values) -> bool:
-        """Whether a slice can have rows that pass; a whole column is given by its value, an ascending one by its first and last."""
+        """Whether a slice can have rows that pass; a whole column is given by its value, an ascending one by its first and last, a
+        prefixed one by what its values begin with."""
         for f in getattr(self, "pushed", ()):
             x = values.get(f.attribute[0])
             if x is None or isinstance(f, ds.IsNotNull):
                 continue
+            if f.attribute[0] in self.prefixed:
+                given = f.value if isinstance(f, ds.In) else [f.value] if isinstance(f, (ds.EqualTo, ds.EqualNullSafe, ds.StringStartsWith)) else None
+                if given is not None and not any(v.startswith(x) or isinstance(f, ds.StringStartsWith) and x.startswith(v) for v in given):
+                    return False
+                continue
             if not isinstance(x, tuple):
                 if not COMPARISONS[type(f)](x, f.value):
                     return False

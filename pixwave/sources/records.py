@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
-from .files import TARGET_BYTES, Slice, Slices, filesystem, list_files, pack, qualified
+from .files import TARGET_BYTES, PushedFilters, Slice, Slices, filesystem, list_files, pack, qualified, register
 
 RECORD_SCHEMA = "example_id long, key string, height int, width int, depth int, label int, pixels array<short>"
 BATCH_BYTES = 4 << 20
@@ -48,7 +48,9 @@ class FixedRecords(DataSource):
         return FixedRecordReader(self.options, schema.names)
 
 
-class FixedRecordReader(DataSourceReader):
+class FixedRecordReader(PushedFilters, DataSourceReader):
+    ascending, prefixed = ("example_id",), ("key",)
+
     def __init__(self, options, columns):
         self.columns = columns
         self.path = options["path"]
@@ -63,9 +65,11 @@ class FixedRecordReader(DataSourceReader):
             count, rest = divmod(size, self.record)
             if rest:
                 raise ValueError(f"{path}: {size} bytes are not whole records of {self.record} bytes")
-            slices.append(Slice(path, 0, count, base))
+            if self.wanted(key=f"{path}:"):
+                slices.append(Slice(path, 0, count, base))
             base += count
-        return pack(slices, self.record, self.target) or [Slices([])]
+        tasks = [[s for s in t.slices if self.wanted(example_id=(s.base, s.base + s.count - 1))] for t in pack(slices, self.record, self.target)]
+        return [Slices(t) for t in tasks if t] or [Slices([])]
 
     def read(self, partition):
         depth, height, width = self.shape
@@ -97,9 +101,9 @@ def read_fixed_records(spark: SparkSession, path: str, shape=(3, 32, 32), label_
 
     Tasks read record-aligned byte ranges of about `target_bytes`. With several
     label bytes the last one is the class. `columns` leaves out the others: labels
-    alone need no decoding of pixels.
+    alone need no decoding of pixels. Filters on example_id and on the beginning of key leave out ranges and files.
     """
-    spark.dataSource.register(FixedRecords)
+    register(spark, FixedRecords)
     wanted = pick_fields(RECORD_SCHEMA, columns) if columns else RECORD_SCHEMA
     return (spark.read.schema(wanted).format("pixwave_records").option("shape", ",".join(map(str, shape)))
             .option("label_bytes", label_bytes).option("target_bytes", target_bytes)
@@ -109,6 +113,7 @@ def read_fixed_records(spark: SparkSession, path: str, shape=(3, 32, 32), label_
 # ---- IDX -----------------------------------------------------------------
 
 IMAGE_MAGIC, LABEL_MAGIC = 2051, 2049
+IDX_SCHEMA = "example_id long, file string, idx long, height int, width int, depth int, pixels array<short>"
 
 
 def _open(path: str):
@@ -142,14 +147,17 @@ class IdxFiles(DataSource):
 
     def schema(self) -> str:
         label = ", label int" if self.options.get("labels") else ""
-        return "example_id long, file string, idx long, height int, width int, depth int" + label + ", pixels array<short>"
+        return IDX_SCHEMA.replace(", pixels", f"{label}, pixels")
 
     def reader(self, schema) -> "IdxReader":
-        return IdxReader(self.options)
+        return IdxReader(self.options, schema.names)
+
 
+class IdxReader(PushedFilters, DataSourceReader):
+    whole, ascending = ("file",), ("example_id", "idx")
 
-class IdxReader(DataSourceReader):
-    def __init__(self, options):
+    def __init__(self, options, columns=None):
+        self.columns = columns
         self.images = options["path"]
         self.labels = options.get("labels") or None
         self.target = int(options.get("target_bytes", str(TARGET_BYTES)))
@@ -167,8 +175,9 @@ class IdxReader(DataSourceReader):
             whole = IdxSlice(path, 0, count, base, (rows, cols), label_path)
             zipped = path.endswith(".gz") or (label_path or "").endswith(".gz")
             parts = [Slices([whole])] if zipped else pack([whole], max(1, rows * cols), self.target)
-            for part in parts:
-                cut = [replace(whole, first=s.first, count=s.count, base=s.base) for s in part.slices]
+            for part in parts if self.wanted(file=path) else ():
+                cut = [replace(whole, first=s.first, count=s.count, base=s.base) for s in part.slices
+                       if self.wanted(example_id=(s.base, s.base + s.count - 1), idx=(s.first, s.first + s.count - 1))]
                 size = sum(s.count for s in cut) * rows * cols
                 if size > room and tasks[-1].slices:
                     tasks.append(Slices([]))
@@ -193,28 +202,30 @@ class IdxReader(DataSourceReader):
         for s in partition.slices:
             rows, cols = s.shape
             size = rows * cols
-            per_batch = max(1, BATCH_BYTES // size)
-            with _open(s.path) as images:
-                labels = _open(s.labels) if s.labels else None
+            per_batch = max(1, BATCH_BYTES // max(1, size))
+            wants = lambda name: self.columns is None or name in self.columns
+            images = _open(s.path) if wants("pixels") else None
+            labels = _open(s.labels) if s.labels and wants("label") else None
+            if images:
                 _skip(images, 16 + s.first * size, s.path)
+            if labels:
+                _skip(labels, 8 + s.first, s.labels)
+            for done in range(0, s.count, per_batch):
+                n = min(per_batch, s.count - done)
+                place = np.arange(n, dtype=np.int64) + done
+                columns = {
+                    "example_id": pa.array(s.base + place), "file": pa.array([s.path] * n),
+                    "idx": pa.array(s.first + place), "height": _ints(n, rows), "width": _ints(n, cols),
+                    "depth": _ints(n, 1),
+                }
                 if labels:
-                    _skip(labels, 8 + s.first, s.labels)
-                for done in range(0, s.count, per_batch):
-                    n = min(per_batch, s.count - done)
-                    pixels = np.frombuffer(_exactly(images, n * size, s.path), np.uint8).reshape(n, size)
-                    place = np.arange(n, dtype=np.int64) + done
-                    columns = {
-                        "example_id": pa.array(s.base + place), "file": pa.array([s.path] * n),
-                        "idx": pa.array(s.first + place), "height": _ints(n, rows), "width": _ints(n, cols),
-                        "depth": _ints(n, 1),
-                    }
-                    if labels:
-                        raw = _exactly(labels, n, s.labels)
-                        columns["label"] = _ints(n, np.frombuffer(raw, np.uint8))
-                    columns["pixels"] = pixel_lists(pixels)
-                    yield pa.RecordBatch.from_pydict(columns)
-                if labels:
-                    labels.close()
+                    columns["label"] = _ints(n, np.frombuffer(_exactly(labels, n, s.labels), np.uint8))
+                if images:
+                    columns["pixels"] = pixel_lists(np.frombuffer(_exactly(images, n * size, s.path), np.uint8).reshape(n, size))
+                yield pa.RecordBatch.from_pydict({c: columns[c] for c in self.columns or columns})
+            for f in (images, labels):
+                if f:
+                    f.close()
 
 
 def _exactly(f, n: int, path: str) -> bytes:
@@ -233,19 +244,23 @@ def _skip(f, n: int, path: str) -> None:
 
 
 def read_idx(spark: SparkSession, images_path: str, labels_path: str | None = None,
-             target_bytes: int = TARGET_BYTES) -> DataFrame:
+             target_bytes: int = TARGET_BYTES, columns=None) -> DataFrame:
     """IDX images (and labels) -> example_id, file, idx, shape, [label], pixels.
 
     The magic must be 2051 for images and 2049 for labels, and the counts must
     agree. Plain files are cut by record ranges; images and labels of a range
     are read by the same task, so no join is needed. Gzip cannot be cut: one
-    task per file, spread afterwards.
+    task per file, spread afterwards. `columns` leaves out the others: without pixels the images are not
+    read but for their headers. Filters on file, example_id and idx leave out files and ranges.
     """
-    spark.dataSource.register(IdxFiles)
+    register(spark, IdxFiles)
     images_path = qualified(spark, images_path)
     reader = spark.read.format("pixwave_idx").option("target_bytes", target_bytes)
     if labels_path:
         reader = reader.option("labels", qualified(spark, labels_path))
+    if columns:
+        label = ", label int" if labels_path else ""
+        reader = reader.schema(pick_fields(IDX_SCHEMA.replace(", pixels", f"{label}, pixels"), columns))
     df = reader.load(images_path)
     zipped = any(p.endswith(".gz") for p, _ in list_files(images_path))
-    return df.repartition("example_id") if zipped else df
+    return df.repartition("example_id") if zipped and (not columns or "example_id" in columns) else df

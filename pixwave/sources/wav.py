@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
-from .files import TARGET_BYTES, Slice, filesystem, list_files, pack, pack_files, qualified
+from .files import TARGET_BYTES, PushedFilters, Slice, Slices, filesystem, list_files, pack, pack_files, qualified, register
 
 WAV_SCHEMA = ("file string, fs int, channel int, n_frames long, chunk_no long, start_sample long, "
               "samples array<short>")
@@ -30,13 +30,15 @@ class WavChunks(DataSource):
         return WavReader(self.options)
 
 
-class WavReader(DataSourceReader):
+class WavReader(PushedFilters, DataSourceReader):
     """The driver only lists files; headers are read by the tasks.
 
     A slice is a run of byte blocks of 2 * chunk bytes. A task owns the chunks
     whose first byte lies in its blocks, whatever the channel count.
     """
 
+    whole = ("file", "channel")
+
     def __init__(self, options):
         self.path = options["path"]
         self.chunk = int(options.get("chunk", "65536"))
@@ -45,8 +47,8 @@ class WavReader(DataSourceReader):
 
     def partitions(self):
         block = 2 * self.chunk
-        slices = [Slice(p, 0, max(1, -(-(size - HEADER) // block))) for p, size in list_files(self.path)]
-        return pack(slices, block, self.target)
+        slices = [Slice(p, 0, max(1, -(-(size - HEADER) // block))) for p, size in list_files(self.path) if self.wanted(file=p)]
+        return pack(slices, block, self.target) or [Slices([])]
 
     def read(self, partition):
         for s in partition.slices:
@@ -68,7 +70,7 @@ class WavReader(DataSourceReader):
                     if len(raw) != n * width:
                         raise ValueError(f"{s.path} ends early")
                     samples = np.frombuffer(raw, "<i2").reshape(n, channels)
-                    picked = range(channels) if self.channel is None else [self.channel]
+                    picked = [c for c in (range(channels) if self.channel is None else [self.channel]) if self.wanted(channel=c)]
                     yield pa.RecordBatch.from_pydict({
                         "file": [s.path] * len(picked),
                         "fs": pa.array([fs] * len(picked), pa.int32()),
@@ -92,14 +94,16 @@ class WavFiles(DataSource):
         return WavFilesReader(self.options["path"])
 
 
-class WavFilesReader(DataSourceReader):
+class WavFilesReader(PushedFilters, DataSourceReader):
     """Headers alone, a few thousand files per task."""
 
+    whole = ("file",)
+
     def __init__(self, path: str):
         self.path = path
 
     def partitions(self):
-        return pack_files([(p, 1) for p, _ in list_files(self.path)], HEADERS)
+        return pack_files([(p, 1) for p, _ in list_files(self.path) if self.wanted(file=p)], HEADERS) or [Slices([])]
 
     def read(self, partition):
         for s in partition.slices:
@@ -111,7 +115,7 @@ class WavFilesReader(DataSourceReader):
 
 def read_wav_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per WAV file: file, fs, channels, n_frames. No sample is read."""
-    spark.dataSource.register(WavFiles)
+    register(spark, WavFiles)
     return spark.read.format("pixwave_wav_files").load(qualified(spark, path))
 
 
@@ -120,9 +124,9 @@ def read_wav_chunks(spark: SparkSession, path: str, chunk: int = 65536, channel:
     """WAV files -> one row per (file, channel, chunk) with the header facts on each row.
 
     A long file is cut into ranges read by different tasks. `channel` reads one
-    channel only. An empty file gives one empty chunk.
+    channel only; filters on file and channel do the same. An empty file gives one empty chunk.
     """
-    spark.dataSource.register(WavChunks)
+    register(spark, WavChunks)
     reader = spark.read.format("pixwave_wav").option("chunk", chunk).option("target_bytes", target_bytes)
     if channel is not None:
         reader = reader.option("channel", channel)

@@ -11,6 +11,7 @@ task gives the same result. Weights never pass through the driver.
 
 import contextlib
 import time
+from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import partial
@@ -27,6 +28,7 @@ from ..sources.files import filesystem, qualified
 from ..sources.sinks import WEIGHTS_SCHEMA, checkpoint_weights, restore_weights, write_metrics
 from . import scoring
 from .layers import Params, apply_gradients, gradients, softmax_loss
+from .metrics import LEAST_EXPONENT, exponent_bounds
 from .scoring import broadcast_params, evaluate_model, matrix
 from .state import (Fold, StateTable, Weights, averages, initial_state, model_tensors, notes_frame, read_notes, value_type, weight_chunks,
                     write_table)
@@ -34,6 +36,7 @@ from .state import (Fold, StateTable, Weights, averages, initial_state, model_te
 LOCAL_STEPS = 64  # mini-batches of a shard and round, where the number of shards is not given
 LOG = ("ts", "seconds", "n", "loss", "accuracy", "learning_rate")  # of each step
 METRICS_SCHEMA = "round int, step long, tag string, value double"
+GRADIENTS_SCHEMA = "round int, tensor string, bucket int, n long"
 EVENTS_SCHEMA = "round int, shard int, step long, ts timestamp, seconds double, n long, loss double, accuracy double, learning_rate double"
 
 
@@ -224,11 +227,11 @@ def _node_batches(first: int, node: tuple, dtype, each: int = 256):
             pa.array([None] * n if single else values, wide), pa.array([None] * n, wide)], names=PART_NAMES)
 
 
-def _log_batch(shard: int, steps: list, dtype) -> pa.RecordBatch:
+def _log_batch(shard: int, values: list, dtype, name: str = "#shard") -> pa.RecordBatch:
     one = lambda value, kind: pa.array([value], kind)
     return pa.RecordBatch.from_arrays([
-        pa.array(["#shard"]), one([], pa.list_(pa.int32())), one(shard, pa.int32()), one(shard, pa.int32()), one(0, pa.int64()),
-        one([], pa.list_(pa.from_numpy_dtype(dtype))), one(None, pa.list_(pa.float64())), one([float(x) for s in steps for x in s], pa.list_(pa.float64()))],
+        pa.array([name]), one([], pa.list_(pa.int32())), one(shard, pa.int32()), one(shard, pa.int32()), one(0, pa.int64()),
+        one([], pa.list_(pa.from_numpy_dtype(dtype))), one(None, pa.list_(pa.float64())), one([float(x) for v in values for x in v], pa.list_(pa.float64()))],
         names=PART_NAMES)
 
 
@@ -243,17 +246,22 @@ def _merged_schema(dtype) -> str:
     return f"tensor string, shape array<int>, chunk int, values array<{value_type(dtype)}>, log array<double>"
 
 
-def _shard_trainer(model, table, optimizer, batch, rate, seed, round_no, step0, skip, limit, ema, per_task, dtype):
+def _shard_trainer(model, table, optimizer, batch, rate, seed, round_no, step0, skip, limit, ema, per_task, dtype, count_gradients=False):
     """mapInArrow body: mini-batch steps on each shard of a task, then the sum of its shards' weights as chunks.
 
     Rows come sorted by shard. A task holds one block of shards, but nothing relies on it.
     """
+    counts: dict[str, Counter] = {}
+
     def learn(state, x, y, shard, done):
         began = time.time()
         rng = np.random.Generator(np.random.Philox(key=[seed, (round_no << 32) | shard], counter=done << 64))
         params = model_tensors(state)
         loss, hits, grads = gradients(model, params, x, y, rng)
         step = step0 + done - skip
+        if count_gradients:
+            for name, g in grads.items():
+                counts.setdefault(name, Counter()).update(exponent_counts(g))
         apply_gradients(state, grads, optimizer, rate(step), step)
         if ema:
             d = min(ema, (1 + step) / (10 + step))
@@ -269,6 +277,9 @@ def _shard_trainer(model, table, optimizer, batch, rate, seed, round_no, step0,
             nonlocal fold, block
             if steps:
                 yield _log_batch(current, steps, dtype)
+                for name, found in counts.items():
+                    yield _log_batch(current, sorted(found.items()), dtype, f"#gradient {name}")
+                counts.clear()
                 if fold is not None and block != current // per_task:
                     yield from close_block()
                 if fold is None:
@@ -338,6 +349,30 @@ def _merged_batch(done, dtype) -> pa.RecordBatch:
         "log": pa.array(logs, pa.list_(pa.float64()))})
 
 
+def exponent_counts(values: np.ndarray) -> dict[int, int]:
+    """Numbers of finite values by the buckets of `metrics.exponent_histogram`."""
+    v = values[np.isfinite(values)].astype(np.float64)
+    buckets, n = np.unique(np.where(v == 0, 0, np.sign(v) * (np.frexp(v)[1] - LEAST_EXPONENT)).astype(np.int64), return_counts=True)
+    return dict(zip(buckets.tolist(), n.tolist()))
+
+
+def _gradients(rows: DataFrame, round_no: int) -> DataFrame:
+    """(round, tensor, bucket, n) of a round, summed over its shards."""
+    pairs = F.transform(F.sequence(F.lit(1), F.size("log"), F.lit(2)), lambda i: F.struct(F.get("log", i - 1).cast("int").alias("bucket"), F.get("log", i).cast("long").alias("n")))
+    each = rows.where(F.col("tensor").startswith("#gradient ") & (F.size("log") > 0)).select(F.substring("tensor", 11, 1 << 20).alias("tensor"), F.explode(pairs).alias("p"))
+    return each.groupBy("tensor", "p.bucket").agg(F.sum("p.n").alias("n")).select(F.lit(round_no).alias("round"), "tensor", "bucket", "n")
+
+
+def gradient_histogram(spark: SparkSession, trained: Trained) -> DataFrame:
+    """Values of the gradients of each tensor and round, by sign and binary exponent: round, tensor, bucket, lower, upper, n.
+
+    For a training that counts its gradients (`count_gradients`); shards count while they learn, and no gradient is kept.
+    """
+    lower, upper = exponent_bounds("bucket")
+    rows = spark.read.schema(GRADIENTS_SCHEMA).parquet(f"{trained.log}-gradients")
+    return rows.select("round", "tensor", "bucket", lower.alias("lower"), upper.alias("upper"), "n")
+
+
 def _events(rows: DataFrame, round_no: int, step0: int) -> DataFrame:
     """Step events (EVENTS_SCHEMA) from the logs of a round's shards."""
     each = F.posexplode(F.transform(F.sequence(F.lit(0), F.size("log") - 1, F.lit(len(LOG))), lambda i: F.slice("log", i + 1, len(LOG))))
@@ -351,7 +386,7 @@ def _events(rows: DataFrame, round_no: int, step0: int) -> DataFrame:
 def train_round(laid: DataFrame, model: dict, trained: Trained, *, optimizer: str, batch: int,
                 rate: Callable[[int], float], seed: int, ident: str, limit: int | None = None, skip: int = 0,
                 ema: float | None = None, prepare: Callable[[DataFrame, int], DataFrame] | None = None,
-                per_task: int = 1, dtype=np.float32) -> Trained:
+                per_task: int = 1, dtype=np.float32, count_gradients: bool = False) -> Trained:
     """One round over rows from `lay_out`: one narrow pass over the shards and a shuffle of one set of weights per task.
 
     The steps of a shard run in `dtype`, sums over shards in double. `skip` leaves out the first mini-batches of every shard,
@@ -364,14 +399,17 @@ def train_round(laid: DataFrame, model: dict, trained: Trained, *, optimizer: st
                .sortWithinPartitions("__shard", "__key", ident)
                .select(F.col("pixels"), F.col("label").cast("int").alias("label"), "__shard"))
     body = _shard_trainer(model, StateTable(trained.table.path, dtype.name), optimizer, batch, rate, seed, trained.round, trained.step,
-                          skip, limit, ema, per_task, dtype)
+                          skip, limit, ema, per_task, dtype, count_gradients)
     merged = (ordered.mapInArrow(body, _parts_schema(dtype)).repartition("tensor", "chunk").sortWithinPartitions("tensor", "chunk", "first")
               .mapInArrow(partial(_average_chunks, dtype), _merged_schema(dtype)))
     path = qualified(spark, shared_dir(spark, "state"))
     merged.write.parquet(path)
-    events = _events(spark.read.schema(_merged_schema(dtype)).parquet(path), trained.round, trained.step)
+    written = spark.read.schema(_merged_schema(dtype)).parquet(path)
+    events = _events(written, trained.round, trained.step)
     log = trained.log or shared_dir(spark, "training-log")
     events.write.mode("append").parquet(log)
+    if count_gradients:
+        _gradients(written, trained.round).write.mode("append").parquet(f"{log}-gradients")
     # exact sums, so that the order in which tasks end plays no role
     mean = lambda c: F.sum(F.when(F.abs(c) < 1e15, (c * F.col("n")).cast("decimal(38,12)"))) / F.sum("n")
     steps, loss, hits, finite = events.agg(F.max("step"), mean(F.col("loss")).cast("double"), mean(F.col("accuracy")).cast("double"),
@@ -389,13 +427,15 @@ def train_parallel(df: DataFrame, model: dict, optimizer: str = "sgd", batch: in
                    shards: int | None = None, seed: int = 0, callbacks: Sequence[Callable[[Trained], bool | None]] = (), *,
                    lr: float | Callable[[int], float] = 0.1, steps: int | None = None, ema: float | None = None,
                    ident: str = "example_id", start: Trained | None = None,
-                   prepare: Callable[[DataFrame, int], DataFrame] | None = None, dtype=np.float32, per_task: int | None = None) -> Trained:
+                   prepare: Callable[[DataFrame, int], DataFrame] | None = None, dtype=np.float32, per_task: int | None = None,
+                   count_gradients: bool = False) -> Trained:
     """Train on rows with `ident`, `pixels`, `label`, one pass over the rows per round.
 
     Stops after `rounds` rounds, after `steps` steps, or when a callback returns
     True. `prepare(rows, round)` is applied to the rows each round, for instance
     the distortion chain. `start` goes on from an earlier state. Without `shards` there are as many as
     give each LOCAL_STEPS mini-batches a round. `per_task` shards (a power of two) share a task; it does not change the result.
+    `count_gradients` keeps histograms of the gradients (see `gradient_histogram`).
     """
     spark = df.sparkSession
     rate = lr if callable(lr) else (lambda step: lr)
@@ -410,7 +450,8 @@ def train_parallel(df: DataFrame, model: dict, optimizer: str = "sgd", batch: in
             limit = None if steps is None else steps - trained.step
             before = trained.step
             trained = train_round(laid, model, trained, optimizer=optimizer, batch=batch, rate=rate, seed=seed,
-                                  ident=ident, limit=limit, ema=ema, prepare=prepare, dtype=dtype, per_task=per_task)
+                                  ident=ident, limit=limit, ema=ema, prepare=prepare, dtype=dtype, per_task=per_task,
+                                  count_gradients=count_gradients)
             if trained.step == before:
                 break
             drop_table(own)  # of the round before

@@ -283,6 +283,11 @@ ORACLE: dict[str, str] = {
 ORACLE["stream_score"] = ORACLE["predict_batches"]
 ORACLE["stream_score_tfrecords"] = ORACLE["predict_batches"]
 ORACLE["read_tfrecord_ranges"] = ORACLE["read_tfrecords"]
+ORACLE["exponent_histogram"] = """WITH b AS (
+    SELECT event_type, CASE WHEN value = 0 THEN 0 ELSE sign(value) * (floor(log2(abs(value))) + 1076) END::INTEGER AS bucket FROM events WHERE value IS NOT NULL)
+  SELECT event_type, bucket, CASE WHEN bucket < 0 THEN -pow(2, -bucket - 1075) WHEN bucket = 0 THEN 0 ELSE pow(2, bucket - 1076) END::DOUBLE AS lower,
+    CASE WHEN bucket < 0 THEN -pow(2, -bucket - 1076) WHEN bucket = 0 THEN 0 ELSE pow(2, bucket - 1075) END::DOUBLE AS upper, count(*)::BIGINT AS n
+  FROM b GROUP BY event_type, bucket"""
 ORACLE["training_events"] = """SELECT (('0x' || substr(md5(vec_id::VARCHAR), 1, 8))::BIGINT % 4)::INTEGER AS shard, count(*)::BIGINT AS n_rows,
     ceil(count(*) / 50.0)::BIGINT AS steps, 0::BIGINT AS untimed FROM embeddings GROUP BY 1"""
 

@@ -538,6 +538,11 @@ def histogram(spark, sf_dir):
     return out.select("run", "bucket", r6("lower").alias("lower"), r6("upper").alias("upper"), "n")
 
 
+@query
+def exponent_histogram(spark, sf_dir):
+    return metrics.exponent_histogram(table(spark, sf_dir, "events"), "event_type", "value")
+
+
 @query
 def sparsity(spark, sf_dir):
     relu = pixel_rows(spark, sf_dir).withColumn("value", F.greatest("value", F.lit(0.0)))

@@ -331,3 +331,36 @@ def test_a_feed_stops_at_the_steps_and_goes_on_later(spark, rows, tmp_path):
     steps = [r.step for r in spark.read.parquet(str(tmp_path / "w" / "_steps")).collect()]
     # every row is learned once: batch 0, two steps of batch 1, the rest of it, and two batches more
     assert sorted(steps) == [1, 2, 3, 4, 5] and whole > 0 and notes["step"][0] >= 4 * (whole // 2 // 20)
+
+
+def test_gradient_histograms_equal_those_of_exported_gradients(spark, rows):
+    """Counts that shards add up while they learn, against the table function over all gradients of plain loops."""
+    model, batch, shards, seed = layers.mlp_model(64, 5), 60, 3, 2
+    model["layers"] = [layer for layer in model["layers"] if layer["kind"] != "dropout"]
+    trained = training.train_parallel(rows, model, "sgd", batch, 1, shards, seed, lr=0.1, dtype=np.float64, count_gradients=True)
+    ordered = (training.lay_out(rows.select("example_id", "pixels", "label"), shards, "example_id")
+               .withColumn("k", hash_key(seed, 0, "round", "example_id")).orderBy("__shard", "k", "example_id").collect())
+    exported = []
+    for shard in range(shards):
+        mine, params = [r for r in ordered if r["__shard"] == shard], training.initial_state(model, "sgd", seed, None, np.float64)
+        for at in range(0, len(mine), batch):
+            part = mine[at:at + batch]
+            _, _, grads = layers.gradients(model, params, np.array([r.pixels for r in part]), np.array([r.label for r in part]))
+            exported += [(k, float(x)) for k, g in grads.items() for x in g.ravel()]
+            params = {k: v - 0.1 * grads[k] for k, v in params.items()}
+    want = metrics.exponent_histogram(spark.createDataFrame(exported, "tensor string, value double"), "tensor", "value")
+    got = training.gradient_histogram(spark, trained)
+    assert sorted(tuple(r)[1:] for r in got.collect()) == sorted(tuple(r) for r in want.collect()) and got.where("round <> 0").count() == 0
+
+
+def test_exponent_buckets(spark):
+    r = np.random.default_rng(0)
+    values = [0.0, -0.0, 1.0, -1.0, 2.0, np.nextafter(2.0, 0), np.nextafter(1.0, 0), 5e-324, -1e308, 3.0, float("nan"), float("inf"), None,
+              *(2.0 ** k for k in range(-60, 60, 7)), *(np.nextafter(2.0 ** k, 0) for k in range(-60, 60, 7)), *r.normal(size=200)]
+    df = spark.createDataFrame([("t", None if v is None else float(v)) for v in values], "tag string, v double")
+    rows = {x.bucket: x for x in metrics.exponent_histogram(df, "tag", "v").collect()}
+    finite = np.array([v for v in values if v is not None and np.isfinite(v)])
+    assert {b: x.n for b, x in rows.items()} == training.exponent_counts(finite)
+    for b, x in rows.items():
+        mine = finite[(finite >= x.lower) & (finite < x.upper)] if b > 0 else finite[(finite > x.lower) & (finite <= x.upper)] if b < 0 else finite[finite == 0]
+        assert len(mine) == x.n

@@ -5,7 +5,6 @@ from dataclasses import dataclass
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import datasource as ds
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import InputPartition
 
@@ -68,65 +67,6 @@ def byte_ranges(files: DataFrame, target: int, unit: int = 1, header: int = 0) -
             .withColumn("stop", F.least(F.col("start") + step, F.col("length"))))
 
 
-COMPARISONS = {
-    ds.EqualTo: lambda x, v: x == v, ds.EqualNullSafe: lambda x, v: x == v, ds.In: lambda x, v: x in v, ds.GreaterThan: lambda x, v: x > v,
-    ds.GreaterThanOrEqual: lambda x, v: x >= v, ds.LessThan: lambda x, v: x < v, ds.LessThanOrEqual: lambda x, v: x <= v,
-    ds.StringStartsWith: lambda x, v: x.startswith(v), ds.StringEndsWith: lambda x, v: x.endswith(v), ds.StringContains: lambda x, v: v in x}
-
-
-class PushedFilters:
-    """Filters of a reader on columns that have one value for a slice (`whole`), or ascend in it (`ascending`).
-
-    Those on whole columns are done here; those on ascending ones, or on columns whose values begin with something known of the slice
-    (`prefixed`), leave slices out and stay with Spark.
-    """
-
-    whole: tuple[str, ...] = ()
-    ascending: tuple[str, ...] = ()
-    prefixed: tuple[str, ...] = ()
-
-    def pushFilters(self, filters):
-        self.pushed = []
-        for f in filters:
-            name = ".".join(getattr(f, "attribute", ()))
-            known = type(f) in COMPARISONS or isinstance(f, ds.IsNotNull)
-            if known and name in (*self.whole, *self.ascending, *self.prefixed):
-                self.pushed.append(f)
-            if not known or name not in self.whole:
-                yield f
-
-    def wanted(self, **values) -> bool:
-        """Whether a slice can have rows that pass; a whole column is given by its value, an ascending one by its first and last, a
-        prefixed one by what its values begin with."""
-        for f in getattr(self, "pushed", ()):
-            x = values.get(f.attribute[0])
-            if x is None or isinstance(f, ds.IsNotNull):
-                continue
-            if f.attribute[0] in self.prefixed:
-                given = f.value if isinstance(f, ds.In) else [f.value] if isinstance(f, (ds.EqualTo, ds.EqualNullSafe, ds.StringStartsWith)) else None
-                if given is not None and not any(v.startswith(x) or isinstance(f, ds.StringStartsWith) and x.startswith(v) for v in given):
-                    return False
-                continue
-            if not isinstance(x, tuple):
-                if not COMPARISONS[type(f)](x, f.value):
-                    return False
-            elif isinstance(f, ds.In):
-                if not any(x[0] <= v <= x[1] for v in f.value):
-                    return False
-            elif isinstance(f, (ds.EqualTo, ds.EqualNullSafe)):
-                if not x[0] <= f.value <= x[1]:
-                    return False
-            elif not any(COMPARISONS[type(f)](v, f.value) for v in x):
-                return False
-        return True
-
-
-def register(spark: SparkSession, source: type) -> None:
-    """Make a source known to the session, which has to allow filters to reach it."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spark.dataSource.register(source)
-
-
 @dataclass
 class Slice:
     """Records [first, first + count) of one file; `base` is the id of its first record."""

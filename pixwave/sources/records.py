@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
-from .files import TARGET_BYTES, PushedFilters, Slice, Slices, filesystem, list_files, pack, qualified, register
+from .files import TARGET_BYTES, Slice, Slices, filesystem, list_files, pack, qualified
 
 RECORD_SCHEMA = "example_id long, key string, height int, width int, depth int, label int, pixels array<short>"
 BATCH_BYTES = 4 << 20
@@ -48,9 +48,7 @@ class FixedRecords(DataSource):
         return FixedRecordReader(self.options, schema.names)
 
 
-class FixedRecordReader(PushedFilters, DataSourceReader):
-    ascending, prefixed = ("example_id",), ("key",)
-
+class FixedRecordReader(DataSourceReader):
     def __init__(self, options, columns):
         self.columns = columns
         self.path = options["path"]
@@ -65,11 +63,9 @@ class FixedRecordReader(PushedFilters, DataSourceReader):
             count, rest = divmod(size, self.record)
             if rest:
                 raise ValueError(f"{path}: {size} bytes are not whole records of {self.record} bytes")
-            if self.wanted(key=f"{path}:"):
-                slices.append(Slice(path, 0, count, base))
+            slices.append(Slice(path, 0, count, base))
             base += count
-        tasks = [[s for s in t.slices if self.wanted(example_id=(s.base, s.base + s.count - 1))] for t in pack(slices, self.record, self.target)]
-        return [Slices(t) for t in tasks if t] or [Slices([])]
+        return pack(slices, self.record, self.target) or [Slices([])]
 
     def read(self, partition):
         depth, height, width = self.shape
@@ -101,9 +97,9 @@ def read_fixed_records(spark: SparkSession, path: str, shape=(3, 32, 32), label_
 
     Tasks read record-aligned byte ranges of about `target_bytes`. With several
     label bytes the last one is the class. `columns` leaves out the others: labels
-    alone need no decoding of pixels. Filters on example_id and on the beginning of key leave out ranges and files.
+    alone need no decoding of pixels.
     """
-    register(spark, FixedRecords)
+    spark.dataSource.register(FixedRecords)
     wanted = pick_fields(RECORD_SCHEMA, columns) if columns else RECORD_SCHEMA
     return (spark.read.schema(wanted).format("pixwave_records").option("shape", ",".join(map(str, shape)))
             .option("label_bytes", label_bytes).option("target_bytes", target_bytes)
@@ -153,9 +149,7 @@ class IdxFiles(DataSource):
         return IdxReader(self.options, schema.names)
 
 
-class IdxReader(PushedFilters, DataSourceReader):
-    whole, ascending = ("file",), ("example_id", "idx")
-
+class IdxReader(DataSourceReader):
     def __init__(self, options, columns=None):
         self.columns = columns
         self.images = options["path"]
@@ -175,9 +169,8 @@ class IdxReader(PushedFilters, DataSourceReader):
             whole = IdxSlice(path, 0, count, base, (rows, cols), label_path)
             zipped = path.endswith(".gz") or (label_path or "").endswith(".gz")
             parts = [Slices([whole])] if zipped else pack([whole], max(1, rows * cols), self.target)
-            for part in parts if self.wanted(file=path) else ():
-                cut = [replace(whole, first=s.first, count=s.count, base=s.base) for s in part.slices
-                       if self.wanted(example_id=(s.base, s.base + s.count - 1), idx=(s.first, s.first + s.count - 1))]
+            for part in parts:
+                cut = [replace(whole, first=s.first, count=s.count, base=s.base) for s in part.slices]
                 size = sum(s.count for s in cut) * rows * cols
                 if size > room and tasks[-1].slices:
                     tasks.append(Slices([]))
@@ -251,9 +244,9 @@ def read_idx(spark: SparkSession, images_path: str, labels_path: str | None = No
     agree. Plain files are cut by record ranges; images and labels of a range
     are read by the same task, so no join is needed. Gzip cannot be cut: one
     task per file, spread afterwards. `columns` leaves out the others: without pixels the images are not
-    read but for their headers. Filters on file, example_id and idx leave out files and ranges.
+    read but for their headers.
     """
-    register(spark, IdxFiles)
+    spark.dataSource.register(IdxFiles)
     images_path = qualified(spark, images_path)
     reader = spark.read.format("pixwave_idx").option("target_bytes", target_bytes)
     if labels_path:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, WriterCommitMessage
 
 from ..session import shared_dir
-from .files import TARGET_BYTES, PushedFilters, Slice, Slices, filesystem, list_files, qualified, register
+from .files import TARGET_BYTES, Slice, Slices, filesystem, list_files, qualified
 from .tfsplit import split_files
 
 # Fixed values of the file format: reversed CRC-32C polynomial and mask constant.
@@ -199,11 +199,9 @@ class RecordSlice(Slice):
     file_no: int = 0
 
 
-class TFRecordReader(PushedFilters, DataSourceReader):
+class TFRecordReader(DataSourceReader):
     """One task per group of small files or range of a large one, as planned by `read_tfrecords`."""
 
-    whole, ascending = ("file_no",), ("record_no",)
-
     def __init__(self, path: str, names: list[str], target: int, plan: str | None):
         self.path, self.names, self.target, self.plan = path, names, target, plan
 
@@ -221,10 +219,8 @@ class TFRecordReader(PushedFilters, DataSourceReader):
     def partitions(self):
         ranges, tasks, room = self._ranges(), [], 0
         for no, (path, size) in enumerate(list_files(self.path)):
-            if not self.wanted(file_no=no):
-                continue
             for s in sorted(ranges.get(no, []), key=lambda s: s.base):
-                if s.count and self.wanted(record_no=(s.base, s.base + s.count - 1)):
+                if s.count:
                     tasks.append(Slices([s]))
                     room = 0
             if no not in ranges:
@@ -340,9 +336,9 @@ def read_tfrecords(spark: SparkSession, path: str, fields=("image", "label"),
     """TFRecord files -> file_no, record_no and one array<long> column per field.
 
     A file over `target_bytes` is read by several tasks; a job finds the ranges beforehand from the headers of its
-    records (see `tfsplit`). Filters on file_no leave out files, those on record_no ranges.
+    records (see `tfsplit`).
     """
-    register(spark, TFRecords)
+    spark.dataSource.register(TFRecords)
     path = qualified(spark, path)
     reader = spark.read.format("pixwave_tfrecord").option("fields", ",".join(fields)).option("target_bytes", target_bytes)
     large = [(no, name, size) for no, (name, size) in enumerate(list_files(path)) if size > target_bytes]
@@ -355,7 +351,7 @@ def read_tfrecords(spark: SparkSession, path: str, fields=("image", "label"),
 
 def write_tfrecords(df: DataFrame, path: str, fields=("image", "label"), mode: str = "append") -> None:
     """Write the array columns `fields` as Example messages, one part file per task."""
-    register(df.sparkSession, TFRecords)
+    df.sparkSession.dataSource.register(TFRecords)
     lists = df.select(*[df[f].cast("array<long>").alias(f) for f in fields])
     (lists.write.format("pixwave_tfrecord").option("fields", ",".join(fields)).mode(mode)
      .save(qualified(df.sparkSession, path)))

@@ -112,29 +112,41 @@ def write_blocks(df: DataFrame, folder: str, payload: str, suffix: str = ".bin",
     A task writes the same names with the same bytes when it is run again; the
     names sort in partition order.
     """
-    folder = qualified(df.sparkSession, folder)
+    return write_block_sets(df, [(folder, payload, suffix, header)], block)[0]
+
+
+def write_block_sets(df: DataFrame, sets: list[tuple], block: int = 4096) -> list[str]:
+    """Several (folder, payload, suffix, header) by `write_blocks`, in one pass over the rows.
+
+    Files of the same rank in two folders hold the same rows in the same order. Two passes would
+    not do: each may cut the rows into other partitions, by what its own columns weigh.
+    """
+    folders = [qualified(df.sparkSession, folder) for folder, *_ in sets]
+    endings = [(suffix, header) for _, _, suffix, header in sets]
 
     def run(batches):
-        system, inner = filesystem(folder)
-        system.create_dir(inner, recursive=True)
-        part, files, held = TaskContext.get().partitionId(), 0, []
+        places = [filesystem(folder) for folder in folders]
+        for system, inner in places:
+            system.create_dir(inner, recursive=True)
+        part, files, held = TaskContext.get().partitionId(), 0, [[] for _ in places]
 
-        def save(rows):
-            with system.open_output_stream(f"{inner}/part-{part:06d}-{files:06d}{suffix}") as f:
-                f.write((header(len(rows)) if header else b"") + b"".join(rows))
+        def save(columns):
+            for rows, (system, inner), (suffix, header) in zip(columns, places, endings):
+                with system.open_output_stream(f"{inner}/part-{part:06d}-{files:06d}{suffix}") as f:
+                    f.write((header(len(rows)) if header else b"") + b"".join(rows))
 
         for batch in batches:
-            held += batch.column(0).to_pylist()
-            while len(held) >= block:
-                save(held[:block])
-                held, files = held[block:], files + 1
-        if held:
+            held = [rows + column.to_pylist() for rows, column in zip(held, batch.columns)]
+            while len(held[0]) >= block:
+                save([rows[:block] for rows in held])
+                held, files = [rows[block:] for rows in held], files + 1
+        if held[0]:
             save(held)
             files += 1
         yield pa.RecordBatch.from_pydict({"files": pa.array([files], pa.int64())})
 
-    df.select(payload).mapInArrow(run, "files long").agg(F.sum("files")).first()
-    return folder
+    df.select(*(payload for _, payload, *_ in sets)).mapInArrow(run, "files long").agg(F.sum("files")).first()
+    return folders
 
 
 def write_texts(df: DataFrame, folder: str, name: str, text: str, suffix: str) -> str:

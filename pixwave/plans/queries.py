@@ -14,7 +14,7 @@ from ..session import shared_dir
 from ..sources import records, sinks, text, tfrecord, wav
 from ..streaming import feeds, learning
 from .fixtures import (CHUNK, FS, MAX_FREQUENCY, MINTIME, SEED, byte_string, cnn_model, dense_model, img8, pred, sig,
-                       sig_chunks, subtitle_lines, table, train_log, write_blocks, write_texts)
+                       sig_chunks, subtitle_lines, table, train_log, write_block_sets, write_blocks, write_texts)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,10 +61,9 @@ def read_fixed_records(spark, sf_dir):
 def read_idx(spark, sf_dir):
     base = ordered(img8(spark, sf_dir).withColumn("image", byte_string(F.col("pixels")))
                    .withColumn("target", byte_string(F.array("label"))))
-    images_dir = write_blocks(base, shared_dir(spark, "idx-images"), "image", ".idx3",
-                              lambda n: struct.pack(">4I", 2051, n, 8, 8))
-    labels_dir = write_blocks(base, shared_dir(spark, "idx-labels"), "target", ".idx1",
-                              lambda n: struct.pack(">2I", 2049, n))
+    images_dir, labels_dir = write_block_sets(base, [
+        (shared_dir(spark, "idx-images"), "image", ".idx3", lambda n: struct.pack(">4I", 2051, n, 8, 8)),
+        (shared_dir(spark, "idx-labels"), "target", ".idx1", lambda n: struct.pack(">2I", 2049, n))])
     return cells(records.read_idx(spark, images_dir, labels_dir), ["example_id", "label"])
 
 

@@ -23,6 +23,25 @@ def test_query(spark, con, sf_dir, name):
     assert not message
 
 
+def test_idx_images_keep_their_labels_over_many_partitions(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from pixwave.plans.fixtures import img8
+    from pixwave.plans.queries import cells
+    value = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: (F.xxhash64("id", i) % 1000 / 1001).cast("float"))
+    rows = spark.range(9_000).select(F.col("id").alias("vec_id"), value.alias("embedding"), (F.xxhash64("id") % 5 + 5).cast("int").alias("label"))
+    rows.repartition(6, F.xxhash64("vec_id")).write.parquet(f"{tmp_path}/embeddings.parquet")
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(conf, "false")  # ranges are sampled: two passes would cut them at other rows
+    try:
+        got = QUERIES["read_idx"](spark, str(tmp_path)).cache()
+    finally:
+        spark.conf.unset(conf)
+    want = cells(img8(spark, str(tmp_path)), ["example_id", "label"])
+    assert got.count() == 64 * 9_000 and got.exceptAll(want).isEmpty()
+    got.unpersist()
+
+
 def test_entry(spark):
     assert registered.entry(spark).count() == 1
 

@@ -27,7 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .blocks import cut_blocks
 from .parts import LETTER, Store, numbered, units
 
-BATCH_BYTES = 4 << 20  # of text that a batch of results comes from
+BATCH_BYTES = 1 << 20  # of text that a batch of results comes from
 # Texts of these characters are cut by the expression below, which is that of byte-level files with their classes of letters
 # and digits written out; all others are cut by the library.
 _PLAIN = re.compile(f"[\t-\r -~{LETTER}]*")
@@ -69,8 +69,8 @@ class Codec:
         self.made = [vocab[a + b] for a, b in pairs]  # by rank
         self.rank = {vocab[a] << 32 | vocab[b]: r for r, (a, b) in enumerate(pairs)}
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks share the machine
-        from tokenizers import Tokenizer
-        self.cut = Tokenizer.from_str(spec).pre_tokenizer.pre_tokenize_str
+        from tokenizers import pre_tokenizers
+        self.cut = pre_tokenizers.ByteLevel(add_prefix_space=False).pre_tokenize_str  # all that is needed of the library
         self.units = Store()
 
     def merge(self, word: bytes) -> list[int]:
@@ -161,18 +161,25 @@ class Codec:
         return [b"".join(o) for o in out]
 
     def decode(self, ids: list[np.ndarray]) -> pa.Array:
-        """Texts of ids; ids that the vocabulary has not are left out, and bytes that are no UTF-8 become U+FFFD."""
-        sizes = [len(i) for i in ids]
-        flat = np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64)
-        flat[(flat < 0) | (flat >= len(self.table))] = len(self.table) - 1  # the entry of no bytes
-        joined = self.table.take(pa.array(flat))
-        ends = np.frombuffer(joined.buffers()[1], np.int64, len(flat) + 1, 8 * joined.offset) if len(flat) else np.zeros(1, np.int64)
-        at = ends[np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)]
-        texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(at.astype(np.int64).tobytes()), joined.buffers()[2]])
-        try:
-            return texts.cast(pa.large_string())
-        except pa.ArrowInvalid:
-            return pa.array([t.decode("utf-8", "replace") for t in texts.to_pylist()], pa.large_string())
+        return texts_of_ids(self.table, ids)
+
+
+def texts_of_ids(table: pa.Array, ids: list[np.ndarray]) -> pa.Array:
+    """Texts of ids; ids that the vocabulary has not are left out, and bytes that are no UTF-8 become U+FFFD.
+
+    `table` holds the bytes of each id and, last, an entry of no bytes.
+    """
+    sizes = [len(i) for i in ids]
+    flat = np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64, copy=False)
+    flat[(flat < 0) | (flat >= len(table))] = len(table) - 1
+    joined = table.take(pa.array(flat))
+    ends = np.frombuffer(joined.buffers()[1], np.int64, len(flat) + 1, 8 * joined.offset) if len(flat) else np.zeros(1, np.int64)
+    at = ends[np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)]
+    texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(at.astype(np.int64).tobytes()), joined.buffers()[2]])
+    try:
+        return texts.cast(pa.large_string())
+    except pa.ArrowInvalid:
+        return pa.array([t.decode("utf-8", "replace") for t in texts.to_pylist()], pa.large_string())
 
 
 @lru_cache(maxsize=2)
@@ -228,20 +235,21 @@ def decode(rows: DataFrame, spec: str, ids: str = "ids", out: str = "decoded", *
     """
     _refuse(rows.columns, (out.lower(),))
     packed = isinstance(rows.schema[ids].dataType, T.BinaryType)
+    place = str(rows.columns.index(ids))
     schema = T.StructType(list(rows.schema.fields)).add(out, "string")
     arrow = to_arrow_schema(schema)
+    table = codec(spec, False).table  # tasks get this alone: the file with its merges takes many times its room to read
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(spec, False)
         for batch in batches:
-            for part in cut_blocks(batch, "__ids", 4 * batch_bytes) if packed else [batch]:
-                values = part.column("__ids")
+            for part in cut_blocks(batch, place, 4 * batch_bytes) if packed else [batch]:
+                values = part.column(place)
                 ids = [np.frombuffer(i or b"", "<u4") if packed else np.array([x for x in i or () if x is not None], np.int64) for i in values.to_pylist()]
-                texts = pc.if_else(values.is_null(), None, own.decode(ids))
+                texts = pc.if_else(values.is_null(), None, texts_of_ids(table, ids))
                 columns = [*(part.column(str(i)) for i in range(len(schema) - 1)), texts]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
-    return rows.select(*(F.col(f"`{c}`").alias(str(i)) for i, c in enumerate(rows.columns)), F.col(ids).alias("__ids")).mapInArrow(run, schema)
+    return rows.select(*(F.col(f"`{c}`").alias(str(i)) for i, c in enumerate(rows.columns))).mapInArrow(run, schema)
 
 
 def op13_query(spark, sf_dir: str) -> DataFrame:

@@ -92,6 +92,23 @@ def test_null_and_empty_ids(spark, spec):
     assert [(r.decoded_id, r.decoded) for r in bpe.decode(rows, spec).collect()] == [(1, None), (2, ""), (3, "<|endoftext|>"), (4, "")]
 
 
+def test_decoding_takes_each_column_once(spark, spec):
+    rows = spark.createDataFrame([(1, [31373], [1]), (2, [], [2])], "a int, `ids` array<int>, `odd.name` array<int>")
+    for ids in ("ids", "odd.name"):
+        out = bpe.decode(rows, spec, ids=ids)
+        taken = out._jdf.queryExecution().optimizedPlan().children().head().output().size()
+        assert taken == len(rows.columns)
+        assert [len(r.decoded) > 0 for r in out.orderBy("a").collect()] == [True, ids == "odd.name"]
+
+
+def test_encoder_keeps_no_second_vocabulary(spec):
+    own = bpe.Codec(spec)
+    assert type(own.cut.__self__).__name__ == "ByteLevel" and bpe.BATCH_BYTES <= 1 << 20
+    texts = odd_texts() + ["it's  we'LL\u00a0x\n\n y", "\u4e2d\u6587 \U0001f600!!"]
+    cut = Tokenizer.from_str(spec).pre_tokenizer.pre_tokenize_str
+    assert [own.cut(t) for t in texts if t] == [cut(t) for t in texts if t]
+
+
 def test_empty_table_and_refusals(spark, spec):
     out = bpe.decode(bpe.encode(brute.empty(spark), spec), spec)
     assert out.count() == 0 and out.columns == ["doc_id", "ids", "n_tokens", "decoded"]
